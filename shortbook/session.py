@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 # ``extra`` (or spark-defaults on the cluster, which win when set there).
 _DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
