@@ -178,3 +178,72 @@ def compile_master(frames: Sequence[DataFrame], order: str | Column, ts_col: str
     """D3: union by name of per-country tables, then keep-last dedupe."""
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return dedupe_keep_last(union, order, ts_col, exclude)
+
+
+def change_history_incremental(
+    rows: DataFrame,
+    prev_manifest: DataFrame | None,
+    prev_reps: DataFrame | None,
+    snapshot: str = "snapshot_ts",
+    snapshot_time: str = "bof_ts",
+    order: str | Column = "_order",
+    country: str = "COUNTRY",
+    sym: str = SYMBOL_COL,
+    change_cols: Sequence[str] = CHANGE_COLS,
+    ts_col: str = "TIMESTAMP",
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """C2 for a new batch of snapshots given the state left by earlier ones.
+
+    State: ``manifest`` (country, last snapshot, last number) -- one row per
+    country -- and ``reps`` (last representative per (country, symbol) with
+    its number, values and carried TIMESTAMP) -- one row per symbol ever
+    seen, kept as a table, never in one task. Snapshots not newer than a
+    country's last processed one are late and dropped (never rewrite).
+    Returns (rows with TIMESTAMP, new manifest, new reps).
+    """
+    cols = [c for c in change_cols if c in rows.columns]
+    o = F.col(order) if isinstance(order, str) else order
+    batch_man = rows.select(country, snapshot).distinct()
+    if prev_manifest is not None:
+        pm = prev_manifest.select(country, F.col("_last_snapshot"), F.col("_last_n"))
+        batch_man = batch_man.join(F.broadcast(pm), country, "left").where(
+            F.col("_last_snapshot").isNull() | (F.col(snapshot) > F.col("_last_snapshot")))
+    else:
+        batch_man = batch_man.withColumn("_last_n", F.lit(None).cast("long"))
+    w_m = Window.partitionBy(country).orderBy(snapshot)
+    batch_man = batch_man.select(
+        country, snapshot, (F.coalesce(F.col("_last_n"), F.lit(0)) + F.row_number().over(w_m)).alias("_n"))
+    numbered = rows.join(sized_broadcast(batch_man, MANIFEST_BROADCAST_MAX), [country, snapshot])
+    reps = last_per_key(numbered.withColumn("_o", o), [country, sym, "_n"], "_o", [*cols, snapshot_time])
+    reps = reps.withColumn("_state", F.lit(False)).withColumn("_rep_ts", F.lit(None).cast("timestamp_ntz"))
+    if prev_reps is not None:
+        st = prev_reps.select(country, sym, "_n", *cols, F.lit(None).cast("timestamp_ntz").alias(snapshot_time),
+                              F.lit(True).alias("_state"), F.col("_rep_ts").cast("timestamp_ntz"))
+        reps = st.unionByName(reps)
+    w = Window.partitionBy(country, sym).orderBy("_n")
+    prev_n = F.lag("_n", 1).over(w)
+    changed = prev_n.isNull() | (prev_n != F.col("_n") - 1)
+    for c in cols:
+        changed = changed | _distinct_from(F.col(c), F.lag(c, 1).over(w))
+    anchor = F.when(F.col("_state"), F.col("_rep_ts")).when(changed, F.col(snapshot_time))
+    reps = reps.withColumn("_anchor", anchor).withColumn(
+        "_rep_ts", F.last("_anchor", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    p = reps.select(
+        F.col(country).alias("_p_country"), F.col(sym).alias("_p_sym"), (F.col("_n") + 1).alias("_p_next"),
+        *[F.col(c).alias(f"_p_{c}") for c in cols], F.col("_rep_ts").alias("_p_rep_ts"), F.lit(True).alias("_p_hit"),
+    )
+    cond = ((F.col(country) == F.col("_p_country")) & F.col(sym).eqNullSafe(F.col("_p_sym"))
+            & (F.col("_n") == F.col("_p_next")))
+    j = numbered.join(p, cond, "left")
+    row_changed = F.col("_p_hit").isNull() | reduce(
+        lambda a, b: a | b, [_distinct_from(F.col(c), F.col(f"_p_{c}")) for c in cols])
+    out = j.withColumn(ts_col, F.when(row_changed, F.col(snapshot_time)).otherwise(F.col("_p_rep_ts")))
+    out = out.select(*[c for c in rows.columns if c != ts_col], ts_col)
+    new_reps = last_per_key(reps, [country, sym], "_n", ["_n", *cols, "_rep_ts"])
+    man_all = batch_man.select(country, snapshot, "_n")
+    if prev_manifest is not None:
+        man_all = man_all.unionByName(prev_manifest.select(
+            country, F.col("_last_snapshot").alias(snapshot), F.col("_last_n").alias("_n")))
+    new_man = man_all.groupBy(country).agg(
+        F.max(snapshot).alias("_last_snapshot"), F.max("_n").alias("_last_n"))
+    return out, new_man, new_reps

@@ -61,12 +61,20 @@ def read_snapshot_lines(spark: SparkSession, root: str, glob: str = "*.txt") ->
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_name").alias("file_name"),
             F.col("_metadata.file_block_start").alias("_blk"),
-            F.monotonically_increasing_id().alias("_mid"),
         )
     )
+    return prepare_lines(raw)
+
+
+def prepare_lines(raw: DataFrame) -> DataFrame:
+    """Lines (raw, file_path, file_name, _blk) straight from a file scan ->
+    + in-file order, snapshot folder and time; lines outside a
+    timestamp-named folder are dropped. Must run before any shuffle: the
+    monotonically increasing id is only meaningful in scan order."""
     folder = F.regexp_extract("file_path", _FOLDER_IN_PATH, 1)
     return (
-        raw.withColumn("folder", folder)
+        raw.withColumn("_mid", F.monotonically_increasing_id())
+        .withColumn("folder", folder)
         .where(F.col("folder") != "")
         .withColumn("snapshot_ts", F.try_to_timestamp("folder", F.lit(SNAPSHOT_FOLDER_FORMAT)).cast("timestamp_ntz"))
         .withColumn("line", strip_ws(F.col("raw")))
@@ -106,7 +114,12 @@ def parse_snapshot_text(
     else folder time), file_path, and ``_order`` (snapshot, file, line) for
     keep-last rules. Files without a header or without data rows yield none.
     """
-    lines = read_snapshot_lines(spark, root, glob).withColumn("_kind", _kind(F.col("line")))
+    return parse_lines(read_snapshot_lines(spark, root, glob), columns)
+
+
+def parse_lines(lines: DataFrame, columns: Sequence[str] = tuple(COLUMN_ALIASES)) -> DataFrame:
+    """R7 on prepared lines (see ``prepare_lines``)."""
+    lines = lines.withColumn("_kind", _kind(F.col("line")))
     headers = (
         lines.where(F.col("_kind") == "header")
         .groupBy("file_path")
