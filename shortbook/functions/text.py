@@ -48,18 +48,15 @@ def null_placeholders(c, tokens=("NA", "")) -> Column:
 def to_double(c) -> Column:
     """V4: numeric coercion, bad text -> null (``try_cast``), NaN -> null."""
     d = col(c).cast("string").try_cast("double")
-    return F.when(~F.isnan(d), d)
+    return F.nanvl(d, F.lit(None).cast("double"))
 
 
 def clean_numeric(c, remove_dollar: bool = True) -> Column:
     """V5, reference-equal: drop ',', '$' (optional) and '(' ')' then parse.
     The parentheses' negative sign is *dropped*, as in the original check."""
-    s = F.regexp_replace(col(c).cast("string"), ",", "")
-    if remove_dollar:
-        s = F.regexp_replace(s, r"\$", "")
-    s = F.regexp_replace(s, r"[()]", "")
-    d = s.try_cast("double")
-    return F.when(~F.isnan(d), d)
+    chars = r"[,$()]" if remove_dollar else r"[,()]"
+    d = F.regexp_replace(col(c).cast("string"), chars, "").try_cast("double")
+    return F.nanvl(d, F.lit(None).cast("double"))
 
 
 def clean_money(c, signed: bool = True) -> Column:

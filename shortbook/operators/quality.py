@@ -30,9 +30,10 @@ def range_violations(
     """Q1: one row per (row, field) whose value lies outside its range."""
     parts = []
     for field, (lo, hi) in ranges.items():
-        v = values[field]
+        v = F.col("_v")
         parts.append(
-            df.where(_bad(v, lo, hi)).select(*keep, F.lit(field).alias("field"), v.alias("value"))
+            df.select(*keep, values[field].alias("_v")).where(_bad(v, lo, hi))
+            .select(*keep, F.lit(field).alias("field"), v.alias("value"))
         )
     out = parts[0]
     for p in parts[1:]:
@@ -48,12 +49,14 @@ def quality_by_file(
 ) -> DataFrame:
     """Q2 + Q3 + A5: per file, row count, nulls per field (warning only),
     out-of-range counts per field and the pass flag -- one aggregation."""
+    # clean each value once, then aggregate plain columns
+    df = df.select(file_col, *[values[f].alias(f"_v{i}") for i, f in enumerate(ranges)])
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     bad_total = F.lit(0)
     null_total = F.lit(0)
-    for field, (lo, hi) in ranges.items():
+    for i, (field, (lo, hi)) in enumerate(ranges.items()):
         key = field.lower().replace(" ", "_")
-        v = values[field]
+        v = F.col(f"_v{i}")
         aggs.append(F.count_if(v.isNull()).alias(f"n_null_{key}"))
         aggs.append(F.count_if(_bad(v, lo, hi)).alias(f"n_bad_{key}"))
         bad_total = bad_total + F.col(f"n_bad_{key}")
