@@ -26,9 +26,9 @@ def release_date(text) -> Column:
     """V8: text after the last marker, stripped, last character dropped,
     stripped again, then quotes stripped. Null when the marker is absent."""
     t = _c(text)
-    tail = strip(F.element_at(F.split(t, RELEASE_MARKER, -1), -1))
-    cut = strip(tail.substr(F.lit(1), F.greatest(F.length(tail) - 1, F.lit(0))))
-    return F.when(t.contains(RELEASE_MARKER), F.trim(cut, F.lit('"')))
+    tail = F.regexp_extract(t, "(?s)^.*" + RELEASE_MARKER + "(.*)$", 1)  # greedy: after the last one
+    cut = F.regexp_replace(strip(tail), "(?s).$", "")  # drop the last character
+    return F.when(t.contains(RELEASE_MARKER), F.trim(strip(cut), F.lit('"')))
 
 
 def transcript_link(href, compat: bool = True) -> Column:
@@ -40,29 +40,44 @@ def transcript_link(href, compat: bool = True) -> Column:
     return F.when(h.isNotNull(), F.concat(F.lit(LINK_HOST), F.regexp_replace(h, "^/", "")))
 
 
+def _bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable, so
+    later references (and predicates pushed below projections) do not copy
+    the expression tree."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _flags(d0: Column) -> Column:
+    proj = F.coalesce(d0.contains("*"), F.lit(False))
+
+    def with_d1(d1: Column) -> Column:
+        def with_low(low: Column) -> Column:
+            uns = F.coalesce(low.contains("unscheduled"), F.lit(False))
+            can = ~uns & F.coalesce(low.contains("cancelled"), F.lit(False))
+            note = ~uns & ~can & F.coalesce(low.contains("notation vote"), F.lit(False))
+            text = (F.when(uns, F.lit("(unscheduled)")).when(can, F.lit("(cancelled)"))
+                    .when(note, F.lit("(notation vote)")))
+            dates = F.when(uns | can | note, strip(F.replace(low, text, F.lit("")))).otherwise(d1)
+            return F.struct(proj.alias("p"), uns.alias("u"), can.alias("c"), note.alias("n"), dates.alias("d"))
+        return _bind(F.lower(d1), with_low)
+
+    return _bind(F.when(proj, strip(F.regexp_replace(d0, r"\*", ""))).otherwise(d0), with_d1)
+
+
 def meeting_flags(df: DataFrame, dates_col: str = "Dates") -> DataFrame:
     """V7: projections flag from '*', then the first of unscheduled /
     cancelled / notation vote (case-insensitive); the date text is
     lower-cased and the exact "(...)" note removed when a flag is found."""
-    d0 = _c(dates_col)
-    proj = F.coalesce(d0.contains("*"), F.lit(False))
-    d1 = F.when(proj, strip(F.regexp_replace(d0, r"\*", ""))).otherwise(d0)
-    low = F.lower(d1)
-    uns = F.coalesce(low.contains("unscheduled"), F.lit(False))
-    can = ~uns & F.coalesce(low.contains("cancelled"), F.lit(False))
-    note = ~uns & ~can & F.coalesce(low.contains("notation vote"), F.lit(False))
-    d2 = (
-        F.when(uns, strip(F.replace(low, F.lit("(unscheduled)"), F.lit(""))))
-        .when(can, strip(F.replace(low, F.lit("(cancelled)"), F.lit(""))))
-        .when(note, strip(F.replace(low, F.lit("(notation vote)"), F.lit(""))))
-        .otherwise(d1)
-    )
-    return (
-        df.withColumn("Summary of Economic Projections", proj)
-        .withColumn("Unscheduled", uns)
-        .withColumn("Cancelled", can)
-        .withColumn("Notation Vote", note)
-        .withColumn(dates_col, d2)
+    f = _bind(F.col(dates_col), _flags).alias("_f")
+    return df.select(
+        *[c for c in df.columns if c != dates_col], f
+    ).select(
+        *[c for c in df.columns if c != dates_col],
+        F.col("_f.d").alias(dates_col),
+        F.col("_f.p").alias("Summary of Economic Projections"),
+        F.col("_f.u").alias("Unscheduled"),
+        F.col("_f.c").alias("Cancelled"),
+        F.col("_f.n").alias("Notation Vote"),
     )
 
 
@@ -70,5 +85,5 @@ def keep_complete(df: DataFrame, year="Year", month="Month", dates="Dates") -> D
     """Rows are kept only with a year, a month and a (non-empty) date."""
     ok = F.lit(True)
     for c in (year, month, dates):
-        ok = ok & F.col(c).isNotNull() & (F.col(c).cast("string") != "")
+        ok = ok & (F.length(F.col(c).cast("string")) > 0)  # null or '' -> dropped
     return df.where(ok)
