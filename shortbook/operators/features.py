@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shortbook.operators.segmented import segmented_window
 from shortbook.schemas import DEFAULT_MIN_PCT_CHANGE, DEFAULT_ZSCORE_WINDOW, SYMBOL_COL
 
 
@@ -39,20 +40,45 @@ def _per_ticker(expr: Column, group_cols: Sequence[str]) -> Column:
     return F.when(_keys_present(group_cols), expr)
 
 
-def add_lag(df, col, periods=1, output=None, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP", tie_breakers=()):
-    """Value ``periods`` rows earlier in the ticker (negative = later)."""
-    out = output or f"{col}_lag{periods}"
-    w = ticker_window(group_cols, time_col, tie_breakers)
-    shifted = F.lag(col, periods).over(w) if periods >= 0 else F.lead(col, -periods).over(w)
-    return df.withColumn(out, _per_ticker(shifted, group_cols))
+def _with_window(df, group_cols, time_col, tie_breakers, build, lookback=0, lookahead=0, skew_safe=True):
+    """Add ``build(w)`` columns over the per-group ordered window ``w``.
 
+    ``skew_safe`` (default) runs through ``segmented_window`` so no group
+    is ever confined to one task; otherwise a plain window (one hash
+    shuffle on the group; a hot group is one task)."""
+    order = order_cols(time_col, tie_breakers)
+    if skew_safe:
+        return segmented_window(df, list(group_cols), order, build, lookback, lookahead)
+    exprs = build(Window.partitionBy(*group_cols).orderBy(*order))
+    return df.select("*", *[e.alias(k) for k, e in exprs.items()])
 
-def add_diff(df, col, periods=1, output=None, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP", tie_breakers=()):
-    """``col - lag(col, periods)`` within the ticker."""
-    out = output or f"{col}_diff{periods}"
-    w = ticker_window(group_cols, time_col, tie_breakers)
-    shifted = F.lag(col, periods).over(w) if periods >= 0 else F.lead(col, -periods).over(w)
-    return df.withColumn(out, _per_ticker(F.col(col) - shifted, group_cols))
+
+def _shifted(col, periods, w):
+    return F.lag(col, periods).over(w) if periods >= 0 else F.lead(col, -periods).over(w)
+
+
+def _reach(periods):
+    return (periods, 0) if periods >= 0 else (0, -periods)
+
+
+class Feature:
+    """One per-ticker feature: output name, expression over a window, and
+    how many rows back / ahead its frame reaches."""
+
+    def __init__(self, name, build, lookback=0, lookahead=0):
+        self.name, self.build, self.lookback, self.lookahead = name, build, lookback, lookahead
+
+
+def lag_feature(col, periods=1, output=None, group_cols=(SYMBOL_COL,)) -> Feature:
+    back, ahead = _reach(periods)
+    return Feature(output or f"{col}_lag{periods}",
+                   lambda w: _per_ticker(_shifted(col, periods, w), group_cols), back, ahead)
+
+
+def diff_feature(col, periods=1, output=None, group_cols=(SYMBOL_COL,)) -> Feature:
+    back, ahead = _reach(periods)
+    return Feature(output or f"{col}_diff{periods}",
+                   lambda w: _per_ticker(F.col(col) - _shifted(col, periods, w), group_cols), back, ahead)
 
 
 def log_ratio(x: Column, p: Column, finite_only: bool = False) -> Column:
@@ -73,31 +99,63 @@ def log_ratio(x: Column, p: Column, finite_only: bool = False) -> Column:
     return e
 
 
+def log_return_feature(col="FEERATE", output="log_return", group_cols=(SYMBOL_COL,), finite_only=False) -> Feature:
+    return Feature(output, lambda w: _per_ticker(log_ratio(F.col(col), F.lag(col, 1).over(w), finite_only),
+                                                  group_cols), 1, 0)
+
+
+def z_score_feature(col, window=DEFAULT_ZSCORE_WINDOW, output=None, group_cols=(SYMBOL_COL,)) -> Feature:
+    def build(w):
+        f = w.rowsBetween(-(window - 1), 0)
+        n, mean, sd = F.count(col).over(f), F.avg(col).over(f), F.stddev_samp(col).over(f)
+        return _per_ticker(F.when((n == window) & (sd != 0), (F.col(col) - mean) / sd), group_cols)
+    return Feature(output or f"{col}_zscore", build, window - 1, 0)
+
+
+def add_ticker_features(df, feats, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP", tie_breakers=(),
+                        skew_safe=True):
+    """Several per-ticker features in one window pass (one shuffle)."""
+    feats = list(feats)
+    if not feats:
+        return df
+    return _with_window(
+        df, group_cols, time_col, tie_breakers, lambda w: {f.name: f.build(w) for f in feats},
+        max(f.lookback for f in feats), max(f.lookahead for f in feats), skew_safe)
+
+
+def add_lag(df, col, periods=1, output=None, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP", tie_breakers=(),
+            skew_safe=True):
+    """Value ``periods`` rows earlier in the ticker (negative = later)."""
+    return add_ticker_features(df, [lag_feature(col, periods, output, group_cols)], group_cols, time_col,
+                               tie_breakers, skew_safe)
+
+
+def add_diff(df, col, periods=1, output=None, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP", tie_breakers=(),
+             skew_safe=True):
+    """``col - lag(col, periods)`` within the ticker."""
+    return add_ticker_features(df, [diff_feature(col, periods, output, group_cols)], group_cols, time_col,
+                               tie_breakers, skew_safe)
+
+
 def add_log_returns(
     df, col="FEERATE", output="log_return", group_cols=(SYMBOL_COL,), time_col="TIMESTAMP",
-    tie_breakers=(), finite_only=False,
+    tie_breakers=(), finite_only=False, skew_safe=True,
 ):
     """ln(x / previous x) per ticker."""
-    w = ticker_window(group_cols, time_col, tie_breakers)
-    prev = F.lag(col, 1).over(w)
-    return df.withColumn(output, _per_ticker(log_ratio(F.col(col), prev, finite_only), group_cols))
+    return add_ticker_features(df, [log_return_feature(col, output, group_cols, finite_only)], group_cols,
+                               time_col, tie_breakers, skew_safe)
 
 
 def add_z_score(
     df, col, window=DEFAULT_ZSCORE_WINDOW, output=None, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP",
-    tie_breakers=(),
+    tie_breakers=(), skew_safe=True,
 ):
     """Rolling z-score over the last ``window`` rows of the ticker.
 
     Needs a full window of non-null values; sample stddev; stddev 0 -> null.
     """
-    out = output or f"{col}_zscore"
-    w = ticker_window(group_cols, time_col, tie_breakers).rowsBetween(-(window - 1), 0)
-    n = F.count(col).over(w)
-    mean = F.avg(col).over(w)
-    sd = F.stddev_samp(col).over(w)
-    z = F.when((n == window) & (sd != 0), (F.col(col) - mean) / sd)
-    return df.withColumn(out, _per_ticker(z, group_cols))
+    return add_ticker_features(df, [z_score_feature(col, window, output, group_cols)], group_cols, time_col,
+                               tie_breakers, skew_safe)
 
 
 def availability_changes(
@@ -107,13 +165,13 @@ def availability_changes(
     time_col: str = "TIMESTAMP",
     tie_breakers: Sequence[str] = (),
     value_col: str = "AVAILABLE",
+    skew_safe: bool = True,
 ) -> DataFrame:
     """Rows whose availability moved by at least ``min_pct_change`` percent
     against the previous row of the ticker (SQL semantics: null SYM is a group).
     The threshold compares the unrounded change; output is rounded to 2 dp."""
-    w = ticker_window(group_cols, time_col, tie_breakers)
-    prev = F.lag(value_col, 1).over(w)
-    ranked = df.withColumn("prev_avail", prev)
+    ranked = _with_window(df, group_cols, time_col, tie_breakers,
+                          lambda w: {"prev_avail": F.lag(value_col, 1).over(w)}, 1, 0, skew_safe)
     p = F.col("prev_avail")
     raw = F.lit(100.0) * (F.col(value_col) - p) / F.when(p != 0, p)
     return (

@@ -23,6 +23,8 @@ class TradingDataset:
         sources: Sequence[str] | None = None,
         df: DataFrame | None = None,
         tie_breakers: Sequence[str] = (),
+        pending: tuple = (),
+        skew_safe: bool = True,
     ):
         self.spark = spark
         self.catalog = catalog
@@ -30,15 +32,32 @@ class TradingDataset:
         self.sources = list(sources or ["stock_loan"])
         self._df = df
         self.tie_breakers = tuple(tie_breakers)
+        # consecutive per-ticker features on the same ticker order are
+        # computed together in one window pass when the frame is needed
+        self._pending = tuple(pending)
+        self.skew_safe = skew_safe
 
-    def _with(self, df: DataFrame) -> "TradingDataset":
-        return TradingDataset(self.spark, self.catalog, self.sources, df, self.tie_breakers)
+    def _with(self, df: DataFrame, pending: tuple = ()) -> "TradingDataset":
+        return TradingDataset(self.spark, self.catalog, self.sources, df, self.tie_breakers, pending,
+                              self.skew_safe)
+
+    def _add(self, feat, group_cols, tie_breakers) -> "TradingDataset":
+        if self._df is None:
+            raise RuntimeError("Call .load() or .load_sql() first")
+        key = (tuple(group_cols), tuple(tie_breakers) if tie_breakers is not None else self.tie_breakers)
+        if self._pending and self._pending[0][0] != key:
+            return self._with(self.df)._add(feat, group_cols, tie_breakers)
+        return self._with(self._df, self._pending + ((key, feat),))
 
     @property
     def df(self) -> DataFrame:
         if self._df is None:
             raise RuntimeError("Call .load() or .load_sql() first")
-        return self._df
+        if not self._pending:
+            return self._df
+        (group_cols, ties), _ = self._pending[0]
+        return features.add_ticker_features(
+            self._df, [f for _, f in self._pending], group_cols, "TIMESTAMP", ties, self.skew_safe)
 
     # M1: per-source query (limit applies per source), tagged, union by name.
     def load(self, where: str = "", columns: str = "*", limit: int = 0) -> "TradingDataset":
@@ -55,31 +74,29 @@ class TradingDataset:
         self.engine.register_sources(self.sources)
         return self._with(self.engine.sql(query, params))
 
-    def _kw(self, group_cols, tie_breakers):
-        return dict(
-            group_cols=tuple(group_cols),
-            tie_breakers=tuple(tie_breakers) if tie_breakers is not None else self.tie_breakers,
-        )
-
     def add_log_returns(self, col="FEERATE", output="log_return", group_cols=("SYM",), tie_breakers=None,
                         finite_only=False):
-        return self._with(features.add_log_returns(
-            self.df, col, output, finite_only=finite_only, **self._kw(group_cols, tie_breakers)))
+        return self._add(features.log_return_feature(col, output, group_cols, finite_only), group_cols, tie_breakers)
 
     def add_z_score(self, col, window=20, output=None, group_cols=("SYM",), tie_breakers=None):
-        return self._with(features.add_z_score(self.df, col, window, output, **self._kw(group_cols, tie_breakers)))
+        return self._add(features.z_score_feature(col, window, output, group_cols), group_cols, tie_breakers)
 
     def add_pct_rank(self, col, output=None):
         return self._with(ranking.add_pct_rank(self.df, col, output, by="TIMESTAMP"))
 
     def add_lag(self, col, periods=1, output=None, group_cols=("SYM",), tie_breakers=None):
-        return self._with(features.add_lag(self.df, col, periods, output, **self._kw(group_cols, tie_breakers)))
+        return self._add(features.lag_feature(col, periods, output, group_cols), group_cols, tie_breakers)
 
     def add_diff(self, col, periods=1, output=None, group_cols=("SYM",), tie_breakers=None):
-        return self._with(features.add_diff(self.df, col, periods, output, **self._kw(group_cols, tie_breakers)))
+        return self._add(features.diff_feature(col, periods, output, group_cols), group_cols, tie_breakers)
 
     # P7, P8
     def filter_tickers(self, tickers: Sequence[str]) -> "TradingDataset":
+        """Keeps whole tickers, so pending per-ticker features (grouped by
+        SYM) give the same values when the filter runs first -- it does, and
+        reaches the scan instead of following the shuffle."""
+        if self._pending and "SYM" in self._pending[0][0][0]:
+            return self._with(relational.filter_tickers(self._df, tickers), self._pending)
         return self._with(relational.filter_tickers(self.df, tickers))
 
     def dropna(self, subset: Sequence[str] | None = None) -> "TradingDataset":

@@ -7,13 +7,13 @@ from shortbook.operators import changes, features, joins
 from shortbook.plans import registry, views
 
 
-def test_chained_ticker_features_share_one_exchange(spark, sf):
+def test_plain_chained_ticker_features_share_one_exchange(spark, sf):
     df = views.stock_loan(spark, sf)
     for fn in (
-        lambda d: features.add_log_returns(d, "FEERATE", tie_breakers=["SEQ"]),
-        lambda d: features.add_z_score(d, "FEERATE", 20, tie_breakers=["SEQ"]),
-        lambda d: features.add_lag(d, "AVAILABLE", 1, tie_breakers=["SEQ"]),
-        lambda d: features.add_diff(d, "AVAILABLE", 1, tie_breakers=["SEQ"]),
+        lambda d: features.add_log_returns(d, "FEERATE", tie_breakers=["SEQ"], skew_safe=False),
+        lambda d: features.add_z_score(d, "FEERATE", 20, tie_breakers=["SEQ"], skew_safe=False),
+        lambda d: features.add_lag(d, "AVAILABLE", 1, tie_breakers=["SEQ"], skew_safe=False),
+        lambda d: features.add_diff(d, "AVAILABLE", 1, tie_breakers=["SEQ"], skew_safe=False),
     ):
         df = fn(df)
     text = plan_text(df)
@@ -21,6 +21,23 @@ def test_chained_ticker_features_share_one_exchange(spark, sf):
     assert "SinglePartition" not in text
 
 
+def test_batched_skew_safe_features_one_window_shuffle(spark, sf):
+    import re
+    text = plan_text(registry.QUERIES["ticker_features"](spark, sf))
+    assert len(re.findall(r"hashpartitioning\(_pid#\d+, SYM#\d+", text)) == 1
+    assert "rangepartitioning" not in text  # frozen by the checkpoint
+
+
+def test_dataset_ticker_filter_goes_below_pending_features(spark, sf, tmp_path):
+    from shortbook.plans.dataset import TradingDataset
+    from shortbook.sources.catalog import Catalog
+    path = str(tmp_path / "sl2")
+    views.stock_loan(spark, sf).write.parquet(path)
+    ds = TradingDataset(spark, Catalog(spark, {"stock_loan": path}), tie_breakers=["SEQ"]).load()
+    ds = ds.add_lag("AVAILABLE", 1).filter_tickers(["u1"])
+    assert ds.df.count() == views.stock_loan(spark, sf).where("SYM = 'U1'").count()
+
+
 def test_top_n_is_take_ordered(spark, sf):
     assert "TakeOrderedAndProject" in plan_text(registry.QUERIES["top_short_borrow"](spark, sf))
 
@@ -41,16 +58,17 @@ def test_change_tracking_has_no_cartesian(spark, sf):
 def test_ticker_filter_after_window_reaches_scan(spark, sf, tmp_path):
     path = str(tmp_path / "sl")
     views.stock_loan(spark, sf).write.parquet(path)
-    df = features.add_z_score(spark.read.parquet(path), "FEERATE", 20, tie_breakers=["SEQ"])
+    df = features.add_z_score(spark.read.parquet(path), "FEERATE", 20, tie_breakers=["SEQ"], skew_safe=False)
     text = plan_text(df.where(F.col("SYM") == "U1"))
     assert "EqualTo(SYM,U1)" in text
 
 
 def test_projection_is_pruned_at_scan(spark, sf):
-    text = plan_text(registry.QUERIES["diff"](spark, sf))
+    text = plan_text(registry.QUERIES["sql_params"](spark, sf))
     scan = text.split("ReadSchema:")[1].splitlines()[0]
-    assert "value" in scan and "user_id" in scan
-    assert "props" not in scan and "event_type" not in scan
+    assert "value" in scan and "user_id" in scan and "event_type" in scan
+    assert "event_id" not in scan and "ts:" not in scan
+    assert "PushedFilters" in text
 
 
 def test_cik_lookup_broadcasts_checked_map(spark, sf):
