@@ -50,10 +50,16 @@ def asof_join(
     right_time: str,
     right_cols: Sequence[str],
     right_by: Sequence[str] | None = None,
+    skew_safe: bool = True,
 ) -> DataFrame:
     """Each left row gets the latest right row of its key whose time is
     at or before the left time (a right row at an equal time counts).
-    Unmatched, null key or null time -> right columns null."""
+    Unmatched, null key or null time -> right columns null.
+
+    ``skew_safe`` (default): the tagged union is range-partitioned on
+    (key, time, side) so a hot key spans many tasks; each partition receives
+    one carried row -- the latest right row of its first key from earlier
+    partitions, taken from a one-row-per-partition summary."""
     right_by = list(right_by or by)
     rcols = list(right_cols)
     l = left.select("*", F.col(left_time).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_side"))
@@ -66,13 +72,39 @@ def asof_join(
         F.lit(0).alias("_side"),
         F.struct(*[F.col(c) for c in rcols]).alias("_r"),
     )
-    u = l.unionByName(r, allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy(F.col("_t").asc_nulls_first(), "_side").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
+    u = l.unionByName(r, allowMissingColumns=True).withColumn("_c", F.lit(1))
+    order = [F.col("_c"), F.col("_t").asc_nulls_first(), F.col("_side")]
+    if skew_safe:
+        u = _with_carry(u, list(by), order)
+        part = ["_pid", *by]
+    else:
+        part = list(by)
+    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = u.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
     got = F.col("_t").isNotNull()
     for b in by:
         got = got & F.col(b).isNotNull()
-    out = carried.where(F.col("_side") == 1).select(
+    return carried.where((F.col("_side") == 1) & (F.col("_c") == 1)).select(
         *left.columns, *[F.when(got, F.col(f"_m.{c}")).alias(c) for c in rcols])
-    return out
+
+
+def _with_carry(u: DataFrame, by: list[str], order) -> DataFrame:
+    from shortbook.operators.segmented import ranged_rows
+
+    key = F.struct(*[F.col(b) for b in by])
+    ranged = ranged_rows(u, [F.col(b).asc_nulls_last() for b in by] + order[1:])
+    # one row per non-empty partition: first key, last key, last right row of the last key
+    summ = ranged.groupBy("_pid").agg(
+        F.min_by(key, "_local").alias("_first"), F.max_by(key, "_local").alias("_last"))
+    last_r = ranged.join(F.broadcast(summ.select("_pid", "_last")), "_pid").where(
+        (key == F.col("_last")) & (F.col("_side") == 0)).groupBy("_pid").agg(F.max_by("_r", "_local").alias("_lr"))
+    summ = summ.join(last_r, "_pid", "left")
+    w = Window.orderBy("_pid")  # over one row per partition
+    run = Window.partitionBy("_last").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    summ = summ.withColumn("_cum", F.last("_lr", ignorenulls=True).over(run))
+    summ = summ.withColumn("_prev_last", F.lag("_last").over(w)).withColumn("_prev_cum", F.lag("_cum").over(w))
+    carry = summ.where((F.col("_prev_last") == F.col("_first")) & F.col("_prev_cum").isNotNull()).select(
+        "_pid", *[F.col(f"_first.{b}").alias(b) for b in by],
+        F.lit(0).alias("_c"), F.lit(None).cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_side"),
+        F.col("_prev_cum").alias("_r"))
+    return ranged.drop("_local").unionByName(carry, allowMissingColumns=True)
