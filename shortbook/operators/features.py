@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shortbook.operators.segmented import segmented_window
+from shortbook.operators.segmented import resolve_skew_safe, segmented_window
 from shortbook.schemas import DEFAULT_MIN_PCT_CHANGE, DEFAULT_ZSCORE_WINDOW, SYMBOL_COL
 
 
@@ -40,14 +40,15 @@ def _per_ticker(expr: Column, group_cols: Sequence[str]) -> Column:
     return F.when(_keys_present(group_cols), expr)
 
 
-def _with_window(df, group_cols, time_col, tie_breakers, build, lookback=0, lookahead=0, skew_safe=True):
+def _with_window(df, group_cols, time_col, tie_breakers, build, lookback=0, lookahead=0, skew_safe="auto"):
     """Add ``build(w)`` columns over the per-group ordered window ``w``.
 
-    ``skew_safe`` (default) runs through ``segmented_window`` so no group
-    is ever confined to one task; otherwise a plain window (one hash
-    shuffle on the group; a hot group is one task)."""
+    ``skew_safe=True`` runs through ``segmented_window`` so no group is ever
+    confined to one task; ``False`` is a plain window (one hash shuffle on
+    the group). ``"auto"`` (default) measures group sizes first and takes
+    the segmented path only when a group is hot."""
     order = order_cols(time_col, tie_breakers)
-    if skew_safe:
+    if resolve_skew_safe(skew_safe, df, group_cols):
         return segmented_window(df, list(group_cols), order, build, lookback, lookahead)
     exprs = build(Window.partitionBy(*group_cols).orderBy(*order))
     return df.select("*", *[e.alias(k) for k, e in exprs.items()])
@@ -113,7 +114,7 @@ def z_score_feature(col, window=DEFAULT_ZSCORE_WINDOW, output=None, group_cols=(
 
 
 def add_ticker_features(df, feats, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP", tie_breakers=(),
-                        skew_safe=True):
+                        skew_safe="auto"):
     """Several per-ticker features in one window pass (one shuffle)."""
     feats = list(feats)
     if not feats:
@@ -124,14 +125,14 @@ def add_ticker_features(df, feats, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP
 
 
 def add_lag(df, col, periods=1, output=None, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP", tie_breakers=(),
-            skew_safe=True):
+            skew_safe="auto"):
     """Value ``periods`` rows earlier in the ticker (negative = later)."""
     return add_ticker_features(df, [lag_feature(col, periods, output, group_cols)], group_cols, time_col,
                                tie_breakers, skew_safe)
 
 
 def add_diff(df, col, periods=1, output=None, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP", tie_breakers=(),
-             skew_safe=True):
+             skew_safe="auto"):
     """``col - lag(col, periods)`` within the ticker."""
     return add_ticker_features(df, [diff_feature(col, periods, output, group_cols)], group_cols, time_col,
                                tie_breakers, skew_safe)
@@ -139,7 +140,7 @@ def add_diff(df, col, periods=1, output=None, group_cols=(SYMBOL_COL,), time_col
 
 def add_log_returns(
     df, col="FEERATE", output="log_return", group_cols=(SYMBOL_COL,), time_col="TIMESTAMP",
-    tie_breakers=(), finite_only=False, skew_safe=True,
+    tie_breakers=(), finite_only=False, skew_safe="auto",
 ):
     """ln(x / previous x) per ticker."""
     return add_ticker_features(df, [log_return_feature(col, output, group_cols, finite_only)], group_cols,
@@ -148,7 +149,7 @@ def add_log_returns(
 
 def add_z_score(
     df, col, window=DEFAULT_ZSCORE_WINDOW, output=None, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP",
-    tie_breakers=(), skew_safe=True,
+    tie_breakers=(), skew_safe="auto",
 ):
     """Rolling z-score over the last ``window`` rows of the ticker.
 
@@ -165,7 +166,7 @@ def availability_changes(
     time_col: str = "TIMESTAMP",
     tie_breakers: Sequence[str] = (),
     value_col: str = "AVAILABLE",
-    skew_safe: bool = True,
+    skew_safe: bool | str = "auto",
 ) -> DataFrame:
     """Rows whose availability moved by at least ``min_pct_change`` percent
     against the previous row of the ticker (SQL semantics: null SYM is a group).

@@ -50,13 +50,13 @@ def asof_join(
     right_time: str,
     right_cols: Sequence[str],
     right_by: Sequence[str] | None = None,
-    skew_safe: bool = True,
+    skew_safe: bool | str = "auto",
 ) -> DataFrame:
     """Each left row gets the latest right row of its key whose time is
     at or before the left time (a right row at an equal time counts).
     Unmatched, null key or null time -> right columns null.
 
-    ``skew_safe`` (default): the tagged union is range-partitioned on
+    ``skew_safe`` (``"auto"``: when a key is hot): the tagged union is range-partitioned on
     (key, time, side) so a hot key spans many tasks; each partition receives
     one carried row -- the latest right row of its first key from earlier
     partitions, taken from a one-row-per-partition summary."""
@@ -74,7 +74,8 @@ def asof_join(
     )
     u = l.unionByName(r, allowMissingColumns=True).withColumn("_c", F.lit(1))
     order = [F.col("_c"), F.col("_t").asc_nulls_first(), F.col("_side")]
-    if skew_safe:
+    from shortbook.operators.segmented import resolve_skew_safe
+    if resolve_skew_safe(skew_safe, u, list(by)):
         u = _with_carry(u, list(by), order)
         part = ["_pid", *by]
     else:

@@ -106,3 +106,26 @@ def segmented_window(
     exprs = build(w)
     out = rows.select("*", *[e.alias(name) for name, e in exprs.items()])
     return out.where(~F.col("_halo")).select(*cols, *exprs.keys())
+
+
+# A group is "hot" when it holds more rows than this many average partitions.
+HOT_GROUP_FACTOR = 2.0
+
+
+def has_hot_group(df: DataFrame, group_cols: Sequence[str], num_partitions: int | None = None,
+                  factor: float = HOT_GROUP_FACTOR) -> bool:
+    """One pruned, partially aggregated pass over the group columns: is the
+    largest group bigger than ``factor`` average partitions?"""
+    n = num_partitions or _num_partitions(df)
+    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    row = sizes.agg(F.max("_n").alias("mx"), F.sum("_n").alias("tot")).first()
+    if row is None or row["tot"] is None:
+        return False
+    return row["mx"] * n > factor * row["tot"]
+
+
+def resolve_skew_safe(skew_safe, df: DataFrame, group_cols: Sequence[str]) -> bool:
+    """``True`` / ``False`` as given; ``"auto"`` decides from the data."""
+    if skew_safe == "auto":
+        return has_hot_group(df, group_cols)
+    return bool(skew_safe)

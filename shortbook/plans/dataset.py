@@ -24,7 +24,7 @@ class TradingDataset:
         df: DataFrame | None = None,
         tie_breakers: Sequence[str] = (),
         pending: tuple = (),
-        skew_safe: bool = True,
+        skew_safe: bool | str = "auto",
     ):
         self.spark = spark
         self.catalog = catalog

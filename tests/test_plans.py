@@ -23,7 +23,11 @@ def test_plain_chained_ticker_features_share_one_exchange(spark, sf):
 
 def test_batched_skew_safe_features_one_window_shuffle(spark, sf):
     import re
-    text = plan_text(registry.QUERIES["ticker_features"](spark, sf))
+    feats = [features.z_score_feature("FEERATE", 20), features.lag_feature("AVAILABLE", 1),
+             features.diff_feature("FEERATE", 3)]
+    df = features.add_ticker_features(views.stock_loan_nulls(spark, sf), feats, tie_breakers=["SEQ"],
+                                      skew_safe=True)
+    text = plan_text(df)
     assert len(re.findall(r"hashpartitioning\(_pid#\d+, SYM#\d+", text)) == 1
     assert "rangepartitioning" not in text  # frozen by the checkpoint
 
@@ -88,3 +92,11 @@ def test_global_pct_rank_has_no_single_partition_window_on_rows(spark, sf):
     df = views.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     text = plan_text(ranking.add_pct_rank(df, "o_totalprice", by=None))
     assert "RangePartitioning" in text or "LogicalRDD" in text or "ExistingRDD" in text
+
+
+def test_auto_mode_picks_segmented_only_for_hot_groups(spark):
+    from shortbook.operators.segmented import has_hot_group
+    even = spark.range(4000).selectExpr("cast(id % 200 as string) as SYM")
+    hot = spark.range(4000).selectExpr("case when id % 3 = 0 then cast(id as string) else 'HOT' end as SYM")
+    assert not has_hot_group(even, ["SYM"])
+    assert has_hot_group(hot, ["SYM"])
