@@ -48,10 +48,14 @@ def clean_symbols(df: DataFrame, sym: str = SYMBOL_COL) -> DataFrame:
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Column | str, cols: Sequence[str]) -> DataFrame:
     """The last row per key by ``order`` -- an aggregation with partial
-    (map-side) combine, so a hot key is reduced before the shuffle."""
+    (map-side) combine, so a hot key is reduced before the shuffle.
+
+    ``order`` must be unique within a key (it is: sequence / file position),
+    so one ``max_by`` per column picks the same row; fixed-width columns and
+    order keep the aggregation hash-based (a struct buffer would force a
+    sort-based aggregate)."""
     o = F.col(order) if isinstance(order, str) else order
-    packed = F.max_by(F.struct(*[F.col(c) for c in cols]), o).alias("_last")
-    return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in cols])
+    return df.groupBy(*keys).agg(*[F.max_by(F.col(c), o).alias(c) for c in cols])
 
 
 def track_changes(
@@ -114,22 +118,30 @@ def change_history(
     sym: str = SYMBOL_COL,
     change_cols: Sequence[str] = CHANGE_COLS,
     ts_col: str = "TIMESTAMP",
-    manifest: DataFrame | None = None,
 ) -> DataFrame:
     """TIMESTAMP for every row of a whole snapshot history.
 
     Equal to folding C1 snapshot by snapshot per country: a symbol absent
     from the previous non-empty snapshot of its country is new again; the
     previous state of a duplicated symbol is its last row.
+
+    Plan: representatives (last row per country, symbol, snapshot; a hash
+    aggregate) + snapshot manifest numbered per country (one row per
+    snapshot, broadcast when proven small) -> running window over
+    representatives -> every row joined N:1 to the representative of its
+    previous snapshot.
     """
     cols = [c for c in change_cols if c in rows.columns]
     if sym not in rows.columns or not cols:
         return rows.withColumn(ts_col, F.col(snapshot_time))
-    man = manifest if manifest is not None else number_snapshots(rows, country, snapshot)
-    numbered = rows.join(sized_broadcast(man, MANIFEST_BROADCAST_MAX), [country, snapshot])
     o = F.col(order) if isinstance(order, str) else order
-    # Representative = last row of each (country, symbol, snapshot).
-    reps = last_per_key(numbered.withColumn("_o", o), [country, sym, "_n"], "_o", [*cols, snapshot_time])
+    reps = last_per_key(rows.withColumn("_o", o), [country, sym, snapshot], "_o", [*cols, snapshot_time])
+    # two-column distinct: a narrow pruned scan, partial-aggregated; both
+    # uses below are the same broadcast (reused)
+    man = number_snapshots(rows, country, snapshot)
+    man = man.withColumn("_prev", F.lag(snapshot).over(Window.partitionBy(country).orderBy("_n")))
+    man_b = sized_broadcast(man.select(country, snapshot, "_n", "_prev"), MANIFEST_BROADCAST_MAX)
+    reps = reps.join(man_b, [country, snapshot]).drop("_prev")
     w = Window.partitionBy(country, sym).orderBy("_n")
     prev_n = F.lag("_n", 1).over(w)
     changed = prev_n.isNull() | (prev_n != F.col("_n") - 1)
@@ -142,15 +154,16 @@ def change_history(
     )
     # Every row against the representative of the previous snapshot (N:1).
     p = reps.select(
-        F.col(country).alias("_p_country"), F.col(sym).alias("_p_sym"), (F.col("_n") + 1).alias("_p_next"),
+        F.col(country).alias("_p_country"), F.col(sym).alias("_p_sym"), F.col(snapshot).alias("_p_snap"),
         *[F.col(c).alias(f"_p_{c}") for c in cols], "_rep_ts", F.lit(True).alias("_p_hit"),
     )
+    keyed = rows.join(man_b, [country, snapshot]).drop("_n")
     cond = (
         (F.col(country) == F.col("_p_country"))
         & F.col(sym).eqNullSafe(F.col("_p_sym"))
-        & (F.col("_n") == F.col("_p_next"))
+        & (F.col("_prev") == F.col("_p_snap"))
     )
-    j = numbered.join(p, cond, "left")
+    j = keyed.join(p, cond, "left")
     row_changed = F.col("_p_hit").isNull() | reduce(
         lambda a, b: a | b, [_distinct_from(F.col(c), F.col(f"_p_{c}")) for c in cols]
     )
