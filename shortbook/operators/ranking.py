@@ -134,12 +134,13 @@ def label_time_split(
     tie_breakers: Sequence[str] = (),
 ) -> DataFrame:
     """``df`` plus boolean ``_train`` (see ``time_split``)."""
-    n = df.count()
-    k = int(n * train_frac)  # float truncation, exactly as a sorted-prefix cut
     tnull = F.col(time_col).isNull().cast("int")
     keyed = df.withColumn("_tnull", tnull)
     counts = keyed.groupBy("_tnull", time_col).agg(F.count(F.lit(1)).alias("_c"))
     cum = prefix_sums(counts, [F.col("_tnull").asc(), F.col(time_col).asc()], "_c")
+    # n from the (checkpointed) per-time counts: no separate scan of df
+    n = cum.agg(F.max("_group_total")).first()[0] or 0
+    k = int(n * train_frac)  # float truncation, exactly as a sorted-prefix cut
     is_b = (F.col("_before") < k) & (F.col("_before") + F.col("_c") > k)
     cum = cum.select("_tnull", time_col, "_c", "_before", is_b.alias("_is_b"))
     boundary = cum.where(F.col("_is_b")).select("_before").collect()  # at most one row
