@@ -161,3 +161,12 @@ def test_segmented_window_exact_with_hot_ticker(spark):
     parts = ranged_rows(sdf, [F.col("SYM").asc_nulls_last(), F.col("TIMESTAMP"), F.col("SEQ")], 16)
     hot_parts = parts.where(F.col("SYM") == "HOT").select("_pid").distinct().count()
     assert hot_parts >= 8  # the hot ticker is spread, not confined to one task
+
+
+def test_availability_changes_equal_and_null_timestamps(spark):
+    # equal timestamps are ordered by the tie-breaker; a null timestamp sorts last
+    recs = [("A", "n", 10.0, T0, 2), ("A", "n", 20.0, T0, 1), ("A", "n", 40.0, None, 3), ("A", "n", 5.0, T0, 0)]
+    sdf = spark.createDataFrame(recs, "SYM string, NAME string, AVAILABLE double, TIMESTAMP timestamp_ntz, SEQ long")
+    got = rows(features.availability_changes(sdf, 50.0, tie_breakers=["SEQ"]), ["prev_avail", "AVAILABLE", "pct_change"])
+    # order: 5 (SEQ 0), 20 (SEQ 1), 10 (SEQ 2), 40 (null time)
+    assert got == sorted([(5.0, 20.0, 300.0), (20.0, 10.0, -50.0), (10.0, 40.0, 300.0)], key=repr)

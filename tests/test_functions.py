@@ -76,3 +76,19 @@ def test_distinct_tickers_picks_first_symbol_column(spark):
     df = spark.createDataFrame([("a", "X"), ("a", None), ("b", "Y")], "Symbol string, SYM string")
     assert rows(ledger.distinct_tickers(df)) == [("a",), ("b",)]
     assert ledger.distinct_tickers(df.select(F.col("SYM").alias("other"))) is None
+
+
+def test_meeting_flag_cases(spark):
+    from shortbook.functions import meetings
+    from shortbook.plans import jobs
+    raw = spark.createDataFrame([
+        (2024, "March", "15*", None, None), (2024, "April", "3 (unscheduled)", None, None),
+        (2024, "May", "17-18* (cancelled)", None, None), (2024, "June", "22 (notation vote)", None, None),
+        (2024, None, "9", None, None), (2024, "July", "(Cancelled)", None, None)],
+        "Year int, Month string, Dates string, minutes_text string, href string")
+    got = rows(jobs.meeting_rows(raw), ["Month", "Dates", "Summary of Economic Projections", "Unscheduled",
+                                        "Cancelled", "Notation Vote"])
+    assert got == sorted([("March", "15", True, False, False, False), ("April", "3", False, True, False, False),
+                          ("May", "17-18", True, False, True, False), ("June", "22", False, False, False, True)],
+                         key=repr)
+    assert meetings is not None

@@ -129,3 +129,11 @@ def test_generic_html_records(spark):
     assert rows(out, ["kind", "pos", "text", "href"]) == sorted([
         ("h1", 0, "T", None), ("nav_link", 0, "A", "/a"), ("nav_link", 1, "B & C", "/b"),
         ("paragraph", 0, "one", None), ("paragraph", 1, "two", None)], key=repr)
+
+
+def test_csv_union_skips_unreadable_file(spark, tmp_path):
+    write(tmp_path / "a.csv", "x,y\n1,2\n")
+    (tmp_path / "b.csv").write_bytes(b"")  # empty file: no header line
+    write(tmp_path / "c.csv", "y,x\n3,4\n")
+    out = csv_src.read_csv_union(spark, str(tmp_path))
+    assert rows(out, ["x", "y"]) == [("1", "2"), ("4", "3")]
