@@ -79,13 +79,26 @@ def add_pct_rank(
     col: str,
     output: str | None = None,
     by: str | None = "TIMESTAMP",
+    skew_safe: bool | str = "auto",
 ) -> DataFrame:
     """Average-tie rank of ``col`` / non-null count, per ``by`` value
     (cross-section at each timestamp) or over the whole table when ``by`` is
-    None or absent. Null value or null ``by`` -> null. Not ``percent_rank``."""
+    None or absent. Null value or null ``by`` -> null. Not ``percent_rank``.
+
+    Per ``by``: three windows on one exchange unless a ``by`` value is hot
+    (``skew_safe="auto"`` measures), then distributed prefix sums. Global:
+    always prefix sums (the whole table is one group)."""
     out = output or f"{col}_pctrank"
     grouped = by is not None and by in df.columns
     gcols = [by] if grouped else []
+    if grouped:
+        from shortbook.operators.segmented import resolve_skew_safe
+        if not resolve_skew_safe(skew_safe, df.where(F.col(by).isNotNull()), gcols):
+            present = F.col(col).isNotNull() & F.col(by).isNotNull()
+            w = Window.partitionBy(by).orderBy(F.col(col).asc_nulls_last())
+            ties = F.count(F.lit(1)).over(Window.partitionBy(by, col))
+            pct = (F.rank().over(w) + (ties - F.lit(1)) / F.lit(2.0)) / F.count(col).over(Window.partitionBy(by))
+            return df.withColumn(out, F.when(present, pct))
     present = F.col(col).isNotNull()
     for g in gcols:
         present = present & F.col(g).isNotNull()

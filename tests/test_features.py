@@ -170,3 +170,13 @@ def test_availability_changes_equal_and_null_timestamps(spark):
     got = rows(features.availability_changes(sdf, 50.0, tie_breakers=["SEQ"]), ["prev_avail", "AVAILABLE", "pct_change"])
     # order: 5 (SEQ 0), 20 (SEQ 1), 10 (SEQ 2), 40 (null time)
     assert got == sorted([(5.0, 20.0, 300.0), (20.0, 10.0, -50.0), (10.0, 40.0, 300.0)], key=repr)
+
+
+def test_pct_rank_paths_agree_with_hot_timestamp(spark):
+    rng = np.random.default_rng(9)
+    recs = [(T0 if rng.random() < 0.6 else T0 + dt.timedelta(days=int(rng.integers(1, 20))),
+             None if rng.random() < 0.05 else float(rng.integers(0, 50)), i) for i in range(2000)]
+    sdf = spark.createDataFrame(recs, "TIMESTAMP timestamp_ntz, x double, SEQ long")
+    a = ranking.add_pct_rank(sdf, "x", by="TIMESTAMP", skew_safe=True)
+    b = ranking.add_pct_rank(sdf, "x", by="TIMESTAMP", skew_safe=False)
+    assert rows(a, ["SEQ", "x_pctrank"]) == rows(b, ["SEQ", "x_pctrank"])
