@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from shortbook.session import ensure_checkpoint_dir
 
 
+# A tie group at the split boundary up to this size is ranked in one task.
+BOUNDARY_ONE_TASK_MAX = 1_000_000
+
+
 def _num_partitions(df: DataFrame) -> int:
     spark = df.sparkSession
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -156,7 +160,7 @@ def label_time_split(
     k = int(n * train_frac)  # float truncation, exactly as a sorted-prefix cut
     is_b = (F.col("_before") < k) & (F.col("_before") + F.col("_c") > k)
     cum = cum.select("_tnull", time_col, "_c", "_before", is_b.alias("_is_b"))
-    boundary = cum.where(F.col("_is_b")).select("_before").collect()  # at most one row
+    boundary = cum.where(F.col("_is_b")).select("_before", "_c").collect()  # at most one row
     tagged = _join_null_safe(keyed, cum, ["_tnull", time_col])
     whole = F.col("_before") + F.col("_c") <= k
     drop = ["_tnull", "_c", "_before", "_is_b"]
@@ -165,9 +169,15 @@ def label_time_split(
     if not tie_breakers:
         raise ValueError("time_split needs tie_breakers when the cut falls inside equal times")
     need = k - boundary[0]["_before"]
-    ties = tagged.where(F.col("_is_b")).select(*tie_breakers).withColumn("_one", F.lit(1))
-    ranked = prefix_sums(ties, [F.col(c).asc_nulls_last() for c in tie_breakers], "_one")
-    ranked = ranked.select(*tie_breakers, (F.col("_before") < need).alias("_tie_train"))
+    ties = tagged.where(F.col("_is_b")).select(*tie_breakers)
+    tie_order = [F.col(c).asc_nulls_last() for c in tie_breakers]
+    if boundary[0]["_c"] <= BOUNDARY_ONE_TASK_MAX:
+        # the tie group's size is known and bounded: one ordered window
+        pos = F.row_number().over(Window.orderBy(*tie_order)) - 1
+        ranked = ties.select(*tie_breakers, (pos < need).alias("_tie_train"))
+    else:
+        ranked = prefix_sums(ties.withColumn("_one", F.lit(1)), tie_order, "_one")
+        ranked = ranked.select(*tie_breakers, (F.col("_before") < need).alias("_tie_train"))
     out = _join_null_safe(tagged, ranked, list(tie_breakers))
     return out.withColumn(
         "_train", F.when(F.col("_is_b"), F.coalesce(F.col("_tie_train"), F.lit(False))).otherwise(whole)

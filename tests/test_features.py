@@ -180,3 +180,13 @@ def test_pct_rank_paths_agree_with_hot_timestamp(spark):
     a = ranking.add_pct_rank(sdf, "x", by="TIMESTAMP", skew_safe=True)
     b = ranking.add_pct_rank(sdf, "x", by="TIMESTAMP", skew_safe=False)
     assert rows(a, ["SEQ", "x_pctrank"]) == rows(b, ["SEQ", "x_pctrank"])
+
+
+def test_time_split_distributed_boundary_path(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BOUNDARY_ONE_TASK_MAX", 0)
+    recs = [(T0 + dt.timedelta(days=i % 3), i) for i in range(60)]
+    sdf = spark.createDataFrame(recs, "TIMESTAMP timestamp_ntz, SEQ long")
+    train, test = ranking.time_split(sdf, "TIMESTAMP", 0.5, ["SEQ"])
+    exp = sorted(recs)[:30]
+    assert sorted(r[0] for r in train.select("SEQ").collect()) == sorted(s for _, s in exp)
+    assert test.count() == 30
