@@ -39,8 +39,14 @@ def prefix_sums(
     ``order`` must be a total order within the group (rows unique on it) and
     start with the group columns when ``group_cols`` is given. Weights >= 0.
     """
-    n = num_partitions or _num_partitions(df)
     ensure_checkpoint_dir(df.sparkSession)
+    if num_partitions is None:
+        from shortbook.operators.segmented import _num_partitions as sized
+        # the (aggregated) input is materialised once; its size picks the
+        # number of range partitions without recomputing the aggregate
+        df = df.checkpoint(eager=True)
+        num_partitions = sized(df, df.count())
+    n = num_partitions
     ranged = (
         df.repartitionByRange(n, *order)
         .withColumn("_pid", F.spark_partition_id())

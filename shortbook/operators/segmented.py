@@ -28,10 +28,16 @@ from shortbook.session import ensure_checkpoint_dir
 
 _SHIFT = 33
 _MASK = (1 << _SHIFT) - 1
+# Range partitions hold at most about this many rows (never fewer
+# partitions than spark.sql.shuffle.partitions).
+ROWS_PER_RANGE_PARTITION = 2_000_000
 
 
-def _num_partitions(df: DataFrame) -> int:
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+def _num_partitions(df: DataFrame, rows: int | None = None) -> int:
+    base = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    if rows is None:
+        return base
+    return max(base, -(-rows // ROWS_PER_RANGE_PARTITION))
 
 
 def ranged_rows(df: DataFrame, order: Sequence[Column], num_partitions: int | None = None) -> DataFrame:
@@ -95,6 +101,8 @@ def segmented_window(
     ``lookback`` rows before and ``lookahead`` rows after the current row."""
     cols = list(df.columns)
     range_order = [F.col(g).asc_nulls_last() for g in group_cols] + list(order)
+    if num_partitions is None:
+        num_partitions = _num_partitions(df, group_stats(df, group_cols)[1])
     ranged = ranged_rows(df, range_order, num_partitions)
     parts = partition_table(ranged)
     rows = ranged.select(*cols, "_pid", F.lit(False).alias("_halo"))
@@ -112,16 +120,29 @@ def segmented_window(
 HOT_GROUP_FACTOR = 2.0
 
 
+def group_stats(df: DataFrame, group_cols: Sequence[str]) -> tuple[int, int]:
+    """(largest group, total rows) from one pruned, partially aggregated
+    pass over the group columns; results are cached per DataFrame plan."""
+    cols = tuple(group_cols)
+    if _STATS.get("df") is not df or _STATS.get("cols") != cols:
+        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+        row = sizes.agg(F.max("_n").alias("mx"), F.sum("_n").alias("tot")).first()
+        val = (int(row["mx"] or 0), int(row["tot"] or 0)) if row is not None else (0, 0)
+        _STATS.update(df=df, cols=cols, val=val)  # keeps the frame alive: no id reuse
+    return _STATS["val"]
+
+
+_STATS: dict = {}
+
+
 def has_hot_group(df: DataFrame, group_cols: Sequence[str], num_partitions: int | None = None,
                   factor: float = HOT_GROUP_FACTOR) -> bool:
-    """One pruned, partially aggregated pass over the group columns: is the
-    largest group bigger than ``factor`` average partitions?"""
-    n = num_partitions or _num_partitions(df)
-    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    row = sizes.agg(F.max("_n").alias("mx"), F.sum("_n").alias("tot")).first()
-    if row is None or row["tot"] is None:
+    """Is the largest group bigger than ``factor`` average partitions?"""
+    mx, tot = group_stats(df, group_cols)
+    if tot == 0:
         return False
-    return row["mx"] * n > factor * row["tot"]
+    n = num_partitions or _num_partitions(df, tot)
+    return mx * n > factor * tot
 
 
 def resolve_skew_safe(skew_safe, df: DataFrame, group_cols: Sequence[str]) -> bool:
