@@ -78,10 +78,6 @@ def file_prefix(name, sep: str = "_") -> Column:
     return F.substring_index(file_stem(name), sep, 1)
 
 
-def base_name(path) -> Column:
-    return F.regexp_extract(col(path), r"([^/]+)$", 1)
-
-
 def new_run_id() -> str:
     """12 hex characters, generated once on the driver."""
     return uuid.uuid4().hex[:12]

@@ -29,11 +29,6 @@ def _distinct_from(a: Column, b: Column) -> Column:
     return ~a.eqNullSafe(b)
 
 
-def _any_changed(cols: Sequence[str], left: str, right: str) -> Column:
-    conds = [_distinct_from(F.col(f"{left}.{c}"), F.col(f"{right}.{c}")) for c in cols]
-    return reduce(lambda a, b: a | b, conds, F.lit(False))
-
-
 def strip_ws(c: Column) -> Column:
     """Python ``str.strip()``: all leading/trailing whitespace."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")

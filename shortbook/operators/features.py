@@ -20,14 +20,6 @@ def order_cols(time_col: str, tie_breakers: Sequence[str]) -> list[Column]:
     return [F.col(time_col).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_breakers]
 
 
-def ticker_window(
-    group_cols: Sequence[str] = (SYMBOL_COL,),
-    time_col: str = "TIMESTAMP",
-    tie_breakers: Sequence[str] = (),
-):
-    return Window.partitionBy(*group_cols).orderBy(*order_cols(time_col, tie_breakers))
-
-
 def _keys_present(group_cols: Sequence[str]) -> Column:
     cond = F.lit(True)
     for c in group_cols:

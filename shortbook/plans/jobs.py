@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shortbook.functions import calendar, meetings
-from shortbook.functions.text import filing_link, zfill  # noqa: F401
+from shortbook.functions.text import filing_link
 from shortbook.operators import changes, joins, ledger as ledger_ops, relational
 from shortbook.schemas import ATS_TYPES, EARNINGS_TYPES, STOCK_LOAN_RENAMES, STOCK_LOAN_TYPES
 from shortbook.session import hadoop_fs
@@ -40,9 +40,8 @@ def stock_loan_job(spark: SparkSession, snapshot_root: str, out_root: str, stamp
     stamp = stamp or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d_%H-%M-%S")
     hist = stock_loan_history(spark, snapshot_root)
     cleaned = changes.clean_symbols(hist).drop("snapshot_ts", "bof_ts", "file_path")
-    # keep-last over all columns but TIMESTAMP, in (snapshot, file, line) order
-    keys = [c for c in cleaned.columns if c not in ("TIMESTAMP", "_order")]
-    master = cleaned.groupBy(*keys).agg(F.max_by("TIMESTAMP", "_order").alias("TIMESTAMP"))
+    # D1 keep-last over all columns but TIMESTAMP, in (snapshot, file, line) order
+    master = changes.dedupe_keep_last(cleaned, "_order")
     resampled = sinks.write_snapshot_parquet(master, f"{out_root}/resampled", stamp)
     table = relational.normalise_columns(spark.read.parquet(resampled), STOCK_LOAN_RENAMES)
     table = relational.coerce_types(table, STOCK_LOAN_TYPES, timestamp_col="TIMESTAMP")
@@ -197,6 +196,9 @@ def full_run(spark: SparkSession, raw_root: str, out_root: str, ledger_root: str
         files += 1
     failed = any(r["status"] == "failed" for r in results)
     status = "failed" if files == 0 and failed else ("partial" if failed else "success")
+    if files:  # A4 from the ledger's own file log
+        t = ledger_ops.run_totals(led.files().where(F.col("run_id") == run_id)).first()
+        total, files = int(t["rows_processed"]), int(t["files_uploaded"])
     led.finish_run(run_id, status, total, files)
     schema = "run_id string, source string, status string, path string, rows long"
     return spark.createDataFrame(

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shortbook.functions.text import file_stem, null_placeholders, to_double
 from shortbook.operators.changes import strip_ws
 from shortbook.schemas import (
     BOF_FORMAT,
@@ -43,11 +44,6 @@ _FOLDER_IN_PATH = r"/(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})/[^/]+$"
 FILE_TABLE_BROADCAST_MAX = 1_000_000
 
 
-def file_stem(name: Column) -> Column:
-    """``Path(name).stem``: drop the last ``.suffix``."""
-    return F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
-
-
 def read_snapshot_lines(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
     """R6 + scan: every line of every ``*.txt`` in a timestamp-named folder
     (case-sensitive glob, as the processing step), with its file, folder
@@ -161,12 +157,9 @@ def parse_lines(lines: DataFrame, columns: Sequence[str] = tuple(COLUMN_ALIASES)
     if SYMBOL_COL in columns:
         out = out.withColumn(SYMBOL_COL, strip_ws(F.upper(F.col(SYMBOL_COL))))
         out = out.where(F.col(SYMBOL_COL).isNull() | (F.length(SYMBOL_COL) > 0))
-    for c in columns:
-        v = F.when(~F.col(c).isin(SNAPSHOT_PLACEHOLDERS), F.col(c))
-        if c in CHANGE_COLS:
-            d = F.expr(f"try_cast(`{c}` as double)")
-            v = F.when(~F.col(c).isin(SNAPSHOT_PLACEHOLDERS), F.when(~F.isnan(d), d))
-        out = out.withColumn(c, v)
+    for c in columns:  # V4: placeholders -> null, change columns -> double
+        v = null_placeholders(c, SNAPSHOT_PLACEHOLDERS)
+        out = out.withColumn(c, to_double(v) if c in CHANGE_COLS else v)
     return out.select(
         *columns,
         F.upper("_stem").alias("COUNTRY"),
