@@ -214,7 +214,7 @@ def change_history_incremental(
     batch_man = rows.select(country, snapshot).distinct()
     if prev_manifest is not None:
         pm = prev_manifest.select(country, F.col("_last_snapshot"), F.col("_last_n"))
-        batch_man = batch_man.join(F.broadcast(pm), country, "left").where(
+        batch_man = batch_man.join(sized_broadcast(pm, MANIFEST_BROADCAST_MAX), country, "left").where(
             F.col("_last_snapshot").isNull() | (F.col(snapshot) > F.col("_last_snapshot")))
     else:
         batch_man = batch_man.withColumn("_last_n", F.lit(None).cast("long"))

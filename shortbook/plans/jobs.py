@@ -45,8 +45,8 @@ def stock_loan_job(spark: SparkSession, snapshot_root: str, out_root: str, stamp
     resampled = sinks.write_snapshot_parquet(master, f"{out_root}/resampled", stamp)
     table = relational.normalise_columns(spark.read.parquet(resampled), STOCK_LOAN_RENAMES)
     table = relational.coerce_types(table, STOCK_LOAN_TYPES, timestamp_col="TIMESTAMP")
-    path = sinks.write_parquet(table, f"{out_root}/parquet/stock_loan.parquet")
-    return {"source": "stock_loan", "path": path, "resampled": resampled}
+    path, rows = _write(table, f"{out_root}/parquet/stock_loan.parquet")
+    return {"source": "stock_loan", "path": path, "rows": rows, "resampled": resampled}
 
 
 # ------------------------------------------------------------------ G6
@@ -123,7 +123,7 @@ def otc_latest_week(ats: DataFrame, bounds: DataFrame, holidays: DataFrame | Non
     """Rows of the latest filter date only. An equi-join with the
     one-row date (no literal needed) lets dynamic partition pruning skip
     other weeks when ``ats`` is partitioned by publish date."""
-    target = F.broadcast(otc_filter_date(bounds, holidays))
+    target = F.broadcast(otc_filter_date(bounds, holidays))  # one row (a global aggregate)
     return ats.join(target, ats["initialPublishedDate"] == target["fd"], "left_semi")
 
 
@@ -140,7 +140,8 @@ def convert_all(spark: SparkSession, raw_root: str, out_root: str, sources: Sequ
     raw = raw_root.rstrip("/")
     out = out_root.rstrip("/")
     plan = {
-        "stock_loan": (f"{raw}/stock_loan", lambda p: stock_loan_job(spark, p, out)["path"]),
+        "stock_loan": (f"{raw}/stock_loan", lambda p: (lambda r: (r["path"], r["rows"]))(
+            stock_loan_job(spark, p, out))),
         "earnings": (f"{raw}/earnings_calendar.csv", lambda p: _write(
             csv_src.read_csv_table(spark, p, EARNINGS_TYPES), f"{out}/parquet/earnings.parquet")),
         "nasdaq_earnings": (f"{raw}/nasdaq_earnings_upload", lambda p: _write(
@@ -160,15 +161,20 @@ def convert_all(spark: SparkSession, raw_root: str, out_root: str, sources: Sequ
             results.append({"source": name, "status": "missing", "path": None})
             continue
         try:
-            results.append({"source": name, "status": "converted", "path": fn(src)})
+            path, rows = fn(src)
+            results.append({"source": name, "status": "converted", "path": path, "rows": rows})
         except Exception as e:  # noqa: BLE001 - one source failing must not stop the rest
             log.error("convert failed for %s: %s", name, e)
             results.append({"source": name, "status": "failed", "path": None, "error": str(e)[:500]})
     return results
 
 
-def _write(df: DataFrame, path: str) -> str:
-    return sinks.write_parquet(df, path)
+def _write(df: DataFrame, path: str) -> tuple[str, int]:
+    """K1 with the row count observed during the write itself (no re-read)."""
+    from pyspark.sql import Observation
+    obs = Observation(f"rows_{abs(hash(path))}")
+    sinks.write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path)
+    return path, int(obs.get["rows"])
 
 
 def full_run(spark: SparkSession, raw_root: str, out_root: str, ledger_root: str,
@@ -183,8 +189,8 @@ def full_run(spark: SparkSession, raw_root: str, out_root: str, ledger_root: str
     for r in results:
         if r["status"] != "converted":
             continue
-        df = spark.read.parquet(r["path"])
-        n = df.count()
+        df = spark.read.parquet(r["path"])  # schema only; the count came from the write
+        n = r["rows"]
         fs, p = hadoop_fs(spark, r["path"])
         size = int(fs.getContentSummary(p).getLength())
         led.log_file(run_id, r["path"], r["source"], n, size, {f.name: f.dataType.simpleString() for f in df.schema})

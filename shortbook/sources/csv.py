@@ -82,10 +82,12 @@ def read_csv_union(
     types: Mapping[str, T.DataType] | None = None,
     glob: str = "*.csv",
     na_compat: bool = False,
+    corrupt_col: str | None = None,
 ) -> DataFrame:
     """Every CSV under ``root`` (name order), grouped by header, unioned
     by column name (missing columns null), with ``_file`` (file name).
-    Corrupt files are skipped with a warning (``ignoreCorruptFiles``)."""
+    Corrupt files are skipped with a warning (``ignoreCorruptFiles``);
+    ``corrupt_col`` keeps the raw text of malformed rows in that column."""
     groups: dict[str, list[str]] = {}
     for path, header in header_lines(spark, root, glob):
         if header is None or header.strip() == "":
@@ -98,14 +100,11 @@ def read_csv_union(
         if len(set(names)) != len(names):
             log.warning("skipping %d files with duplicate header names: %s", len(paths), names)
             continue
-        df = (
-            spark.read.option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("ignoreCorruptFiles", True)
-            .schema(_strings(names))
-            .csv(paths)
-            .withColumn("_file", F.col("_metadata.file_name"))
-        )
+        schema = _strings(names + ([corrupt_col] if corrupt_col else []))
+        r = spark.read.option("header", True).option("mode", "PERMISSIVE").option("ignoreCorruptFiles", True)
+        if corrupt_col:
+            r = r.option("columnNameOfCorruptRecord", corrupt_col)
+        df = r.schema(schema).csv(paths).withColumn("_file", F.col("_metadata.file_name"))
         frames.append(df)
     if not frames:
         raise FileNotFoundError(f"no readable CSV files under {root}")

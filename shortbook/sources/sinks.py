@@ -111,11 +111,12 @@ def archive_snapshots(df: DataFrame, plan: DataFrame, archive_root: str, folder_
     """K7 job: rows of folders planned for 'archive' are rewritten as gzip
     Parquet under ``archive_root``; the written row count is read back and
     must equal the source count before anything may be removed."""
-    todo = plan.where(F.col("action") == "archive").select(folder_col).distinct()
-    rows = df.join(F.broadcast(todo), folder_col, "left_semi")
+    from shortbook.session import sized_broadcast
+    todo = sized_broadcast(plan.where(F.col("action") == "archive").select(folder_col).distinct(), 10_000_000)
+    rows = df.join(todo, folder_col, "left_semi")
     expected = rows.count()
     rows.write.mode("append").option("compression", "gzip").partitionBy(folder_col).parquet(archive_root)
-    got = df.sparkSession.read.parquet(archive_root).join(F.broadcast(todo), folder_col, "left_semi").count()
+    got = df.sparkSession.read.parquet(archive_root).join(todo, folder_col, "left_semi").count()
     if got < expected:
         raise RuntimeError(f"archive incomplete: {got} of {expected} rows")
     return expected

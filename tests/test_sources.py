@@ -137,3 +137,10 @@ def test_csv_union_skips_unreadable_file(spark, tmp_path):
     write(tmp_path / "c.csv", "y,x\n3,4\n")
     out = csv_src.read_csv_union(spark, str(tmp_path))
     assert rows(out, ["x", "y"]) == [("1", "2"), ("4", "3")]
+
+
+def test_csv_union_keeps_malformed_rows(spark, tmp_path):
+    write(tmp_path / "a.csv", 'x,y\n1,2\n3,4,5\n')
+    out = csv_src.read_csv_union(spark, str(tmp_path), corrupt_col="_bad")
+    got = rows(out, ["x", "y", "_bad"])
+    assert ("1", "2", None) in got and any(r[2] == "3,4,5" for r in got)
