@@ -149,9 +149,10 @@ def convert_all(spark: SparkSession, raw_root: str, out_root: str, sources: Sequ
         "fomc": (f"{raw}/fomc_meeting_times.csv", lambda p: _write(
             csv_src.read_csv_table(spark, p, None, infer=True), f"{out}/parquet/fomc.parquet")),
         "ats_otc": (f"{raw}/ats_upload", lambda p: _write(
-            csv_src.read_csv_union(spark, p, ATS_TYPES), f"{out}/parquet/ats_otc.parquet")),
+            csv_src.read_csv_union(spark, p, ATS_TYPES), f"{out}/parquet/ats_otc.parquet",
+            ["initialPublishedDate"])),
         "edgar_filings": (f"{raw}/financial_filings", lambda p: _write(
-            csv_src.read_filings(spark, p), f"{out}/parquet/edgar_filings.parquet")),
+            csv_src.read_filings(spark, p), f"{out}/parquet/edgar_filings.parquet", ["filing_type"])),
     }
     results = []
     for name, (src, fn) in plan.items():
@@ -169,11 +170,12 @@ def convert_all(spark: SparkSession, raw_root: str, out_root: str, sources: Sequ
     return results
 
 
-def _write(df: DataFrame, path: str) -> tuple[str, int]:
-    """K1 with the row count observed during the write itself (no re-read)."""
+def _write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> tuple[str, int]:
+    """K1 with the row count observed during the write itself (no re-read).
+    Date-like partition columns let later reads prune (e.g. G9's week)."""
     from pyspark.sql import Observation
     obs = Observation(f"rows_{abs(hash(path))}")
-    sinks.write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path)
+    sinks.write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by=partition_by)
     return path, int(obs.get["rows"])
 
 

@@ -66,7 +66,8 @@ class ChangeTracker:
         out = out.withColumn("snapshot_date", F.col("snapshot_ts").cast("date"))
         # output first, then state: a crash between them replays this batch
         # (same batch id), which overwrites the same output and state versions.
-        out.drop("_order").write.mode("overwrite").parquet(f"{self.out_path}/batch={batch_id}")
+        out.drop("_order").write.mode("overwrite").partitionBy("snapshot_date").parquet(
+            f"{self.out_path}/batch={batch_id}")
         reps.write.mode("overwrite").parquet(f"{self.state_root}/reps/batch={batch_id}")
         man.write.mode("overwrite").parquet(f"{self.state_root}/manifest/batch={batch_id}")
 

@@ -100,3 +100,16 @@ def test_auto_mode_picks_segmented_only_for_hot_groups(spark):
     hot = spark.range(4000).selectExpr("case when id % 3 = 0 then cast(id as string) else 'HOT' end as SYM")
     assert not has_hot_group(even, ["SYM"])
     assert has_hot_group(hot, ["SYM"])
+
+
+def test_latest_week_prunes_partitions_dynamically(spark, sf, tmp_path):
+    from shortbook.functions import calendar
+    from shortbook.plans import jobs
+    p = str(tmp_path / "ats")
+    views.ats_otc(spark, sf).write.partitionBy("initialPublishedDate").parquet(p)
+    ats = spark.read.parquet(p).withColumn("initialPublishedDate", F.col("initialPublishedDate").cast("string"))
+    li = views.table(spark, sf, "lineitem")
+    b = li.agg(calendar.this_monday(F.min("l_shipdate")).alias("start"),
+               calendar.this_monday(F.max("l_shipdate")).alias("end"))
+    text = plan_text(jobs.otc_latest_week(ats, b))
+    assert "dynamicpruning" in text
