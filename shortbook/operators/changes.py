@@ -199,7 +199,7 @@ def change_history_incremental(
     sym: str = SYMBOL_COL,
     change_cols: Sequence[str] = CHANGE_COLS,
     ts_col: str = "TIMESTAMP",
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """C2 for a new batch of snapshots given the state left by earlier ones.
 
     State: ``manifest`` (country, last snapshot, last number) -- one row per
@@ -207,15 +207,21 @@ def change_history_incremental(
     its number, values and carried TIMESTAMP) -- one row per symbol ever
     seen, kept as a table, never in one task. Snapshots not newer than a
     country's last processed one are late and dropped (never rewrite).
-    Returns (rows with TIMESTAMP, new manifest, new reps).
+    Returns (rows with TIMESTAMP, new manifest, new reps, late rows per
+    country).
     """
     cols = [c for c in change_cols if c in rows.columns]
     o = F.col(order) if isinstance(order, str) else order
     batch_man = rows.select(country, snapshot).distinct()
+    late = rows.limit(0).groupBy(country).agg(F.count(F.lit(1)).alias("late_rows"))
     if prev_manifest is not None:
         pm = prev_manifest.select(country, F.col("_last_snapshot"), F.col("_last_n"))
-        batch_man = batch_man.join(sized_broadcast(pm, MANIFEST_BROADCAST_MAX), country, "left").where(
-            F.col("_last_snapshot").isNull() | (F.col(snapshot) > F.col("_last_snapshot")))
+        batch_man = batch_man.join(sized_broadcast(pm, MANIFEST_BROADCAST_MAX), country, "left")
+        is_new = F.col("_last_snapshot").isNull() | (F.col(snapshot) > F.col("_last_snapshot"))
+        late_snaps = batch_man.where(~is_new).select(country, snapshot)
+        late = rows.join(late_snaps, [country, snapshot], "left_semi").groupBy(country).agg(
+            F.count(F.lit(1)).alias("late_rows"))
+        batch_man = batch_man.where(is_new)
     else:
         batch_man = batch_man.withColumn("_last_n", F.lit(None).cast("long"))
     w_m = Window.partitionBy(country).orderBy(snapshot)
@@ -254,4 +260,4 @@ def change_history_incremental(
             country, F.col("_last_snapshot").alias(snapshot), F.col("_last_n").alias("_n")))
     new_man = man_all.groupBy(country).agg(
         F.max(snapshot).alias("_last_snapshot"), F.max("_n").alias("_last_n"))
-    return out, new_man, new_reps
+    return out, new_man, new_reps, late

@@ -62,7 +62,7 @@ class ChangeTracker:
         reps_p = _latest_version(spark, f"{self.state_root}/reps", batch_id)
         prev_man = spark.read.parquet(man_p) if man_p else None
         prev_reps = spark.read.parquet(reps_p) if reps_p else None
-        out, man, reps = change_history_incremental(rows, prev_man, prev_reps)
+        out, man, reps, late = change_history_incremental(rows, prev_man, prev_reps)
         out = out.withColumn("snapshot_date", F.col("snapshot_ts").cast("date"))
         # output first, then state: a crash between them replays this batch
         # (same batch id), which overwrites the same output and state versions.
@@ -70,6 +70,8 @@ class ChangeTracker:
             f"{self.out_path}/batch={batch_id}")
         reps.write.mode("overwrite").parquet(f"{self.state_root}/reps/batch={batch_id}")
         man.write.mode("overwrite").parquet(f"{self.state_root}/manifest/batch={batch_id}")
+        # snapshots older than the state are never applied; they are counted
+        late.write.mode("overwrite").parquet(f"{self.state_root}/late/batch={batch_id}")
 
 
 def run_change_stream(spark: SparkSession, root: str, out_path: str, checkpoint: str,
@@ -85,6 +87,12 @@ def run_change_stream(spark: SparkSession, root: str, out_path: str, checkpoint:
         raise q.exception()
 
 
+def late_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Late rows (older than the state, not applied) per batch and country."""
+    return spark.read.option("basePath", f"{checkpoint.rstrip('/')}/state/late").parquet(
+        f"{checkpoint.rstrip('/')}/state/late/batch=*")
+
+
 def read_history(spark: SparkSession, out_path: str) -> DataFrame:
     """All batches of the tracked history (one folder per batch id)."""
     return spark.read.option("basePath", out_path).parquet(f"{out_path.rstrip('/')}/batch=*")
