@@ -82,11 +82,12 @@ def local_path(path: str) -> str:
     return path
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> int | None:
-    """Count rows but stop early: returns None when there are more than
-    ``max_rows`` (each task reads at most max_rows + 1 rows)."""
-    n = df.limit(max_rows + 1).count()
-    return None if n > max_rows else n
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Runs as an
+    incremental take (partitions are scanned progressively and the scan
+    stops once max_rows + 1 rows exist), so a huge input is not read whole;
+    the counted rows carry no columns and stay in the JVM."""
+    return df.select(F.lit(1).alias("_o")).offset(max_rows).isEmpty()
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
@@ -95,9 +96,7 @@ def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     Beyond the bound the frame is returned unhinted, so Catalyst/AQE pick a
     shuffle join (and AQE can still demote to broadcast from runtime stats).
     """
-    if row_count_at_most(df, max_rows) is None:
-        return df
-    return F.broadcast(df)
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def hadoop_fs(spark: SparkSession, path: str):

@@ -110,11 +110,17 @@ def parse_snapshot_text(
     else folder time), file_path, and ``_order`` (snapshot, file, line) for
     keep-last rules. Files without a header or without data rows yield none.
     """
-    return parse_lines(read_snapshot_lines(spark, root, glob), columns)
+    from shortbook.sources.sinks import list_files
+    # the per-file table has one row per file: the file listing (metadata
+    # only, no content read) proves its size before it is broadcast
+    n_files = list_files(spark, root, glob).count()
+    return parse_lines(read_snapshot_lines(spark, root, glob), columns, n_files=n_files)
 
 
-def parse_lines(lines: DataFrame, columns: Sequence[str] = tuple(COLUMN_ALIASES)) -> DataFrame:
-    """R7 on prepared lines (see ``prepare_lines``)."""
+def parse_lines(lines: DataFrame, columns: Sequence[str] = tuple(COLUMN_ALIASES),
+                n_files: int | None = None) -> DataFrame:
+    """R7 on prepared lines (see ``prepare_lines``). ``n_files`` (from a
+    listing) bounds the per-file table; without it the table is counted."""
     lines = lines.withColumn("_kind", _kind(F.col("line")))
     headers = (
         lines.where(F.col("_kind") == "header")
@@ -132,9 +138,11 @@ def parse_lines(lines: DataFrame, columns: Sequence[str] = tuple(COLUMN_ALIASES)
     files = files.withColumn("_names", F.filter(cells, lambda x: x != "")).select(
         "file_path", "_names", "_bof_ts"
     )
-    data = lines.where(F.col("_kind") == "data").join(
-        sized_broadcast(files, FILE_TABLE_BROADCAST_MAX), "file_path"
-    )
+    if n_files is None:
+        files = sized_broadcast(files, FILE_TABLE_BROADCAST_MAX)
+    elif n_files <= FILE_TABLE_BROADCAST_MAX:
+        files = F.broadcast(files)
+    data = lines.where(F.col("_kind") == "data").join(files, "file_path")
     vals = F.transform(F.split(F.col("line"), r"\|", -1), strip_ws)
     data = data.withColumn("_vals", vals)
 
