@@ -108,6 +108,15 @@ def earnings_calendar_job(records: DataFrame, out_path: str, date_col: str, scra
     return sinks.append_daily_csv(out, out_path, "report_date")
 
 
+def read_earnings_calendar(spark: SparkSession, path: str) -> DataFrame:
+    """K2 + D1: the appended daily calendar, one row per distinct record
+    (every column but ``Scraped At``), keeping the latest scrape -- so a
+    repeated append of the same day never duplicates rows."""
+    from shortbook.sources import csv as csv_read
+    df = csv_read.read_csv_table(spark, path)
+    return changes.dedupe_keep_last(df, "Scraped At", ts_col="Scraped At")
+
+
 # ------------------------------------------------------------------ G9
 
 def otc_filter_date(bounds: DataFrame, holidays: DataFrame | None = None) -> DataFrame:

@@ -49,6 +49,7 @@ def test_earnings_calendar_append_is_per_day(spark, tmp_path):
     assert days == ["report_date=2024-01-02", "report_date=2024-01-03"]
     back = csv_src.read_csv_table(spark, path)
     assert back.count() == 3
+    assert jobs.read_earnings_calendar(spark, path).count() == 2  # the repeated day collapses
     assert set(back.columns) >= {"Company Name", "Symbol", "Market Cap", "EPS Forecast", "Scraped At"}
 
 
