@@ -19,9 +19,14 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every code point Python's str.strip() removes (str.isspace), by rule.
+WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+
+
 def strip(c) -> Column:
-    """V3 ``str.strip()``: every leading/trailing whitespace character."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    """V3 ``str.strip()``: trim every leading/trailing whitespace code point
+    (a character-set trim, no regex)."""
+    return F.trim(col(c), F.lit(WHITESPACE))
 
 
 def zfill(c, width: int = CIK_WIDTH) -> Column:

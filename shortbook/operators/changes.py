@@ -31,7 +31,8 @@ def _distinct_from(a: Column, b: Column) -> Column:
 
 def strip_ws(c: Column) -> Column:
     """Python ``str.strip()``: all leading/trailing whitespace."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    from shortbook.functions.text import strip
+    return strip(c)
 
 
 def clean_symbols(df: DataFrame, sym: str = SYMBOL_COL) -> DataFrame:
