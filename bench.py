@@ -34,6 +34,8 @@ HEADLINE = [
     "time_split_train",
     "filings_enriched",
     "quality_by_file",
+    "zscore_hot_ticker",
+    "asof_hot_ticker",
 ]
 
 
