@@ -79,7 +79,6 @@ def test_distinct_tickers_picks_first_symbol_column(spark):
 
 
 def test_meeting_flag_cases(spark):
-    from shortbook.functions import meetings
     from shortbook.plans import jobs
     raw = spark.createDataFrame([
         (2024, "March", "15*", None, None), (2024, "April", "3 (unscheduled)", None, None),
@@ -91,4 +90,3 @@ def test_meeting_flag_cases(spark):
     assert got == sorted([("March", "15", True, False, False, False), ("April", "3", False, True, False, False),
                           ("May", "17-18", True, False, True, False), ("June", "22", False, False, False, True)],
                          key=repr)
-    assert meetings is not None
