@@ -64,7 +64,8 @@ def track_changes(
     change_cols: Sequence[str] = CHANGE_COLS,
     ts_col: str = "TIMESTAMP",
 ) -> DataFrame:
-    """TIMESTAMP for every row of ``new`` against the previous state.
+    """C1 (+ J3, the previous-snapshot lookup): TIMESTAMP for every row of
+    ``new`` against the previous state.
 
     ``prev_order`` orders rows of ``prev`` ("last row wins" for a duplicated
     symbol). Symbols match null-safely. New duplicates are all kept.

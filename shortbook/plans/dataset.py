@@ -1,7 +1,8 @@
 """Model-ready datasets (M1-M5): load, features, splits, matrix export.
 
-An immutable wrapper over one lazy DataFrame; each ``add_*`` returns a new
-dataset. Feature windows on the same ticker order share one shuffle.
+An immutable wrapper over one lazy DataFrame (P14: using it before a load
+raises; ``len`` counts; ``repr`` shows the sources); each ``add_*`` returns
+a new dataset. Feature windows on the same ticker order share one shuffle.
 """
 
 from __future__ import annotations

@@ -54,6 +54,7 @@ PANDAS_NA_TOKENS = [
 ]
 
 # Declared column types per source (type coercion is per value, try_cast).
+# Text columns are declared StringType, so nulls stay proper nulls.
 STOCK_LOAN_TYPES = {
     "SYM": T.StringType(),
     "CURRENCY": T.StringType(),
