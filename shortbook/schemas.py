@@ -12,6 +12,13 @@ FIXED VALUES -- these must equal the behaviour being reproduced:
   * earnings quality bounds: Market Cap in [1e5, 5e12], EPS in [-10, 50]
   * ticker index cap per source and run (compat mode only): 5000
   * default top-n: 50; default z-score window: 20; default min pct change: 50
+  * daily calendar CSV header: Company Name, Symbol, Market Cap, EPS
+    Forecast, Time, Fiscal Quarter Ending, No. of ESTs, Last Year's EPS,
+    Scraped At; API record fields in the same order: name, symbol,
+    marketCap, epsForecast, time, fiscalQuarterEnding, noOfEsts, lastYearEPS
+  * meeting CSV columns: Year, Month, Dates, Summary of Economic
+    Projections, Unscheduled, Cancelled, Notation Vote, Transcript HTML
+    Link, Transcript Release Date
   * CSV null tokens used by compat mode (pandas read_csv defaults):
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
