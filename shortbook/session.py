@@ -23,6 +23,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # checkpoint files no longer referenced are removed from the shared folder
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
