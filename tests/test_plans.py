@@ -113,3 +113,20 @@ def test_latest_week_prunes_partitions_dynamically(spark, sf, tmp_path):
                calendar.this_monday(F.max("l_shipdate")).alias("end"))
     text = plan_text(jobs.otc_latest_week(ats, b))
     assert "dynamicpruning" in text
+
+
+def test_ticker_in_filter_after_window_reaches_scan(spark, sf, tmp_path):
+    path = str(tmp_path / "sl3")
+    views.stock_loan(spark, sf).write.parquet(path)
+    df = features.add_lag(spark.read.parquet(path), "AVAILABLE", 1, tie_breakers=["SEQ"], skew_safe=False)
+    text = plan_text(df.where(F.col("SYM").isin("U1", "U2")))
+    assert "In(SYM, [U1,U2])" in text
+
+
+def test_holiday_lookup_is_broadcast(spark):
+    import datetime as dt
+    from shortbook.functions import calendar
+    b = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 12, 31))], "start date, end date")
+    cal = calendar.mondays(b)
+    text = plan_text(calendar.first_business_days(cal, calendar.holiday_table(cal)))
+    assert "BroadcastHashJoin" in text
