@@ -106,7 +106,8 @@ def parse_snapshot_text(
     """Parsed rows of every snapshot file under ``root``.
 
     Output: declared columns (string; AVAILABLE/FEERATE/REBATERATE double),
-    COUNTRY (file stem, upper), snapshot_ts (folder time), bof_ts (BOF time,
+    EXTRA (other header columns as sorted name/value pairs), COUNTRY (file
+    stem, upper), snapshot_ts (folder time), bof_ts (BOF time,
     else folder time), file_path, and ``_order`` (snapshot, file, line) for
     keep-last rules. Files without a header or without data rows yield none.
     """
@@ -155,8 +156,20 @@ def parse_lines(lines: DataFrame, columns: Sequence[str] = tuple(COLUMN_ALIASES)
         v = F.coalesce(F.get(F.col("_vals"), (pos - 1).cast("int")), F.lit(""))
         return F.when(pos > 0, v)
 
+    # undeclared header columns: (name, value) pairs, first occurrence of a
+    # name wins, sorted by name -- an array of structs stays groupable
+    declared = sorted({a for c in columns for a in COLUMN_ALIASES.get(c, [c])})
+    row = F.transform(F.col("_names"), lambda n, i: F.coalesce(F.get(F.col("_vals"), i), F.lit("")))
+    pairs = F.transform(F.arrays_zip(F.col("_names").alias("name"), row.alias("value")),
+                        lambda x: F.struct(x["name"].alias("name"), x["value"].alias("value")))
+    extra = F.filter(pairs, lambda x, i: ~x["name"].isin(declared)
+                     & (F.array_position(F.col("_names"), x["name"]) == i + 1))
+    extra = F.array_sort(F.transform(extra, lambda x: F.struct(
+        x["name"].alias("name"),
+        F.when(~x["value"].isin(SNAPSHOT_PLACEHOLDERS), x["value"]).alias("value"))))
     out = data.select(
         *[cell(c).alias(c) for c in columns],
+        extra.alias("EXTRA"),
         file_stem(F.col("file_name")).alias("_stem"),
         "file_path", "snapshot_ts", "_bof_ts", "_pos",
     )
@@ -170,6 +183,7 @@ def parse_lines(lines: DataFrame, columns: Sequence[str] = tuple(COLUMN_ALIASES)
         out = out.withColumn(c, to_double(v) if c in CHANGE_COLS else v)
     return out.select(
         *columns,
+        "EXTRA",
         F.upper("_stem").alias("COUNTRY"),
         "snapshot_ts",
         F.coalesce("_bof_ts", "snapshot_ts").alias("bof_ts"),

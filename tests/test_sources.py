@@ -11,12 +11,12 @@ from shortbook.sources import csv as csv_src, html, jsonsrc, snapshots
 
 USA = """#BOF|2025.04.14|19:06:47
 
-#SYM|CUR|NAME|AVAILABLE|FEERATE|REBATERATE
-aapl|USD|Apple|1000|0.25|-0.5
+#SYM|CUR|NAME|AVAILABLE|FEERATE|REBATERATE|FIGI
+aapl|USD|Apple|1000|0.25|-0.5|BBG000B9XRY4
 NA|USD|Literal NA|NA|na|
  |USD|blank symbol|1|1|1
 msft|USD
-goog|USD|Alphabet|abc|2|3|extra
+goog|USD|Alphabet|abc|2|3|NA|extra
 # a comment
 #EOF
 """
@@ -55,6 +55,9 @@ def test_snapshot_text_edges(spark, tmp_path):
         ("MIXED", "Y", None, None, 3.0, 2.0, None, folder),
     ]
     assert got == sorted(expected, key=repr)
+    extra = {r["SYM"]: [tuple(e) for e in r["EXTRA"]] for r in out.where("COUNTRY = 'USA'").collect()}
+    assert extra["AAPL"] == [("FIGI", "BBG000B9XRY4")]
+    assert extra["MSFT"] == [("FIGI", None)] and extra["GOOG"] == [("FIGI", None)]
 
 
 def test_snapshot_writer_round_trip(spark, tmp_path):
