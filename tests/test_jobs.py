@@ -78,3 +78,22 @@ def test_stock_loan_job_end_to_end(spark, sf, tmp_path):
     cols = [c for c in t.columns if c != "TIMESTAMP"]
     assert t.count() == t.select(*cols).distinct().count()  # deduped on all but TIMESTAMP
     assert changes.clean_symbols(t).count() == t.count()
+
+
+def test_quality_per_landed_file(spark, sf, tmp_path):
+    from shortbook.functions import text
+    from shortbook.operators import quality
+    n = views.nasdaq_earnings(spark, sf).select(
+        F.concat(F.lit("nasdaq_earnings_"), F.substring("report_date", 1, 7), F.lit(".csv")).alias("_name"),
+        F.col("company_name").alias("Company Name"), F.col("symbol").alias("Symbol"),
+        F.col("market_cap").alias("Market Cap"), F.col("eps_forecast").alias("EPS Forecast"))
+    root = str(tmp_path / "cal")
+    files = sinks.write_named_files(n, root, "_name", "csv", {"header": True})
+    df = csv_src.read_csv_union(spark, root)
+    vals = {"Market Cap": text.clean_numeric("Market Cap"), "EPS Forecast": text.clean_numeric("EPS Forecast")}
+    rep = quality.quality_by_file(df, "_file", vals)
+    assert rep.count() == len(files)
+    assert rep.agg(F.sum("n_rows")).first()[0] == n.count()
+    bad = quality.range_violations(df, vals, keep=["_file", "Symbol"])
+    failed = {r["_file"] for r in rep.where(~F.col("passed")).collect()}
+    assert failed == {r["_file"] for r in bad.select("_file").distinct().collect()}
