@@ -119,8 +119,26 @@ class TradingDataset:
         self.to_matrix(feature_cols, target_col, keep).write.mode("overwrite").parquet(path)
         return path
 
-    def to_pandas(self):
-        return self.df.toPandas()
+    def _bounded(self, max_rows: int) -> DataFrame:
+        from shortbook.session import fits
+        if not fits(self.df, max_rows):
+            raise ValueError(f"more than {max_rows} rows: write_matrix() to Parquet shards instead")
+        return self.df
+
+    def to_pandas(self, max_rows: int = 1_000_000):
+        """Small results only: refuses more than ``max_rows`` rows."""
+        return self._bounded(max_rows).toPandas()
+
+    def to_numpy(self, feature_cols=None, target_col=None, max_rows: int = 1_000_000):
+        """(X float32, y float32 or None) for small results (Arrow transfer);
+        refuses more than ``max_rows`` rows."""
+        import numpy as np
+        self._bounded(max_rows)
+        tbl = self.to_matrix(feature_cols, target_col).toArrow()
+        feats = tbl.column("features").to_pylist()
+        x = np.asarray(feats, dtype=np.float32).reshape(len(feats), -1)
+        y = np.asarray(tbl.column("label").to_pylist(), dtype=np.float32) if target_col else None
+        return x, y
 
     def __len__(self) -> int:
         return self.df.count() if self._df is not None else 0

@@ -97,3 +97,12 @@ def test_quality_per_landed_file(spark, sf, tmp_path):
     bad = quality.range_violations(df, vals, keep=["_file", "Symbol"])
     failed = {r["_file"] for r in rep.where(~F.col("passed")).collect()}
     assert failed == {r["_file"] for r in bad.select("_file").distinct().collect()}
+
+
+def test_dataset_to_numpy_is_bounded(spark, sf):
+    import pytest
+    ds = TradingDataset(spark, registry.fixture_catalog(spark, sf), ["stock_loan"]).load(limit=40)
+    x, y = ds.to_numpy(["FEERATE", "AVAILABLE"], "FEERATE")
+    assert x.shape == (40, 2) and x.dtype.name == "float32" and y.shape == (40,)
+    with pytest.raises(ValueError):
+        ds.to_numpy(max_rows=10)
