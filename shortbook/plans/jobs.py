@@ -34,7 +34,8 @@ def stock_loan_history(spark: SparkSession, snapshot_root: str) -> DataFrame:
     return changes.change_history(rows, snapshot="snapshot_ts", snapshot_time="bof_ts", order="_order")
 
 
-def stock_loan_job(spark: SparkSession, snapshot_root: str, out_root: str, stamp: str | None = None) -> dict:
+def stock_loan_job(spark: SparkSession, snapshot_root: str, out_root: str, stamp: str | None = None,
+                   publish_stamp: str | None = None) -> dict:
     """Process -> resample (D2 + D1) -> compile (D3) -> normalise,
     coerce, write ``stock_loan`` Parquet (K4 + K1)."""
     stamp = stamp or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d_%H-%M-%S")
@@ -45,7 +46,7 @@ def stock_loan_job(spark: SparkSession, snapshot_root: str, out_root: str, stamp
     resampled = sinks.write_snapshot_parquet(master, f"{out_root}/resampled", stamp)
     table = relational.normalise_columns(spark.read.parquet(resampled), STOCK_LOAN_RENAMES)
     table = relational.coerce_types(table, STOCK_LOAN_TYPES, timestamp_col="TIMESTAMP")
-    path, rows = _write(table, f"{out_root}/parquet/stock_loan.parquet")
+    path, rows = _publish(table, f"{out_root}/parquet/stock_loan", publish_stamp or stamp.replace("-", "").replace("_", ""))
     return {"source": "stock_loan", "path": path, "rows": rows, "resampled": resampled}
 
 
@@ -143,25 +144,33 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def convert_all(spark: SparkSession, raw_root: str, out_root: str, sources: Sequence[str] | None = None) -> list[dict]:
-    """Every source from its landed files to one Parquet dataset.
-    Sources are filtered *before* reading. Missing input -> 'missing'."""
+def convert_all(spark: SparkSession, raw_root: str, out_root: str, sources: Sequence[str] | None = None,
+                stamp: str | None = None) -> list[dict]:
+    """Every source from its landed files to one Parquet dataset,
+    published as a new version ``{out}/parquet/{source}/v={stamp}`` (never
+    over the table readers use). Sources are filtered *before* reading.
+    Missing input -> 'missing'."""
     raw = raw_root.rstrip("/")
     out = out_root.rstrip("/")
+    stamp = stamp or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+
+    def _write(df, base, partition_by=()):
+        return _publish(df, base, stamp, partition_by)
+
     plan = {
         "stock_loan": (f"{raw}/stock_loan", lambda p: (lambda r: (r["path"], r["rows"]))(
-            stock_loan_job(spark, p, out))),
+            stock_loan_job(spark, p, out, publish_stamp=stamp))),
         "earnings": (f"{raw}/earnings_calendar.csv", lambda p: _write(
-            csv_src.read_csv_table(spark, p, EARNINGS_TYPES), f"{out}/parquet/earnings.parquet")),
+            csv_src.read_csv_table(spark, p, EARNINGS_TYPES), f"{out}/parquet/earnings")),
         "nasdaq_earnings": (f"{raw}/nasdaq_earnings_upload", lambda p: _write(
-            csv_src.read_csv_union(spark, p), f"{out}/parquet/nasdaq_earnings.parquet")),
+            csv_src.read_csv_union(spark, p), f"{out}/parquet/nasdaq_earnings")),
         "fomc": (f"{raw}/fomc_meeting_times.csv", lambda p: _write(
-            csv_src.read_csv_table(spark, p, None, infer=True), f"{out}/parquet/fomc.parquet")),
+            csv_src.read_csv_table(spark, p, None, infer=True), f"{out}/parquet/fomc")),
         "ats_otc": (f"{raw}/ats_upload", lambda p: _write(
-            csv_src.read_csv_union(spark, p, ATS_TYPES), f"{out}/parquet/ats_otc.parquet",
+            csv_src.read_csv_union(spark, p, ATS_TYPES), f"{out}/parquet/ats_otc",
             ["initialPublishedDate"])),
         "edgar_filings": (f"{raw}/financial_filings", lambda p: _write(
-            csv_src.read_filings(spark, p), f"{out}/parquet/edgar_filings.parquet", ["filing_type"])),
+            csv_src.read_filings(spark, p), f"{out}/parquet/edgar_filings", ["filing_type"])),
     }
     results = []
     for name, (src, fn) in plan.items():
@@ -179,12 +188,13 @@ def convert_all(spark: SparkSession, raw_root: str, out_root: str, sources: Sequ
     return results
 
 
-def _write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> tuple[str, int]:
-    """K1 with the row count observed during the write itself (no re-read).
-    Date-like partition columns let later reads prune (e.g. G9's week)."""
+def _publish(df: DataFrame, base: str, stamp: str, partition_by: Sequence[str] = ()) -> tuple[str, int]:
+    """K1 as a new version, with the row count observed during the write
+    itself (no re-read). Date-like partition columns let later reads prune
+    (e.g. G9's week)."""
     from pyspark.sql import Observation
-    obs = Observation(f"rows_{abs(hash(path))}")
-    sinks.write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by=partition_by)
+    obs = Observation(f"rows_{abs(hash((base, stamp)))}")
+    path = sinks.publish_versioned(df.observe(obs, F.count(F.lit(1)).alias("rows")), base, stamp, partition_by)
     return path, int(obs.get["rows"])
 
 

@@ -59,7 +59,10 @@ class Catalog:
         spec = self.sources.get(name)
         if callable(spec):
             return spec()
-        return self.spark.read.parquet(self.uri(name))
+        from shortbook.sources.sinks import latest_version
+        uri = self.uri(name)
+        # a versioned publish folder resolves to its newest complete version
+        return self.spark.read.parquet(latest_version(self.spark, uri) or uri)
 
     def register_sources(self, names: Iterable[str] | None = None) -> tuple[list[str], list[str]]:
         """Create a temp view per source; a failing source is logged and the

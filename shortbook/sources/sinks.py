@@ -25,6 +25,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", compression
     return path
 
 
+def publish_versioned(df: DataFrame, base: str, stamp: str, partition_by: Sequence[str] = ()) -> str:
+    """K1 / K5 without overwriting what readers may be reading: every
+    publish is a new ``{base}/v={stamp}`` folder; the newest complete one
+    (with ``_SUCCESS``) is the current table (see ``latest_version``)."""
+    return write_parquet(df, f"{base.rstrip('/')}/v={stamp}", mode="errorifexists", partition_by=partition_by)
+
+
+def latest_version(spark: SparkSession, base: str) -> str | None:
+    """Newest complete ``v=`` folder under ``base`` (None if there is none)."""
+    fs, p = hadoop_fs(spark, base)
+    if not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
+        return None
+    done = [st.getPath() for st in fs.listStatus(p)
+            if st.getPath().getName().startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS"))]
+    return max(done, key=lambda q: q.getName()).toString() if done else None
+
+
 def write_snapshot_parquet(df: DataFrame, root: str, stamp: str) -> str:
     """K4: gzip Parquet of a deduped table in a new timestamp folder."""
     return write_parquet(df, f"{root.rstrip('/')}/{stamp}", mode="errorifexists", compression="gzip")

@@ -106,3 +106,15 @@ def test_dataset_to_numpy_is_bounded(spark, sf):
     assert x.shape == (40, 2) and x.dtype.name == "float32" and y.shape == (40,)
     with pytest.raises(ValueError):
         ds.to_numpy(max_rows=10)
+
+
+def test_versioned_publish_and_catalog_resolution(spark, tmp_path):
+    from shortbook.sources.catalog import Catalog
+    base = str(tmp_path / "pub" / "stock_loan")
+    sinks.publish_versioned(spark.range(3), base, "20240101000000")
+    sinks.publish_versioned(spark.range(5), base, "20240102000000")
+    os.makedirs(tmp_path / "pub" / "stock_loan" / "v=20240103000000")  # incomplete: no _SUCCESS
+    assert sinks.latest_version(spark, base).endswith("v=20240102000000")
+    cat = Catalog(spark, {"stock_loan": base})
+    assert cat.read("stock_loan").count() == 5
+    assert spark.read.parquet(base + "/v=20240101000000").count() == 3  # old version untouched
