@@ -118,3 +118,21 @@ def test_versioned_publish_and_catalog_resolution(spark, tmp_path):
     cat = Catalog(spark, {"stock_loan": base})
     assert cat.read("stock_loan").count() == 5
     assert spark.read.parquet(base + "/v=20240101000000").count() == 3  # old version untouched
+
+
+def test_register_sources_continues_past_failures(spark, tmp_path):
+    from shortbook.sources.catalog import Catalog
+    good = str(tmp_path / "good.parquet")
+    spark.range(2).write.parquet(good)
+    cat = Catalog(spark, {"good": good, "missing": str(tmp_path / "nope.parquet")})
+    ok, failed = cat.register_sources(["good", "missing"])
+    assert ok == ["good"] and failed == ["missing"]
+    assert spark.sql("SELECT count(*) AS n FROM good").first()["n"] == 2
+
+
+def test_local_source_preferred_over_remote(spark, tmp_path):
+    from shortbook.sources.catalog import Catalog
+    spark.range(4).write.parquet(str(tmp_path / "local" / "earnings.parquet"))
+    cat = Catalog(spark, local_dir=str(tmp_path / "local"), remote_base="s3a://bucket/trading_data")
+    assert cat.uri("earnings").endswith("local/earnings.parquet")
+    assert cat.uri("fomc") == "s3a://bucket/trading_data/fomc.parquet"
