@@ -7,6 +7,7 @@ and renaming finished part files), one call per output file.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,7 +83,7 @@ def write_named_files(df: DataFrame, root: str, name_col: str, fmt: str = "csv",
         p = it.next().getPath()
         if not p.getName().startswith("part-"):
             continue
-        name = jvm.java.net.URLDecoder.decode(p.getParent().getName().split("=", 1)[1], "UTF-8")
+        name = unquote(p.getParent().getName().split("=", 1)[1])  # Spark %-escapes partition values
         dest = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
         fs.rename(p, dest)
         written.append(dest.toString())

@@ -12,6 +12,7 @@ gathered into a one-row-per-file table and joined back.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -256,8 +257,8 @@ def write_snapshot_text(
         name = p.getName()
         if not name.startswith("part-"):
             continue
-        country = p.getParent().getName().split("=", 1)[1]
-        folder = p.getParent().getParent().getName().split("=", 1)[1]
+        country = unquote(p.getParent().getName().split("=", 1)[1])  # Spark %-escapes values
+        folder = unquote(p.getParent().getParent().getName().split("=", 1)[1])
         dest_dir = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{folder}")
         fs.mkdirs(dest_dir)
         fs.rename(p, jvm.org.apache.hadoop.fs.Path(dest_dir, f"{country}.txt"))

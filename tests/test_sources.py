@@ -147,3 +147,10 @@ def test_csv_union_keeps_malformed_rows(spark, tmp_path):
     out = csv_src.read_csv_union(spark, str(tmp_path), corrupt_col="_bad")
     got = rows(out, ["x", "y", "_bad"])
     assert ("1", "2", None) in got and any(r[2] == "3,4,5" for r in got)
+
+
+def test_named_files_keep_special_characters(spark, tmp_path):
+    from shortbook.sources import sinks
+    df = spark.createDataFrame([("a+b c.csv", 1), ("x%y=z.csv", 2)], "_name string, v int")
+    written = sinks.write_named_files(df, str(tmp_path / "o"), "_name", "csv", {"header": True})
+    assert sorted(w.rsplit("/", 1)[1] for w in written) == ["a+b c.csv", "x%y=z.csv"]
