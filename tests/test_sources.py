@@ -154,3 +154,24 @@ def test_named_files_keep_special_characters(spark, tmp_path):
     df = spark.createDataFrame([("a+b c.csv", 1), ("x%y=z.csv", 2)], "_name string, v int")
     written = sinks.write_named_files(df, str(tmp_path / "o"), "_name", "csv", {"header": True})
     assert sorted(w.rsplit("/", 1)[1] for w in written) == ["a+b c.csv", "x%y=z.csv"]
+
+
+def test_snapshot_text_shuffle_join_path(spark, tmp_path, monkeypatch):
+    """Beyond the broadcast bound the lines are shuffled to the per-file
+    table; line order was fixed at the scan, so results are identical."""
+    snap = tmp_path / "2025-04-14_19-00-00"
+    write(snap / "usa.txt", USA)
+    write(snap / "Mixed.txt", MIXED)
+    cols = ["COUNTRY", "SYM", "AVAILABLE", "FEERATE", "REBATERATE", "bof_ts"]
+    expected = rows(snapshots.parse_snapshot_text(spark, str(tmp_path)), cols)
+    monkeypatch.setattr(snapshots, "FILE_TABLE_BROADCAST_MAX", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = snapshots.parse_snapshot_text(spark, str(tmp_path))
+        from conftest import plan_text
+        assert "SortMergeJoin" in plan_text(got)
+        assert rows(got, cols) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
