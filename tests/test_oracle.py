@@ -37,3 +37,13 @@ def test_entry_smoke(spark):
 def test_every_key_registered_has_callable():
     assert set(ORACLE) <= set(QUERIES)
     assert len(QUERIES) >= 50
+
+
+@pytest.mark.parametrize("name", ["filings_enriched", "change_history", "change_timestamps", "business_mondays",
+                                  "stream_change_history"])
+def test_shuffle_fallbacks_match_oracle(spark, sf, duck, name, monkeypatch):
+    """Every size-checked broadcast replaced by its shuffle-join fallback."""
+    import shortbook.session as session
+    monkeypatch.setattr(session, "fits", lambda df, max_rows: False)
+    spdf = QUERIES[name](spark, sf).toPandas()
+    assert canon(spdf) == canon(duck.execute(ORACLE[name]).fetchdf())
