@@ -132,12 +132,20 @@ def _page_records(page_id, html) -> list[tuple]:
     return out
 
 
+def _safe(fn, page_id, html, error_row):
+    """One bad page yields an error row instead of failing the whole task."""
+    try:
+        return fn(page_id, html)
+    except Exception as e:  # noqa: BLE001 - malformed input must not kill the job
+        return [error_row(page_id, f"{type(e).__name__}: {e}"[:500])]
+
+
 def _records_batches(batches: Iterator[pd.DataFrame], id_col: str, html_col: str) -> Iterator[pd.DataFrame]:
     cols = ["page_id", "kind", "pos", "text", "href"]
     for pdf in batches:
         rows = []
         for pid, html in zip(pdf[id_col], pdf[html_col]):
-            rows.extend(_page_records(int(pid), html))
+            rows.extend(_safe(_page_records, int(pid), html, lambda p, m: (p, "parse_error", 0, m, None)))
         yield pd.DataFrame(rows, columns=cols)
 
 
@@ -188,7 +196,7 @@ def _meeting_batches(batches, id_col, html_col):
     for pdf in batches:
         rows = []
         for pid, html in zip(pdf[id_col], pdf[html_col]):
-            rows.extend(_page_meetings(int(pid), html))
+            rows.extend(_safe(_page_meetings, int(pid), html, lambda p, m: (p, None, None, None, m, None)))
         yield pd.DataFrame(rows, columns=cols)
 
 

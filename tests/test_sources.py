@@ -175,3 +175,18 @@ def test_snapshot_text_shuffle_join_path(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_bad_page_does_not_fail_the_job(monkeypatch):
+    import pandas as pd
+    html_orig = html._page_records
+
+    def boom(page_id, text):
+        if page_id == 2:
+            raise ValueError("broken page")
+        return html_orig(page_id, text)
+    monkeypatch.setattr(html, "_page_records", boom)
+    batch = pd.DataFrame({"page_id": [1, 2], "html": ["<h1>ok</h1>", "<h1>x</h1>"]})
+    out = pd.concat(list(html._records_batches(iter([batch]), "page_id", "html")))
+    got = sorted(zip(out["page_id"], out["kind"], out["text"]))
+    assert got == [(1, "h1", "ok"), (2, "parse_error", "ValueError: broken page")]
