@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shortbook.names import col as qcol, cols as qcols
+
 from shortbook.schemas import CHANGE_COLS, SYMBOL_COL
 from shortbook.session import sized_broadcast
 
@@ -51,7 +53,7 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Column | str, cols:
     order keep the aggregation hash-based (a struct buffer would force a
     sort-based aggregate)."""
     o = F.col(order) if isinstance(order, str) else order
-    return df.groupBy(*keys).agg(*[F.max_by(F.col(c), o).alias(c) for c in cols])
+    return df.groupBy(*qcols(keys)).agg(*[F.max_by(qcol(c), o).alias(c) for c in cols])
 
 
 def track_changes(
@@ -91,7 +93,7 @@ def track_changes(
     )
     prev_ts = F.col(f"_p_{ts_col}") if has_ts else F.col(ts_col)
     out = j.withColumn(ts_col, F.when(changed, F.col(ts_col)).otherwise(prev_ts))
-    return out.select(*new.columns)
+    return out.select(*qcols(new.columns))
 
 
 def number_snapshots(
@@ -166,7 +168,7 @@ def change_history(
     )
     out = j.withColumn(ts_col, F.when(row_changed, F.col(snapshot_time)).otherwise(F.col("_rep_ts")))
     keep = [c for c in rows.columns if c != ts_col] + [ts_col]
-    return out.select(*keep)
+    return out.select(*qcols(keep))
 
 
 def dedupe_keep_last(
@@ -180,7 +182,7 @@ def dedupe_keep_last(
     if isinstance(order, str):
         skip.add(order)
     keys = [c for c in df.columns if c not in skip]
-    return df.groupBy(*keys).agg(F.max_by(F.col(ts_col), o).alias(ts_col))
+    return df.groupBy(*qcols(keys)).agg(F.max_by(qcol(ts_col), o).alias(ts_col))
 
 
 def compile_master(frames: Sequence[DataFrame], order: str | Column, ts_col: str = "TIMESTAMP",
@@ -254,7 +256,7 @@ def change_history_incremental(
     row_changed = F.col("_p_hit").isNull() | reduce(
         lambda a, b: a | b, [_distinct_from(F.col(c), F.col(f"_p_{c}")) for c in cols])
     out = j.withColumn(ts_col, F.when(row_changed, F.col(snapshot_time)).otherwise(F.col("_p_rep_ts")))
-    out = out.select(*[c for c in rows.columns if c != ts_col], ts_col)
+    out = out.select(*qcols([c for c in rows.columns if c != ts_col] + [ts_col]))
     new_reps = last_per_key(reps, [country, sym], "_n", ["_n", *cols, "_rep_ts"])
     man_all = batch_man.select(country, snapshot, "_n")
     if prev_manifest is not None:

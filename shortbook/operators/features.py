@@ -12,12 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shortbook.names import col as qcol, cols as qcols
+
 from shortbook.operators.segmented import resolve_skew_safe, segmented_window
 from shortbook.schemas import DEFAULT_MIN_PCT_CHANGE, DEFAULT_ZSCORE_WINDOW, SYMBOL_COL
 
 
 def order_cols(time_col: str, tie_breakers: Sequence[str]) -> list[Column]:
-    return [F.col(time_col).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_breakers]
+    return [qcol(time_col).asc_nulls_last()] + [qcol(c).asc_nulls_last() for c in tie_breakers]
 
 
 def _keys_present(group_cols: Sequence[str]) -> Column:
@@ -42,7 +44,7 @@ def _with_window(df, group_cols, time_col, tie_breakers, build, lookback=0, look
     order = order_cols(time_col, tie_breakers)
     if resolve_skew_safe(skew_safe, df, group_cols):
         return segmented_window(df, list(group_cols), order, build, lookback, lookahead)
-    exprs = build(Window.partitionBy(*group_cols).orderBy(*order))
+    exprs = build(Window.partitionBy(*qcols(group_cols)).orderBy(*order))
     return df.select("*", *[e.alias(k) for k, e in exprs.items()])
 
 

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shortbook.names import cols as qcols
+
 from shortbook.functions.text import zfill
 from shortbook.session import sized_broadcast
 
@@ -86,7 +88,7 @@ def asof_join(
     for b in by:
         got = got & F.col(b).isNotNull()
     return carried.where((F.col("_side") == 1) & (F.col("_c") == 1)).select(
-        *left.columns, *[F.when(got, F.col(f"_m.{c}")).alias(c) for c in rcols])
+        *qcols(left.columns), *[F.when(got, F.col("_m").getField(c)).alias(c) for c in rcols])
 
 
 def _with_carry(u: DataFrame, by: list[str], order) -> DataFrame:

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shortbook.names import col as qcol, cols as qcols
+
 from shortbook.functions.sizes import size_pretty
 from shortbook.functions.text import new_run_id
 from shortbook.session import hadoop_fs
@@ -164,8 +166,8 @@ def latest_per_key(df: DataFrame, key: Sequence[str] | str, order_col: str, cols
     """W8 (``DISTINCT ON``): the row with the greatest ``order_col`` per key."""
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in cols if c not in keys]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order_col).alias("_r")).select(
-        *keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    return df.groupBy(*qcols(keys)).agg(F.max_by(F.struct(*qcols(rest)), qcol(order_col)).alias("_r")).select(
+        *qcols(keys), *[F.col("_r").getField(c).alias(c) for c in rest])
 
 
 def latest_run(runs: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shortbook.names import col as qcol, cols as qcols
+
 from shortbook.schemas import EPS_FORECAST_MAX, EPS_FORECAST_MIN, MARKET_CAP_MAX, MARKET_CAP_MIN
 
 # field -> (lower, upper), inclusive; nulls are exempt.
@@ -32,8 +34,8 @@ def range_violations(
     for field, (lo, hi) in ranges.items():
         v = F.col("_v")
         parts.append(
-            df.select(*keep, values[field].alias("_v")).where(_bad(v, lo, hi))
-            .select(*keep, F.lit(field).alias("field"), v.alias("value"))
+            df.select(*qcols(keep), values[field].alias("_v")).where(_bad(v, lo, hi))
+            .select(*qcols(keep), F.lit(field).alias("field"), v.alias("value"))
         )
     out = parts[0]
     for p in parts[1:]:
@@ -50,7 +52,7 @@ def quality_by_file(
     """Q2 + Q3 + A5: per file, row count, nulls per field (warning only),
     out-of-range counts per field and the pass flag -- one aggregation."""
     # clean each value once, then aggregate plain columns
-    df = df.select(file_col, *[values[f].alias(f"_v{i}") for i, f in enumerate(ranges)])
+    df = df.select(qcol(file_col), *[values[f].alias(f"_v{i}") for i, f in enumerate(ranges)])
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     bad_total = F.lit(0)
     null_total = F.lit(0)
@@ -61,7 +63,7 @@ def quality_by_file(
         aggs.append(F.count_if(_bad(v, lo, hi)).alias(f"n_bad_{key}"))
         bad_total = bad_total + F.col(f"n_bad_{key}")
         null_total = null_total + F.col(f"n_null_{key}")
-    g = df.groupBy(file_col).agg(*aggs)
+    g = df.groupBy(qcol(file_col)).agg(*aggs)
     return g.withColumn("has_nulls", null_total > 0).withColumn("passed", bad_total == 0)
 
 

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shortbook.names import cols as qcols
+
 from shortbook.session import ensure_checkpoint_dir
 
 
@@ -73,7 +75,7 @@ def prefix_sums(
         )
     # Group start = smallest running sum in the group (weights >= 0); found by
     # aggregation (partial, skew-safe), joined back N:1.
-    starts = glob.groupBy(*group_cols).agg(
+    starts = glob.groupBy(*qcols(group_cols)).agg(
         F.min("_global").alias("_start"), F.sum(weight_col).alias("_group_total")
     )
     out = glob.join(starts, list(group_cols))
@@ -112,7 +114,7 @@ def add_pct_rank(
     present = F.col(col).isNotNull()
     for g in gcols:
         present = present & F.col(g).isNotNull()
-    counts = df.where(present).groupBy(*gcols, col).agg(F.count(F.lit(1)).alias("_c"))
+    counts = df.where(present).groupBy(*qcols([*gcols, col])).agg(F.count(F.lit(1)).alias("_c"))
     order = [F.col(g).asc() for g in gcols] + [F.col(col).asc()]
     ranked = prefix_sums(counts, order, "_c", gcols)
     pct = ranked.select(

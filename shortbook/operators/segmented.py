@@ -24,6 +24,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shortbook.names import col as qcol, cols as qcols
+
 from shortbook.session import ensure_checkpoint_dir
 
 _SHIFT = 33
@@ -84,7 +86,7 @@ def _halo(ranged: DataFrame, parts: DataFrame, cols: Sequence[str], span: int, b
     else:
         end = F.col("_tstart") + F.col("_tcnt")
         keep = (F.col("_g") >= end) & (F.col("_g") < end + span)
-    return j.where(keep).select(*cols, F.col("_tpid").alias("_pid"), F.lit(True).alias("_halo"))
+    return j.where(keep).select(*qcols(cols), F.col("_tpid").alias("_pid"), F.lit(True).alias("_halo"))
 
 
 def segmented_window(
@@ -100,20 +102,20 @@ def segmented_window(
     each group ordered by ``order``; every frame used must stay within
     ``lookback`` rows before and ``lookahead`` rows after the current row."""
     cols = list(df.columns)
-    range_order = [F.col(g).asc_nulls_last() for g in group_cols] + list(order)
+    range_order = [qcol(g).asc_nulls_last() for g in group_cols] + list(order)
     if num_partitions is None:
         num_partitions = _num_partitions(df, group_stats(df, group_cols)[1])
     ranged = ranged_rows(df, range_order, num_partitions)
     parts = partition_table(ranged)
-    rows = ranged.select(*cols, "_pid", F.lit(False).alias("_halo"))
+    rows = ranged.select(*qcols(cols), "_pid", F.lit(False).alias("_halo"))
     if lookback > 0:
         rows = rows.unionByName(_halo(ranged, parts, cols, lookback, True))
     if lookahead > 0:
         rows = rows.unionByName(_halo(ranged, parts, cols, lookahead, False))
-    w = Window.partitionBy("_pid", *group_cols).orderBy(*order)
+    w = Window.partitionBy("_pid", *qcols(group_cols)).orderBy(*order)
     exprs = build(w)
     out = rows.select("*", *[e.alias(name) for name, e in exprs.items()])
-    return out.where(~F.col("_halo")).select(*cols, *exprs.keys())
+    return out.where(~F.col("_halo")).select(*qcols(cols), *qcols(exprs.keys()))
 
 
 # A group is "hot" when it holds more rows than this many average partitions.
@@ -125,7 +127,7 @@ def group_stats(df: DataFrame, group_cols: Sequence[str]) -> tuple[int, int]:
     pass over the group columns; results are cached per DataFrame plan."""
     cols = tuple(group_cols)
     if _STATS.get("df") is not df or _STATS.get("cols") != cols:
-        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+        sizes = df.groupBy(*qcols(group_cols)).agg(F.count(F.lit(1)).alias("_n"))
         row = sizes.agg(F.max("_n").alias("mx"), F.sum("_n").alias("tot")).first()
         val = (int(row["mx"] or 0), int(row["tot"] or 0)) if row is not None else (0, 0)
         _STATS.update(df=df, cols=cols, val=val)  # keeps the frame alive: no id reuse

@@ -49,3 +49,11 @@ def test_meetings_csv_types_and_flags(spark):
     assert [df.where(F.col(f"`{c}`")).count() for c in ("Unscheduled", "Cancelled", "Notation Vote")] == [2, 1, 4]
     assert df.where(F.col("Dates").rlike(r"^\d+-\d+$")).count() == 56
     assert df.where(F.col("Dates").rlike(r"^\d+$")).count() == 6
+
+
+def test_calendar_repeats_collapse_with_keep_last(spark):
+    """87 shipped rows repeat once Scraped At is ignored (dotted header names)."""
+    from shortbook.operators import changes
+    df = csv_src.read_csv_union(spark, ROOT).drop("_file")
+    out = changes.dedupe_keep_last(df, "Scraped At", ts_col="Scraped At")
+    assert df.count() - out.count() == 87
