@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shortbook.names import col as qcol
 from shortbook.schemas import SYMBOL_COL
 
 # Lists above this size become a broadcast semi/anti join instead of IN.
@@ -27,7 +28,7 @@ def _ticker_frame(df: DataFrame, tickers: Sequence[str]) -> DataFrame:
 def in_tickers(tickers: Sequence[str], col: str = SYMBOL_COL) -> Column:
     """Membership test that is False (never null) for a null symbol."""
     upper = sorted({t.upper() for t in tickers})
-    return F.coalesce(F.col(col).isin(upper), F.lit(False))
+    return F.coalesce(qcol(col).isin(upper), F.lit(False))
 
 
 def filter_tickers(df: DataFrame, tickers: Sequence[str], col: str = SYMBOL_COL) -> DataFrame:
@@ -36,7 +37,7 @@ def filter_tickers(df: DataFrame, tickers: Sequence[str], col: str = SYMBOL_COL)
     if len(tickers) <= _ISIN_MAX:
         return df.where(in_tickers(tickers, col))
     t = _ticker_frame(df, tickers)
-    return df.join(t, df[col] == t["_ticker"], "left_semi")
+    return df.join(t, qcol(col) == t["_ticker"], "left_semi")
 
 
 def ticker_split(
@@ -47,13 +48,15 @@ def ticker_split(
         mask = in_tickers(test_tickers, col)
         return df.where(~mask), df.where(mask)
     t = _ticker_frame(df, test_tickers)
-    cond = df[col] == t["_ticker"]
+    cond = qcol(col) == t["_ticker"]
     return df.join(t, cond, "left_anti"), df.join(t, cond, "left_semi")
 
 
 def dropna(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Drop rows with a null (or NaN) in ``subset`` (default: all columns)."""
-    return df.dropna(how="any", subset=list(subset) if subset else None)
+    """Drop rows with a null (or NaN) in ``subset`` (default: all columns).
+    Names are quoted, so headers with dots resolve as written."""
+    quoted = ["`" + c.replace("`", "``") + "`" for c in subset] if subset else None
+    return df.dropna(how="any", subset=quoted)
 
 
 def normalise_columns(df: DataFrame, renames: Mapping[str, str] | None = None) -> DataFrame:
@@ -124,7 +127,7 @@ def feature_matrix(
             f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC) and f.name != target_col
         ]
     feats = F.array(*[F.coalesce(F.col(f"`{c}`").cast("float"), F.lit(float("nan")).cast("float")) for c in feature_cols])
-    cols = [F.col(c) for c in keep] + [feats.alias("features")]
+    cols = [qcol(c) for c in keep] + [feats.alias("features")]
     if target_col:
         cols.append(F.coalesce(F.col(f"`{target_col}`").cast("float"), F.lit(float("nan")).cast("float")).alias("label"))
     return df.select(*cols)

@@ -90,3 +90,10 @@ def test_meeting_flag_cases(spark):
     assert got == sorted([("March", "15", True, False, False, False), ("April", "3", False, True, False, False),
                           ("May", "17-18", True, False, True, False), ("June", "22", False, False, False, True)],
                          key=repr)
+
+
+def test_dotted_column_names_resolve(spark):
+    from shortbook.operators import relational
+    df = spark.createDataFrame([("A", None), ("B", "3"), (None, "4")], "`SYM` string, `No. of ESTs` string")
+    assert relational.dropna(df, ["No. of ESTs"]).count() == 2
+    assert relational.filter_tickers(df, ["a"]).count() == 1
