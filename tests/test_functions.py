@@ -97,3 +97,16 @@ def test_dotted_column_names_resolve(spark):
     df = spark.createDataFrame([("A", None), ("B", "3"), (None, "4")], "`SYM` string, `No. of ESTs` string")
     assert relational.dropna(df, ["No. of ESTs"]).count() == 2
     assert relational.filter_tickers(df, ["a"]).count() == 1
+
+
+def test_long_ticker_lists_use_semi_join(spark):
+    from conftest import plan_text
+    from shortbook.operators import relational
+    df = spark.createDataFrame([("U1",), ("U2",), (None,), ("u3",)], "SYM string")
+    many = [f"u{i}" for i in range(1, 1200)]
+    kept = relational.filter_tickers(df, many)
+    assert "LeftSemi" in plan_text(kept)
+    assert sorted(r[0] for r in kept.collect()) == ["U1", "U2"]  # data is not case-folded
+    train, test = relational.ticker_split(df, many)
+    assert sorted(r[0] for r in test.collect()) == ["U1", "U2"]
+    assert sorted((r[0] or "") for r in train.collect()) == ["", "u3"]  # null symbol goes to train
