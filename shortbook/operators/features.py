@@ -176,7 +176,10 @@ def availability_changes(
             SYMBOL_COL, "NAME", time_col, "prev_avail", F.col(value_col).alias("AVAILABLE"),
             F.round(raw, 2).alias("pct_change"),
         )
-        .orderBy(F.abs(F.col("pct_change")).desc_nulls_last())
+        # secondary keys give the range partitioner distinct values to split
+        # on when one change size (e.g. -100 %) is very common
+        .orderBy(F.abs(F.col("pct_change")).desc_nulls_last(),
+                 *[qcol(c).asc_nulls_last() for c in (*group_cols, time_col)])
     )
 
 

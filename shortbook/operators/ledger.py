@@ -183,7 +183,7 @@ def data_catalog(files: DataFrame, runs: DataFrame) -> DataFrame:
     r = runs.select("run_id", F.col("status").alias("run_status"))
     return files.join(r, "run_id").select(
         "source", "cloud_uri", "row_count", size_pretty("size_bytes").alias("size"), "uploaded_at", "run_status",
-    ).orderBy(F.col("uploaded_at").desc_nulls_last())
+    ).orderBy(F.col("uploaded_at").desc_nulls_last(), "source", "cloud_uri")
 
 
 def latest_files(files: DataFrame, source: str, limit: int = 20) -> DataFrame:
