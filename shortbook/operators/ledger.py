@@ -188,13 +188,14 @@ def data_catalog(files: DataFrame, runs: DataFrame) -> DataFrame:
 
 def latest_files(files: DataFrame, source: str, limit: int = 20) -> DataFrame:
     """T3"""
-    return files.where(F.col("source") == source).orderBy(F.col("uploaded_at").desc_nulls_last()).limit(limit)
+    return files.where(F.col("source") == source).orderBy(
+        F.col("uploaded_at").desc_nulls_last(), "run_id", "cloud_uri").limit(limit)
 
 
 def run_history(runs: DataFrame, source: str | None = None, limit: int = 50) -> DataFrame:
     """T4"""
     df = runs.where(F.col("source") == source) if source else runs
-    return df.orderBy(F.col("started_at").desc_nulls_last()).limit(limit)
+    return df.orderBy(F.col("started_at").desc_nulls_last(), "run_id").limit(limit)
 
 
 def run_totals(file_stats: DataFrame) -> DataFrame:
