@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shortbook.names import cols as qcols
+from shortbook.names import col as qcol, cols as qcols
 
 from shortbook.session import ensure_checkpoint_dir
 
@@ -106,10 +106,11 @@ def add_pct_rank(
     if grouped:
         from shortbook.operators.segmented import resolve_skew_safe
         if not resolve_skew_safe(skew_safe, df.where(F.col(by).isNotNull()), gcols):
-            present = F.col(col).isNotNull() & F.col(by).isNotNull()
-            w = Window.partitionBy(by).orderBy(F.col(col).asc_nulls_last())
-            ties = F.count(F.lit(1)).over(Window.partitionBy(by, col))
-            pct = (F.rank().over(w) + (ties - F.lit(1)) / F.lit(2.0)) / F.count(col).over(Window.partitionBy(by))
+            b, v = qcol(by), qcol(col)
+            present = v.isNotNull() & b.isNotNull()
+            w = Window.partitionBy(b).orderBy(v.asc_nulls_last())
+            ties = F.count(F.lit(1)).over(Window.partitionBy(b, v))
+            pct = (F.rank().over(w) + (ties - F.lit(1)) / F.lit(2.0)) / F.count(v).over(Window.partitionBy(b))
             return df.withColumn(out, F.when(present, pct))
     present = F.col(col).isNotNull()
     for g in gcols:
