@@ -19,7 +19,7 @@ from shortbook.session import get_spark  # noqa: E402
 
 KEYS = ["top_short_borrow", "ticker_history", "availability_changes", "dedupe_keep_last", "change_history",
         "pct_rank", "pct_rank_global", "time_split_train", "filings_enriched", "quality_by_file", "asof_join",
-        "parse_snapshot_text"]
+        "parse_snapshot_text", "zscore_hot_ticker", "asof_hot_ticker"]
 
 
 def tree(df) -> str:
