@@ -99,6 +99,8 @@ def _with_carry(u: DataFrame, by: list[str], order) -> DataFrame:
     # one row per non-empty partition: first key, last key, last right row of the last key
     summ = ranged.groupBy("_pid").agg(
         F.min_by(key, "_local").alias("_first"), F.max_by(key, "_local").alias("_last"))
+    # one row per partition: computed once, kept local (bounded by the partition count)
+    summ = ranged.sparkSession.createDataFrame(summ.collect(), summ.schema)
     last_r = ranged.join(F.broadcast(summ.select("_pid", "_last")), "_pid").where(
         (key == F.col("_last")) & (F.col("_side") == 0)).groupBy("_pid").agg(F.max_by("_r", "_local").alias("_lr"))
     summ = summ.join(last_r, "_pid", "left")

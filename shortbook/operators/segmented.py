@@ -59,14 +59,19 @@ def ranged_rows(df: DataFrame, order: Sequence[Column], num_partitions: int | No
 
 
 def partition_table(ranged: DataFrame) -> DataFrame:
-    """One row per non-empty partition: count, global start, rank."""
-    parts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_pid")
-    return parts.select(
-        "_pid", "_cnt",
-        F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
-        F.row_number().over(w).alias("_rank"),
-    )
+    """One row per non-empty partition: count, global start, rank.
+
+    Computed once (one pass over the checkpoint) and kept as a small local
+    table -- it has one row per partition, so it is bounded by the partition
+    count -- so every join that uses it reads the same rows without another
+    scan."""
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect()
+    rows, start = [], 0
+    for rank, r in enumerate(sorted(counts, key=lambda r: r["_pid"]), start=1):
+        rows.append((int(r["_pid"]), int(r["_cnt"]), start, rank))
+        start += int(r["_cnt"])
+    schema = "_pid int, _cnt long, _start long, _rank int"
+    return ranged.sparkSession.createDataFrame(rows, schema)
 
 
 def _halo(ranged: DataFrame, parts: DataFrame, cols: Sequence[str], span: int, before: bool) -> DataFrame:
