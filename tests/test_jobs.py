@@ -136,3 +136,12 @@ def test_local_source_preferred_over_remote(spark, tmp_path):
     cat = Catalog(spark, local_dir=str(tmp_path / "local"), remote_base="s3a://bucket/trading_data")
     assert cat.uri("earnings").endswith("local/earnings.parquet")
     assert cat.uri("fomc") == "s3a://bucket/trading_data/fomc.parquet"
+
+
+def test_symbol_and_params_are_values_not_sql(spark, sf):
+    eng = registry.engine(spark, sf)
+    assert eng.ticker_history("u1' OR '1'='1").count() == 0
+    assert eng.ticker_history("u1").count() > 0
+    eng.register_sources(["stock_loan"])
+    got = eng.sql("SELECT count(*) AS n FROM stock_loan WHERE SYM = ?", ["U1' OR '1'='1"]).first()["n"]
+    assert got == 0
