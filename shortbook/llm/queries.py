@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from shortbook.llm import quality_rules
+from shortbook.llm.quality_rules import op10_quality_rules
 from shortbook.llm.secrets import op1_secret_scan
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_quality_rules": quality_rules.SQL,
+}

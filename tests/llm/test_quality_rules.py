@@ -1,0 +1,79 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+from shortbook.llm import quality_rules as Q
+from shortbook.llm.queries import QUERIES
+
+
+def brute_repeats(words):
+    at = defaultdict(list)
+    for i in range(len(words) - 7):
+        at[tuple(words[i:i + 8])].append(i)
+    return len({p for v in at.values() if len(v) > 1 for i in v for p in range(i, i + 8)})
+
+
+def brute(docs):
+    """(doc_id, source, text) -> the query's rows."""
+    find = re.compile(r"[^\x20\x09-\x0D]+").findall
+    holders, host_docs = defaultdict(set), defaultdict(set)
+
+    def norm(line):
+        s = " ".join(find(line))
+        s = "".join(c.lower() if "A" <= c <= "Z" else c for c in s)
+        return re.sub("[0-9]", "0", s)
+
+    for _, host, text in docs:
+        host_docs[host].add(text or "")
+        for line in (text or "").split("\n"):
+            if find(line):
+                holders[host, norm(line)].add(text)
+    out = []
+    for doc_id, host, text in docs:
+        text = text or ""
+        words = find(text)
+        lines = [x for x in text.split("\n") if find(x)]
+        removed = sum(len(find(x)) for x in lines
+                      if len(holders[host, norm(x)]) > 10
+                      and len(holders[host, norm(x)]) > 0.01 * len(host_docs[host]))
+        rep = brute_repeats(words)
+        failed = len(words) < 20 or 100 * rep > 30 * len(words)
+        out.append((doc_id, len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"),
+                    sum(c - 1 for c in Counter(lines).values()), rep, removed, failed,
+                    not failed and len(words) - removed >= 0.5 * len(words)))
+    return sorted(out, key=repr)
+
+
+COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+           "n_removed_words", "base_failed", "kept"]
+
+
+def test_whole_table_matches_brute_force(spark, sf):
+    got = QUERIES["op10_quality_rules"](spark, sf).select(COLUMNS).collect()
+    docs = [(d.doc_id, d.source, d.text) for d in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert sorted(map(tuple, got), key=repr) == brute(docs)
+
+
+def test_repeats_with_overlaps():
+    rnd = random.Random(3)
+    for _ in range(300):
+        words = [rnd.choice("ab" if rnd.random() < 0.9 else "cd") for _ in range(rnd.randrange(0, 60))]
+        assert Q.repeated_words(words) == brute_repeats(words)
+
+
+def test_frequent_lines_are_removed_and_depleted_documents_rejected(spark):
+    rnd = random.Random(1)
+    own = lambda n: " ".join(f"w{rnd.randrange(10**9)}" for _ in range(n))
+    banner = "Subscribe now to our newsletter for 10 great offers every single week of the year"
+    docs = [(i, "h1", own(30) + "\n" + banner.upper()) for i in range(12)]
+    docs += [(100, "h1", own(10) + "\n" + banner), (101, "h2", own(10) + "\n" + banner), (102, None, None),
+             (102, None, ""), (None, "h1", "\n\n" + "x" * 100_000)]
+    df = spark.createDataFrame([(*d, 7, "clash") for d in docs],
+                               "doc_id long, source string, text string, row int, host string")
+    rows = Q.line_rules(df, keep_text=True).collect()
+    assert sorted((tuple(r[c] for c in COLUMNS) for r in rows), key=repr) == brute(docs)
+    by = {r.doc_id: r for r in rows}
+    assert by[0].kept and "NEWSLETTER" not in by[0].text
+    assert not by[100].kept and not by[100].base_failed
+    assert by[101].kept and "newsletter" in by[101].text
+    assert Q.line_rules(df.limit(0)).collect() == []
