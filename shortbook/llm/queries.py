@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from shortbook.llm import quality_rules
+from shortbook.llm.quality_model import op6_quality_rules_ensemble
 from shortbook.llm.quality_rules import op10_quality_rules
 from shortbook.llm.secrets import op1_secret_scan
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op6_quality_rules_ensemble": op6_quality_rules_ensemble,
     "op10_quality_rules": op10_quality_rules,
 }
 
