@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from shortbook.llm import quality_rules
+from shortbook.llm import mixing, quality_rules
+from shortbook.llm.mixing import op3_mix_sources
 from shortbook.llm.quality_model import op6_quality_rules_ensemble
 from shortbook.llm.quality_rules import op10_quality_rules
 from shortbook.llm.secrets import op1_secret_scan
@@ -10,11 +11,13 @@ from shortbook.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op3_mix_sources": op3_mix_sources,
     "op6_quality_rules_ensemble": op6_quality_rules_ensemble,
     "op8_toxicity": op8_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_mix_sources": mixing.SQL,
     "op10_quality_rules": quality_rules.SQL,
 }
