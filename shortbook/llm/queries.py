@@ -7,11 +7,13 @@ from shortbook.llm.mixing import op3_mix_sources
 from shortbook.llm.quality_model import op6_quality_rules_ensemble
 from shortbook.llm.quality_rules import op10_quality_rules
 from shortbook.llm.secrets import op1_secret_scan
+from shortbook.llm.token_files import op5_token_files
 from shortbook.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op3_mix_sources": op3_mix_sources,
+    "op5_token_files": op5_token_files,
     "op6_quality_rules_ensemble": op6_quality_rules_ensemble,
     "op8_toxicity": op8_toxicity,
     "op10_quality_rules": op10_quality_rules,
