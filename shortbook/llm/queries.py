@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shortbook.llm import mixing, quality_rules
+from shortbook.llm.language import op4_language_id
 from shortbook.llm.mixing import op3_mix_sources
 from shortbook.llm.quality_model import op6_quality_rules_ensemble
 from shortbook.llm.quality_rules import op10_quality_rules
@@ -13,6 +14,7 @@ from shortbook.llm.toxicity import op8_toxicity
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op3_mix_sources": op3_mix_sources,
+    "op4_language_id": op4_language_id,
     "op5_token_files": op5_token_files,
     "op6_quality_rules_ensemble": op6_quality_rules_ensemble,
     "op8_toxicity": op8_toxicity,
