@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from shortbook.llm import mixing, quality_rules
+from shortbook.llm import decontaminate, mixing, quality_rules
+from shortbook.llm.decontaminate import op2_benchmark_decontamination
 from shortbook.llm.language import op4_language_id
 from shortbook.llm.mixing import op3_mix_sources
 from shortbook.llm.quality_model import op6_quality_rules_ensemble
@@ -13,6 +14,7 @@ from shortbook.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_mix_sources": op3_mix_sources,
     "op4_language_id": op4_language_id,
     "op5_token_files": op5_token_files,
@@ -22,6 +24,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_benchmark_decontamination": decontaminate.SQL,
     "op3_mix_sources": mixing.SQL,
     "op10_quality_rules": quality_rules.SQL,
 }

@@ -84,11 +84,10 @@ def test_code_switched_text_is_labelled_by_word(spark):
 
 
 def test_edges(spark):
-    docs = spark.createDataFrame(
-        [(1, None, "en", 1), (1, "", "en", 2), (None, "12 ½ !?", "de", 3), (2, "the cat " * 100_000, None, 4),
-         (3, "the cat and the dog", "en", 5), (4, "der Hund und die Katze", "de", 6),
-         (6, "the cat and the dog", "en", 5), (7, "der Hund und die Katze", "de", 6)],
-        "doc_id long, text string, lang string, score int")
+    rows = [(1, None, "en", 1), (1, "", "en", 2), (None, "12 ½ !?", "de", 3), (2, "the cat " * 100_000, None, 4)]
+    rows += [(i, "the cat and the dog" if i % 2 else "der Hund und die Katze", "en" if i % 2 else "de", 5)
+             for i in range(10, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int")
     model = L.train(docs)
     rows = L.predict(docs, model, spans=True).collect()
     assert [r.lang_pred for r in rows[:3]] == ["und"] * 3 and rows[2].score == 0
