@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from shortbook.llm import decontaminate, mixing, quality_rules
+from shortbook.llm import decontaminate, jaccard_join, mixing, quality_rules
 from shortbook.llm.decontaminate import op2_benchmark_decontamination
+from shortbook.llm.jaccard_join import op9_ngram_jaccard_join
 from shortbook.llm.language import op4_language_id
 from shortbook.llm.mixing import op3_mix_sources
 from shortbook.llm.quality_model import op6_quality_rules_ensemble
@@ -20,11 +21,13 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_quality_rules_ensemble": op6_quality_rules_ensemble,
     "op8_toxicity": op8_toxicity,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
     "op2_benchmark_decontamination": decontaminate.SQL,
     "op3_mix_sources": mixing.SQL,
+    "op9_ngram_jaccard_join": jaccard_join.SQL,
     "op10_quality_rules": quality_rules.SQL,
 }
