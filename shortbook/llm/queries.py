@@ -10,6 +10,7 @@ from shortbook.llm.mixing import op3_mix_sources
 from shortbook.llm.quality_model import op6_quality_rules_ensemble
 from shortbook.llm.quality_rules import op10_quality_rules
 from shortbook.llm.secrets import op1_secret_scan
+from shortbook.llm.suffix_dedup import op7_suffix_dedup
 from shortbook.llm.token_files import op5_token_files
 from shortbook.llm.toxicity import op8_toxicity
 
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_token_files": op5_token_files,
     "op6_quality_rules_ensemble": op6_quality_rules_ensemble,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
