@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shortbook.llm.common import _arrow_schema, map_rows, table, text_of
 
@@ -235,14 +236,17 @@ def duplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def find(cols: dict[str, list]) -> dict[str, list]:
         return {"doc": cols["doc"], "anchors": [np.unique(anchors(r)[0]) for r in cols["raw"]]}
 
-    # one shuffle by anchor serves the count and the join that uses it
-    held = (map_rows(own.select("doc", "raw"), find, "doc long, anchors array<long>")
-            .select("doc", F.explode("anchors").alias("anchor")).repartition("anchor"))
-    shared = (held.groupBy("anchor").agg(F.count("*").alias("n"), F.min("doc").alias("a"), F.max("doc").alias("b"))
-              .filter("a != b").select("anchor", (F.col("n") > HOT).alias("hot")))
-    per_doc = (held.join(shared, "anchor").groupBy("doc")
+    # one shuffle by anchor; the frame of a hot anchor spills, and its rows are pairs of numbers
+    of_anchor = Window.partitionBy("anchor")
+    shared = (map_rows(own.select("doc", "raw"), find, "doc long, anchors array<long>")
+              .select("doc", F.explode("anchors").alias("anchor"))
+              .withColumns({"n": F.count("*").over(of_anchor), "a": F.min("doc").over(of_anchor),
+                            "b": F.max("doc").over(of_anchor)})
+              .filter("a != b").withColumn("hot", F.col("n") > HOT))
+    per_doc = (shared.groupBy("doc")
                .agg(F.collect_list(F.when(~F.col("hot"), F.col("anchor"))).alias("some"),
                     F.collect_list(F.when(F.col("hot"), F.col("anchor"))).alias("many")))
+    # both uses of the texts read all its columns, so that one shuffle serves them
     texts = own.repartition("doc")
 
     def surroundings(cols: dict[str, list]) -> dict[str, list]:
@@ -264,7 +268,7 @@ def duplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     out[name].append(v)
         return out
 
-    contexts = map_rows(texts.join(per_doc, "doc").select("doc", "copy", "raw", "some", "many"),
+    contexts = map_rows(texts.join(per_doc, "doc").select("doc_id", "doc", "copy", "raw", "some", "many"),
                         surroundings, CONTEXTS)
     schema_text = "doc long, copy long, begin long, end long"
     schema = _arrow_schema(spark, schema_text)
