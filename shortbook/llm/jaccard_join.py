@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shortbook.llm.common import _arrow_schema, map_rows, stored, table
 from shortbook.llm.components import components
@@ -178,22 +179,27 @@ def signed_documents(raw: DataFrame, size: int, percent: int) -> DataFrame:
     classes, frequent = frequency_classes(raw, size)
     shared = raw.sparkSession.sparkContext.broadcast(classes)
 
-    def sign(cols: dict[str, list]) -> dict[str, list]:
+    schema = _arrow_schema(raw.sparkSession, NODE_SCHEMA)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, own = Shingler(size), shared.value
-        out: dict[str, list] = {k: [] for k in ("doc_id", "n", "node", "parity", "keys")}
-        for doc_id, text in zip(cols["doc_id"], cols["raw"], strict=True):
-            t = make(text)
-            keys = np.zeros(0, np.int64)
-            if len(t):
-                cls = own[(t >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                keys = index_keys(t, cls, frequent, percent)
-            for name, v in (("doc_id", doc_id), ("n", len(t)),
-                            ("node", node_of(t)),
-                            ("parity", parity(t)), ("keys", keys)):
-                out[name].append(v)
-        return out
-
-    return map_rows(raw, sign, NODE_SCHEMA)
+        seen: set[int] = set()  # a task gives the keys of a set once, as far as the memo goes
+        for b in batches:
+            out: dict[str, list] = {f.name: [] for f in schema}
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                t = make(text)
+                node, keys = node_of(t), np.zeros(0, np.int64)
+                if len(t) and node not in seen:
+                    cls = own[(t >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                    keys = index_keys(t, cls, frequent, percent)
+                    if len(seen) >= MEMO_WORDS:
+                        seen.clear()
+                    seen.add(node)
+                for name, v in zip(out, (doc_id, len(t), node, parity(t), keys), strict=True):
+                    out[name].append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
+
+    return raw.select("doc_id", "raw").mapInArrow(sign, NODE_SCHEMA)
 
 
 def _close(n1: Column, n2: Column, p1: Column, p2: Column, percent: int) -> Column:
@@ -231,16 +237,14 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     signed = stored(signed_documents(raw, size, percent), "signed")
     nodes = (signed.filter("size(keys) > 0").groupBy("node")
              .agg(F.first("n").alias("n"), F.first("parity").alias("parity")))
-    index = (signed.select("node", "n", F.explode("keys").alias("key")))
-    # the least node of every key that several nodes share
-    hubs = stored(index.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"),
-                                           F.max("node").alias("last"))
-                  .filter("hub.node != last")
-                  .select("key", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "hubs")
-    members = stored(index.join(hubs, "key").select("key", "node", "n", "hub", "hub_n").distinct(), "members")
-    near = (members.filter("node != hub")
-            .filter(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
-            .groupBy(F.col("node").alias("u"), F.col("hub").alias("v")).agg(F.count("*").alias("shared")))
+    # keys that several nodes share, with their least node; only numbers are
+    # shuffled, once, and a hot key's frame spills
+    of_key = Window.partitionBy("key")
+    members = stored(signed.select("node", F.explode("keys").alias("key"))
+                     .withColumns({"hub": F.min("node").over(of_key), "last": F.max("node").over(of_key)})
+                     .filter("hub != last").select("key", "node", "hub").distinct(), "members")
+    near = (members.filter("node != hub").groupBy(F.col("node").alias("u"), F.col("hub").alias("v"))
+            .agg(F.count("*").alias("shared")))
     hub_pairs = stored(_parity_filter(near, nodes, percent), "hub-pairs")
     best = hub_pairs.groupBy("u").agg(F.max_by("v", F.struct("shared", "v")).alias("v"))
     links = stored(_verified(best, _sets_of(raw, signed, best, size), percent), "links")
@@ -249,11 +253,10 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # what is left: pairs that share a key and lie in different components
     lost = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_keys = (lost.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
-                                         F.min("node").alias("least"), F.max("node").alias("most"),
                                          F.count("*").alias("count"))
                  .filter("a != b and count > 2").select("key"))
-    side = lost.filter("node != hub").join(open_keys, "key").select("key", "node", "n", "component")
-    side = stored(side.join(nodes.select("node", "parity"), "node"), "open-members")
+    side = lost.filter("node != hub").join(open_keys, "key").select("key", "node", "component")
+    side = stored(side.join(nodes, "node"), "open-members")
     other = side.select("key", *[F.col(c).alias(f"{c}_2") for c in ("node", "n", "component", "parity")])
     rest = (side.join(other, "key").filter(
         (F.col("node") < F.col("node_2")) & (F.col("component") != F.col("component_2"))
