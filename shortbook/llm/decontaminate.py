@@ -78,6 +78,13 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT) ->
     (same id and text) report once, as do repeated items; null ids are ids;
     other columns are not read; empty tables give no rows.
     """
+    return (held_items(docs, items, percent)
+            .groupBy("doc_id", "item_id", "n_shingles").agg(F.max("n_common").alias("n_common"))
+            .withColumn("containment", F.col("n_common") / F.col("n_shingles")))
+
+
+def held_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, copy, item_id, n_shingles, n_common); ``copy`` is a hash of the text."""
     sketches = stored(item_sketches(items.select(F.col("item_id").cast("long"), "text"), percent),
                       "item-sketches")
     top = sketches.agg(F.max(F.expr("array_max(sketch)"))).first()[0]
@@ -108,23 +115,23 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT) ->
     return (held.join(candidates, (F.col("copy") == F.col("c_copy"))
                       & F.col("doc_id").eqNullSafe(F.col("c_doc")))
             .join(exact, F.col("item_id").eqNullSafe(F.col("of_item")))
-            .select("doc_id", "item_id", F.col("n").cast("long").alias("n_shingles"),
+            .select("doc_id", "copy", "item_id", F.col("n").cast("long").alias("n_shingles"),
                     F.size(F.array_intersect("held", "grams")).cast("long").alias("n_common"))
-            .filter(100 * F.col("n_common") >= percent * F.col("n_shingles"))
-            .groupBy("doc_id", "item_id", "n_shingles").agg(F.max("n_common").alias("n_common"))
-            .withColumn("containment", F.col("n_common") / F.col("n_shingles")))
+            .filter(100 * F.col("n_common") >= percent * F.col("n_shingles")))
 
 
 def _result(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
-        [], "doc_id long, item_id long, n_shingles long, n_common long, containment double")
+        [], "doc_id long, copy long, item_id long, n_shingles long, n_common long")
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the documents (by id) that hold an item."""
-    found = stored(contamination(docs, items, percent).select(F.col("doc_id").alias("found_id")).distinct(),
+    """``docs`` without the rows that hold an item."""
+    found = stored(held_items(docs, items, percent)
+                   .select(F.col("doc_id").alias("found_id"), F.col("copy").alias("found_copy")).distinct(),
                    "contaminated")
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("found_id")), "left_anti")
+    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("found_id"))
+                     & (F.xxhash64(text_of(F.col("text"))) == F.col("found_copy")), "left_anti")
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,10 @@ scoring runs in Arrow batches on the executors and covers every window.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -367,6 +369,18 @@ def score(docs: DataFrame, model: tuple[dict, dict], folds: int = 5,
         .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def keep_clean(docs: DataFrame, model: tuple[dict, dict], threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            scores = score_texts(shared.value, b.column(b.schema.get_field_index("text")).to_pylist())
+            yield b.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score(docs, train(docs, table(spark, sf_dir, "labels")))

@@ -8,14 +8,14 @@ from shortbook.llm.components import components
 from shortbook.llm.queries import QUERIES
 
 
-def shingles(text):
+def shingles(text, size=3):
     w = (text or "").encode().lower().split()
-    return {tuple(w[k:k + 3]) for k in range(max(1, len(w) - 2))} if w else set()
+    return {tuple(w[k:k + size]) for k in range(max(1, len(w) - size + 1))} if w else set()
 
 
-def brute(rows):
+def brute(rows, size=3, percent=90):
     """(doc_id, text) -> the query's rows, by all pairs."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, size) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(i):
@@ -26,7 +26,8 @@ def brute(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and 100 * len(a & b) >= 90 * len(a | b):
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) \
+                    and 100 * len(a & b) >= percent * len(a | b):
                 root[find(i)] = find(j)
     out = []
     for i, (doc_id, _) in enumerate(rows):
