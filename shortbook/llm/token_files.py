@@ -36,13 +36,16 @@ from shortbook.session import scratch_dir
 MAGIC = b"DAC1"
 WORDS_PER_RANK = 8
 BLOCK_TOKENS = 1 << 18
-MEMO_CHUNKS = 200_000
+MEMO_CHUNKS = 250_000
 BLOCKS = ("shard int, block long, start long, n_tokens long, doc_ids array<long>, "
           "doc_tokens array<long>, payload binary")
 
 # white space besides the space and the newline: such texts are encoded in one piece
 OTHER_SPACE = re.compile(r"[^\S \n]")
-CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+# a run of Latin letters in front of something that is no letter, or else all up to the next space
+CHUNK = re.compile(r"[ \n]*[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+(?=[\x00-@\[-`{-\x7F]|\Z)"
+                   r"|[ \n]*[^ \n]+|[ \n]+")
+WORD = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+\Z")
 
 
 def encode_codes(ids: np.ndarray) -> bytes:
@@ -129,38 +132,68 @@ def tokenizer(path: str):
     return t
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The characters that byte-level vocabularies write bytes with: a byte that
+    prints is its Latin-1 character, the others follow from 256 on."""
+    shown = [b for b in range(256) if b != 0x20 and chr(b).isprintable()]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class Encoder:
     """The tokenizer with a bounded memo of chunks.
 
-    Its pattern never joins a white-space run to what stands before it, so a
-    text's ids are those of its chunks, each a run of spaces and newlines with
-    the word behind it. Chunks seen before are not encoded again."""
+    Its pattern never joins a white-space run to what stands before it, nor a
+    letter to a following character that is no letter. So a text's ids are
+    those of its chunks: runs of spaces and newlines with the letters or the
+    rest of a word behind them. Chunks seen before are not encoded again. A
+    chunk of letters behind one space at most is a single piece of the
+    pattern, so it goes straight to the library's merges."""
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
+        split = self.tokenizer.pre_tokenizer
+        self.bytes = byte_alphabet() if (type(split).__name__ == "ByteLevel" and not split.add_prefix_space
+                                         and self.tokenizer.normalizer is None) else None
+        # chunks met since the last turn, and those met before it
         self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
+        return [struct.pack(f"<{len(e)}I", *e.ids)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, new: set[str]) -> None:
+        memo, old, rest = self.memo, self.old, []
+        merge = self.tokenizer.model.tokenize
+        for c in new:
+            if (raw := old.get(c)) is not None:
+                memo[c] = raw
+            elif self.bytes and WORD.match(c):
+                ids = [t.id for t in merge(c.encode().decode("latin-1").translate(self.bytes))]
+                memo[c] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append(c)
+        memo.update(zip(rest, self._raw(rest), strict=True))
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian u32."""
         if OTHER_SPACE.search(text):
             return self._raw([text])[0]
         chunks = CHUNK.findall(text)
-        own = dict.fromkeys(chunks)
-        new = [c for c in own if c not in self.memo]
+        new = set(chunks).difference(self.memo)
         if len(self.memo) + len(new) > MEMO_CHUNKS:
-            self.memo.clear()
-            new = list(own)
-        self.memo.update(zip(new, self._raw(new), strict=True))
+            self.memo, self.old = {}, self.memo
+            new = set(chunks)
+        if new:
+            self._learn(new)
         return b"".join(map(self.memo.__getitem__, chunks))
 
 
 def token_blocks(docs: DataFrame, order: list[Column], vocabulary: str | None = None,
                  end_id: int = 0, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks in ascending ``order``: shards are ranges of it, one per task. A block ends with the document that fills it,
+    """Blocks in ascending ``order``: shards are ranges of it, one per task
+    (the order columns are numbers: a sample of them reaches the driver). A block ends with the document that fills it,
     so it is larger than ``block_tokens`` by one document at most."""
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
     schema = _arrow_schema(docs.sparkSession, BLOCKS)
@@ -193,7 +226,7 @@ def token_blocks(docs: DataFrame, order: list[Column], vocabulary: str | None =
 
     keys = [c.asc_nulls_first() for c in order]
     # only id and text go to Python; other order columns end at the sort
-    return (docs.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
+    return (docs.repartitionByRange(*keys).sortWithinPartitions(*keys, "text").select("doc_id", "text")
             .mapInArrow(write, BLOCKS))
 
 
@@ -208,8 +241,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                       text_of(F.col(text_col)).alias("text"),
                       *[c.alias(f"by_{k}") for k, c in enumerate(order or [])])
     by = [F.col(f"by_{k}") for k in range(len(order or []))]
-    by = by or [F.col("doc_id"), F.col("text")]
-    token_blocks(own, by, vocabulary).write.parquet(path)
+    token_blocks(own, by or [F.col("doc_id")], vocabulary).write.parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:

@@ -57,7 +57,7 @@ def test_memo_is_bounded(monkeypatch):
     for k in range(30):
         text = " ".join(f"w{k}x{j}" for j in range(20))
         assert np.frombuffer(e.encode(text), "<u4").tolist() == plain([text])[0][:-1]
-        assert len(e.memo) <= 50
+        assert len(e.memo) <= 50 and len(e.old) <= 50
 
 
 def test_edges_and_direct_access_to_files(spark):
