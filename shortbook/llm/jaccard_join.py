@@ -12,8 +12,9 @@ singly by the plain prefix. No link is lost.
 
 Identical sets are one node. Each index key first offers only the pairs of its
 least node; the nodes' best pairs are verified on the whole sets and joined to
-components. Then all other pairs that share a key and still lie in different
-components are verified. A bitmap of token parities, whose differences are
+components, and so are random neighbours among the members of each key. Then
+all other pairs that share a key and still lie in different components are
+verified. A bitmap of token parities, whose differences are
 never more than the sets' differences, rules out most pairs before that.
 """
 
@@ -124,8 +125,13 @@ def index_keys(tokens: np.ndarray, classes: np.ndarray, frequent: int, percent:
 
 def parity(tokens: np.ndarray) -> np.ndarray:
     """Bit k: whether an odd number of tokens falls on it. The bits in which
-    two sets differ are no more than the tokens in which they differ."""
-    bits = np.bincount((tokens >> np.uint64(7)) % np.uint64(PARITY_BITS), minlength=PARITY_BITS) & 1
+    two sets differ are no more than the tokens in which they differ. Larger
+    sets have more bits, by powers of two; adding the halves of a bitmap up
+    makes the one of half its size."""
+    size = PARITY_BITS
+    while size < len(tokens):
+        size *= 2
+    bits = np.bincount(((tokens >> np.uint64(7)) % np.uint64(size)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
@@ -205,7 +211,14 @@ def signed_documents(raw: DataFrame, size: int, percent: int) -> DataFrame:
 def _close(n1: Column, n2: Column, p1: Column, p2: Column, percent: int) -> Column:
     """Necessary for a link: sizes, and the parities' differing bits. Linked
     sets differ in at most (n1 + n2)(100 - p)/(100 + p) tokens."""
-    bits = F.aggregate(F.zip_with(p1, p2, lambda a, b: F.bit_count(a.bitwiseXOR(b)).cast("int")),
+    def fold(p: Column, other: Column) -> Column:
+        """Linked sets differ in size by less than a factor of two."""
+        half = F.shiftright(F.size(p), 1)
+        both = F.zip_with(F.slice(p, 1, half), F.slice(p, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(p) > F.size(other), both).otherwise(p)
+
+    bits = F.aggregate(F.zip_with(fold(p1, p2), fold(p2, p1),
+                                  lambda a, b: F.coalesce(F.bit_count(a.bitwiseXOR(b)).cast("int"), F.lit(0))),
                        F.lit(0), lambda s, x: s + x)
     return ((100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
             & ((100 + percent) * bits <= (100 - percent) * (n1 + n2)))
@@ -250,8 +263,19 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = stored(_verified(best, _sets_of(raw, signed, best, size), percent), "links")
     found = stored(components(links), "first-components")
 
+    # large groups join up by random neighbours: every key has an order of its own
+    ring = Window.partitionBy("key").orderBy(F.xxhash64("node", "key"), "node")
+    ringed = _labelled(members, found).withColumns({
+        "v": F.lead("node").over(ring), "cv": F.lead("component").over(ring)})
+    near = (ringed.filter("v is not null and component != cv")
+            .select(F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v"), F.lit(1).alias("shared"))
+            .distinct())
+    rings = stored(_parity_filter(near, nodes, percent).select("u", "v"), "ring-pairs")
+    links = links.union(stored(_verified(rings, _sets_of(raw, signed, rings, size), percent), "ring-links"))
+    found = stored(components(links), "second-components")
+
     # what is left: pairs that share a key and lie in different components
-    lost = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lost = _labelled(members, found)
     open_keys = (lost.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
                                          F.count("*").alias("count"))
                  .filter("a != b and count > 2").select("key"))
@@ -280,6 +304,10 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     .alias("component_id")))
 
 
+def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
+    return members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def _parity_filter(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     a = nodes.select(F.col("node").alias("u"), F.col("n").alias("n1"), F.col("parity").alias("p1"))
     b = nodes.select(F.col("node").alias("v"), F.col("n").alias("n2"), F.col("parity").alias("p2"))
