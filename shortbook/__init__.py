@@ -4,6 +4,6 @@ Stock-loan change tracking, canned analytics, per-ticker features, splits,
 data quality and a run ledger, all expressed with the DataFrame / SQL API.
 """
 
-from shortbook.session import get_spark, scratch_dir, sized_broadcast
+from shortbook.session import get_spark, scratch_dir
 
-__all__ = ["get_spark", "scratch_dir", "sized_broadcast"]
+__all__ = ["get_spark", "scratch_dir"]

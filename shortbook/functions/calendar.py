@@ -14,10 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shortbook.session import sized_broadcast
-
-HOLIDAY_TABLE_BROADCAST_MAX = 1_000_000
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -68,8 +64,8 @@ def holiday_table(calendar: DataFrame, date_col: str = "monday") -> DataFrame:
 
 def first_business_days(calendar: DataFrame, holidays: DataFrame, date_col: str = "monday") -> DataFrame:
     """A Monday that is a holiday moves to Tuesday. ``holidays`` has one
-    ``holiday`` date column; broadcast when its size is proven small."""
-    h = sized_broadcast(holidays.select("holiday").distinct(), HOLIDAY_TABLE_BROADCAST_MAX)
+    ``holiday`` date column."""
+    h = holidays.select("holiday").distinct()
     j = calendar.join(h, calendar[date_col] == h["holiday"], "left")
     is_h = F.col("holiday").isNotNull()
     return j.select(

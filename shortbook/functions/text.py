@@ -52,16 +52,22 @@ def null_placeholders(c, tokens=("NA", "")) -> Column:
 
 def to_double(c) -> Column:
     """V4: numeric coercion, bad text -> null (``try_cast``), NaN -> null."""
-    d = col(c).cast("string").try_cast("double")
-    return F.nanvl(d, F.lit(None).cast("double"))
+    return _number(col(c).cast("string"))
+
+
+# text that a number may have; Java's own suffixes (5d, 1.5F) are not numbers
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?\s*$"
+
+
+def _number(text: Column) -> Column:
+    return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
 
 
 def clean_numeric(c, remove_dollar: bool = True) -> Column:
     """V5, reference-equal: drop ',', '$' (optional) and '(' ')' then parse.
     The parentheses' negative sign is *dropped*, as in the original check."""
     chars = r"[,$()]" if remove_dollar else r"[,()]"
-    d = F.regexp_replace(col(c).cast("string"), chars, "").try_cast("double")
-    return F.nanvl(d, F.lit(None).cast("double"))
+    return _number(F.regexp_replace(col(c).cast("string"), chars, ""))
 
 
 def clean_money(c, signed: bool = True) -> Column:

@@ -20,11 +20,6 @@ from pyspark.sql import functions as F
 from shortbook.names import col as qcol, cols as qcols
 
 from shortbook.schemas import CHANGE_COLS, SYMBOL_COL
-from shortbook.session import sized_broadcast
-
-# A snapshot manifest (one row per country and snapshot) is broadcast up to
-# this many rows; a decade of hourly snapshots for 100 countries is ~9M.
-MANIFEST_BROADCAST_MAX = 2_000_000
 
 
 def _distinct_from(a: Column, b: Column) -> Column:
@@ -139,8 +134,14 @@ def change_history(
     # uses below are the same broadcast (reused)
     man = number_snapshots(rows, country, snapshot)
     man = man.withColumn("_prev", F.lag(snapshot).over(Window.partitionBy(country).orderBy("_n")))
-    man_b = sized_broadcast(man.select(country, snapshot, "_n", "_prev"), MANIFEST_BROADCAST_MAX)
-    reps = reps.join(man_b, [country, snapshot]).drop("_prev")
+    man = man.select(F.col(country).alias("_m_country"), F.col(snapshot).alias("_m_snap"), "_n", "_prev")
+
+    def with_manifest(df: DataFrame) -> DataFrame:
+        """N:1 join on the snapshot; rows without a country are a country of their own."""
+        return df.join(man, F.col(country).eqNullSafe(F.col("_m_country"))
+                       & F.col(snapshot).eqNullSafe(F.col("_m_snap"))).drop("_m_country", "_m_snap")
+
+    reps = with_manifest(reps).drop("_prev")
     w = Window.partitionBy(country, sym).orderBy("_n")
     prev_n = F.lag("_n", 1).over(w)
     changed = prev_n.isNull() | (prev_n != F.col("_n") - 1)
@@ -156,9 +157,9 @@ def change_history(
         F.col(country).alias("_p_country"), F.col(sym).alias("_p_sym"), F.col(snapshot).alias("_p_snap"),
         *[F.col(c).alias(f"_p_{c}") for c in cols], "_rep_ts", F.lit(True).alias("_p_hit"),
     )
-    keyed = rows.join(man_b, [country, snapshot]).drop("_n")
+    keyed = with_manifest(rows).drop("_n")
     cond = (
-        (F.col(country) == F.col("_p_country"))
+        F.col(country).eqNullSafe(F.col("_p_country"))
         & F.col(sym).eqNullSafe(F.col("_p_sym"))
         & (F.col("_prev") == F.col("_p_snap"))
     )
@@ -220,7 +221,7 @@ def change_history_incremental(
     late = rows.limit(0).groupBy(country).agg(F.count(F.lit(1)).alias("late_rows"))
     if prev_manifest is not None:
         pm = prev_manifest.select(country, F.col("_last_snapshot"), F.col("_last_n"))
-        batch_man = batch_man.join(sized_broadcast(pm, MANIFEST_BROADCAST_MAX), country, "left")
+        batch_man = batch_man.join(pm, country, "left")
         is_new = F.col("_last_snapshot").isNull() | (F.col(snapshot) > F.col("_last_snapshot"))
         late_snaps = batch_man.where(~is_new).select(country, snapshot)
         late = rows.join(late_snaps, [country, snapshot], "left_semi").groupBy(country).agg(
@@ -231,7 +232,7 @@ def change_history_incremental(
     w_m = Window.partitionBy(country).orderBy(snapshot)
     batch_man = batch_man.select(
         country, snapshot, (F.coalesce(F.col("_last_n"), F.lit(0)) + F.row_number().over(w_m)).alias("_n"))
-    numbered = rows.join(sized_broadcast(batch_man, MANIFEST_BROADCAST_MAX), [country, snapshot])
+    numbered = rows.join(batch_man, [country, snapshot])
     reps = last_per_key(numbered.withColumn("_o", o), [country, sym, "_n"], "_o", [*cols, snapshot_time])
     reps = reps.withColumn("_state", F.lit(False)).withColumn("_rep_ts", F.lit(None).cast("timestamp_ntz"))
     if prev_reps is not None:

@@ -34,7 +34,7 @@ def _per_ticker(expr: Column, group_cols: Sequence[str]) -> Column:
     return F.when(_keys_present(group_cols), expr)
 
 
-def _with_window(df, group_cols, time_col, tie_breakers, build, lookback=0, lookahead=0, skew_safe="auto"):
+def _with_window(df, group_cols, time_col, tie_breakers, build, lookback=0, lookahead=0, skew_safe=False):
     """Add ``build(w)`` columns over the per-group ordered window ``w``.
 
     ``skew_safe=True`` runs through ``segmented_window`` so no group is ever
@@ -108,7 +108,7 @@ def z_score_feature(col, window=DEFAULT_ZSCORE_WINDOW, output=None, group_cols=(
 
 
 def add_ticker_features(df, feats, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP", tie_breakers=(),
-                        skew_safe="auto"):
+                        skew_safe=False):
     """Several per-ticker features in one window pass (one shuffle)."""
     feats = list(feats)
     if not feats:
@@ -119,14 +119,14 @@ def add_ticker_features(df, feats, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP
 
 
 def add_lag(df, col, periods=1, output=None, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP", tie_breakers=(),
-            skew_safe="auto"):
+            skew_safe=False):
     """Value ``periods`` rows earlier in the ticker (negative = later)."""
     return add_ticker_features(df, [lag_feature(col, periods, output, group_cols)], group_cols, time_col,
                                tie_breakers, skew_safe)
 
 
 def add_diff(df, col, periods=1, output=None, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP", tie_breakers=(),
-             skew_safe="auto"):
+             skew_safe=False):
     """``col - lag(col, periods)`` within the ticker."""
     return add_ticker_features(df, [diff_feature(col, periods, output, group_cols)], group_cols, time_col,
                                tie_breakers, skew_safe)
@@ -134,7 +134,7 @@ def add_diff(df, col, periods=1, output=None, group_cols=(SYMBOL_COL,), time_col
 
 def add_log_returns(
     df, col="FEERATE", output="log_return", group_cols=(SYMBOL_COL,), time_col="TIMESTAMP",
-    tie_breakers=(), finite_only=False, skew_safe="auto",
+    tie_breakers=(), finite_only=False, skew_safe=False,
 ):
     """ln(x / previous x) per ticker."""
     return add_ticker_features(df, [log_return_feature(col, output, group_cols, finite_only)], group_cols,
@@ -143,7 +143,7 @@ def add_log_returns(
 
 def add_z_score(
     df, col, window=DEFAULT_ZSCORE_WINDOW, output=None, group_cols=(SYMBOL_COL,), time_col="TIMESTAMP",
-    tie_breakers=(), skew_safe="auto",
+    tie_breakers=(), skew_safe=False,
 ):
     """Rolling z-score over the last ``window`` rows of the ticker.
 
@@ -160,7 +160,7 @@ def availability_changes(
     time_col: str = "TIMESTAMP",
     tie_breakers: Sequence[str] = (),
     value_col: str = "AVAILABLE",
-    skew_safe: bool | str = "auto",
+    skew_safe: bool | str = False,
 ) -> DataFrame:
     """Rows whose availability moved by at least ``min_pct_change`` percent
     against the previous row of the ticker (SQL semantics: null SYM is a group).
@@ -201,12 +201,12 @@ def top_short_borrow(
 
 
 def ticker_history(
-    df: DataFrame, symbol: str, normalized: bool = True, time_col: str = "TIMESTAMP",
+    df: DataFrame, symbol: str, normalized: bool = False, time_col: str = "TIMESTAMP",
     tie_breakers: Sequence[str] = (),
 ) -> DataFrame:
     """Every row of one ticker, oldest first, case-insensitive.
 
-    With ``normalized`` (symbols stored upper-case, as our cleaners write them)
+    With ``normalized`` (the caller knows that symbols are stored upper-case)
     the predicate is a plain equality that reaches the Parquet scan.
     """
     target = F.lit(symbol).cast("string")

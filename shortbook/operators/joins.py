@@ -15,11 +15,6 @@ from pyspark.sql import functions as F
 from shortbook.names import cols as qcols
 
 from shortbook.functions.text import zfill
-from shortbook.session import sized_broadcast
-
-# Reference maps (CIK -> ticker: ~10k rows in practice) broadcast up to:
-MAP_BROADCAST_MAX = 5_000_000
-
 
 def map_lookup(
     df: DataFrame,
@@ -33,7 +28,7 @@ def map_lookup(
     """Left lookup; unmatched -> null; a duplicated map key keeps the
     value with the greatest ``map_order`` (last one wins)."""
     m = mapping.groupBy(map_key).agg(F.max_by(map_value, map_order).alias("_v"))
-    m = sized_broadcast(m.select(F.col(map_key).alias("_k"), "_v"), MAP_BROADCAST_MAX)
+    m = m.select(F.col(map_key).alias("_k"), "_v")
     j = df.join(m, key_expr == F.col("_k"), "left")
     return j.drop("_k").withColumnRenamed("_v", out)
 
@@ -52,7 +47,7 @@ def asof_join(
     right_time: str,
     right_cols: Sequence[str],
     right_by: Sequence[str] | None = None,
-    skew_safe: bool | str = "auto",
+    skew_safe: bool | str = False,
 ) -> DataFrame:
     """Each left row gets the latest right row of its key whose time is
     at or before the left time (a right row at an equal time counts).

@@ -108,18 +108,22 @@ class Ledger:
         merged = upsert_index(old, new) if old is not None else upsert_index(new.limit(0), new)
         version = f"{self.index_root}/v={_now().strftime('%Y%m%d%H%M%S%f')}"
         merged.write.mode("errorifexists").parquet(version)
+        self._drop_old_versions()
         return version
 
     def ticker_index(self) -> DataFrame | None:
+        """The newest complete version; one still being written is not read."""
+        from shortbook.sources.sinks import latest_version
+        version = latest_version(self.spark, self.index_root)
+        return self.spark.read.parquet(version) if version else None
+
+    def _drop_old_versions(self, keep: int = 2) -> None:
+        """Only the newest versions stay: the current one and the one that
+        readers may still hold."""
         fs, base = hadoop_fs(self.spark, self.index_root)
-        if not fs.exists(base):
-            return None
-        versions = sorted(
-            s.getPath().toString() for s in fs.listStatus(base) if s.getPath().getName().startswith("v=")
-        )
-        if not versions:
-            return None
-        return self.spark.read.parquet(versions[-1])
+        names = sorted(s.getPath().getName() for s in fs.listStatus(base) if s.getPath().getName().startswith("v="))
+        for name in names[:-keep]:
+            fs.delete(base.suffix(f"/{name}"), True)
 
 
 def runs_state(events: DataFrame) -> DataFrame:
@@ -153,13 +157,13 @@ def symbol_column(df: DataFrame) -> str | None:
     return next((c for c in df.columns if c.upper() in ("SYM", "SYMBOL")), None)
 
 
-def distinct_tickers(df: DataFrame, compat_limit: int | None = None) -> DataFrame | None:
-    """A1: distinct non-null tickers (``compat_limit`` caps by ticker order)."""
+def distinct_tickers(df: DataFrame) -> DataFrame | None:
+    """A1: distinct non-null tickers."""
     c = symbol_column(df)
     if c is None:
         return None
     t = df.select(F.col(c).alias("ticker")).dropna().distinct()
-    return t.orderBy("ticker").limit(compat_limit) if compat_limit else t
+    return t
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str] | str, order_col: str, cols: Sequence[str]) -> DataFrame:

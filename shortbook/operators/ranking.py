@@ -19,10 +19,6 @@ from shortbook.names import col as qcol, cols as qcols
 from shortbook.session import ensure_checkpoint_dir
 
 
-# A tie group at the split boundary up to this size is ranked in one task.
-BOUNDARY_ONE_TASK_MAX = 1_000_000
-
-
 def _num_partitions(df: DataFrame) -> int:
     spark = df.sparkSession
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -91,7 +87,7 @@ def add_pct_rank(
     col: str,
     output: str | None = None,
     by: str | None = "TIMESTAMP",
-    skew_safe: bool | str = "auto",
+    skew_safe: bool | str = False,
 ) -> DataFrame:
     """Average-tie rank of ``col`` / non-null count, per ``by`` value
     (cross-section at each timestamp) or over the whole table when ``by`` is
@@ -123,18 +119,7 @@ def add_pct_rank(
         ((F.col("_before") + (F.col("_c") + F.lit(1)) / F.lit(2.0)) / F.col("_group_total")).alias(out),
     )
     # N:1 join back on (group, value); null keys never match -> null output.
-    return df.join(pct, [*gcols, col], "left")
-
-
-def _join_null_safe(df: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on ``keys`` where null matches null (``<=>``)."""
-    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        cond = c if cond is None else cond & c
-    joined = df.join(renamed, cond, "left")
-    return joined.drop(*[f"_r_{k}" for k in keys])
+    return df.join(pct, [*gcols, col], "left").select(*qcols(df.columns), qcol(out))
 
 
 def time_split(
@@ -144,50 +129,41 @@ def time_split(
     tie_breakers: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Chronological split -- the first ``int(n * train_frac)`` rows in
-    (time nulls last, tie-breakers) order are train, the rest test."""
-    labeled = label_time_split(df, time_col, train_frac, tie_breakers)
-    cols = df.columns
-    return (
-        labeled.where(F.col("_train")).select(*cols),
-        labeled.where(~F.col("_train")).select(*cols),
-    )
-
-
-def label_time_split(
-    df: DataFrame,
-    time_col: str = "TIMESTAMP",
-    train_frac: float = 0.8,
-    tie_breakers: Sequence[str] = (),
-) -> DataFrame:
-    """``df`` plus boolean ``_train`` (see ``time_split``)."""
-    tnull = F.col(time_col).isNull().cast("int")
-    keyed = df.withColumn("_tnull", tnull)
-    counts = keyed.groupBy("_tnull", time_col).agg(F.count(F.lit(1)).alias("_c"))
-    cum = prefix_sums(counts, [F.col("_tnull").asc(), F.col(time_col).asc()], "_c")
-    # n from the (checkpointed) per-time counts: no separate scan of df
+    (time nulls last, tie-breakers, all other columns) order are train, the
+    rest test. Rows equal in every column are interchangeable; each row is in
+    exactly one part.
+
+    The cut is one value, known after counting rows per time: both parts are
+    filters on it. Only the rows of the boundary time are ranked."""
+    t = qcol(time_col)
+    counts = df.groupBy(t.alias("_t")).agg(F.count(F.lit(1)).alias("_c")).withColumn(
+        "_tnull", F.col("_t").isNull().cast("int"))
+    cum = prefix_sums(counts, [F.col("_tnull").asc(), F.col("_t").asc()], "_c")
     n = cum.agg(F.max("_group_total")).first()[0] or 0
     k = int(n * train_frac)  # float truncation, exactly as a sorted-prefix cut
-    is_b = (F.col("_before") < k) & (F.col("_before") + F.col("_c") > k)
-    cum = cum.select("_tnull", time_col, "_c", "_before", is_b.alias("_is_b"))
-    boundary = cum.where(F.col("_is_b")).select("_before", "_c").collect()  # at most one row
-    tagged = _join_null_safe(keyed, cum, ["_tnull", time_col])
-    whole = F.col("_before") + F.col("_c") <= k
-    drop = ["_tnull", "_c", "_before", "_is_b"]
-    if not boundary:
-        return tagged.withColumn("_train", whole).drop(*drop)
-    if not tie_breakers:
-        raise ValueError("time_split needs tie_breakers when the cut falls inside equal times")
-    need = k - boundary[0]["_before"]
-    ties = tagged.where(F.col("_is_b")).select(*tie_breakers)
-    tie_order = [F.col(c).asc_nulls_last() for c in tie_breakers]
-    if boundary[0]["_c"] <= BOUNDARY_ONE_TASK_MAX:
-        # the tie group's size is known and bounded: one ordered window
-        pos = F.row_number().over(Window.orderBy(*tie_order)) - 1
-        ranked = ties.select(*tie_breakers, (pos < need).alias("_tie_train"))
+    if k >= n:
+        return df, df.limit(0)
+    is_time = dict(df.dtypes)[time_col] == "timestamp"
+    at = F.unix_micros("_t") if is_time else F.col("_t")
+    cut = cum.where((F.col("_before") <= k) & (F.col("_before") + F.col("_c") > k)).select(
+        at.alias("at"), "_before").first()  # one row: the time that holds row k
+    need = k - cut["_before"]
+    if cut["at"] is None:
+        before, equal, after = t.isNotNull(), t.isNull(), F.lit(False)
     else:
-        ranked = prefix_sums(ties.withColumn("_one", F.lit(1)), tie_order, "_one")
-        ranked = ranked.select(*tie_breakers, (F.col("_before") < need).alias("_tie_train"))
-    out = _join_null_safe(tagged, ranked, list(tie_breakers))
-    return out.withColumn(
-        "_train", F.when(F.col("_is_b"), F.coalesce(F.col("_tie_train"), F.lit(False))).otherwise(whole)
-    ).drop(*drop, "_tie_train")
+        value = F.timestamp_micros(F.lit(cut["at"])) if is_time else F.lit(cut["at"])
+        before, equal, after = t < value, t == value, (t > value) | t.isNull()
+    if need == 0:
+        return df.where(before), df.where(F.coalesce(equal | after, F.lit(True)))
+    ties = [*tie_breakers, *[c for c in df.columns if c not in tie_breakers]]
+    tied = df.where(equal).groupBy(*qcols(ties)).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = prefix_sums(tied, [qcol(c).asc_nulls_last() for c in ties], "_c")
+    first = F.least(F.greatest(F.lit(need) - F.col("_before"), F.lit(0)), F.col("_c"))
+
+    def times(n_rows: Column) -> DataFrame:
+        """Each distinct tied row so many times."""
+        return ranked.withColumn("_n", n_rows.cast("int")).where("_n > 0").select(
+            *qcols(df.columns), F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("col")
+
+    return (df.where(before).unionByName(times(first)),
+            df.where(after).unionByName(times(F.col("_c") - first)))

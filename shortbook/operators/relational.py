@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shortbook.functions.text import NUMBER
 from shortbook.names import col as qcol
 from shortbook.schemas import SYMBOL_COL
 
@@ -76,7 +77,9 @@ def coerce_types(df: DataFrame, types: Mapping[str, T.DataType], timestamp_col:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if f.name in types and f.dataType != types[f.name]:
-            c = F.expr(f"try_cast(`{f.name}` as {types[f.name].simpleString()})")
+            text = isinstance(f.dataType, T.StringType) and isinstance(types[f.name], (T.DoubleType, T.FloatType))
+            guarded = F.when(c.rlike(NUMBER), F.trim(c)) if text else c
+            c = guarded.try_cast(types[f.name])
         if timestamp_col and f.name == timestamp_col and not isinstance(
             f.dataType, (T.TimestampType, T.TimestampNTZType)
         ):
@@ -105,11 +108,6 @@ def move_after(df: DataFrame, col: str, after: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
-def borrowable(df: DataFrame) -> DataFrame:
-    """AVAILABLE > 0 (a pushed Parquet filter)."""
-    return df.where(F.col("AVAILABLE") > 0)
-
-
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 

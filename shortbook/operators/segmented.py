@@ -129,17 +129,10 @@ HOT_GROUP_FACTOR = 2.0
 
 def group_stats(df: DataFrame, group_cols: Sequence[str]) -> tuple[int, int]:
     """(largest group, total rows) from one pruned, partially aggregated
-    pass over the group columns; results are cached per DataFrame plan."""
-    cols = tuple(group_cols)
-    if _STATS.get("df") is not df or _STATS.get("cols") != cols:
-        sizes = df.groupBy(*qcols(group_cols)).agg(F.count(F.lit(1)).alias("_n"))
-        row = sizes.agg(F.max("_n").alias("mx"), F.sum("_n").alias("tot")).first()
-        val = (int(row["mx"] or 0), int(row["tot"] or 0)) if row is not None else (0, 0)
-        _STATS.update(df=df, cols=cols, val=val)  # keeps the frame alive: no id reuse
-    return _STATS["val"]
-
-
-_STATS: dict = {}
+    pass over the group columns."""
+    sizes = df.groupBy(*qcols(group_cols)).agg(F.count(F.lit(1)).alias("_n"))
+    row = sizes.agg(F.max("_n").alias("mx"), F.sum("_n").alias("tot")).first()
+    return int(row["mx"] or 0), int(row["tot"] or 0)
 
 
 def has_hot_group(df: DataFrame, group_cols: Sequence[str], num_partitions: int | None = None,
@@ -153,7 +146,8 @@ def has_hot_group(df: DataFrame, group_cols: Sequence[str], num_partitions: int
 
 
 def resolve_skew_safe(skew_safe, df: DataFrame, group_cols: Sequence[str]) -> bool:
-    """``True`` / ``False`` as given; ``"auto"`` decides from the data."""
+    """``True`` / ``False`` as given (no job runs); ``"auto"``, on request
+    only, measures the groups first."""
     if skew_safe == "auto":
         return has_hot_group(df, group_cols)
     return bool(skew_safe)

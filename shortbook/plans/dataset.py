@@ -25,7 +25,7 @@ class TradingDataset:
         df: DataFrame | None = None,
         tie_breakers: Sequence[str] = (),
         pending: tuple = (),
-        skew_safe: bool | str = "auto",
+        skew_safe: bool | str = False,
     ):
         self.spark = spark
         self.catalog = catalog
@@ -44,7 +44,7 @@ class TradingDataset:
 
     def _add(self, feat, group_cols, tie_breakers) -> "TradingDataset":
         if self._df is None:
-            raise RuntimeError("Call .load() or .load_sql() first")
+            raise RuntimeError("no data yet: load() or load_sql() comes before features")
         key = (tuple(group_cols), tuple(tie_breakers) if tie_breakers is not None else self.tie_breakers)
         if self._pending and self._pending[0][0] != key:
             return self._with(self.df)._add(feat, group_cols, tie_breakers)
@@ -53,7 +53,7 @@ class TradingDataset:
     @property
     def df(self) -> DataFrame:
         if self._df is None:
-            raise RuntimeError("Call .load() or .load_sql() first")
+            raise RuntimeError("no data yet: load() or load_sql() comes before features")
         if not self._pending:
             return self._df
         (group_cols, ties), _ = self._pending[0]
@@ -119,19 +119,19 @@ class TradingDataset:
         self.to_matrix(feature_cols, target_col, keep).write.mode("overwrite").parquet(path)
         return path
 
-    def _bounded(self, max_rows: int) -> DataFrame:
-        from shortbook.session import fits
-        if not fits(self.df, max_rows):
-            raise ValueError(f"more than {max_rows} rows: write_matrix() to Parquet shards instead")
+    def _bounded(self, max_rows: int | None) -> DataFrame:
+        """The rows, or an error if an asked-for bound is passed (one count)."""
+        if max_rows is not None and (n := self.df.count()) > max_rows:
+            raise ValueError(f"{n} rows, more than the {max_rows} asked for: write_matrix() makes Parquet shards")
         return self.df
 
-    def to_pandas(self, max_rows: int = 1_000_000):
-        """Small results only: refuses more than ``max_rows`` rows."""
+    def to_pandas(self, max_rows: int | None = None):
+        """All rows on the driver; with ``max_rows`` larger results are refused."""
         return self._bounded(max_rows).toPandas()
 
-    def to_numpy(self, feature_cols=None, target_col=None, max_rows: int = 1_000_000):
-        """(X float32, y float32 or None) for small results (Arrow transfer);
-        refuses more than ``max_rows`` rows."""
+    def to_numpy(self, feature_cols=None, target_col=None, max_rows: int | None = None):
+        """(X float32, y float32 or None) on the driver (Arrow transfer); with
+        ``max_rows`` larger results are refused."""
         import numpy as np
         self._bounded(max_rows)
         tbl = self.to_matrix(feature_cols, target_col).toArrow()

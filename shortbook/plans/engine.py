@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shortbook.operators import features
-from shortbook.schemas import DEFAULT_MIN_PCT_CHANGE, DEFAULT_TOP_N
+from shortbook.schemas import DEFAULT_MIN_PCT_CHANGE, DEFAULT_TOP_N, TIE_BREAKERS
 from shortbook.sources.catalog import Catalog
 
 
@@ -50,7 +50,9 @@ class QueryEngine:
     def query_source(
         self, source: str, columns: str = "*", where: str = "", order_by: str = "", limit: int = 0
     ) -> DataFrame:
-        q = f"SELECT {columns} FROM {{src}}"
+        # braces in the caller's text are text, not template fields
+        select, where, order_by = (s.replace("{", "{{").replace("}", "}}") for s in (columns, where, order_by))
+        q = f"SELECT {select} FROM {{src}}"
         if where:
             q += f" WHERE {where}"
         if order_by:
@@ -68,13 +70,13 @@ class QueryEngine:
         return features.top_short_borrow(self.catalog.read("stock_loan"), n)
 
     # T2
-    def ticker_history(self, symbol: str, normalized: bool = True) -> DataFrame:
+    def ticker_history(self, symbol: str, normalized: bool = False) -> DataFrame:
         df = self.catalog.read("stock_loan")
-        ties = [c for c in ("SEQ",) if c in df.columns]
+        ties = [c for c in TIE_BREAKERS if c in df.columns]
         return features.ticker_history(df, symbol, normalized=normalized, tie_breakers=ties)
 
     # W1
     def availability_changes(self, min_pct_change: float = DEFAULT_MIN_PCT_CHANGE) -> DataFrame:
         df = self.catalog.read("stock_loan")
-        ties = [c for c in ("SEQ",) if c in df.columns]
+        ties = [c for c in TIE_BREAKERS if c in df.columns]
         return features.availability_changes(df, min_pct_change, tie_breakers=ties)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from shortbook.functions import calendar, meetings
 from shortbook.functions.text import filing_link
 from shortbook.operators import changes, joins, ledger as ledger_ops, relational
-from shortbook.schemas import ATS_TYPES, EARNINGS_TYPES, STOCK_LOAN_RENAMES, STOCK_LOAN_TYPES
+from shortbook.schemas import ATS_TYPES, EARNINGS_TYPES, FOMC_SCHEMA, STOCK_LOAN_RENAMES, STOCK_LOAN_TYPES
 from shortbook.session import hadoop_fs
 from shortbook.sources import csv as csv_src
 from shortbook.sources import sinks, snapshots
@@ -69,7 +69,7 @@ def meeting_rows(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     df = meetings.meeting_flags(raw, "Dates")
     df = meetings.keep_complete(df)
     return df.select(
-        *keep, F.col("Year").cast("long").alias("Year"), "Month", "Dates",
+        *keep, F.col("Year").try_cast("long").alias("Year"), "Month", "Dates",
         "Summary of Economic Projections", "Unscheduled", "Cancelled", "Notation Vote",
         meetings.transcript_link("href").alias("Transcript HTML Link"),
         meetings.release_date("minutes_text").alias("Transcript Release Date"),
@@ -77,9 +77,14 @@ def meeting_rows(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def meetings_job(pages: DataFrame, out_path: str) -> int:
-    """Pages -> meeting rows -> CSV; nothing is written when empty."""
+    """Pages -> meeting rows -> CSV; nothing is written when empty. Pages
+    that cannot be read are logged with their number, not dropped in silence."""
     from shortbook.sources import html
-    rows = meeting_rows(html.meeting_records(pages))
+    raw = html.meeting_records(pages)
+    failed = raw.where(F.col("error").isNotNull())
+    if n_failed := failed.count():
+        log.warning("%d meeting pages could not be read, e.g. %s", n_failed, failed.first()["error"])
+    rows = meeting_rows(raw)
     if rows.isEmpty():
         return 0
     sinks.write_csv(rows, out_path)
@@ -88,18 +93,6 @@ def meetings_job(pages: DataFrame, out_path: str) -> int:
 
 # ------------------------------------------------------------------ G8
 
-NASDAQ_RECORD_SCHEMA = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("symbol", T.StringType()),
-    T.StructField("marketCap", T.StringType()),
-    T.StructField("epsForecast", T.StringType()),
-    T.StructField("time", T.StringType()),
-    T.StructField("fiscalQuarterEnding", T.StringType()),
-    T.StructField("noOfEsts", T.StringType()),
-    T.StructField("lastYearEPS", T.StringType()),
-])
-
-
 def earnings_calendar_job(records: DataFrame, out_path: str, date_col: str, scraped_at: str) -> str:
     """API records -> daily CSV (header names of the calendar files),
     appended per day (K2). Missing fields become empty text."""
@@ -161,11 +154,12 @@ def convert_all(spark: SparkSession, raw_root: str, out_root: str, sources: Sequ
         "stock_loan": (f"{raw}/stock_loan", lambda p: (lambda r: (r["path"], r["rows"]))(
             stock_loan_job(spark, p, out, publish_stamp=stamp))),
         "earnings": (f"{raw}/earnings_calendar.csv", lambda p: _write(
-            csv_src.read_csv_table(spark, p, EARNINGS_TYPES), f"{out}/parquet/earnings")),
+            csv_src.read_csv_table(spark, p, EARNINGS_TYPES, na_compat=True), f"{out}/parquet/earnings")),
         "nasdaq_earnings": (f"{raw}/nasdaq_earnings_upload", lambda p: _write(
-            csv_src.read_csv_union(spark, p), f"{out}/parquet/nasdaq_earnings")),
+            csv_src.read_csv_union(spark, p, na_compat=True).drop("_file"), f"{out}/parquet/nasdaq_earnings")),
         "fomc": (f"{raw}/fomc_meeting_times.csv", lambda p: _write(
-            csv_src.read_csv_table(spark, p, None, infer=True), f"{out}/parquet/fomc")),
+            csv_src.read_csv_table(spark, p, {f.name: f.dataType for f in FOMC_SCHEMA}, na_compat=True),
+            f"{out}/parquet/fomc")),
         "ats_otc": (f"{raw}/ats_upload", lambda p: _write(
             csv_src.read_csv_union(spark, p, ATS_TYPES), f"{out}/parquet/ats_otc",
             ["initialPublishedDate"])),
@@ -184,7 +178,7 @@ def convert_all(spark: SparkSession, raw_root: str, out_root: str, sources: Sequ
             results.append({"source": name, "status": "converted", "path": path, "rows": rows})
         except Exception as e:  # noqa: BLE001 - one source failing must not stop the rest
             log.error("convert failed for %s: %s", name, e)
-            results.append({"source": name, "status": "failed", "path": None, "error": str(e)[:500]})
+            results.append({"source": name, "status": "failed", "path": None, "error": str(e)})
     return results
 
 
@@ -199,37 +193,60 @@ def _publish(df: DataFrame, base: str, stamp: str, partition_by: Sequence[str] =
 
 
 def full_run(spark: SparkSession, raw_root: str, out_root: str, ledger_root: str,
-             sources: Sequence[str] | None = None) -> DataFrame:
+             sources: Sequence[str] | None = None, track: bool = True) -> DataFrame:
     """Convert -> publish -> log files -> index tickers -> finish.
-    Counts come from Parquet footers of the written data. Ends 'success',
-    'partial' (some source failed) or 'failed' (none converted)."""
-    led = ledger_ops.Ledger(spark, ledger_root)
-    run_id = led.start_run("all" if sources is None else ",".join(sources), "convert_upload")
+    Counts are observed while the tables are written. Ends 'success',
+    'partial' (some source failed) or 'failed' (none converted). The tables
+    matter more than the ledger: when it cannot be written, or ``track`` is
+    off, the run goes on without it and its rows have no run id."""
+    tracker = _Tracker(spark, ledger_root if track else None)
+    tracker.call("start", "all" if sources is None else ",".join(sources))
     results = convert_all(spark, raw_root, out_root, sources)
-    total, files = 0, 0
     for r in results:
-        if r["status"] != "converted":
-            continue
-        df = spark.read.parquet(r["path"])  # schema only; the count came from the write
-        n = r["rows"]
-        fs, p = hadoop_fs(spark, r["path"])
-        size = int(fs.getContentSummary(p).getLength())
-        led.log_file(run_id, r["path"], r["source"], n, size, {f.name: f.dataType.simpleString() for f in df.schema})
-        tickers = ledger_ops.distinct_tickers(df)
-        if tickers is not None:
-            led.index_tickers(run_id, r["source"], tickers)
-        r["rows"] = n
-        total += n
-        files += 1
+        if r["status"] == "converted":
+            tracker.call("log", r)
     failed = any(r["status"] == "failed" for r in results)
-    status = "failed" if files == 0 and failed else ("partial" if failed else "success")
-    if files:  # A4 from the ledger's own file log
-        t = ledger_ops.run_totals(led.files().where(F.col("run_id") == run_id)).first()
-        total, files = int(t["rows_processed"]), int(t["files_uploaded"])
-    led.finish_run(run_id, status, total, files)
+    done = any(r["status"] == "converted" for r in results)
+    tracker.call("finish", "failed" if failed and not done else ("partial" if failed else "success"), done)
     schema = "run_id string, source string, status string, path string, rows long"
     return spark.createDataFrame(
-        [(run_id, r["source"], r["status"], r.get("path"), r.get("rows")) for r in results], schema)
+        [(tracker.run_id, r["source"], r["status"], r.get("path"), r.get("rows")) for r in results], schema)
+
+
+class _Tracker:
+    """The ledger of one run; its first failure ends the tracking, not the run."""
+
+    def __init__(self, spark: SparkSession, root: str | None):
+        self.spark, self.run_id = spark, None
+        self.ledger = ledger_ops.Ledger(spark, root) if root else None
+
+    def call(self, step: str, *args) -> None:
+        if self.ledger is None:
+            return
+        try:
+            getattr(self, f"_{step}")(*args)
+        except Exception as e:  # noqa: BLE001 - whatever the ledger's store raises
+            log.warning("run %s goes on without tracking: %s", self.run_id, e)
+            self.ledger = None
+
+    def _start(self, what: str) -> None:
+        self.run_id = self.ledger.start_run(what, "convert_upload")
+
+    def _log(self, r: dict) -> None:
+        df = self.spark.read.parquet(r["path"])  # schema only; the count came from the write
+        fs, p = hadoop_fs(self.spark, r["path"])
+        self.ledger.log_file(self.run_id, r["path"], r["source"], r["rows"],
+                             int(fs.getContentSummary(p).getLength()),
+                             {f.name: f.dataType.simpleString() for f in df.schema})
+        if (tickers := ledger_ops.distinct_tickers(df)) is not None:
+            self.ledger.index_tickers(self.run_id, r["source"], tickers)
+
+    def _finish(self, status: str, done: bool) -> None:
+        rows = files = 0
+        if done:  # A4 from the ledger's own file log
+            t = ledger_ops.run_totals(self.ledger.files().where(F.col("run_id") == self.run_id)).first()
+            rows, files = int(t["rows_processed"]), int(t["files_uploaded"])
+        self.ledger.finish_run(self.run_id, status, rows, files)
 
 
 def status_report(spark: SparkSession, parquet_dir: str) -> DataFrame:

@@ -32,7 +32,6 @@ from pyspark.sql import types as T
 CHANGE_COLS = ["AVAILABLE", "FEERATE", "REBATERATE"]
 SYMBOL_COL = "SYM"
 SNAPSHOT_PLACEHOLDERS = ["NA", ""]
-SNAPSHOT_FOLDER_REGEX = r"^\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}$"
 SNAPSHOT_FOLDER_FORMAT = "yyyy-MM-dd_HH-mm-ss"
 BOF_FORMAT = "yyyy.M.d H:m:s"
 
@@ -49,7 +48,6 @@ MARKET_CAP_MAX = 5e12
 EPS_FORECAST_MIN = -10.0
 EPS_FORECAST_MAX = 50.0
 
-TICKER_INDEX_CAP = 5000
 DEFAULT_TOP_N = 50
 DEFAULT_ZSCORE_WINDOW = 20
 DEFAULT_MIN_PCT_CHANGE = 50.0
@@ -83,11 +81,6 @@ EARNINGS_TYPES = {
     "currency": T.StringType(),
 }
 
-NASDAQ_EARNINGS_COLUMNS = [
-    "Company Name", "Symbol", "Market Cap", "EPS Forecast", "Time",
-    "Fiscal Quarter Ending", "No. of ESTs", "Last Year's EPS", "Scraped At",
-]
-
 # API record field -> CSV header, in file order.
 NASDAQ_RECORD_FIELDS = [
     ("name", "Company Name"),
@@ -124,3 +117,6 @@ SOURCE_NAMES = [
     "stock_loan", "earnings", "nasdaq_earnings", "fomc", "ats_otc",
     "edgar_filings",
 ]
+
+# order of rows with equal times, as far as a table has these columns
+TIE_BREAKERS = ("SEQ", "COUNTRY", "CON")

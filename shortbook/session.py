@@ -6,8 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 # Session defaults: UI off, UTC, ANSI on, AQE with coalescing and skew-join
 # splitting. Shuffle width and split size are cluster-tunable through
@@ -54,7 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` (or an already-set SparkContext checkpoint dir)
-    wins. Only when neither is set -- local tests -- a private folder is made.
+    wins. Only when neither is set and the master is local, a private folder
+    is made; on a cluster executors would not see it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="shortbook-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -84,23 +86,6 @@ def local_path(path: str) -> str:
     return path
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Runs as an
-    incremental take (partitions are scanned progressively and the scan
-    stops once max_rows + 1 rows exist), so a huge input is not read whole;
-    the counted rows carry no columns and stay in the JVM."""
-    return df.select(F.lit(1).alias("_o")).offset(max_rows).isEmpty()
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven <= ``max_rows``.
-
-    Beyond the bound the frame is returned unhinted, so Catalyst/AQE pick a
-    shuffle join (and AQE can still demote to broadcast from runtime stats).
-    """
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
 def hadoop_fs(spark: SparkSession, path: str):
     """Hadoop FileSystem + Path for ``path`` (driver-side metadata calls)."""
     jvm = spark.sparkContext._jvm

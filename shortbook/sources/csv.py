@@ -24,6 +24,11 @@ from shortbook.schemas import PANDAS_NA_TOKENS
 log = logging.getLogger(__name__)
 
 
+# quotes inside a quoted field are doubled, and a quoted field may hold newlines:
+# a file is then read by one task, so landed files are kept to a few hundred MB
+DIALECT = {"header": "true", "mode": "PERMISSIVE", "escape": '"', "multiLine": "true"}
+
+
 def _strings(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -49,7 +54,7 @@ def read_csv_table(
 ) -> DataFrame:
     """R2: one CSV with header. Text columns by default (no inference, so
     leading zeros survive); ``types`` coerces per value with try_cast."""
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    r = spark.read.options(**DIALECT)
     if infer:
         r = r.option("inferSchema", True)
     df = r.csv(path)
@@ -101,7 +106,7 @@ def read_csv_union(
             log.warning("skipping %d files with duplicate header names: %s", len(paths), names)
             continue
         schema = _strings(names + ([corrupt_col] if corrupt_col else []))
-        r = spark.read.option("header", True).option("mode", "PERMISSIVE").option("ignoreCorruptFiles", True)
+        r = spark.read.options(**DIALECT).option("ignoreCorruptFiles", True)
         if corrupt_col:
             r = r.option("columnNameOfCorruptRecord", corrupt_col)
         df = r.schema(schema).csv(paths).withColumn("_file", F.col("_metadata.file_name"))

@@ -1,112 +1,143 @@
-"""HTML pages -> records (R10), run per partition with ``mapInPandas``.
+"""HTML pages -> records.
 
-Input is a table of pages ``(page_id, html)``; Spark spreads pages over
-tasks and each task parses its pages with the standard-library HTML parser
-into a small element tree. Output schemas are declared. Flags and cleanup
-of meeting rows are Catalyst expressions applied afterwards (V7-V9).
+Input is a table of pages ``(page_id, html)``. Navigation links come from
+built-in expressions. Nested structures (article paragraphs, meeting rows)
+need the element nesting: each task reads its pages once with the
+standard-library tokenizer and emits a record when its element closes. No
+tree is built, so depth costs a stack entry and nothing else.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
-
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
-         "track", "wbr"}
-# start tags that implicitly close an open <p>
-_CLOSES_P = {"p", "div", "ul", "ol", "table", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section",
-             "nav", "header", "footer", "pre", "blockquote", "form", "hr"}
-
-
-class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
-
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
-
-    def classes(self) -> str:
-        return self.attrs.get("class") or ""
-
-    def has_class(self, cls) -> bool:
-        """Exact class attribute, or one of its space-separated classes."""
-        names = cls if isinstance(cls, (list, tuple)) else [cls]
-        val = self.classes()
-        parts = val.split()
-        return any(n == val or n in parts for n in names)
-
-    def iter(self):
-        for c in self.children:
-            if isinstance(c, Node):
-                yield c
-                yield from c.iter()
-
-    def find_all(self, tag, cls=None, **attrs):
-        for n in self.iter():
-            if n.tag == tag and (cls is None or n.has_class(cls)) and all(
-                n.attrs.get(k) == v for k, v in attrs.items()
-            ):
-                yield n
-
-    def find(self, tag, cls=None, **attrs):
-        return next(self.find_all(tag, cls, **attrs), None)
-
-    def strings(self):
-        for c in self.children:
-            if isinstance(c, Node):
-                if c.tag not in ("script", "style"):
-                    yield from c.strings()
-            else:
-                yield c
-
-    def text(self, strip: bool = True, sep: str = "") -> str:
-        parts = [s.strip() for s in self.strings()] if strip else list(self.strings())
-        return sep.join(p for p in parts if p) if strip else sep.join(parts)
-
-
-class _TreeBuilder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = Node("#root", {}, None)
-        self.cur = self.root
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from shortbook.names import col as qcol
+
+# elements without an end tag; elements that end an open paragraph; markup inside paragraphs
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_ENDS_P = frozenset("p div ul ol table h1 h2 h3 h4 h5 h6 article section nav header footer pre "
+                    "blockquote form hr".split())
+_INLINE = frozenset("a b em i span strong".split())
+
+
+class _Region:
+    """An open element that a record is made of: its text so far."""
+
+    __slots__ = ("role", "attrs", "text", "found")
+
+    def __init__(self, role: str, attrs: dict):
+        self.role, self.attrs, self.text, self.found = role, attrs, [], {}
 
-    def _close(self, tag):
-        n = self.cur
-        while n is not self.root and n.tag != tag:
-            n = n.parent
-        if n is not self.root:
-            self.cur = n.parent
+    def words(self) -> str:
+        return " ".join("".join(self.text).split())
+
+
+class RecordReader(HTMLParser):
+    """Feeds page events to two rules: ``role(tag, attrs, inside)`` names the
+    region an element opens (or None), given the roles open around it;
+    ``done(region, around)`` is told when it closes."""
+
+    def __init__(self, role: Callable, done: Callable):
+        super().__init__(convert_charrefs=True)
+        self._role, self._done = role, done
+        self._elements: list[tuple[str, bool]] = []  # (tag, opened a region)
+        self._regions: list[_Region] = []
+        self._hidden = 0
 
     def handle_starttag(self, tag, attrs):
-        if tag in _CLOSES_P:
-            n = self.cur
-            while n is not self.root and n.tag not in ("p",) and n.tag in ("b", "i", "em", "strong", "span", "a"):
-                n = n.parent
-            if n.tag == "p":
-                self.cur = n.parent
-        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
-        self.cur.children.append(node)
-        if tag not in _VOID:
-            self.cur = node
-
-    def handle_startendtag(self, tag, attrs):
-        self.cur.children.append(Node(tag, {k: (v or "") for k, v in attrs}, self.cur))
+        if tag in _ENDS_P:
+            for depth in range(len(self._elements) - 1, -1, -1):
+                above = self._elements[depth][0]
+                if above == "p":
+                    self._end(depth)
+                if above == "p" or above not in _INLINE:
+                    break
+        if tag in _VOID:
+            return
+        given = {k: v or "" for k, v in attrs}
+        role = self._role(tag, given, [r.role for r in self._regions])
+        self._elements.append((tag, role is not None))
+        self._hidden += tag in ("script", "style")
+        if role is not None:
+            self._regions.append(_Region(role, given))
 
     def handle_endtag(self, tag):
-        if tag not in _VOID:
-            self._close(tag)
+        for depth in range(len(self._elements) - 1, -1, -1):
+            if self._elements[depth][0] == tag:
+                self._end(depth)
+                return
 
     def handle_data(self, data):
-        self.cur.children.append(data)
+        if not self._hidden:
+            for region in self._regions:
+                region.text.append(data)
+
+    def close(self):
+        super().close()
+        self._end(0)
+
+    def _end(self, depth: int) -> None:
+        while len(self._elements) > depth:
+            tag, opened = self._elements.pop()
+            self._hidden -= tag in ("script", "style")
+            if opened:
+                region = self._regions.pop()
+                self._done(region, self._regions)
 
 
-def parse_html(html: str) -> Node:
-    b = _TreeBuilder()
-    b.feed(html or "")
-    b.close()
-    return b.root
+def _read(html: str | None, role: Callable, done: Callable) -> None:
+    reader = RecordReader(role, done)
+    reader.feed(html or "")
+    reader.close()
+
+
+def _map_pages(pages: DataFrame, id_col: str, html_col: str, records: Callable, columns: list[str],
+               schema: str, error: Callable) -> DataFrame:
+    """One output frame per input batch; a page that fails yields ``error``."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for pid, html in zip(batch["_id"], batch["_html"], strict=True):
+                pid = None if pd.isna(pid) else int(pid)
+                try:
+                    rows += [(pid, *r) for r in records(html)]
+                except Exception as e:  # noqa: BLE001 - malformed input must not kill the job
+                    rows.append((pid, *error(f"{type(e).__name__}: {e}")))
+            yield pd.DataFrame(rows, columns=columns)
+
+    return pages.select(qcol(id_col).cast("long").alias("_id"), qcol(html_col).alias("_html")).mapInPandas(run, schema)
+
+
+# ------------------------------------------------------------------ navigation links
+
+_NAV = r"(?is)<nav\b[^>]*>(.*?)</nav>"
+_LINK = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
+# character references of link texts; the ampersand comes last
+_REFERENCES = [("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"),
+               ("&nbsp;", " "), ("&amp;", "&")]
+
+
+def _plain(c: Column) -> Column:
+    for ref, char in _REFERENCES:
+        c = F.replace(c, F.lit(ref), F.lit(char))
+    return c
+
+
+def nav_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """(page_id, pos, text, href) of the links inside ``<nav>`` elements, by
+    built-in expressions only."""
+    nav = F.array_join(F.regexp_extract_all(qcol(html_col), F.lit(_NAV), F.lit(1)), "\n")
+    pairs = F.arrays_zip(F.regexp_extract_all("_nav", F.lit(_LINK), F.lit(2)).alias("text"),
+                         F.regexp_extract_all("_nav", F.lit(_LINK), F.lit(1)).alias("href"))
+    text = F.regexp_replace(F.col("_link.text"), "(?s)<[^>]*>", "")
+    return (pages.select(qcol(id_col).cast("long").alias("page_id"), nav.alias("_nav"))
+            .select("page_id", F.posexplode(pairs).alias("pos", "_link"))
+            .select("page_id", "pos", _plain(F.trim(text)).alias("text"), _plain(F.col("_link.href")).alias("href")))
 
 
 # ------------------------------------------------------------------ generic records
@@ -114,93 +145,90 @@ def parse_html(html: str) -> Node:
 RECORD_SCHEMA = "page_id long, kind string, pos int, text string, href string"
 
 
-def _page_records(page_id, html) -> list[tuple]:
-    root = parse_html(html)
-    out = []
-    for i, h in enumerate(root.find_all("h1")):
-        out.append((page_id, "h1", i, h.text(sep=" "), None))
-    i = 0
-    for nav in root.find_all("nav"):
-        for a in nav.find_all("a"):
-            out.append((page_id, "nav_link", i, a.text(sep=" "), a.attrs.get("href")))
-            i += 1
-    i = 0
-    for art in root.find_all("article"):
-        for p in art.find_all("p"):
-            out.append((page_id, "paragraph", i, p.text(sep=" "), None))
-            i += 1
-    return out
-
-
-def _safe(fn, page_id, html, error_row):
-    """One bad page yields an error row instead of failing the whole task."""
-    try:
-        return fn(page_id, html)
-    except Exception as e:  # noqa: BLE001 - malformed input must not kill the job
-        return [error_row(page_id, f"{type(e).__name__}: {e}"[:500])]
-
-
-def _records_batches(batches: Iterator[pd.DataFrame], id_col: str, html_col: str) -> Iterator[pd.DataFrame]:
-    cols = ["page_id", "kind", "pos", "text", "href"]
-    for pdf in batches:
-        rows = []
-        for pid, html in zip(pdf[id_col], pdf[html_col]):
-            rows.extend(_safe(_page_records, int(pid), html, lambda p, m: (p, "parse_error", 0, m, None)))
-        yield pd.DataFrame(rows, columns=cols)
+def page_records(html: str | None) -> list[tuple]:
+    """(kind, pos, text, href): h1 headings, article paragraphs."""
+    found: dict[str, list[tuple]] = {"h1": [], "paragraph": []}
+
+    def role(tag, attrs, inside):
+        if tag == "article" or tag == "h1":
+            return tag
+        return "paragraph" if tag == "p" and "article" in inside else None
+
+    def done(region, around):
+        if region.role in found:
+            own = found[region.role]
+            own.append((region.role, len(own), region.words(), None))
+
+    _read(html, role, done)
+    return found["h1"] + found["paragraph"]
 
 
 def html_records(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """R10 (generic): headings, navigation links and article paragraphs."""
-    src = pages.select(id_col, html_col)
-    return src.mapInPandas(lambda it: _records_batches(it, id_col, html_col), RECORD_SCHEMA)
+    """R10 (generic): headings, navigation links and article paragraphs; a
+    page that cannot be read yields one ``parse_error`` row."""
+    nested = _map_pages(pages, id_col, html_col, page_records, ["page_id", "kind", "pos", "text", "href"],
+                        RECORD_SCHEMA, lambda m: ("parse_error", 0, m, None))
+    links = nav_links(pages, id_col, html_col).select("page_id", F.lit("nav_link").alias("kind"), "pos", "text", "href")
+    return nested.unionByName(links)
 
 
 # ------------------------------------------------------------------ meeting calendar pages
 
-MEETING_SCHEMA = "page_id long, Year string, Month string, Dates string, minutes_text string, href string"
-
-
-def _page_meetings(page_id, html) -> list[tuple]:
-    """Sections ``panel panel-default`` under ``#article``; the year comes
-    from a heading link ending in 'FOMC Meetings' and carries over to later
-    sections; rows by class; minutes text is the joined stripped strings."""
-    root = parse_html(html)
-    art = root.find("div", id="article")
-    if art is None:
-        return []
-    out = []
-    year = None
-    for sec in art.find_all("div", "panel panel-default"):
-        head = sec.find("div", "panel-heading")
-        if head is not None:
-            a = head.find("a")
-            if a is not None and a.text().strip().endswith("FOMC Meetings"):
-                year = a.text().strip().split()[0]
-        for row in sec.find_all("div", ["row fomc-meeting", "fomc-meeting--shaded row fomc-meeting"]):
-            m = row.find("div", "fomc-meeting__month")
-            d = row.find("div", "fomc-meeting__date")
-            t = row.find("div", "fomc-meeting__minutes")
-            href, text = None, None
-            if t is not None:
-                for a in t.find_all("a"):
-                    if "href" in a.attrs and a.text(strip=False) == "HTML":
-                        href = a.attrs["href"]
-                        break
-                text = t.text()
-            out.append((page_id, year, m.text() if m else None, d.text() if d else None, text, href))
-    return out
-
-
-def _meeting_batches(batches, id_col, html_col):
-    cols = ["page_id", "Year", "Month", "Dates", "minutes_text", "href"]
-    for pdf in batches:
-        rows = []
-        for pid, html in zip(pdf[id_col], pdf[html_col]):
-            rows.extend(_safe(_page_meetings, int(pid), html, lambda p, m: (p, None, None, None, m, None)))
-        yield pd.DataFrame(rows, columns=cols)
+MEETING_SCHEMA = ("page_id long, Year string, Month string, Dates string, minutes_text string, href string, "
+                  "error string")
+# fixed values of the published pages
+_ARTICLE_ID = "article"
+_SECTION, _HEADING, _ROW = "panel-default", "panel-heading", "fomc-meeting"
+_CELLS = {"fomc-meeting__month": "month", "fomc-meeting__date": "dates", "fomc-meeting__minutes": "minutes"}
+_YEAR_SUFFIX, _TRANSCRIPT_LINK = "FOMC Meetings", "HTML"
+
+
+def page_meetings(html: str | None) -> list[tuple]:
+    """(Year, Month, Dates, minutes_text, href, error) per meeting row, emitted
+    when the row closes. A section's heading link sets the year for it and the
+    sections after it."""
+    rows: list[tuple] = []
+    year: list[str | None] = [None]
+
+    def role(tag, attrs, inside):
+        names = set(attrs.get("class", "").split())
+        if tag == "a":
+            return "link" if "heading" in inside or "minutes" in inside else None
+        if tag != "div":
+            return None
+        if "article" not in inside:
+            return "article" if attrs.get("id") == _ARTICLE_ID else None
+        if "section" not in inside:
+            return "section" if _SECTION in names else None
+        if "row" in inside:
+            return next((r for c, r in _CELLS.items() if c in names and r not in inside), None)
+        if _ROW in names:
+            return "row"
+        return "heading" if _HEADING in names else None
+
+    def done(region, around):
+        if region.role == "link":
+            text, outer = region.words(), around[-1]
+            if outer.role == "heading" and text.endswith(_YEAR_SUFFIX):
+                year[0] = text.split()[0]
+            elif outer.role == "minutes" and text == _TRANSCRIPT_LINK and "href" in region.attrs:
+                outer.found.setdefault("href", region.attrs["href"])
+        elif region.role in _CELLS.values():
+            row = around[-1].found
+            row.setdefault(region.role, region.words())
+            if "href" in region.found:
+                row.setdefault("href", region.found["href"])
+        elif region.role == "row":
+            cell = region.found.get
+            rows.append((year[0], cell("month"), cell("dates"), cell("minutes"), cell("href"), None))
+
+    _read(html, role, done)
+    return rows
 
 
 def meeting_records(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """R10 (meeting calendar): raw meeting rows, one per row element."""
-    src = pages.select(id_col, html_col)
-    return src.mapInPandas(lambda it: _meeting_batches(it, id_col, html_col), MEETING_SCHEMA)
+    """R10 (meeting calendar): raw meeting rows, one per row element; a page
+    that cannot be read yields one row with ``error`` set."""
+    return _map_pages(pages, id_col, html_col, page_meetings,
+                      ["page_id", "Year", "Month", "Dates", "minutes_text", "href", "error"],
+                      MEETING_SCHEMA, lambda m: (None, None, None, None, None, m))

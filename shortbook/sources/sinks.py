@@ -51,13 +51,13 @@ def write_snapshot_parquet(df: DataFrame, root: str, stamp: str) -> str:
 def append_daily_csv(df: DataFrame, path: str, date_col: str) -> str:
     """K2: append, one folder per day, header in every part file; an empty
     frame creates no day folder."""
-    df.write.mode("append").partitionBy(date_col).option("header", True).csv(path)
+    df.write.mode("append").partitionBy(date_col).options(header="true", escape='"').csv(path)
     return path
 
 
 def write_csv(df: DataFrame, path: str) -> str:
     """K3: CSV overwrite with header."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header="true", escape='"').csv(path)
     return path
 
 
@@ -72,6 +72,8 @@ def write_named_files(df: DataFrame, root: str, name_col: str, fmt: str = "csv",
     if order:
         out = out.sortWithinPartitions(name_col, *order)
     w = out.write.mode("overwrite").partitionBy(name_col)
+    if fmt == "csv":
+        w = w.option("escape", '"')  # quotes inside a quoted field are doubled
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w.format(fmt).save(staging)
@@ -127,14 +129,18 @@ def retention_plan(raw_folders: DataFrame, resampled_folders: DataFrame, col: st
 
 def archive_snapshots(df: DataFrame, plan: DataFrame, archive_root: str, folder_col: str = "folder") -> int:
     """K7 job: rows of folders planned for 'archive' are rewritten as gzip
-    Parquet under ``archive_root``; the written row count is read back and
-    must equal the source count before anything may be removed."""
-    from shortbook.session import sized_broadcast
-    todo = sized_broadcast(plan.where(F.col("action") == "archive").select(folder_col).distinct(), 10_000_000)
+    Parquet under ``archive_root``, one partition a folder. A folder that is
+    archived again replaces its older copy; the counts read back must equal
+    the source's folder by folder before anything may be removed."""
+    todo = plan.where(F.col("action") == "archive").select(folder_col).distinct()
     rows = df.join(todo, folder_col, "left_semi")
-    expected = rows.count()
-    rows.write.mode("append").option("compression", "gzip").partitionBy(folder_col).parquet(archive_root)
-    got = df.sparkSession.read.parquet(archive_root).join(todo, folder_col, "left_semi").count()
-    if got < expected:
-        raise RuntimeError(f"archive incomplete: {got} of {expected} rows")
-    return expected
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip")
+     .partitionBy(folder_col).parquet(archive_root))
+    expected = rows.groupBy(F.col(folder_col).cast("string").alias("_f")).agg(F.count("*").alias("_want"))
+    written = df.sparkSession.read.parquet(archive_root).groupBy(
+        F.col(folder_col).cast("string").alias("_f")).agg(F.count("*").alias("_got"))
+    totals = expected.join(written, "_f", "left").agg(
+        F.sum("_want").alias("want"), F.count_if(~F.col("_want").eqNullSafe(F.col("_got"))).alias("bad")).first()
+    if totals["bad"]:
+        raise RuntimeError(f"archive incomplete: {totals['bad']} folders differ from their source")
+    return totals["want"] or 0

@@ -182,8 +182,7 @@ def test_pct_rank_paths_agree_with_hot_timestamp(spark):
     assert rows(a, ["SEQ", "x_pctrank"]) == rows(b, ["SEQ", "x_pctrank"])
 
 
-def test_time_split_distributed_boundary_path(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "BOUNDARY_ONE_TASK_MAX", 0)
+def test_time_split_inside_equal_times(spark):
     recs = [(T0 + dt.timedelta(days=i % 3), i) for i in range(60)]
     sdf = spark.createDataFrame(recs, "TIMESTAMP timestamp_ntz, SEQ long")
     train, test = ranking.time_split(sdf, "TIMESTAMP", 0.5, ["SEQ"])
@@ -207,3 +206,36 @@ def test_segmented_window_frames_span_many_tiny_partitions(spark):
     cols = ["SEQ", "x_zscore", "lead5"]
     assert rows(a, cols) == rows(b, cols)
     assert a.count() == 200
+
+
+def test_time_split_with_equal_times_and_tie_breakers(spark):
+    """Each row is in one part, whatever repeats; nulls last."""
+    data = [(t, s, v) for t in (1, 2, 2, None) for s in ("a", "a", None) for v in (1.0, 1.0, 2.0)]
+    df = spark.createDataFrame(data, "T int, SYM string, V double")
+    for frac in (0.0, 0.1, 0.25, 0.4, 0.5, 0.77, 0.99, 1.0):
+        for ties in ((), ("SYM",)):
+            train, test = ranking.time_split(df, "T", frac, ties)
+            a, b = [tuple(r) for r in train.collect()], [tuple(r) for r in test.collect()]
+            assert len(a) == int(len(data) * frac)
+            assert sorted(a + b, key=repr) == sorted(data, key=repr)
+            late = [5 if r[0] is None else r[0] for r in b]
+            assert not a or not b or max(5 if r[0] is None else r[0] for r in a) <= min(late)
+
+
+def test_building_a_feature_starts_no_job(spark, sf):
+    from shortbook.plans import views
+    sl = views.stock_loan(spark, sf)
+    sl.columns
+    spark.sparkContext.setJobGroup("planning", "planning")
+    features.add_ticker_features(sl, [features.z_score_feature("FEERATE", 20)], tie_breakers=["SEQ"])
+    ranking.add_pct_rank(sl, "FEERATE")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+
+
+def test_pct_rank_paths_agree_on_columns(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "b", 1.0), (2, "c", None)], "TIMESTAMP int, id string, v double")
+    one, two = (ranking.add_pct_rank(df, "v", skew_safe=s) for s in (False, True))
+    assert one.columns == two.columns == ["TIMESTAMP", "id", "v", "v_pctrank"]
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))

@@ -110,3 +110,15 @@ def test_long_ticker_lists_use_semi_join(spark):
     train, test = relational.ticker_split(df, many)
     assert sorted(r[0] for r in test.collect()) == ["U1", "U2"]
     assert sorted((r[0] or "") for r in train.collect()) == ["", "u3"]  # null symbol goes to train
+
+
+def test_numbers_reject_java_suffixes(spark):
+    from shortbook.functions.text import clean_numeric, to_double
+    from shortbook.operators.relational import coerce_types
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([(x,) for x in ("5d", "1.5F", "7", " 8.5 ", "-.5", "1e3", "abc", "NaN", None, "1,000")],
+                               "x string")
+    want = [None, None, 7.0, 8.5, -0.5, 1000.0, None, None, None]
+    got = df.select(to_double("x").alias("a"), clean_numeric("x").alias("b")).collect()
+    assert [r.a for r in got][:9] == want and got[9].b == 1000.0 and got[0].b is None
+    assert [r.x for r in coerce_types(df, {"x": T.DoubleType()}).collect()][:9] == want

@@ -145,3 +145,30 @@ def test_symbol_and_params_are_values_not_sql(spark, sf):
     eng.register_sources(["stock_loan"])
     got = eng.sql("SELECT count(*) AS n FROM stock_loan WHERE SYM = ?", ["U1' OR '1'='1"]).first()["n"]
     assert got == 0
+
+
+def test_full_run_goes_on_without_a_ledger(spark, tmp_path):
+    """A ledger that cannot be written costs the tracking, not the tables."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "earnings_calendar.csv").write_text(
+        "symbol,name,reportDate,fiscalDateEnding,estimate,currency\nA,Acme,2025-01-02,2024-12-31,N/A,USD\n")
+    blocked = tmp_path / "ledger"
+    blocked.write_text("a file where the ledger's folder should be")
+    out = jobs.full_run(spark, str(raw), str(tmp_path / "out"), str(blocked), ["earnings"]).collect()
+    assert [(r.run_id, r.source, r.status, r.rows) for r in out] == [(None, "earnings", "converted", 1)]
+    row = spark.read.parquet(out[0].path).first()
+    assert row["estimate"] is None and row["symbol"] == "A"
+    off = jobs.full_run(spark, str(raw), str(tmp_path / "out2"), str(tmp_path / "none"), ["earnings"], track=False)
+    assert off.first().status == "converted" and not (tmp_path / "none").exists()
+
+
+def test_unfinished_index_version_is_not_read(spark, tmp_path):
+    from shortbook.operators.ledger import Ledger
+    led = Ledger(spark, str(tmp_path / "led"))
+    t = spark.createDataFrame([("A",), ("B",)], "ticker string")
+    for k in range(4):
+        led.index_tickers(f"r{k}", "s", t)
+    import os
+    os.makedirs(f"{led.index_root}/v=99999999999999999999")
+    assert {(r.ticker, r.last_run_id) for r in led.ticker_index().collect()} == {("A", "r3"), ("B", "r3")}

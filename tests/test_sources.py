@@ -156,15 +156,14 @@ def test_named_files_keep_special_characters(spark, tmp_path):
     assert sorted(w.rsplit("/", 1)[1] for w in written) == ["a+b c.csv", "x%y=z.csv"]
 
 
-def test_snapshot_text_shuffle_join_path(spark, tmp_path, monkeypatch):
-    """Beyond the broadcast bound the lines are shuffled to the per-file
-    table; line order was fixed at the scan, so results are identical."""
+def test_snapshot_text_shuffle_join_path(spark, tmp_path):
+    """Where the per-file table is too large to broadcast the lines are
+    shuffled to it; line order was fixed at the scan, so results are identical."""
     snap = tmp_path / "2025-04-14_19-00-00"
     write(snap / "usa.txt", USA)
     write(snap / "Mixed.txt", MIXED)
     cols = ["COUNTRY", "SYM", "AVAILABLE", "FEERATE", "REBATERATE", "bof_ts"]
     expected = rows(snapshots.parse_snapshot_text(spark, str(tmp_path)), cols)
-    monkeypatch.setattr(snapshots, "FILE_TABLE_BROADCAST_MAX", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
@@ -177,16 +176,57 @@ def test_snapshot_text_shuffle_join_path(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_bad_page_does_not_fail_the_job(monkeypatch):
-    import pandas as pd
-    html_orig = html._page_records
-
-    def boom(page_id, text):
-        if page_id == 2:
+def test_bad_page_does_not_fail_the_job(spark, monkeypatch):
+    """A page that cannot be read gives an error row; an unknown id is null."""
+    def records(page):
+        if page == "bad":
             raise ValueError("broken page")
-        return html_orig(page_id, text)
-    monkeypatch.setattr(html, "_page_records", boom)
-    batch = pd.DataFrame({"page_id": [1, 2], "html": ["<h1>ok</h1>", "<h1>x</h1>"]})
-    out = pd.concat(list(html._records_batches(iter([batch]), "page_id", "html")))
-    got = sorted(zip(out["page_id"], out["kind"], out["text"]))
-    assert got == [(1, "h1", "ok"), (2, "parse_error", "ValueError: broken page")]
+        return [("h1", 0, page, None)]
+    pages = spark.createDataFrame([(1, "ok"), (2, "bad"), (None, "x")], "page_id long, html string")
+    out = html._map_pages(pages, "page_id", "html", records, ["page_id", "kind", "pos", "text", "href"],
+                          html.RECORD_SCHEMA, lambda m: ("parse_error", 0, m, None))
+    assert rows(out, ["page_id", "kind", "text"]) == sorted(
+        [(1, "h1", "ok"), (2, "parse_error", "ValueError: broken page"), (None, "h1", "x")], key=repr)
+
+
+def test_deep_and_split_markup():
+    deep = "<div>" * 5_000 + "<h1>x <b>y</b></h1>" + "</div>" * 5_000
+    assert html.page_records(deep) == [("h1", 0, "x y", None)]
+    page = """<div id="article"><div class="panel panel-default"><div class="panel-heading">
+      <h4><a>2024 <b>FOMC Meetings</b></a></h4></div>
+      <div class="row fomc-meeting"><div class="fomc-meeting__month">May<script>no</script></div>
+      <div class="fomc-meeting__date">1</div></div></div>"""
+    assert html.page_meetings(page) == [("2024", "May", "1", None, None, None)]
+    assert html.page_meetings(None) == html.page_records("") == []
+
+
+def test_nav_links_without_python(spark):
+    from conftest import plan_text
+    page = "<nav class='x'><a class=\"k\" href='/a'> A <i>b</i></a></nav><a href='/no'>n</a><NAV><a href=\"/c?x&amp;y\">C</a></NAV>"
+    out = html.nav_links(spark.createDataFrame([(7, page), (8, None)], "page_id long, html string"))
+    assert rows(out, ["page_id", "pos", "text", "href"]) == [(7, 0, "A b", "/a"), (7, 1, "C", "/c?x&y")]
+    assert not any(k in plan_text(out) for k in ("MapInPandas", "MapInArrow", "ArrowEval", "BatchEvalPython"))
+
+
+def test_csv_quotes_commas_and_newlines(spark, tmp_path):
+    import csv
+    records = [("1", 'ACME "X" Corp, Inc', "plain"), ("2", "two\nlines", 'say ""'), ("3", "", "a,b")]
+    with open(tmp_path / "q.csv", "w", newline="") as f:
+        csv.writer(f).writerows([("id", "name", "note"), *records])
+    want = sorted([(a, b or None, c) for a, b, c in records], key=repr)
+    assert rows(csv_src.read_csv_union(spark, str(tmp_path)), ["id", "name", "note"]) == want
+    table = csv_src.read_csv_table(spark, str(tmp_path / "q.csv"))
+    assert rows(table, ["id", "name", "note"]) == want
+    from shortbook.sources import sinks
+    sinks.write_csv(table, str(tmp_path / "again"))
+    assert rows(csv_src.read_csv_table(spark, str(tmp_path / "again")), ["id", "name", "note"]) == want
+
+
+def test_archive_twice_replaces(spark, tmp_path):
+    from shortbook.sources import sinks
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "folder string, v int")
+    plan = spark.createDataFrame([("a", "archive"), ("b", "keep")], "folder string, action string")
+    root = str(tmp_path / "arch")
+    assert sinks.archive_snapshots(df, plan, root) == 2
+    assert sinks.archive_snapshots(df, plan, root) == 2
+    assert spark.read.parquet(root).count() == 2
