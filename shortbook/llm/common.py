@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -51,6 +53,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of frames that are no
+    longer referenced: it learns of them when both garbage collectors run."""
+    for _ in range(2):  # the first turn only frees what holds them
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def crc_mod(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(mod)

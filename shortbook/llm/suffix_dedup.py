@@ -9,7 +9,8 @@ brings equal strings together: suffixes are compared by their longest common
 extension, found by binary search on prefix polynomial hashes, and strings that
 compare equal are verified byte by byte. Equal surroundings are sorted once.
 Anchors of very many documents send each string to a group of its own, which is
-read as a stream.
+read as a stream. Documents whose whole text a smaller one has take no part in
+this: all of it goes.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shortbook.llm.common import _arrow_schema, map_rows, table, text_of
+from shortbook.llm.common import _arrow_schema, map_rows, release, stored, table, text_of
 
 LENGTH, GRAM = 50, 20
 SPAN = LENGTH - GRAM + 1
@@ -32,7 +33,7 @@ HOT = 2_000
 # suffixes sorted at once, if a group is not larger
 SORT_SUFFIXES = 400_000
 BASE = 0x9E3779B97F4A7C15
-CONTEXTS = "key long, doc long, copy long, starts array<long>, context binary"
+CONTEXTS = "key long, doc long, copy int, start long, context binary"
 _MAX = 2**63 - 1
 
 
@@ -61,13 +62,13 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first, end): per anchor occurrence its hash and the range of
-    starts of the strings that pick it. Strings pick the leftmost least of
+def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place, first, end): per anchor occurrence its hash, its place and
+    the range of starts of the strings that pick it. Strings pick the leftmost least of
     their mixed gram hashes."""
     none = np.zeros(0, np.int64)
     if len(raw) < LENGTH:
-        return none, none, none
+        return none, none, none, none
     data = np.frombuffer(raw, np.uint8)
     h = prefix_hashes(data)
     n = len(data) - GRAM + 1
@@ -82,7 +83,7 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         least = np.where(right, least[step:], least[:-step])
         width += step
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    return value[at[first]].view(np.int64), first, np.append(first[1:], len(at))
+    return value[at[first]].view(np.int64), at[first], first, np.append(first[1:], len(at))
 
 
 def common_extension(h: np.ndarray, down: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -149,19 +150,28 @@ def sort_suffixes(data: np.ndarray, at: np.ndarray, group: np.ndarray) -> np.nda
 
 def earlier_windows(contexts: list[bytes], docs: np.ndarray, groups: np.ndarray) -> list[np.ndarray]:
     """For each context, which of its strings another context of the group
-    has with a smaller document."""
+    has with a smaller document. A context's first byte is the distance from
+    its first string to the anchor: equal strings stand at equal distances, so
+    only those are compared."""
+    lead = np.array([c[0] for c in contexts])
+    contexts = [c[1:] for c in contexts]
     lens = np.array([len(c) for c in contexts])
     begin = np.cumsum(lens) - lens
     data = np.frombuffer(b"".join(contexts) + bytes(LENGTH), np.uint8)
     count = lens - LENGTH + 1
     owner = np.repeat(np.arange(len(contexts)), count)
     first = np.cumsum(count) - count
-    at = np.arange(count.sum()) - np.repeat(first, count) + np.repeat(begin, count)
-    order = sort_suffixes(data, at, groups[owner])
+    nth = np.arange(count.sum()) - np.repeat(first, count)
+    at = nth + np.repeat(begin, count)
+    # bring the strings of a group and distance together, then sort those
+    number = np.cumsum(np.append(0, groups[1:] != groups[:-1]))
+    place = number[owner] * (2 * LENGTH) + (lead[owner] - nth) + LENGTH
+    together = np.argsort(place, kind="stable")
+    order = together[sort_suffixes(data, at[together], place[together])]
     a, b = at[order[:-1]], at[order[1:]]
     same = np.zeros(len(order), bool)
     h, down = prefix_hashes(data), POWERS.get(len(data) + 1)[1]
-    same[1:] = (groups[owner[order[:-1]]] == groups[owner[order[1:]]]) \
+    same[1:] = (place[order[:-1]] == place[order[1:]]) \
         & ((h[a + LENGTH] - h[a]) * down[a] == (h[b + LENGTH] - h[b]) * down[b])
     check = np.flatnonzero(same)
     for k in range(0, len(check), 100_000):  # equal hashes are verified
@@ -180,7 +190,7 @@ class Groups:
     """Rows sorted by (key, doc), gathered to whole groups and resolved."""
 
     def __init__(self) -> None:
-        self.rows: list[tuple] = []  # (group, doc, copy, starts, context number)
+        self.rows: list[tuple] = []  # (doc, copy, start, context number)
         self.contexts: list[bytes] = []
         self.docs: list[int] = []
         self.group: list[int] = []
@@ -188,7 +198,7 @@ class Groups:
         self.key = None
         self.number: dict[bytes, int] = {}
 
-    def add(self, key: int, doc: int, copy: int, starts: list[int], context: bytes) -> list[tuple]:
+    def add(self, key: int, doc: int, copy: int, start: int, context: bytes) -> list[tuple]:
         out = []
         if key != self.key:
             if self.suffixes >= SORT_SUFFIXES or len(self.rows) >= SORT_SUFFIXES:
@@ -197,42 +207,51 @@ class Groups:
         known = self.number.get(context)
         if known is not None and self.docs[known] < doc:
             # the same surroundings in a smaller document: all its strings go
-            return out + [(doc, copy, s, s + len(context)) for s in starts]
+            return [*out, (doc, copy, start, start + len(context) - 1)]
         if known is None:
             known = self.number[context] = len(self.contexts)
             self.contexts.append(context)
             self.docs.append(doc)
             self.group.append(key)
-            self.suffixes += len(context) - LENGTH + 1
-        self.rows.append((doc, copy, starts, known))
+            self.suffixes += len(context) - LENGTH
+        self.rows.append((doc, copy, start, known))
         return out
 
     def resolve(self) -> list[tuple]:
         out = []
         if self.contexts:
             gone = earlier_windows(self.contexts, np.array(self.docs, np.int64), np.array(self.group, np.int64))
-            for doc, copy, starts, known in self.rows:
-                mask = gone[known]
-                if mask.any():
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
-                    for s in starts:
-                        out += [(doc, copy, s + int(a), s + int(b) + LENGTH - 1)
-                                for a, b in zip(edge[::2], edge[1::2], strict=True)]
+            some = [m.any() for m in gone]
+            for doc, copy, start, known in self.rows:
+                if some[known]:
+                    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone[known].view(np.int8), [0]])))
+                    out += [(doc, copy, start + int(a), start + int(b) + LENGTH - 1)
+                            for a, b in zip(edge[::2], edge[1::2], strict=True)]
         self.__init__()
         return out
 
 
-def duplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts, removed): the texts as bytes by document, and the byte ranges
-    (doc, copy, begin, end) to remove from them, which may overlap."""
+def duplicated(docs: DataFrame, id_col: str = "doc_id",
+               text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(texts, wholes, removed): the texts as bytes by document; per document
+    the ``copy`` numbers of its texts that a smaller document has too; and the
+    byte ranges (doc, copy, begin, end) to remove from the others, which may
+    overlap."""
     spark = docs.sparkSession
     own = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         # a null id counts as the largest
         F.coalesce(F.col(id_col).cast("long"), F.lit(_MAX)).alias("doc"),
-        F.xxhash64(text_of(F.col(text_col))).alias("copy"),
+        # tells apart the rows of one id
+        F.hash(text_of(F.col(text_col))).alias("copy"),
         text_of(F.col(text_col)).cast("binary").alias("raw"))
 
+    # texts that a smaller document has as a whole: all their strings go
+    of_text = Window.partitionBy("text")
+    wholes = stored(own.select("doc", "copy", F.sha2("raw", 256).alias("text"))
+                    .withColumn("least", F.min("doc").over(of_text)).filter("least < doc")
+                    .groupBy("doc").agg(F.collect_set("copy").alias("whole")), "whole-copies")
+
     def find(cols: dict[str, list]) -> dict[str, list]:
         return {"doc": cols["doc"], "anchors": [np.unique(anchors(r)[0]) for r in cols["raw"]]}
 
@@ -243,34 +262,41 @@ def duplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
               .withColumns({"n": F.count("*").over(of_anchor), "a": F.min("doc").over(of_anchor),
                             "b": F.max("doc").over(of_anchor)})
               .filter("a != b").withColumn("hot", F.col("n") > HOT))
-    per_doc = (shared.groupBy("doc")
+    # stored, so that the anchors' shuffle files can go before the texts move
+    per_doc = (stored(shared.select("doc", "anchor", "hot"), "shared-anchors").groupBy("doc")
                .agg(F.collect_list(F.when(~F.col("hot"), F.col("anchor"))).alias("some"),
                     F.collect_list(F.when(F.col("hot"), F.col("anchor"))).alias("many")))
+    release(spark)
     # both uses of the texts read all its columns, so that one shuffle serves them
     texts = own.repartition("doc")
 
     def surroundings(cols: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {k: [] for k in ("key", "doc", "copy", "starts", "context")}
-        for doc, copy, raw, some, many in zip(*(cols[k] for k in ("doc", "copy", "raw", "some", "many")),
-                                              strict=True):
-            value, first, end = anchors(raw)
+        out: dict[str, list] = {k: [] for k in ("key", "doc", "copy", "start", "context")}
+        for doc, copy, raw, some, many, whole in zip(
+                *(cols[k] for k in ("doc", "copy", "raw", "some", "many", "whole")), strict=True):
+            if copy in (whole or ()):
+                continue
+            value, place, first, end = anchors(raw)
             found: dict[tuple[int, bytes], list[int]] = {}
-            for k in np.flatnonzero(np.isin(value, np.array(some, np.int64))):
-                a, b = int(first[k]), int(end[k])
-                found.setdefault((int(value[k]), raw[a:b + LENGTH - 1]), []).append(a)
+            rows = np.flatnonzero(np.isin(value, np.array(some, np.int64)))
+            for key, lead, a, b in zip(value[rows].tolist(), (place - first)[rows].tolist(),
+                                       first[rows].tolist(), end[rows].tolist(), strict=True):
+                found.setdefault((key, bytes((lead,)) + raw[a:b + LENGTH - 1]), []).append(a)
             for k in np.flatnonzero(np.isin(value, np.array(many, np.int64))):
                 for a in range(int(first[k]), int(end[k])):
                     string = raw[a:a + LENGTH]
                     key = int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little", signed=True)
-                    found.setdefault((key, string), []).append(a)
+                    found.setdefault((key, b"\0" + string), []).append(a)
             for (key, context), starts in found.items():
-                for name, v in zip(out, (key, doc, copy, starts, context), strict=True):
-                    out[name].append(v)
+                for start in starts:
+                    for name, v in zip(out, (key, doc, copy, start, context), strict=True):
+                        out[name].append(v)
         return out
 
-    contexts = map_rows(texts.join(per_doc, "doc").select("doc_id", "doc", "copy", "raw", "some", "many"),
+    contexts = map_rows(texts.join(per_doc.join(wholes, "doc", "left"), "doc")
+                        .select("doc_id", "doc", "copy", "raw", "some", "many", "whole"),
                         surroundings, CONTEXTS)
-    schema_text = "doc long, copy long, begin long, end long"
+    schema_text = "doc long, copy int, begin long, end long"
     schema = _arrow_schema(spark, schema_text)
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,7 +304,7 @@ def duplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
         def table_of(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(v, pa.int64()) for v in zip(*rows, strict=True)], schema=schema)
+                [pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
         for b in batches:
             found: list[tuple] = []
@@ -291,7 +317,7 @@ def duplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     removed = (contexts.repartition("key").sortWithinPartitions("key", "doc")
                .mapInArrow(resolve, schema_text))
-    return texts, removed
+    return texts, wholes, removed
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -303,13 +329,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     other; repeated rows each get a row. A null id counts as larger than all
     others. Other columns are not read; an empty table gives no rows.
     """
-    texts, removed = duplicated(docs, id_col, text_col)
-    ranges = removed.groupBy("doc").agg(F.collect_list(F.struct("copy", "begin", "end")).alias("ranges"))
+    texts, wholes, removed = duplicated(docs, id_col, text_col)
+    ranges = (removed.groupBy("doc").agg(F.collect_list(F.struct("copy", "begin", "end")).alias("ranges"))
+              .join(wholes, "doc", "full"))
 
     def cut(cols: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-        for doc_id, copy, raw, rows in zip(*(cols[k] for k in ("doc_id", "copy", "raw", "ranges")), strict=True):
+        for doc_id, copy, raw, rows, whole in zip(
+                *(cols[k] for k in ("doc_id", "copy", "raw", "ranges", "whole")), strict=True):
             own = sorted((r["begin"], r["end"]) for r in rows or () if r["copy"] == copy)
+            if copy in (whole or ()) and len(raw) >= LENGTH:
+                own = [(0, len(raw))]
             kept, spans, at, gone = [], 0, 0, 0
             begin = end = -1
             for a, b in [*own, (len(raw) + 1, 0)]:
@@ -327,7 +357,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out[name].append(v)
         return out
 
-    made = map_rows(texts.join(ranges, "doc", "left").select("doc_id", "copy", "raw", "ranges"), cut,
+    made = map_rows(texts.join(ranges, "doc", "left").select("doc_id", "copy", "raw", "ranges", "whole"), cut,
                     "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return made if keep_bytes else made.drop("kept")
 
