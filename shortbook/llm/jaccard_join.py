@@ -106,8 +106,8 @@ def index_keys(tokens: np.ndarray, classes: np.ndarray, frequent: int, percent:
     """Index keys of a set. ``classes``: each token's frequency class."""
     n = len(tokens)
     plain = prefix_length(n, percent)
-    if plain < 2:
-        return np.zeros(0, np.int64)  # only an equal set is similar enough
+    if 100 * n // percent == n:
+        return np.zeros(0, np.int64)  # no larger set, so only an equal one is similar enough
     order = np.lexsort((tokens, classes))[:plain + 1]
     t, often = tokens[order], classes[order] >= frequent
     found = []

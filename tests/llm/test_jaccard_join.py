@@ -74,6 +74,20 @@ def test_groups_of_near_copies(spark, monkeypatch, frequent, pair_prefix):
     assert got(J.similar_sets(df)) == want
 
 
+@pytest.mark.parametrize(("size", "percent", "least"), [(3, 90, 9), (5, 80, 4)])
+def test_a_set_inside_one_a_shingle_larger(spark, size, percent, least):
+    """Texts next to the same text plus one word, at every size around the
+    least one that has a link."""
+    rows = []
+    for n in range(1, 15):
+        words = [f"t{n}w{k}" for k in range(n + size)]
+        rows += [(2 * n, " ".join(words[:-1])), (2 * n + 1, " ".join(words))]
+    want = brute(rows, size, percent)
+    assert sorted(i // 2 for i, _, c in want if c != i) == [n for n in range(1, 15) if n >= least]
+    assert got(J.similar_sets(spark.createDataFrame(rows, "doc_id long, text string"),
+                              size=size, percent=percent)) == sorted(want, key=repr)
+
+
 def test_edges(spark):
     text = " ".join(f"a{k}" for k in range(50))
     rows = [(1, None), (1, ""), (2, " \t\n"), (5, "One two"), (4, "one\x0btwo"), (4, "one\x0btwo"),
