@@ -4,8 +4,10 @@ Fixed patterns find assignments, access keys and long hex runs. On top of
 them a token-efficiency test looks at every other long unbroken run of key
 characters: a byte-pair vocabulary learnt on text needs few tokens for words
 and many for random strings, so a low number of characters per token exposes
-them. Known digests, UUIDs, plain numbers and word-like identifiers are
-excluded before the test.
+them. Known digests, UUIDs and plain numbers are excluded before the test, and
+runs without a digit whose letters follow each other much as in the
+vocabulary's words. A run that is not found is cut at its separators,
+and its parts are tested by themselves, so words beside a key do not hide it.
 """
 
 from __future__ import annotations
@@ -13,8 +15,10 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 import re
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +43,15 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z")
-CASE_CHANGE = re.compile(r"[a-z][A-Z]|[A-Z]{2}[a-z]")
+# a run is cut at the first of these, its parts at the next
+SEPARATORS = [re.compile("=+"), re.compile("/+"), re.compile("[_+-]+")]
+NAME_PART = re.compile(r"[A-Za-z]+")
+MIN_RUN = 16
 
 MAX_CHARS_PER_TOKEN = 2.1
-MIN_CASE_CHANGES = 4
+# bits by which the letters of a run without a digit must speak against words:
+# one long run of letters in 2**8 is taken to be a key
+KEY_BITS = 8
 
 SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, n_random long, "
           "base_sha256 string, spans string")
@@ -68,29 +77,63 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def is_identifier(s: str) -> bool:
-    """Digests of known lengths, UUIDs, numbers and word-like names."""
+    """Digests of known lengths, UUIDs and numbers."""
     if len(s) in DIGEST_LENGTHS and DIGEST.match(s) or UUID.match(s):
         return True
-    letters = any(c.isalpha() for c in s)
-    digits = any(c.isdigit() for c in s)
-    if not letters:
+    return not any(c.isalpha() for c in s)
+
+
+@functools.cache
+def letter_pairs(enc: tiktoken.Encoding) -> dict[str, float]:
+    """log2 of how much likelier a letter follows another in the vocabulary's
+    words than in random letters."""
+    counts = np.full((26, 26), 0.5)
+    for token in enc.token_byte_values():
+        word = token.strip().lower()
+        if word.isalpha() and word.isascii():
+            letters = np.frombuffer(word, np.uint8) - ord("a")
+            np.add.at(counts, (letters[:-1], letters[1:]), 1)
+    gain = np.log2(26 * counts / counts.sum(axis=1, keepdims=True))
+    return {chr(97 + a) + chr(97 + b): float(gain[a, b]) for a in range(26) for b in range(26)}
+
+
+def is_random(s: str, enc: tiktoken.Encoding, max_ratio: float = MAX_CHARS_PER_TOKEN) -> bool:
+    """Few characters per token. In a run without a digit the separators count
+    neither as characters nor as tokens: names of several words have many; and
+    its letters must be less likely as a word's than as random ones."""
+    if is_identifier(s):
+        return False
+    parts = [s] if any(c.isdigit() for c in s) else NAME_PART.findall(s)
+    if sum(map(len, parts)) >= max_ratio * sum(len(enc.encode_ordinary(p)) for p in parts):
+        return False
+    if any(c.isdigit() for c in s):
         return True
-    # words, constants, camelCase and snake_case without any digit
-    return not digits and len(CASE_CHANGE.findall(s)) < MIN_CASE_CHANGES
+    gain = letter_pairs(enc)
+    return sum(gain[a + b] for p in parts for a, b in itertools.pairwise(p.lower())) <= -KEY_BITS
 
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], enc: tiktoken.Encoding,
                  max_ratio: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int, int]]:
-    """Candidates outside the base spans whose characters per token are few."""
+    """Candidates outside the base spans whose characters per token are few;
+    of other candidates, the longest such parts between separators."""
     spans = []
     ends = sorted((s, e) for s, _, e in taken)
-    for m in CANDIDATE.finditer(text):
-        s, e = m.span()
-        if any(a < e and s < b for a, b in ends):
-            continue
-        run = m.group()
-        if not is_identifier(run) and len(run) < max_ratio * len(enc.encode_ordinary(run)):
+
+    def judge(s: int, e: int, level: int) -> None:
+        if e - s < MIN_RUN:
+            return
+        if not any(a < e and s < b for a, b in ends) and is_random(text[s:e], enc, max_ratio):
             spans.append((s, 3, e))
+            return
+        for k in range(level, len(SEPARATORS)):
+            cuts = [m.span() for m in SEPARATORS[k].finditer(text, s, e)]
+            if cuts:
+                for a, b in zip([s, *(b for _, b in cuts)], [*(a for a, _ in cuts), e], strict=True):
+                    judge(a, b, k + 1)
+                return
+
+    for m in CANDIDATE.finditer(text):
+        judge(*m.span(), 0)
     return spans
 
 

@@ -53,6 +53,30 @@ def test_random_strings_are_found_and_identifiers_are_not():
         assert S.random_spans(f"see {s} there", [], enc) == [], s
 
 
+def test_runs_without_digits_and_keys_beside_words():
+    enc = S.encoding(S.public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rnd = random.Random(7)
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    draw = lambda a, n: "".join(rnd.choice(a) for _ in range(n))
+    for alphabet in (lower, lower.upper(), lower + lower.upper()):
+        for size in (16, 24):
+            assert sum(bool(S.random_spans(f"key {draw(alphabet, size)}.", [], enc)) for _ in range(200)) >= 188
+    found = {}
+    for before, size in (("https_path/documentation/configuration/", 20), ("https_path/documentation/configuration/", 32),
+                         ("documentation_configuration_", 32), ("the/path/to=configuration_value=", 20)):
+        for _ in range(200):
+            key = draw(lower + lower.upper() + "0123456789", size)
+            spans = S.random_spans(f"see {before}{key} there", [], enc)
+            found[before, size] = found.get((before, size), 0) + any(e == 4 + len(before) + size for _, _, e in spans)
+    assert min(found.values()) >= 190
+    # beside a base span in the same run, each character in one span at most
+    text = "0123456789abcdef01234567/kQ8vZr3TnXw7LmYb2Jd5 x"
+    assert S.random_spans(text, S.base_spans(text), enc) == [(25, 3, 45)]
+    for s in ("MAX_CHARS_PER_TOKEN", "internationalization", "Donaudampfschifffahrtsgesellschaft",
+              "configuration/documentation=some_value_of_words"):
+        assert S.random_spans(f"see {s} there", [], enc) == [], s
+
+
 def test_edges(spark):
     long = "word " * 200_000 + "AKIA" + "Q7" * 8
     df = spark.createDataFrame(
