@@ -5,10 +5,12 @@ blocks of equal volume. Weights become whole quotas of a period of ``period``
 slots, so that block k of a source with quota a has release time
 floor(k * period / a) and deadline ceil((k + 1) * period / a). Earliest
 deadline first gives each slot to one released block. All quotas add up to the
-period, so the schedule repeats: it is computed for one period (a table of
-``period`` rows, whatever the data) and every document finds its slot by
-arithmetic. At every slot each source has had its share within less than one
-block, as long as its documents last; slots of exhausted sources stay empty.
+period, so the schedule repeats: it is computed for one period and every
+document finds its slot by arithmetic. At every slot each source has had its
+quota's share within less than one block, as long as its documents last; slots
+of exhausted sources stay empty. A quota differs from the target weight, as
+every source gets a slot; the README has the figures. More sources than a
+period has slots get a longer period, of ``SLOTS_PER_SOURCE`` slots a source.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql.window import Window
 from shortbook.llm.common import table
 
 PERIOD = 1_000
+SLOTS_PER_SOURCE = 10
 BLOCK_CHARS = 100_000
 # hexadecimal digits of the bucket: 16**3 buckets split each source
 BUCKET_DIGITS = 3
@@ -31,11 +34,11 @@ def source_key(source: Column) -> Column:
 
 
 def quotas(volumes: DataFrame, weights: DataFrame | None = None, period: int = PERIOD) -> DataFrame:
-    """(key, quota) from (key, volume): every source gets one slot, the rest
-    of the period goes out by weight, largest remainders last. ``weights`` has
-    (source, weight), missing and negative ones count as 0; without it the
-    weight is the square root of the volume. One row per source, at most
-    ``period`` sources."""
+    """(key, quota, period) from (key, volume): every source gets one slot, the
+    rest of the period goes out by weight, largest remainders last. ``weights``
+    has (source, weight), missing and negative ones count as 0; without it the
+    weight is the square root of the volume. One row per source; for more than
+    ``period`` sources the period is a multiple of it."""
     if weights is None:
         known = volumes.withColumn("w", F.floor(F.sqrt(F.col("volume").cast("double"))))
     else:
@@ -49,38 +52,49 @@ def quotas(volumes: DataFrame, weights: DataFrame | None = None, period: int = P
         .withColumn("total", F.sum("w").over(everything)) \
         .withColumn("w", F.when(F.col("total") > 0, F.col("w")).otherwise(F.lit(1))) \
         .withColumn("total", F.when(F.col("total") > 0, F.col("total")).otherwise(F.col("n"))) \
-        .withColumn("free", F.when(F.col("n") <= period, period - F.col("n")).otherwise(
-            F.raise_error(F.lit(f"more sources than the {period} slots of a period"))))
+        .withColumn("period", F.when(F.col("n") <= period, F.lit(period).cast("long")).otherwise(
+            F.expr(f"({SLOTS_PER_SOURCE} * n + {period - 1}) div {period} * {period}"))) \
+        .withColumn("free", F.col("period") - F.col("n"))
     whole = known.withColumn("share", F.expr("1 + (free * w) div total")) \
         .withColumn("rest", F.expr("(free * w) % total")) \
-        .withColumn("left", F.lit(period) - F.sum("share").over(everything))
+        .withColumn("left", F.col("period") - F.sum("share").over(everything))
     by_rest = Window.partitionBy().orderBy(F.desc("rest"), "key")
     return whole.select("key", (F.col("share") + F.when(
-        F.row_number().over(by_rest) <= F.col("left"), 1).otherwise(0)).cast("long").alias("quota"))
-
-
-def period_schedule(quota: DataFrame, period: int = PERIOD) -> DataFrame:
-    """(key, quota, nth, slot): earliest deadline first over one period, as one
-    fold over the slots; the state is the next block of each source."""
-    one = quota.agg(F.sort_array(F.collect_list(F.struct("key", "quota"))).alias("s"))
-    picked = F.expr(f"""
-      aggregate(
-        sequence(0, {period} - 1),
-        named_struct('next', transform(s, x -> 0L), 'order', cast(array() as array<int>)),
-        (state, t) -> transform(
-          array(array_min(filter(
-            transform(s, (x, i) -> named_struct(
-              'deadline', ((state.next[i] + 1) * {period} + x.quota - 1) div x.quota,
-              'at', i, 'release', (state.next[i] * {period}) div x.quota,
-              'left', x.quota - state.next[i])),
-            c -> c.left > 0 and c.release <= t)).at),
-          at -> named_struct(
-            'next', transform(state.next, (n, i) -> if(i = at, n + 1, n)),
-            'order', array_append(state.order, at)))[0],
-        state -> state.order)""")
+        F.row_number().over(by_rest) <= F.col("left"), 1).otherwise(0)).cast("long").alias("quota"), "period")
+
+
+def period_schedule(quota: DataFrame) -> DataFrame:
+    """(key, quota, period, nth, slot): earliest deadline first over one
+    period, as one fold over the slots. Sources of equal quota have equal
+    windows and take turns, so the state is one number per distinct quota:
+    the blocks they have placed. Quotas add up to the period, so there are
+    fewer than the root of twice the period."""
+    one = quota.agg(F.sort_array(F.collect_list(F.struct("key", "quota"))).alias("s"),
+                    F.max("period").alias("period"))
+    # g: per distinct quota, where its sources stand in s; bound once
+    picked = F.expr("""
+      transform(array(transform(array_sort(array_distinct(s.quota)), a -> named_struct(
+          'quota', a, 'ats', filter(sequence(0, size(s) - 1), i -> s[i].quota = a)))),
+        g -> aggregate(
+          sequence(0, cast(period as int) - 1),
+          named_struct('next', transform(g, x -> 0L), 'order', cast(array() as array<int>)),
+          (state, t) -> transform(
+            array(array_min(filter(
+              transform(
+                transform(g, (x, i) -> named_struct(
+                  'k', state.next[i] div size(x.ats), 'quota', x.quota, 'group', i,
+                  'at', x.ats[cast(state.next[i] % size(x.ats) as int)])),
+                c -> named_struct(
+                  'deadline', ((c.k + 1) * period + c.quota - 1) div c.quota, 'at', c.at, 'group', c.group,
+                  'release', (c.k * period) div c.quota, 'left', c.quota - c.k)),
+              c -> c.left > 0 and c.release <= t))),
+            best -> named_struct(
+              'next', transform(state.next, (n, i) -> if(i = best.group, n + 1, n)),
+              'order', array_append(state.order, best.at)))[0],
+          state -> state.order))[0]""")
     return (one.filter(F.size("s") > 0)
-            .select("s", F.posexplode(picked).alias("slot", "at"))
-            .select(F.expr("s[at].key").alias("key"), F.expr("s[at].quota").alias("quota"), "slot")
+            .select("s", "period", F.posexplode(picked).alias("slot", "at"))
+            .select(F.expr("s[at].key").alias("key"), F.expr("s[at].quota").alias("quota"), "period", "slot")
             .withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("slot")) - 1))
 
 
@@ -111,23 +125,23 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
         F.coalesce(F.sum("volume").over(Window.partitionBy("key").orderBy("bucket").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     volumes = buckets.groupBy("key").agg(F.sum("volume").alias("volume"))
-    schedule = period_schedule(quotas(volumes, weights, period), period)
+    schedule = period_schedule(quotas(volumes, weights, period))
     own = Window.partitionBy("key", "bucket").orderBy("draw", F.asc_nulls_first("id"), "volume")
     placed = (row.withColumn("before", F.coalesce(F.sum("volume").over(
                   own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .join(offsets, (F.col("key") == F.col("o_key")) & (F.col("bucket") == F.col("o_bucket")))
               .withColumn("start", F.col("before") + F.col("offset"))
               .withColumn("block", F.expr(f"start div {block}")))
-    # the schedule has `period` rows, whatever the data: a proven bound
-    first = F.broadcast(schedule.filter("nth = 0").select("key", "quota"))
+    # the schedule has `period` rows, or some for each source, whatever the documents
+    first = F.broadcast(schedule.filter("nth = 0").select("key", "quota", "period"))
     slots = F.broadcast(schedule.select("key", "nth", F.col("slot").alias("slot_")))
     return (placed.join(first, "key")
             .withColumn("nth", F.expr("block % quota")).join(slots, ["key", "nth"])
             .select("row.*", F.struct(
                 F.col("quota"), F.col("block"),
-                F.expr(f"(block * {period}) div quota").alias("release"),
-                F.expr(f"((block + 1) * {period} + quota - 1) div quota").alias("deadline"),
-                F.expr(f"(block div quota) * {period} + slot_").alias("slot"),
+                F.expr("(block * period) div quota").alias("release"),
+                F.expr("((block + 1) * period + quota - 1) div quota").alias("deadline"),
+                F.expr("(block div quota) * period + slot_").alias("slot"),
                 F.col("start").alias("place")).alias("mix")))
 
 

@@ -67,6 +67,15 @@ def test_given_weights_nulls_and_repeats(spark):
     assert M.mix(docs.limit(0), weights).collect() == []
 
 
+def test_more_sources_than_slots(spark):
+    rows = [(k * 3_000 + i, f"s{k}", 40 + k) for k in range(130) for i in range(3 + 60 * (k % 40 == 0))]
+    mixed = M.mix(spark.createDataFrame(rows, "doc_id long, source string, n_chars long"), period=100, block=500).cache()
+    quota = {r.source: r.quota for r in mixed.select("source", "mix.quota").distinct().collect()}
+    assert len(quota) == 130 and sum(quota.values()) == 1_300
+    assert quota["s120"] > 3 * quota["s119"]
+    assert got(mixed) == brute(rows, quota, 1_300, 500)
+
+
 def test_no_python_on_the_main_path(spark, sf):
     from conftest import plan_text
 
