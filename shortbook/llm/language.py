@@ -27,8 +27,6 @@ BUCKETS = 1 << 16
 AFFIXES, NGRAMS = (1, 2, 3, 4), (1, 2, 3, 4)
 # the training sample: about so many documents a language, none longer
 SAMPLE_DOCS, SAMPLE_CHARS = 500, 12_000
-# so many languages are learned at most, the commonest; their counts are broadcast
-MAX_LANGUAGES = 100
 # training sequences: so many, of runs of words from different documents
 SEQUENCES, SEQUENCE_WORDS, RUN_WORDS = 2_500, 64, (4, 40)
 # a word is in the lexicon when several texts and almost only one language have it
@@ -319,14 +317,21 @@ def train(docs: DataFrame, folds: int = 3, held_out: int = 1, sample_docs: int =
           sample_chars: int = SAMPLE_CHARS) -> LanguageModel:
     """Fit on documents with a language whose crc32(doc_id) mod ``folds`` is
     not ``held_out``: a hash sample of about ``sample_docs`` documents of at
-    most ``sample_chars`` characters a language reaches the driver; texts stay where they are read."""
+    most ``sample_chars`` characters a language reaches the driver; texts stay
+    where they are read. A language that only has longer texts is learned from
+    their beginnings. Every labelled language is learned, so the sample and the
+    model grow with the number of languages."""
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string"),
                          F.col("text").cast("string")) \
         .filter(F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), folds) != held_out))
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    short = F.coalesce(F.length("text") <= sample_chars, F.lit(False))
+    # one row a language, far fewer bytes than the model has for it
+    counts = usable.groupBy("lang").agg(F.count_if(short).alias("n_short"), F.count("text").alias("n"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1_000_000)) / 1_000_000
-    rows = (usable.filter(F.length("text") <= sample_chars)
-            .join(F.broadcast(counts), "lang").filter(draw < sample_docs / F.col("n"))
+    rows = (usable.filter("text is not null").join(F.broadcast(counts), "lang")
+            .filter((short & (draw * F.col("n_short") < sample_docs))
+                    | ((F.col("n_short") == 0) & (draw * F.col("n") < sample_docs)))
+            .select("doc_id", "lang", F.substring("text", 1, sample_chars).alias("text"))
             .orderBy("doc_id", "lang", "text").select("lang", "text").toPandas())
     return fit(rows["text"].tolist(), rows["lang"].tolist())
 

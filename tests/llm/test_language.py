@@ -83,6 +83,22 @@ def test_code_switched_text_is_labelled_by_word(spark):
     assert model.transitions.diagonal().min() > (model.transitions - 99 * np.eye(4)).max()
 
 
+def test_every_language_is_sampled(spark, monkeypatch):
+    """More than a hundred languages; one of mainly and one of only long texts."""
+    drawn = []
+    monkeypatch.setattr(L, "fit", lambda texts, langs: drawn.extend(zip(langs, texts, strict=True)))
+    rows = [(k * 10 + i, f"w{k} x", f"l{k}") for k in range(130) for i in range(6)]
+    rows += [(10_000 + i, "long " * 100, "mostly") for i in range(1_200)]
+    rows += [(20_000 + i, f"short {i}", "mostly") for i in range(30)]
+    rows += [(30_000 + i, "only " * 100, "long") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    L.train(docs, sample_docs=50, sample_chars=100)
+    assert {lang for lang, _ in drawn} == {f"l{k}" for k in range(130)} | {"mostly", "long"}
+    usable = [i for i in range(20_000, 20_030) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sorted(t for lang, t in drawn if lang == "mostly") == sorted(f"short {i - 20_000}" for i in usable)
+    assert {t for lang, t in drawn if lang == "long"} == {("only " * 100)[:100]}
+
+
 def test_edges(spark):
     rows = [(1, None, "en", 1), (1, "", "en", 2), (None, "12 ½ !?", "de", 3), (2, "the cat " * 100_000, None, 4)]
     rows += [(i, "the cat and the dog" if i % 2 else "der Hund und die Katze", "en" if i % 2 else "de", 5)
