@@ -208,6 +208,16 @@ def test_nav_links_without_python(spark):
     assert not any(k in plan_text(out) for k in ("MapInPandas", "MapInArrow", "ArrowEval", "BatchEvalPython"))
 
 
+def test_nav_links_of_loose_markup(spark):
+    page = ("<!-- <nav><a href='/c'>c</a></nav> --><nav><script>'<a href=\"/s\">s</a>'</script><a href=/u>it&#8217;s</a>"
+            "<a name=k>&eacute;&copy;&#x27;&unknown;&</a><nav><a href='/n?a&amp;b'>n</a></nav><A HREF = '/o'>&#146;</A></nav>"
+            "<a href='/no'>n</a>")
+    out = html.nav_links(spark.createDataFrame([(7, page)], "page_id long, html string"))
+    assert rows(out, ["page_id", "pos", "text", "href"]) == sorted([
+        (7, 0, "it\u2019s", "/u"), (7, 1, "\u00e9\u00a9'&unknown;&", None), (7, 2, "n", "/n?a&b"),
+        (7, 3, "\u2019", "/o")], key=repr)
+
+
 def test_csv_quotes_commas_and_newlines(spark, tmp_path):
     import csv
     records = [("1", 'ACME "X" Corp, Inc', "plain"), ("2", "two\nlines", 'say ""'), ("3", "", "a,b")]
