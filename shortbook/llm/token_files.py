@@ -123,12 +123,14 @@ class Codes:
 
 
 @functools.cache
-def tokenizer(path: str):
+def tokenizer(path: str, special: bool = True):
+    """The library's tokenizer; without ``special`` the strings of special
+    tokens in a text are ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t.encode_special_tokens = not special
     return t
 
 
@@ -148,10 +150,14 @@ class Encoder:
     those of its chunks: runs of spaces and newlines with the letters or the
     rest of a word behind them. Chunks seen before are not encoded again. A
     chunk of letters behind one space at most is a single piece of the
-    pattern, so it goes straight to the library's merges."""
-
-    def __init__(self, path: str):
-        self.tokenizer = tokenizer(path)
+    pattern, so it goes straight to the library's merges. Texts that hold an
+    added token are encoded in one piece."""
+
+    def __init__(self, path: str, special: bool = True):
+        self.tokenizer = tokenizer(path, special)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        found = [re.escape(t.content) for t in added if special or not t.special]
+        self.added = re.compile("|".join(found)) if found else None
         split = self.tokenizer.pre_tokenizer
         self.bytes = byte_alphabet() if (type(split).__name__ == "ByteLevel" and not split.add_prefix_space
                                          and self.tokenizer.normalizer is None) else None
@@ -159,27 +165,33 @@ class Encoder:
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
+    def raw(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, by the library alone."""
         return [struct.pack(f"<{len(e)}I", *e.ids)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: set[str]) -> None:
-        memo, old, rest = self.memo, self.old, []
+    def chunk_ids(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks, each encoded alone."""
+        found: dict[str, bytes] = {}
         merge = self.tokenizer.model.tokenize
-        for c in new:
-            if (raw := old.get(c)) is not None:
-                memo[c] = raw
-            elif self.bytes and WORD.match(c):
+        for c in chunks:
+            if self.bytes and WORD.match(c):
                 ids = [t.id for t in merge(c.encode().decode("latin-1").translate(self.bytes))]
-                memo[c] = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                rest.append(c)
-        memo.update(zip(rest, self._raw(rest), strict=True))
+                found[c] = struct.pack(f"<{len(ids)}I", *ids)
+        rest = [c for c in chunks if c not in found]
+        found.update(zip(rest, self.raw(rest), strict=True))
+        return [found[c] for c in chunks]
+
+    def _learn(self, new: set[str]) -> None:
+        memo, old = self.memo, self.old
+        rest = [c for c in new if c not in old]
+        memo.update((c, old[c]) for c in new if c in old)
+        memo.update(zip(rest, self.chunk_ids(rest), strict=True))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian u32."""
-        if OTHER_SPACE.search(text):
-            return self._raw([text])[0]
+        if OTHER_SPACE.search(text) or self.added and self.added.search(text):
+            return self.raw([text])[0]
         chunks = CHUNK.findall(text)
         new = set(chunks).difference(self.memo)
         if len(self.memo) + len(new) > MEMO_CHUNKS:

@@ -13,7 +13,6 @@ from shortbook.session import scratch_dir
 
 def plain(texts):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return [e.ids + [0] for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -51,6 +50,13 @@ def test_chunks_give_the_ids_of_the_whole_text(text):
     assert np.frombuffer(raw, "<u4").tolist() == plain([text])[0][:-1]
 
 
+def test_special_tokens_are_the_librarys():
+    encoder = D.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert np.frombuffer(encoder.encode("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+    for text in ("<|endoftext|>", "x<|endoftext|>\n\n y", "<|endoftext|", "a <|endof", "text|>"):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain([text])[0][:-1]
+
+
 def test_memo_is_bounded(monkeypatch):
     monkeypatch.setattr(D, "MEMO_CHUNKS", 50)
     e = D.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
