@@ -44,12 +44,12 @@ def _arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back: later
     jobs neither recompute it nor depend on the executors that made it, and
     Catalyst sees its real size when it picks join strategies."""
     path = f"{scratch_dir(df.sparkSession, name)}/{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

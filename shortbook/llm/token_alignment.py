@@ -4,29 +4,30 @@ A text's bytes are cut into tokens twice. Where a token of A and one of B both
 end, a group ends; a token of A and one of B whose bytes overlap are linked.
 The count of an id pair is the number of documents in which it is linked.
 
-All distinct pairs get a slot each by minimal perfect hashing (built per
-bucket, verified by the keys). Tasks count into dense vectors over the slots;
-the vectors travel in stretches and are summed as a tree, first within groups
-of tasks, then over the groups. A last pass aligns the documents again and
-looks their pairs up. Pairs are taken in shards, by the id of A, of a bounded
-number each, so that what a task holds is bounded too: a corpus with more pairs
-takes more turns.
+A first pass encodes the documents, stores their ids, and gathers the distinct
+linked pairs. All pairs get a slot each by minimal perfect hashing (built per
+bucket, verified by the keys). Tasks count documents into dense vectors over
+the slots; the vectors travel in stretches and are summed as a tree, first
+within groups of tasks, then over the groups. A last pass aligns the stored ids
+again and looks the pairs up. Pairs are taken in shards, by the id of A, of a
+bounded number each, so that what a task holds is bounded too: a corpus with
+more pairs takes more turns.
 
 Neither vocabulary joins anything across a chunk's edge (a run of spaces and
-newlines with what follows it), which is checked when the files are read.
-So chunks are aligned once and kept in a bounded memo.
+newlines with what follows it), which is checked when the files are read. So
+chunks are encoded once and kept in a bounded memo.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
-import itertools
 import json
 import math
 import re
+import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -42,38 +43,38 @@ from shortbook.llm.token_files import CHUNK, OTHER_SPACE, Encoder, byte_alphabet
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # pairs of a shard, of a bucket, and of a stretch of counts
 PAIRS_AT_ONCE, BUCKET_PAIRS, STRETCH = 1 << 23, 1 << 17, 1 << 18
-MEMO_CHUNKS = 200_000
-# pairs gathered in a task before it makes them distinct, and before it sends them
-GATHERED, SENT = 1 << 21, 1 << 21
+# chunks of a memo, tokens aligned at once, and distinct pairs that a task gathers before it sends them
+MEMO_CHUNKS, TOKENS_AT_ONCE, SENT = 300_000, 1 << 19, 1 << 21
+ENCODED = "doc_id long, a binary, b binary, pairs binary"
 RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
           "groups_sha256 string")
 
 
 class Alignment:
-    """Pieces of text aligned one after another. ``links`` and ``groups`` are
-    cut at ``link_ends`` and ``group_ends``, one entry per piece."""
+    """Texts aligned one after another: their ids, and the bytes of each. The
+    links and the groups of text k end at ``link_ends[k]`` and ``group_ends[k]``."""
 
     def __init__(self, a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray, sizes: np.ndarray):
         self.a, self.b = a, b
         self.a_end, self.b_end = np.cumsum(a_size[a]), np.cumsum(b_size[b])
-        ends = np.union1d(self.a_end, self.b_end)
+        ends = np.sort(np.concatenate([self.a_end, self.b_end]), kind="stable")
+        last = np.append(ends[1:] != ends[:-1], True)[:len(ends)]
+        self.both = ends[~last]  # A and B have each end once
+        ends = ends[last]
         # a stretch between two ends lies in one token of A and one of B, and in no other stretch do they meet
         self.links = (a[np.searchsorted(self.a_end, ends)].astype(np.uint64) << np.uint64(32)) \
             | b[np.searchsorted(self.b_end, ends)].astype(np.uint64)
-        self.both = np.intersect1d(self.a_end, self.b_end, assume_unique=True)
-        self.pieces = np.cumsum(sizes)
-        self.link_ends = np.searchsorted(ends, self.pieces, "right")
-        self.group_ends = np.searchsorted(self.both, self.pieces, "right")
+        texts = np.cumsum(sizes)
+        self.a_ends, self.b_ends, self.link_ends, self.group_ends = (
+            np.searchsorted(of, texts, "right") for of in (self.a_end, self.b_end, ends, self.both))
 
     def texts(self, names: tuple[list[str], ...]) -> list[str]:
-        """Per piece its groups as ``a1,a2|b1;``."""
+        """Per text its groups as ``a1,a2|b1;``."""
         a_comma, a_bar, b_comma, b_semicolon = names
         a_group, b_group = np.searchsorted(self.both, self.a_end), np.searchsorted(self.both, self.b_end)
-        parts = [(last if end else more)[i] for i, end, more, last in itertools.chain(
-            zip(self.a.tolist(), np.append(a_group[1:] != a_group[:-1], True).tolist(),
-                itertools.repeat(a_comma), itertools.repeat(a_bar)),
-            zip(self.b.tolist(), np.append(b_group[1:] != b_group[:-1], True).tolist(),
-                itertools.repeat(b_comma), itertools.repeat(b_semicolon)))]
+        parts = [(last if end else more)[i] for of, group, more, last in (
+            (self.a, a_group, a_comma, a_bar), (self.b, b_group, b_comma, b_semicolon))
+            for i, end in zip(of.tolist(), np.append(group[1:] != group[:-1], True)[:len(of)].tolist(), strict=True)]
         group = np.concatenate([2 * a_group, 2 * b_group + 1])
         order = np.argsort(group, kind="stable")
         cuts = np.searchsorted(group[order], 2 * self.group_ends).tolist()
@@ -105,61 +106,28 @@ class Vocabularies:
         self.b_bytes = [bytes([int(name(i)[3:5], 16)]) if self.pieces.is_byte(i)
                         else name(i).replace("▁", " ").encode() for i in range(n)]
         self.a_size, self.b_size = (np.array([len(x) for x in of], np.int64) for of in (self.a_bytes, self.b_bytes))
+        self.stored = "<u2" if max(len(self.a_bytes), n) <= 1 << 16 else "<u4"
         # chunks may be encoded alone if no piece crosses their edges and a newline stays by itself
         plain = [name(i) for i in range(n) if not (self.pieces.is_byte(i) or self.pieces.is_control(i)
                                                    or self.pieces.is_unknown(i))]
         crossing = re.compile(r"[^▁]▁|\n|[A-Za-zÀ-ÖØ-öø-ɏ][\x00-@\[-`{-\x7F]")
         self.lead = self.pieces.encode("\n")
         self.chunks = self.encoder.bytes is not None and len(self.lead) == 2 and not any(map(crossing.search, plain))
+        self.memo: dict[str, tuple[bytes, bytes] | None] = {}
+        self.old: dict[str, tuple[bytes, bytes] | None] = {}
 
     def names(self) -> tuple[list[str], ...]:
         """An id with the separator behind it, for ids of A and of B."""
         return tuple([f"{i}{mark}" for i in range(len(of))]
                      for of, mark in ((self.a_bytes, ","), (self.a_bytes, "|"), (self.b_bytes, ","), (self.b_bytes, ";")))
 
-    def align(self, texts: list[str], a: list[bytes], b: list[list[int]]) -> tuple[Alignment, np.ndarray]:
-        """The alignment of the texts whose tokens have their bytes, and which those are."""
-        raw = [t.encode() for t in texts]
-        sizes = np.array([len(r) for r in raw], np.int64)
-        a_count, b_count = np.array([len(x) // 4 for x in a]), np.array([len(x) for x in b])
-        a_ids = np.frombuffer(b"".join(a), "<u4").astype(np.int64)
-        b_ids = np.fromiter(itertools.chain.from_iterable(b), np.int64, b_count.sum())
-        whole = b"".join(raw)
-        good = np.ones(len(texts), bool)
-        a_at, b_at = np.cumsum(a_count), np.cumsum(b_count)
-        a_own, b_own = (b"".join(map(of.__getitem__, ids.tolist()))
-                        for of, ids in ((self.a_bytes, a_ids), (self.b_bytes, b_ids)))
-        begin = np.append(0, np.cumsum(sizes))
-        ends = [np.append(0, np.cumsum(of[ids]))[np.append(0, at)]
-                for of, ids, at in ((self.a_size, a_ids, a_at), (self.b_size, b_ids, b_at))]
-        if not (a_own == whole == b_own and all(np.array_equal(e, begin) for e in ends)):
-            for k, r in enumerate(raw):
-                good[k] = a_own[ends[0][k]:ends[0][k + 1]] == r == b_own[ends[1][k]:ends[1][k + 1]]
-            a_ids, b_ids = a_ids[np.repeat(good, a_count)], b_ids[np.repeat(good, b_count)]
-        return Alignment(a_ids, b_ids, self.a_size, self.b_size, sizes[good]), good
-
-    def whole(self, text: str) -> tuple[Alignment, np.ndarray]:
-        """One text behind a space, without the memo."""
-        spaced = " " + text
-        return self.align([spaced], self.encoder.raw([spaced]), [self.pieces.encode(text)])
-
-
-class Chunks:
-    """Values of chunks, kept in a bounded memo. ``value`` makes them from an
-    alignment: one per piece."""
-
-    def __init__(self, words: Vocabularies, value: Callable[[Alignment], list]):
-        self.words, self.value = words, value
-        self.memo: dict[str, object] = {}
-        self.old: dict[str, object] = {}
-
-    def of(self, text: str | None) -> list | None:
-        """The values of a text's pieces; None if it has no tokens."""
+    def encode(self, text: str | None) -> tuple[bytes, bytes] | None:
+        """Ids of A and of B as u32; None if the text has no tokens."""
         if not text:
             return None
-        words = self.words
-        if words.chunks and not OTHER_SPACE.search(text):
-            chunks = CHUNK.findall(" " + text)
+        spaced = " " + text
+        if self.chunks and not OTHER_SPACE.search(text):
+            chunks = CHUNK.findall(spaced)
             new = set(chunks).difference(self.memo)
             if len(self.memo) + len(new) > MEMO_CHUNKS:
                 self.memo, self.old, new = {}, self.memo, set(chunks)
@@ -167,60 +135,105 @@ class Chunks:
                 self._learn(new)
             found = list(map(self.memo.__getitem__, chunks))
             if None not in found:
-                return found
-        made, good = words.whole(text)
-        return self.value(made) if good[0] else None
+                a, b = zip(*found, strict=True)
+                return b"".join(a), b"".join(b)
+        return self._checked([spaced], self.encoder.raw([spaced]), [self.pieces.encode(text)])[0]
 
     def _learn(self, new: set[str]) -> None:
-        rest = []
-        for c in new:
-            if c in self.old:
-                self.memo[c] = self.old[c]
-            else:
-                rest.append(c)
+        self.memo.update((c, self.old[c]) for c in new if c in self.old)
+        rest = [c for c in new if c not in self.old]
+        # those between white space and another character can stand in a row, and are encoded at once
+        row = [c for c in rest if c[0] in " \n" and c[-1] not in " \n"]
+        found = self._in_a_row(row) if row else []
+        if found is None:
+            row, found = [], []
+        known = set(row)
+        self.memo.update(zip(row, found, strict=True))
+        rest = [c for c in rest if c not in known]
         if rest:
-            words = self.words
-            lead = len(words.lead)
-            b = [ids[lead:] for ids in words.pieces.encode(["\n" + c for c in rest], num_threads=1)]
-            made, good = words.align(rest, words.encoder.chunk_ids(rest), b)
-            values = iter(self.value(made))
-            for c, fine in zip(rest, good.tolist(), strict=True):
-                self.memo[c] = next(values) if fine else None
-
-
-def _cut(values: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
-    at = ends.tolist()
-    return (values[x:y] for x, y in zip([0, *at], at, strict=False))
+            b = [ids[len(self.lead):] for ids in self.pieces.encode(["\n" + c for c in rest], num_threads=1)]
+            self.memo.update(zip(rest, self._checked(rest, self.encoder.chunk_ids(rest), b), strict=True))
+
+    def _in_a_row(self, chunks: list[str]) -> list[tuple[bytes, bytes]] | None:
+        """The ids of each; None if some bytes are not the chunks'."""
+        text = "".join(chunks)
+        ends = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in chunks])
+        a = np.frombuffer(self.encoder.raw([text])[0], "<u4")
+        # behind a newline, whose tokens are dropped, B adds no space to the text
+        b = np.array(self.pieces.encode("\n" + text)[len(self.lead):], "<u4")
+        raw, cut = text.encode(), []
+        for ids, size, of in ((a, self.a_size, self.a_bytes), (b, self.b_size, self.b_bytes)):
+            at = np.cumsum(size[ids])
+            last = np.searchsorted(at, ends)
+            if b"".join(map(of.__getitem__, ids.tolist())) != raw or not np.array_equal(at[last], ends):
+                return None
+            data, to = ids.tobytes(), (4 * (last + 1)).tolist()
+            cut.append([data[m:n] for m, n in zip([0, *to], to, strict=False)])
+        return list(zip(*cut, strict=True))
+
+    def _checked(self, texts: list[str], a: list[bytes], b: list[list[int]]) -> list[tuple[bytes, bytes] | None]:
+        """The ids of each text, or None where their bytes are not the text's."""
+        out = []
+        for text, x, y in zip(texts, a, b, strict=True):
+            raw = text.encode()
+            same = raw == b"".join([self.b_bytes[i] for i in y]) \
+                and raw == b"".join([self.a_bytes[i] for i in struct.unpack(f"<{len(x) // 4}I", x)])
+            out.append((x, struct.pack(f"<{len(y)}I", *y)) if same else None)
+        return out
+
+    def align(self, a: list[bytes], b: list[bytes], kind: str) -> Iterator[Alignment]:
+        """Alignments of consecutive texts, given as ids of ``kind``; each of a
+        bounded number of tokens, or of one text. No ids stand for no tokens."""
+        width, k = np.dtype(kind).itemsize, 0
+        while k < len(a):
+            n, tokens = k, 0
+            while n < len(a) and (n == k or tokens + (len(a[n]) + len(b[n])) // width <= TOKENS_AT_ONCE):
+                tokens += (len(a[n]) + len(b[n])) // width
+                n += 1
+            a_ids, b_ids = (np.frombuffer(b"".join(of[k:n]), kind).astype(np.int64) for of in (a, b))
+            ends = np.cumsum([len(x) // width for x in a[k:n]])
+            sizes = np.diff(np.append(0, np.cumsum(self.a_size[a_ids]))[np.append(0, ends)])
+            yield Alignment(a_ids, b_ids, self.a_size, self.b_size, sizes)
+            k = n
+
+
+def encoded(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
+    """Rows of two kinds: per document its ids (none, if it has no tokens), and
+    per task its distinct linked id pairs, those of A in the upper half."""
+    schema = _arrow_schema(docs.sparkSession, ENCODED)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _vocabularies(*paths)
+        known = np.zeros(0, np.uint64)
+
+        def rows(ids: list, a: list, b: list, pairs: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(v, f.type) for v, f in zip((ids, a, b, pairs), schema, strict=True)], schema=schema)
+
+        for batch in batches:
+            found = [words.encode(t) or (b"", b"") for t in batch.column(1).to_pylist()]
+            a, b = ([np.frombuffer(x[k], "<u4").astype(words.stored).tobytes() for x in found] for k in (0, 1))
+            yield rows(batch.column(0).to_pylist(), a, b, [None] * len(a))
+            known = np.unique(np.concatenate([known, *(np.unique(m.links) for m in words.align(a, b, words.stored))]))
+            if len(known) >= SENT:
+                yield rows([None], [None], [None], [known.tobytes()])
+                known = known[:0]
+        if len(known):
+            yield rows([None], [None], [None], [known.tobytes()])
 
-def distinct_pairs(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
-    """(pair): the distinct linked id pairs, those of A in the upper half."""
-    schema = _arrow_schema(docs.sparkSession, "pair long")
+    return docs.select("doc_id", "text").mapInArrow(run, ENCODED)
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        known, count = np.zeros(0, np.uint64), 0
 
-        def take(made: Alignment) -> list:
-            nonlocal count
-            held.append(np.unique(made.links))
-            count += len(held[-1])
-            return [True] * len(made.pieces)
+def distinct_pairs(gathered: DataFrame) -> DataFrame:
+    """(pair) of the rows that hold what tasks gathered."""
+    schema = _arrow_schema(gathered.sparkSession, "pair long")
 
-        chunks = Chunks(_vocabularies(*paths), take)
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for text in b.column(0).to_pylist():
-                chunks.of(text)
-                if count > GATHERED:
-                    known, held, count = np.unique(np.concatenate([known, *held])), [], 0
-                    if len(known) > SENT:
-                        yield pa.RecordBatch.from_arrays([pa.array(known.view(np.int64))], schema=schema)
-                        known = known[:0]
-        known = np.unique(np.concatenate([known, *held]))
-        if len(known):
-            yield pa.RecordBatch.from_arrays([pa.array(known.view(np.int64))], schema=schema)
+            for data in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(data, "<i8"))], schema=schema)
 
-    return docs.select("text").mapInArrow(find, "pair long").distinct()
+    return gathered.select("pairs").mapInArrow(unpack, "pair long").distinct()
 
 
 def perfect_hash(pairs: DataFrame, n: int) -> PerfectHash:
@@ -247,10 +260,10 @@ def perfect_hash(pairs: DataFrame, n: int) -> PerfectHash:
     return PerfectHash([tuple(r) for r in rows], buckets)
 
 
-def count_documents(docs: DataFrame, paths: tuple[str, str], shared, n: int) -> np.ndarray:
+def count_documents(ids: DataFrame, paths: tuple[str, str], shared, n: int) -> np.ndarray:
     """Documents per slot: dense vectors of the tasks, summed as a tree."""
     schema_text = "stretch int, task int, counts binary"
-    schema = _arrow_schema(docs.sparkSession, schema_text)
+    schema = _arrow_schema(ids.sparkSession, schema_text)
 
     def batch(stretch: int, task: int, counts: np.ndarray) -> pa.RecordBatch:
         data = zlib.compress(counts.astype("<i8").tobytes(), 1)
@@ -258,18 +271,13 @@ def count_documents(docs: DataFrame, paths: tuple[str, str], shared, n: int) ->
             [pa.array([stretch], pa.int32()), pa.array([task], pa.int32()), pa.array([data])], schema=schema)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots_of = shared.value
-
-        def take(made: Alignment) -> list[bytes]:
-            slots = slots_of.slots(made.links).astype(np.int32)
-            return [s[s >= 0].tobytes() for s in _cut(slots, made.link_ends)]
-
-        chunks, total = Chunks(_vocabularies(*paths), take), np.zeros(n, np.int32)
+        words, slots_of, total = _vocabularies(*paths), shared.value, np.zeros(n, np.int32)
         for b in batches:
-            for text in b.column(0).to_pylist():
-                found = chunks.of(text)
-                if found:
-                    total[np.unique(np.frombuffer(b"".join(found), np.int32))] += 1
+            for made in words.align(b.column(0).to_pylist(), b.column(1).to_pylist(), words.stored):
+                slot = slots_of.slots(made.links)
+                doc = np.repeat(np.arange(len(made.link_ends)), np.diff(made.link_ends, prepend=0))
+                once = np.unique((doc * n + slot)[slot >= 0])
+                total += np.bincount(once % n, minlength=n).astype(np.int32) if n else 0
         if total.any():
             for k in range(0, n, STRETCH):
                 yield batch(k // STRETCH, TaskContext.get().partitionId(), total[k:k + STRETCH])
@@ -284,9 +292,9 @@ def count_documents(docs: DataFrame, paths: tuple[str, str], shared, n: int) ->
         for k, own in sums.items():
             yield batch(k, task, own)
 
-    tree = docs.select("text").mapInArrow(count, schema_text)
+    tree = ids.select("a", "b").mapInArrow(count, schema_text)
     # no task sums more stretches than the root of the number of tasks, or so
-    fan = F.pmod("task", F.lit(max(1, math.isqrt(docs.sparkSession.sparkContext.defaultParallelism))))
+    fan = F.pmod("task", F.lit(max(1, math.isqrt(ids.sparkSession.sparkContext.defaultParallelism))))
     tree = tree.repartition("stretch", fan).mapInArrow(add, schema_text)
     rows = tree.repartition("stretch").mapInArrow(add, schema_text).collect()
     total = np.zeros(n, np.int64)
@@ -295,40 +303,28 @@ def count_documents(docs: DataFrame, paths: tuple[str, str], shared, n: int) ->
     return total
 
 
-def look_up(docs: DataFrame, paths: tuple[str, str], shared, counts) -> DataFrame:
+def look_up(ids: DataFrame, paths: tuple[str, str], shared, counts) -> DataFrame:
     """The result rows, n_best and count_sum over the links of one shard."""
-    schema = _arrow_schema(docs.sparkSession, RESULT)
+    schema = _arrow_schema(ids.sparkSession, RESULT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _vocabularies(*paths)
         slots_of, (count, best), names = shared.value, counts.value, words.names()
-
-        def take(made: Alignment) -> list[tuple]:
-            slot = slots_of.slots(made.links)
-            known = slot >= 0
-            sums = np.zeros((2, len(slot) + 1), np.int64)
-            sums[0, 1:][known], sums[1, 1:][known] = best[slot[known]], count[slot[known]]
-            sums = np.cumsum(sums, axis=1)
-            cuts = np.searchsorted(made.a_end, made.pieces, "right"), np.searchsorted(made.b_end, made.pieces, "right"), \
-                made.group_ends, made.link_ends
-            numbers = [np.diff(c, prepend=0).tolist() for c in cuts]
-            numbers += [np.diff(sums[k][made.link_ends], prepend=0).tolist() for k in (0, 1)]
-            return list(zip(*numbers, made.texts(names), strict=True))
-
-        chunks = Chunks(words, take)
         for b in batches:
-            out: list[list] = [[] for _ in schema]
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found = chunks.of(text)
-                row = [0] * 6 + [""]
-                if found:
-                    *numbers, texts = zip(*found, strict=True)
-                    row = [*map(sum, numbers), hashlib.sha256("".join(texts)[:-1].encode()).hexdigest()]
-                for held, v in zip(out, (doc_id, *row), strict=True):
-                    held.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
-
-    return docs.select("doc_id", "text").mapInArrow(run, RESULT)
+            at = 0
+            for made in words.align(b.column(1).to_pylist(), b.column(2).to_pylist(), words.stored):
+                slot = slots_of.slots(made.links)
+                known = slot >= 0
+                sums = np.zeros((2, len(slot) + 1), np.int64)
+                sums[0, 1:][known], sums[1, 1:][known] = best[slot[known]], count[slot[known]]
+                sums = np.cumsum(sums, axis=1)[:, made.link_ends]
+                numbers = [np.diff(v, prepend=0) for v in (made.a_ends, made.b_ends, made.group_ends, made.link_ends, *sums)]
+                hashes = [hashlib.sha256(t[:-1].encode()).hexdigest() if t else "" for t in made.texts(names)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(at, len(hashes)), *map(pa.array, numbers), pa.array(hashes)], schema=schema)
+                at += len(hashes)
+
+    return ids.select("doc_id", "a", "b").mapInArrow(run, RESULT)
 
 
 def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -345,7 +341,9 @@ def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     paths = (a_path or public_tokenizers.path(BYTE_BPE), b_path or public_tokenizers.path(PIECE_BPE))
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    pairs = stored(distinct_pairs(own, paths), "id-pairs")
+    held = stored(encoded(own, paths), "encoded", compression="zstd")
+    ids = held.filter("pairs is null").select("doc_id", "a", "b")
+    pairs = stored(distinct_pairs(held.filter("pairs is not null")), "id-pairs")
     n = pairs.count()
     shards = max(1, math.ceil(n / PAIRS_AT_ONCE))
     shard = F.pmod(F.xxhash64(F.shiftright("pair", 32)), F.lit(shards))
@@ -354,12 +352,12 @@ def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         part = pairs.filter(shard == k)
         hashed = perfect_hash(part, n if shards == 1 else part.count())
         shared = spark.sparkContext.broadcast(hashed)
-        count = count_documents(own, paths, shared, len(hashed))
+        count = count_documents(ids, paths, shared, len(hashed))
         a_id = (hashed.keys >> np.uint64(32)).astype(np.int64)
         most = np.zeros(a_id.max(initial=-1) + 1, np.int64)
         np.maximum.at(most, a_id, count)
         counts = spark.sparkContext.broadcast((count, count == most[a_id]))
-        rows = look_up(own, paths, shared, counts)
+        rows = look_up(ids, paths, shared, counts)
         if shards == 1:
             return rows
         found = stored(rows, "alignment") if found is None else found.union(stored(rows, "alignment"))

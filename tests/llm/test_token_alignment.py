@@ -87,10 +87,10 @@ def test_whole_table_matches_brute_force(spark, sf):
     assert got(QUERIES["op13_token_alignment"](spark, sf)) == want
 
 
-@pytest.mark.parametrize("at_once,memo", [(1 << 23, 200_000), (500, 40)])
+@pytest.mark.parametrize("at_once,memo", [(1 << 23, 200_000), (2_500, 40)])
 def test_edges_shards_and_a_full_memo(spark, monkeypatch, at_once, memo):
     for name, v in (("PAIRS_AT_ONCE", at_once), ("MEMO_CHUNKS", memo), ("STRETCH", 16), ("BUCKET_PAIRS", 50),
-                    ("GATHERED", 100), ("SENT", 100)):
+                    ("TOKENS_AT_ONCE", 300), ("SENT", 100)):
         monkeypatch.setattr(T, name, v)
     rnd = random.Random(5)
     words = ["the", "naïve", "été", "don't", "x=1;", "漢字", "á", "\U0001f600\U0001f601", "<|endoftext|>", "<s>",
@@ -108,15 +108,14 @@ def test_edges_shards_and_a_full_memo(spark, monkeypatch, at_once, memo):
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=" \n\t ab'sA9.,!é漢²ñ▁ﬁ́\U0001f600|<>", max_size=40))
 def test_chunks_align_as_whole_texts(text):
-    chunks = T.Chunks(T._vocabularies(A_PATH, B_PATH), lambda m: [
-        (x.tolist(), t) for x, t in zip(T._cut(m.links, m.link_ends), m.texts(NAMES), strict=True)])
-    found = chunks.of(text) or []
-    _, _, links, groups = align(text)
-    assert [(v >> 32, v & (2**32 - 1)) for x, _ in found for v in x] == links
-    assert "".join(t for _, t in found)[:-1] == groups
-
-
-NAMES = T._vocabularies(A_PATH, B_PATH).names()
+    words = T._vocabularies(A_PATH, B_PATH)
+    found = words.encode(text) or (b"", b"")
+    a, b, links, groups = align(text)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [a, b]
+    (made,) = words.align([b"", found[0], b""], [b"", found[1], b""], "<u4")
+    assert [(v >> 32, v & (2**32 - 1)) for v in made.links.tolist()] == links
+    assert made.texts(words.names()) == ["", groups + ";" if groups else "", ""]
+    assert made.link_ends.tolist() == [0, len(links), len(links)]
 
 
 @settings(max_examples=40, deadline=None)
