@@ -6,12 +6,14 @@ embeddings of its 3- and 5-character pieces, borders included, in hashed
 buckets). Windows of ``WINDOW`` words, half overlapping, run through a GRU in
 both directions; attention pools the states and one logistic unit scores the
 window. A document's score is that of its worst window. The network is written
-and trained in numpy on a bounded sample of labelled rows on the driver;
-scoring runs in Arrow batches on the executors and covers every window.
+and trained in numpy, in one task, on a bounded sample of labelled rows; only
+its parameters reach the driver. Scoring runs in Arrow batches on the executors
+and covers every window.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -329,8 +331,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: i
           sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> tuple[dict, dict]:
     """Fit on a hash sample of labelled rows whose crc32(doc_id) mod ``folds``
     is not 0. About ``sample_rows`` rows of at most ``sample_chars``
-    characters reach the driver; a third of them, if there are so many, have
-    label 1."""
+    characters go to the one task that trains; a third of them, if there are
+    so many, have label 1."""
     usable = labels.select(F.col("doc_id").cast("long").alias("l_id"),
                            F.col(label_col).cast("int").alias("label")) \
         .filter(F.col("label").isin(0, 1) & (crc_mod(F.col("l_id"), folds) != 0))
@@ -344,9 +346,16 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: i
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")) \
         .filter((F.length("text") <= sample_chars)
                 & (F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_000)) < int(min(1, most) * 1_000_000)))
-    rows = (own.join(chosen, F.col("doc_id") == F.col("l_id"))
-            .orderBy("doc_id", "label", "text").select("text", "label").toPandas())
-    return fit(rows["text"].tolist(), rows["label"].to_numpy())
+
+    def learn(sample: pa.Table) -> pa.Table:
+        sample = sample.sort_by([(c, "ascending") for c in ("doc_id", "label", "text")])
+        model = fit(sample.column("text").to_pylist(), sample.column("label").to_numpy())
+        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    made = (own.join(chosen, F.col("doc_id") == F.col("l_id"))
+            .select("doc_id", "label", "text", F.lit(0).alias("all"))
+            .groupBy("all").applyInArrow(learn, "model binary").first())
+    return pickle.loads(made["model"]) if made else fit([], np.zeros(0))
 
 
 def score(docs: DataFrame, model: tuple[dict, dict], folds: int = 5,
