@@ -25,8 +25,8 @@ from shortbook.llm.common import crc_mod, map_rows, table
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16
 AFFIXES, NGRAMS = (1, 2, 3, 4), (1, 2, 3, 4)
-# the training sample: about so many documents a language, none longer
-SAMPLE_DOCS, SAMPLE_CHARS = 500, 12_000
+# the training sample: about so many documents a language, none longer, and about so many in all
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_ALL = 500, 12_000, 20_000
 # training sequences: so many, of runs of words from different documents
 SEQUENCES, SEQUENCE_WORDS, RUN_WORDS = 2_500, 64, (4, 40)
 # a word is in the lexicon when several texts and almost only one language have it
@@ -36,6 +36,12 @@ CHUNK_CHARS = 1_000_000
 SEGMENT = 128
 
 
+def words_of(text: str) -> list[str]:
+    """The words in lower case; a letter that becomes two stays in its word."""
+    low = text.lower()
+    return WORD.findall(low) if len(low) == len(text) else [w.lower() for w in WORD.findall(text)]
+
+
 def char_features(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Buckets of the words' affixes and n-grams, one (first entry of each
     word, buckets) per template. The word list is not empty, nor is a word."""
@@ -93,7 +99,8 @@ def posteriors(model: LanguageModel, scores: np.ndarray, first: np.ndarray) -> n
     ``first``: True where a sequence begins. All sequences form one chain in
     which a first word forgets what is before it. The chain is cut into
     segments whose transfer matrices are multiplied side by side, so the work
-    is vectorised whatever the lengths are."""
+    is vectorised whatever the lengths are. One matrix a segment is held, and
+    one a segment is made at each step."""
     n, k = scores.shape
     size = -(-n // SEGMENT)
     e = np.ones((size * SEGMENT, k))
@@ -110,11 +117,10 @@ def posteriors(model: LanguageModel, scores: np.ndarray, first: np.ndarray) -> n
         m = np.where(begin[:, t, None, None], fresh, inside)
         return m * e[:, t, None, :]
 
-    steps = [step(t) for t in range(SEGMENT)]
     whole = np.broadcast_to(np.eye(k), (size, k, k))
-    for m in steps:
-        whole = whole @ m
-        whole = whole / whole.sum(axis=(1, 2), keepdims=True)
+    for t in range(SEGMENT):
+        whole = whole @ step(t)
+        whole /= whole.sum(axis=(1, 2), keepdims=True)
     forward_in, backward_in = np.empty((size, k)), np.empty((size, k))
     v = np.full(k, 1 / k)
     for b in range(size):
@@ -128,17 +134,18 @@ def posteriors(model: LanguageModel, scores: np.ndarray, first: np.ndarray) -> n
         v /= v.sum()
     post = np.empty_like(e)
     a = forward_in
-    for t, m in enumerate(steps):
-        a = (a[:, None, :] @ m)[:, 0]
+    for t in range(SEGMENT):
+        a = (a[:, None, :] @ step(t))[:, 0]
         a /= a.sum(axis=1, keepdims=True)
         post[:, t] = a
     z = backward_in
     for t in range(SEGMENT - 1, -1, -1):
         post[:, t] *= z
-        z = (steps[t] @ z[:, :, None])[:, :, 0]
+        z = (step(t) @ z[:, :, None])[:, :, 0]
         z /= z.sum(axis=1, keepdims=True)
     post = post.reshape(-1, k)[:n]
-    return post / post.sum(axis=1, keepdims=True)
+    post /= post.sum(axis=1, keepdims=True)
+    return post
 
 
 def _batch_gradient(model: LanguageModel, scores: np.ndarray, y: np.ndarray):
@@ -173,7 +180,7 @@ def fit(texts: list[str], langs: list[str], epochs: int = 4, batch: int = 32,
         rate: float = 0.05, seed: int = 3) -> LanguageModel:
     """Maximum likelihood by Adam on code-switched sequences."""
     rng = np.random.default_rng(seed)
-    docs = [(WORD.findall(t.lower()), lang) for t, lang in zip(texts, langs, strict=True)]
+    docs = [(words_of(t), lang) for t, lang in zip(texts, langs, strict=True)]
     docs = [(w, lang) for w, lang in docs if w]
     languages = sorted({lang for _, lang in docs})
     k = len(languages)
@@ -275,7 +282,7 @@ def _label_chunk(model, texts, spans, names, shares, runs) -> None:
     number: dict[str, int] = {}
     docs = []
     for t in texts:
-        own = WORD.findall((t or "").lower())
+        own = words_of(t or "")
         for w in own:
             number.setdefault(w, len(number))
         docs.append(np.fromiter(map(number.__getitem__, own), np.int64, len(own)))
@@ -287,9 +294,10 @@ def _label_chunk(model, texts, spans, names, shares, runs) -> None:
         first = np.zeros(len(ids), bool)
         first[(ends - sizes)[sizes > 0]] = True
         post = posteriors(model, model.emissions(words)[ids], first)
-        mass = post * np.fromiter(map(len, words), np.float64, len(words))[ids][:, None]
-        sums = np.concatenate([np.zeros((1, post.shape[1])), np.cumsum(mass, axis=0)])
-        total = sums[ends] - sums[ends - sizes]
+        # in place: the best language of a word stays the best
+        post *= np.fromiter(map(len, words), np.float64, len(words))[ids][:, None]
+        total = np.zeros((len(sizes), post.shape[1]))
+        total[sizes > 0] = np.add.reduceat(post, (ends - sizes)[sizes > 0], axis=0)
     for i, t in enumerate(texts):
         if not len(model.languages) or not sizes[i] or not any(c.isalpha() for c in t):
             names.append(UNKNOWN)
@@ -304,7 +312,7 @@ def _label_chunk(model, texts, spans, names, shares, runs) -> None:
 
 def _runs(model: LanguageModel, text: str, labels: np.ndarray) -> list[tuple[int, int, str]]:
     out: list[tuple[int, int, str]] = []
-    for m, label in zip(WORD.finditer(text), labels, strict=False):
+    for m, label in zip(WORD.finditer(text), labels, strict=True):
         lang = model.languages[label]
         if out and out[-1][2] == lang:
             out[-1] = (out[-1][0], m.end(), lang)
@@ -314,21 +322,22 @@ def _runs(model: LanguageModel, text: str, labels: np.ndarray) -> list[tuple[int
 
 
 def train(docs: DataFrame, folds: int = 3, held_out: int = 1, sample_docs: int = SAMPLE_DOCS,
-          sample_chars: int = SAMPLE_CHARS) -> LanguageModel:
+          sample_chars: int = SAMPLE_CHARS, sample_all: int = SAMPLE_ALL) -> LanguageModel:
     """Fit on documents with a language whose crc32(doc_id) mod ``folds`` is
     not ``held_out``: a hash sample of about ``sample_docs`` documents of at
     most ``sample_chars`` characters a language reaches the driver; texts stay
     where they are read. A language that only has longer texts is learned from
-    their beginnings. Every labelled language is learned, so the sample and the
-    model grow with the number of languages."""
+    their beginnings. About ``sample_all`` documents are drawn at most: with
+    more than sample_all / sample_docs languages each has fewer of them."""
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string"),
                          F.col("text").cast("string")) \
         .filter(F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), folds) != held_out))
     short = F.coalesce(F.length("text") <= sample_chars, F.lit(False))
-    # one row a language, far fewer bytes than the model has for it
+    n_langs = usable.select("lang").distinct().count()
+    sample_docs = min(sample_docs, sample_all / max(n_langs, 1))
     counts = usable.groupBy("lang").agg(F.count_if(short).alias("n_short"), F.count("text").alias("n"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1_000_000)) / 1_000_000
-    rows = (usable.filter("text is not null").join(F.broadcast(counts), "lang")
+    rows = (usable.filter("text is not null").join(counts, "lang")
             .filter((short & (draw * F.col("n_short") < sample_docs))
                     | ((F.col("n_short") == 0) & (draw * F.col("n") < sample_docs)))
             .select("doc_id", "lang", F.substring("text", 1, sample_chars).alias("text"))

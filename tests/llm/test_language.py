@@ -38,6 +38,31 @@ def test_forward_backward_equals_enumeration(monkeypatch):
     assert np.allclose(got, np.concatenate([brute_posteriors(model, p) for p in parts]), atol=1e-9)
 
 
+def test_memory_with_many_languages():
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    k = 60
+    model = L.LanguageModel([f"l{i}" for i in range(k)], rng.normal(size=(L.BUCKETS, k)).astype(np.float32), {},
+                            rng.normal(size=(k + 1, k)), rng.normal(size=(k, k)), rng.normal(size=k))
+    words = ["".join(map(chr, rng.integers(97, 123, size=5))) for _ in range(5_000)]
+    text = " ".join(words[i] for i in rng.integers(5_000, size=167_000))
+    assert len(text) > 1_000_000
+    tracemalloc.start()
+    names, shares, _ = L.label_texts(model, [text, None])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert names[1] == L.UNKNOWN and 0 < shares[0] <= 1
+    assert peak < 500e6, peak
+
+
+def test_spans_of_letters_that_become_two():
+    rng = np.random.default_rng(9)
+    text = "İstanbul ve İzmir bir"
+    _, _, (runs,) = L.label_texts(small_model(rng), [text], spans=True)
+    assert runs[0][0] == 0 and runs[-1][1] == len(text)
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(2)
     model = small_model(rng)
