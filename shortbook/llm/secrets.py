@@ -13,6 +13,7 @@ and its parts are tested by themselves, so words beside a key do not hide it.
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
 import hashlib
 import itertools
@@ -117,12 +118,22 @@ def random_spans(text: str, taken: list[tuple[int, int, int]], enc: tiktoken.Enc
     """Candidates outside the base spans whose characters per token are few;
     of other candidates, the longest such parts between separators."""
     spans = []
-    ends = sorted((s, e) for s, _, e in taken)
+    starts, ends = [], []  # of the stretches that base spans cover
+    for s, _, e in sorted(taken):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+
+    def covered(s: int, e: int) -> bool:
+        k = bisect.bisect_left(starts, e) - 1
+        return k >= 0 and ends[k] > s
 
     def judge(s: int, e: int, level: int) -> None:
         if e - s < MIN_RUN:
             return
-        if not any(a < e and s < b for a, b in ends) and is_random(text[s:e], enc, max_ratio):
+        if not covered(s, e) and is_random(text[s:e], enc, max_ratio):
             spans.append((s, 3, e))
             return
         for k in range(level, len(SEPARATORS)):
