@@ -127,11 +127,10 @@ def _result(spark: SparkSession) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the rows that hold an item."""
-    found = stored(held_items(docs, items, percent)
-                   .select(F.col("doc_id").alias("found_id"), F.col("copy").alias("found_copy")).distinct(),
-                   "contaminated")
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("found_id"))
-                     & (F.xxhash64(text_of(F.col("text"))) == F.col("found_copy")), "left_anti")
+    found = stored(held_items(docs, items, percent).select("doc_id", "copy").distinct(), "contaminated")
+    own, gone = docs.alias("own"), found.alias("gone")
+    return own.join(gone, F.col("own.doc_id").cast("long").eqNullSafe(F.col("gone.doc_id"))
+                    & (F.xxhash64(text_of(F.col("own.text"))) == F.col("gone.copy")), "left_anti")
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

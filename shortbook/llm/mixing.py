@@ -100,18 +100,18 @@ def period_schedule(quota: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id",
         source_col: str = "source", volume_col: str = "n_chars", period: int = PERIOD,
-        block: int = BLOCK_CHARS) -> DataFrame:
-    """Every row of ``docs`` once, with a struct column ``mix`` of its quota,
+        block: int = BLOCK_CHARS, into: str = "mix") -> DataFrame:
+    """Every row of ``docs`` once, with a struct column ``into`` of its quota,
     block, release, deadline, slot and order within the slot.
 
-    Rows sorted by (mix.slot, mix.place) are the mixture. Null sources are one
+    Rows sorted by its slot and place are the mixture. Null sources are one
     source; a null or non-positive volume counts as 1; rows with a null id and
     repeated rows are kept and ordered by (hash of the id, id, volume); an
     empty table gives no rows. Extra columns pass through, except that one
-    named ``mix`` is replaced. No source is one task: its order is by a hash,
+    named as ``into`` is replaced. No source is one task: its order is by a hash,
     whose first digits split it into buckets that are summed separately.
     """
-    d = docs.drop("mix")
+    d = docs.drop(into)
     row = d.select(
         F.struct(*[F.col(f"`{c}`") for c in d.columns]).alias("row"),
         source_key(F.col(f"`{source_col}`")).alias("key"),
@@ -142,7 +142,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
                 F.expr("(block * period) div quota").alias("release"),
                 F.expr("((block + 1) * period + quota - 1) div quota").alias("deadline"),
                 F.expr("(block div quota) * period + slot_").alias("slot"),
-                F.col("start").alias("place")).alias("mix")))
+                F.col("start").alias("place")).alias(into)))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,7 +50,8 @@ def test_partial_and_scattered_items(spark):
     items = [(k, ", ".join(w)) for k, w in items]
     want = brute(docs, items)
     assert len(want) > 60
-    d = spark.createDataFrame([(*r, 1) for r in docs], "doc_id long, text string, item_id int")
+    d = spark.createDataFrame([(*r, 1, 2, 3) for r in docs],
+                              "doc_id long, text string, item_id int, found_id int, copy int")
     i = spark.createDataFrame([(*r, 2) for r in items], "item_id long, text string, doc_id int")
     assert got(D.contamination(d, i)) == want
     hit = {r[0] for r in want}
