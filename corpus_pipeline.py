@@ -22,7 +22,8 @@ SHINGLE, PERCENT = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score reaches the threshold go."""
+    """Documents whose toxicity score reaches the threshold go; those without a
+    letter, a null text among them, score 0 and stay."""
     model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, model)
 
@@ -31,21 +32,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of linked documents the one with the least id stays;
     documents without words or without an id stay."""
     found = jaccard_join.similar_sets(docs, size=SHINGLE, percent=PERCENT)
-    gone = stored(found.filter("n_shingles > 0 and doc_id != component_id")
-                  .select(F.col("doc_id").alias("gone_id")).distinct(), "near-copies")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    gone = stored(found.filter("n_shingles > 0 and doc_id != component_id").select("doc_id").distinct(), "near-copies")
+    return docs.alias("own").join(gone.alias("gone"), F.col("own.doc_id").cast("long") == F.col("gone.doc_id"),
+                                  "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; a null text holds none."""
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, sorted by their place in the mixture: the files, by their
-    number, and the rows in them are the order."""
-    mixed = mixing.mix(docs)
-    return mixed.orderBy("mix.slot", "source", "mix.place").select(*docs.columns)
+    number, and the rows in them are the order. Null sources are one source; a
+    null or non-positive volume counts as 1."""
+    into = "mix" + "_" * max(map(len, docs.columns))  # a name that no column has
+    mixed = mixing.mix(docs, into=into)
+    return (mixed.orderBy(f"{into}.slot", "source", f"{into}.place")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
