@@ -48,7 +48,7 @@ def test_run_matches_brute_force(spark):
 def test_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "ngram_jaccard_join", "benchmark_decontamination", "mixing_sources", "token_files"]
-    assert len(QUERIES) == 10
+    assert len(QUERIES) == 13
 
 
 def test_edges(spark, sf, tmp_path):
@@ -59,13 +59,17 @@ def test_edges(spark, sf, tmp_path):
     labels.write.parquet(f"{own}/labels.parquet")
     rows = [(None, None, None, None, None), (1, "", "en", None, -1), (1, "", "en", None, -1),
             (2, "a lone text", "en", "s", 11), (3, "a lone text", "en", "t", 11), (None, "a lone text", None, "t", 5)]
-    docs = spark.createDataFrame([(*r, "extra") for r in rows],
-                                 "doc_id long, text string, lang string, source string, n_chars long, mix string")
+    docs = spark.createDataFrame(
+        [(*r, "extra", 1, 2, 3, 4.0) for r in rows],
+        "doc_id long, text string, lang string, source string, n_chars long, mix string, gone_id int, found_id int, "
+        "copy int, component_id double")
     docs.write.parquet(f"{own}/documents.parquet")
     spark.createDataFrame([(1, "nothing of the kind here")], "item_id long, text string") \
         .write.parquet(f"{own}/benchmark.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs.drop("mix") if name == "mixing_sources" else docs, str(own))
+        out = stage(spark, docs, str(own))
+        assert out.columns == docs.columns
+        assert {r[5:] for r in out.collect()} == {("extra", 1, 2, 3, 4.0)}, name
         assert len(out.collect()) == (5 if name == "ngram_jaccard_join" else 6), name
         assert stage(spark, docs.limit(0), str(own)).collect() == []
     last = corpus_pipeline.write_tokens(spark, docs, str(own)).collect()
