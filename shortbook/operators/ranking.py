@@ -69,16 +69,26 @@ def prefix_sums(
             F.col("_global").alias("_before"),
             F.col("_all_total").alias("_group_total"),
         )
-    # Group start = smallest running sum in the group (weights >= 0); found by
-    # aggregation (partial, skew-safe), joined back N:1.
-    starts = glob.groupBy(*qcols(group_cols)).agg(
-        F.min("_global").alias("_start"), F.sum(weight_col).alias("_group_total")
-    )
-    out = glob.join(starts, list(group_cols))
+    # Only the first and the last group of a partition can go on in another one:
+    # their starts and sums are put together from one or two rows a partition.
+    # All others lie in one partition, and a window there sees them whole.
+    g = [qcol(c) for c in group_cols]
+    own = F.struct(*g)
+    first_last = ranged.groupBy("_pid").agg(F.min(own).alias("_first"), F.max(own).alias("_last"))
+    edge = F.broadcast(first_last.select(
+        F.col("_pid").alias("_at"), F.explode(F.array_distinct(F.array("_first", "_last"))).alias("_edge")))
+    sums = (glob.withColumn("_own", own)
+            .join(edge, (F.col("_pid") == F.col("_at")) & F.col("_own").eqNullSafe(F.col("_edge")))
+            .groupBy("_own").agg(F.min("_global").alias("_start"), F.sum(weight_col).alias("_sum")))
+    here = Window.partitionBy("_pid", *g)
+    out = (glob.withColumn("_own", own)
+           .withColumns({"_here": F.min("_global").over(here), "_whole": F.sum(weight_col).over(here)})
+           # two groups a partition at most
+           .join(F.broadcast(sums.withColumnRenamed("_own", "_of")), F.col("_own").eqNullSafe(F.col("_of")), "left"))
     return out.select(
         *[c for c in df.columns],
-        (F.col("_global") - F.col("_start")).alias("_before"),
-        "_group_total",
+        (F.col("_global") - F.coalesce("_start", "_here")).alias("_before"),
+        F.coalesce("_sum", "_whole").alias("_group_total"),
     )
 
 
@@ -155,15 +165,26 @@ def time_split(
         before, equal, after = t < value, t == value, (t > value) | t.isNull()
     if need == 0:
         return df.where(before), df.where(F.coalesce(equal | after, F.lit(True)))
-    ties = [*tie_breakers, *[c for c in df.columns if c not in tie_breakers]]
-    tied = df.where(equal).groupBy(*qcols(ties)).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = prefix_sums(tied, [qcol(c).asc_nulls_last() for c in ties], "_c")
+    # the tied rows under names of their own, so that no column of theirs is in the way;
+    # grouping makes -0.0 a 0.0, so its sign is kept beside it
+    names = [*tie_breakers, *[c for c in df.columns if c not in tie_breakers]]
+    at = {c: f"c{i}" for i, c in enumerate(names)}
+    signed = [c for c, kind in df.dtypes if kind in ("float", "double")]
+    tied = df.where(equal).select(*[qcol(c).alias(at[c]) for c in names],
+                                  *[(qcol(c).cast("string") == "-0.0").alias(f"{at[c]}_sign") for c in signed])
+    order = [F.col(c).asc_nulls_last() for c in tied.columns]
+    ranked = prefix_sums(tied.groupBy(*tied.columns).agg(F.count(F.lit(1)).alias("_c")), order, "_c")
     first = F.least(F.greatest(F.lit(need) - F.col("_before"), F.lit(0)), F.col("_c"))
 
+    def value(c: str) -> Column:
+        own = F.col(at[c])
+        return F.when(F.col(f"{at[c]}_sign"), -F.abs(own)).otherwise(own) if c in signed else own
+
     def times(n_rows: Column) -> DataFrame:
         """Each distinct tied row so many times."""
-        return ranked.withColumn("_n", n_rows.cast("int")).where("_n > 0").select(
-            *qcols(df.columns), F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("col")
+        some = ranked.withColumn("_n", n_rows.cast("int")).where("_n > 0")
+        return (some.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+                .select(*[value(c).alias(c) for c in df.columns]))
 
     return (df.where(before).unionByName(times(first)),
             df.where(after).unionByName(times(F.col("_c") - first)))
