@@ -80,7 +80,7 @@ def track_changes(
     p = last.select(*[F.col(c).alias(f"_p_{c}") for c in [*keys, sym, *carried]], F.lit(True).alias("_p_hit"))
     cond = reduce(
         lambda a, b: a & b,
-        [F.col(k) == F.col(f"_p_{k}") for k in keys] + [F.col(sym).eqNullSafe(F.col(f"_p_{sym}"))],
+        [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys] + [F.col(sym).eqNullSafe(F.col(f"_p_{sym}"))],
     )
     j = new.join(p, cond, "left")
     changed = F.col("_p_hit").isNull() | reduce(
@@ -121,7 +121,7 @@ def change_history(
 
     Plan: representatives (last row per country, symbol, snapshot; a hash
     aggregate) + snapshot manifest numbered per country (one row per
-    snapshot, broadcast when proven small) -> running window over
+    snapshot) -> running window over
     representatives -> every row joined N:1 to the representative of its
     previous snapshot.
     """
@@ -130,8 +130,7 @@ def change_history(
         return rows.withColumn(ts_col, F.col(snapshot_time))
     o = F.col(order) if isinstance(order, str) else order
     reps = last_per_key(rows.withColumn("_o", o), [country, sym, snapshot], "_o", [*cols, snapshot_time])
-    # two-column distinct: a narrow pruned scan, partial-aggregated; both
-    # uses below are the same broadcast (reused)
+    # two-column distinct: a narrow pruned scan, partial-aggregated
     man = number_snapshots(rows, country, snapshot)
     man = man.withColumn("_prev", F.lag(snapshot).over(Window.partitionBy(country).orderBy("_n")))
     man = man.select(F.col(country).alias("_m_country"), F.col(snapshot).alias("_m_snap"), "_n", "_prev")
@@ -204,13 +203,15 @@ def change_history_incremental(
     sym: str = SYMBOL_COL,
     change_cols: Sequence[str] = CHANGE_COLS,
     ts_col: str = "TIMESTAMP",
+    delta: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """C2 for a new batch of snapshots given the state left by earlier ones.
 
     State: ``manifest`` (country, last snapshot, last number) -- one row per
     country -- and ``reps`` (last representative per (country, symbol) with
-    its number, values and carried TIMESTAMP) -- one row per symbol ever
-    seen, kept as a table, never in one task. Snapshots not newer than a
+    its number, values and carried TIMESTAMP) -- one row per symbol, kept as a
+    table, never in one task. With ``delta`` the new ``reps`` are those of the
+    batch's symbols only; others stay as they were. Snapshots not newer than a
     country's last processed one are late and dropped (never rewrite).
     Returns (rows with TIMESTAMP, new manifest, new reps, late rows per
     country).
@@ -220,11 +221,12 @@ def change_history_incremental(
     batch_man = rows.select(country, snapshot).distinct()
     late = rows.limit(0).groupBy(country).agg(F.count(F.lit(1)).alias("late_rows"))
     if prev_manifest is not None:
-        pm = prev_manifest.select(country, F.col("_last_snapshot"), F.col("_last_n"))
-        batch_man = batch_man.join(pm, country, "left")
+        pm = prev_manifest.select(F.col(country).alias("_m_country"), "_last_snapshot", "_last_n")
+        batch_man = batch_man.join(pm, F.col(country).eqNullSafe(F.col("_m_country")), "left")
         is_new = F.col("_last_snapshot").isNull() | (F.col(snapshot) > F.col("_last_snapshot"))
-        late_snaps = batch_man.where(~is_new).select(country, snapshot)
-        late = rows.join(late_snaps, [country, snapshot], "left_semi").groupBy(country).agg(
+        late_snaps = batch_man.where(~is_new).select(F.col(country).alias("_l_country"), F.col(snapshot).alias("_l_snap"))
+        late = rows.join(late_snaps, F.col(country).eqNullSafe(F.col("_l_country"))
+                         & (F.col(snapshot) == F.col("_l_snap")), "left_semi").groupBy(country).agg(
             F.count(F.lit(1)).alias("late_rows"))
         batch_man = batch_man.where(is_new)
     else:
@@ -232,11 +234,18 @@ def change_history_incremental(
     w_m = Window.partitionBy(country).orderBy(snapshot)
     batch_man = batch_man.select(
         country, snapshot, (F.coalesce(F.col("_last_n"), F.lit(0)) + F.row_number().over(w_m)).alias("_n"))
-    numbered = rows.join(batch_man, [country, snapshot])
+    # rows without a country are a country of their own, as in C2
+    of = batch_man.select(F.col(country).alias("_m_country"), F.col(snapshot).alias("_m_snap"), "_n")
+    numbered = rows.join(of, F.col(country).eqNullSafe(F.col("_m_country"))
+                         & (F.col(snapshot) == F.col("_m_snap"))).drop("_m_country", "_m_snap")
     reps = last_per_key(numbered.withColumn("_o", o), [country, sym, "_n"], "_o", [*cols, snapshot_time])
     reps = reps.withColumn("_state", F.lit(False)).withColumn("_rep_ts", F.lit(None).cast("timestamp_ntz"))
     if prev_reps is not None:
-        st = prev_reps.select(country, sym, "_n", *cols, F.lit(None).cast("timestamp_ntz").alias(snapshot_time),
+        # of the state only symbols that the batch has
+        seen = reps.select(F.col(country).alias("_b_country"), F.col(sym).alias("_b_sym")).distinct()
+        known = prev_reps.join(seen, F.col(country).eqNullSafe(F.col("_b_country"))
+                                   & F.col(sym).eqNullSafe(F.col("_b_sym")), "left_semi")
+        st = known.select(country, sym, "_n", *cols, F.lit(None).cast("timestamp_ntz").alias(snapshot_time),
                               F.lit(True).alias("_state"), F.col("_rep_ts").cast("timestamp_ntz"))
         reps = st.unionByName(reps)
     w = Window.partitionBy(country, sym).orderBy("_n")
@@ -251,7 +260,7 @@ def change_history_incremental(
         F.col(country).alias("_p_country"), F.col(sym).alias("_p_sym"), (F.col("_n") + 1).alias("_p_next"),
         *[F.col(c).alias(f"_p_{c}") for c in cols], F.col("_rep_ts").alias("_p_rep_ts"), F.lit(True).alias("_p_hit"),
     )
-    cond = ((F.col(country) == F.col("_p_country")) & F.col(sym).eqNullSafe(F.col("_p_sym"))
+    cond = (F.col(country).eqNullSafe(F.col("_p_country")) & F.col(sym).eqNullSafe(F.col("_p_sym"))
             & (F.col("_n") == F.col("_p_next")))
     j = numbered.join(p, cond, "left")
     row_changed = F.col("_p_hit").isNull() | reduce(
@@ -259,6 +268,9 @@ def change_history_incremental(
     out = j.withColumn(ts_col, F.when(row_changed, F.col(snapshot_time)).otherwise(F.col("_p_rep_ts")))
     out = out.select(*qcols([c for c in rows.columns if c != ts_col] + [ts_col]))
     new_reps = last_per_key(reps, [country, sym], "_n", ["_n", *cols, "_rep_ts"])
+    if prev_reps is not None and not delta:
+        new_reps = last_per_key(prev_reps.select(new_reps.columns).unionByName(new_reps),
+                                [country, sym], "_n", ["_n", *cols, "_rep_ts"])
     man_all = batch_man.select(country, snapshot, "_n")
     if prev_manifest is not None:
         man_all = man_all.unionByName(prev_manifest.select(
