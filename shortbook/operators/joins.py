@@ -1,4 +1,4 @@
-"""Lookups and the as-of join.
+"""Lookups, the interval join and the as-of join.
 
 J7 has no theta join and no pairs: left and right rows are tagged, unioned,
 and a running ``last(right, ignorenulls)`` per key carries the latest right
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shortbook.names import cols as qcols
+from shortbook.names import col as qcol, cols as qcols
 
 from shortbook.functions.text import zfill
 
@@ -39,6 +39,39 @@ def add_cik_tickers(df: DataFrame, mapping: DataFrame, cik_col: str = "cik", map
     return map_lookup(df, mapping, zfill(F.col(cik_col).cast("string"), 10), map_key, map_value, map_order, "ticker")
 
 
+def interval_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str,
+                  before: int, after: int, right_by: Sequence[str] | None = None, right_suffix: str = "_r") -> DataFrame:
+    """Every pair of a left and a right row of the same keys whose right
+    time is at most ``before`` days earlier and ``after`` days later than the
+    left time. Columns of the right side that the left has, too, get a suffix.
+
+    Times fall into buckets as long as the interval; a right row goes to the
+    one or two buckets in which left rows may see it, so the join is an
+    equi-join on keys and bucket, and a hot key is spread over its buckets. Null
+    keys and times match nothing."""
+    width = max(1, before + after)
+    day = F.lit(86_400_000_000)
+
+    def micros(c: str):
+        return F.unix_micros(qcol(c).cast("timestamp"))
+
+    def bucket(t):
+        return F.floor(t / (day * width)).cast("long")
+
+    taken = set(left.columns)
+    names = {c: f"{c}{right_suffix}" if c in taken else c for c in right.columns}
+    r_by = list(right_by or by)
+    r = right.select(F.struct(*[qcol(c).alias(names[c]) for c in right.columns]).alias("r"),
+                     *[qcol(c).alias(f"k{i}") for i, c in enumerate(r_by)], micros(right_time).alias("rt"))
+    r = r.withColumn("bucket", F.explode(F.sequence(bucket(F.col("rt") - after * day), bucket(F.col("rt") + before * day))))
+    lt = left.select(F.struct(*qcols(left.columns)).alias("l"),
+                     *[qcol(c).alias(f"k{i}") for i, c in enumerate(by)], micros(left_time).alias("lt"))
+    lt = lt.withColumn("bucket", bucket(F.col("lt")))
+    pairs = lt.join(r, [f"k{i}" for i in range(len(by))] + ["bucket"])
+    near = (F.col("rt") >= F.col("lt") - before * day) & (F.col("rt") <= F.col("lt") + after * day)
+    return pairs.where(near).select("l.*", "r.*")
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
