@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
 import uuid
@@ -33,10 +34,20 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]],
                 out = fn({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)})
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], type=f.type) for f in arrow_schema], schema=arrow_schema)
+        free_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def free_memory() -> None:
+    """Give what a task has freed back to the system: Python workers outlive
+    their tasks, and what they keep counts beside the next stage's."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

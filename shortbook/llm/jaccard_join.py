@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shortbook.llm.common import _arrow_schema, map_rows, stored, table
+from shortbook.llm.common import _arrow_schema, free_memory, map_rows, stored, table
 from shortbook.llm.components import components
 
 SHINGLE, PERCENT = 3, 90
@@ -42,7 +42,7 @@ FREQUENT, FREQUENT_MEANS = 64, 8
 # size classes grow by this factor; pairs are used in classes whose prefixes are no longer
 CLASS_RATIO, PAIR_PREFIX = 1.5, 40
 PARITY_BITS = 512
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 NODE_SCHEMA = "doc_id long, n long, node long, parity array<long>, keys array<long>"
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -162,6 +162,8 @@ def frequency_classes(raw: DataFrame, size: int) -> tuple[np.ndarray, int]:
         if total.any():
             for k in range(len(total) // width):
                 yield batch(k, total[k * width:(k + 1) * width])
+        make.memo.clear()
+        free_memory()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -204,6 +206,9 @@ def signed_documents(raw: DataFrame, size: int, percent: int) -> DataFrame:
                 for name, v in zip(out, (doc_id, len(t), node, parity(t), keys), strict=True):
                     out[name].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
+        make.memo.clear()
+        seen.clear()
+        free_memory()
 
     return raw.select("doc_id", "raw").mapInArrow(sign, NODE_SCHEMA)
 

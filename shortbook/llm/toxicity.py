@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shortbook.llm.common import crc_mod, map_rows, table, text_of
+from shortbook.llm.common import crc_mod, free_memory, map_rows, table, text_of
 
 WINDOW, STRIDE = 24, 12
 HIDDEN, EMBED, ATTENTION = 12, 8, 8
@@ -350,6 +350,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: i
     def learn(sample: pa.Table) -> pa.Table:
         sample = sample.sort_by([(c, "ascending") for c in ("doc_id", "label", "text")])
         model = fit(sample.column("text").to_pylist(), sample.column("label").to_numpy())
+        free_memory()
         return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
     made = (own.join(chosen, F.col("doc_id") == F.col("l_id"))
@@ -386,6 +387,7 @@ def keep_clean(docs: DataFrame, model: tuple[dict, dict], threshold: float = THR
         for b in batches:
             scores = score_texts(shared.value, b.column(b.schema.get_field_index("text")).to_pylist())
             yield b.filter(pa.array(scores < threshold))
+        free_memory()
 
     return docs.mapInArrow(keep, docs.schema)
 
