@@ -16,7 +16,7 @@ this: all of it goes.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shortbook.llm.common import _arrow_schema, map_rows, release, stored, table, text_of
+from shortbook.llm.common import _arrow_schema, free_memory, release, stored, table, text_of
 
 LENGTH, GRAM = 50, 20
 SPAN = LENGTH - GRAM + 1
@@ -32,6 +32,8 @@ SPAN = LENGTH - GRAM + 1
 HOT = 2_000
 # suffixes sorted at once, if a group is not larger
 SORT_SUFFIXES = 400_000
+# rows that are looked at together, if a group is not larger, and rows of a batch
+GROUP_ROWS, BATCH_ROWS = 60_000, 20_000
 BASE = 0x9E3779B97F4A7C15
 CONTEXTS = "key long, doc long, copy int, start long, context binary"
 _MAX = 2**63 - 1
@@ -148,18 +150,22 @@ def sort_suffixes(data: np.ndarray, at: np.ndarray, group: np.ndarray) -> np.nda
     return order
 
 
-def earlier_windows(contexts: list[bytes], docs: np.ndarray, groups: np.ndarray) -> list[np.ndarray]:
-    """For each context, which of its strings another context of the group
-    has with a smaller document. A context's first byte is the distance from
-    its first string to the anchor: equal strings stand at equal distances, so
-    only those are compared."""
-    lead = np.array([c[0] for c in contexts])
-    contexts = [c[1:] for c in contexts]
-    lens = np.array([len(c) for c in contexts])
+def gather(data: np.ndarray, begin: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """data[begin[0]:begin[0] + lens[0]], data[begin[1]:...] and so on, joined."""
+    ends = np.cumsum(lens)
+    return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - lens), lens)]
+
+
+def earlier_windows(data: np.ndarray, lens: np.ndarray, lead: np.ndarray, docs: np.ndarray,
+                    groups: np.ndarray) -> np.ndarray:
+    """For each string of the contexts, joined in ``data``, whether another
+    context of its group has it with a smaller document. ``lead`` is the distance from a
+    context's first string to the anchor: equal strings stand at equal
+    distances, so only those are compared."""
     begin = np.cumsum(lens) - lens
-    data = np.frombuffer(b"".join(contexts) + bytes(LENGTH), np.uint8)
+    data = np.append(data, np.zeros(LENGTH, np.uint8))
     count = lens - LENGTH + 1
-    owner = np.repeat(np.arange(len(contexts)), count)
+    owner = np.repeat(np.arange(len(lens)), count)
     first = np.cumsum(count) - count
     nth = np.arange(count.sum()) - np.repeat(first, count)
     at = nth + np.repeat(begin, count)
@@ -183,52 +189,73 @@ def earlier_windows(contexts: list[bytes], docs: np.ndarray, groups: np.ndarray)
     least = np.minimum.reduceat(docs[owner[order]], runs) if len(runs) else docs[:0]
     smallest = np.empty(len(order), docs.dtype)
     smallest[order] = np.repeat(least, np.diff(np.append(runs, len(order))))
-    return np.split(smallest < docs[owner], first[1:])
-
-
-class Groups:
-    """Rows sorted by (key, doc), gathered to whole groups and resolved."""
-
-    def __init__(self) -> None:
-        self.rows: list[tuple] = []  # (doc, copy, start, context number)
-        self.contexts: list[bytes] = []
-        self.docs: list[int] = []
-        self.group: list[int] = []
-        self.suffixes = 0
-        self.key = None
-        self.number: dict[bytes, int] = {}
-
-    def add(self, key: int, doc: int, copy: int, start: int, context: bytes) -> list[tuple]:
-        out = []
-        if key != self.key:
-            if self.suffixes >= SORT_SUFFIXES or len(self.rows) >= SORT_SUFFIXES:
-                out = self.resolve()
-            self.key, self.number = key, {}
-        known = self.number.get(context)
-        if known is not None and self.docs[known] < doc:
-            # the same surroundings in a smaller document: all its strings go
-            return [*out, (doc, copy, start, start + len(context) - 1)]
-        if known is None:
-            known = self.number[context] = len(self.contexts)
-            self.contexts.append(context)
-            self.docs.append(doc)
-            self.group.append(key)
-            self.suffixes += len(context) - LENGTH
-        self.rows.append((doc, copy, start, known))
-        return out
-
-    def resolve(self) -> list[tuple]:
-        out = []
-        if self.contexts:
-            gone = earlier_windows(self.contexts, np.array(self.docs, np.int64), np.array(self.group, np.int64))
-            some = [m.any() for m in gone]
-            for doc, copy, start, known in self.rows:
-                if some[known]:
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone[known].view(np.int8), [0]])))
-                    out += [(doc, copy, start + int(a), start + int(b) + LENGTH - 1)
-                            for a, b in zip(edge[::2], edge[1::2], strict=True)]
-        self.__init__()
-        return out
+    return smallest < docs[owner]
+
+
+def binary_parts(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, begin, length) of a binary column's values."""
+    ends = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
+    data = col.buffers()[2]
+    return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), ends[:-1], np.diff(ends)
+
+
+def partly_gone(data: np.ndarray, begin: np.ndarray, lens: np.ndarray, least: np.ndarray,
+                groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, from, to): the ranges of strings that other contexts of the
+    group have with a smaller document, sorted. Groups of one context or of one document
+    have none; the others are sorted some groups at a time."""
+    edges = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))
+    mixed = np.minimum.reduceat(least, edges) < np.maximum.reduceat(least, edges)
+    todo = np.flatnonzero(np.repeat(mixed, np.diff(np.append(edges, len(groups)))))
+    found = []
+    while len(todo):
+        suffixes = np.cumsum(lens[todo] - LENGTH)
+        last = groups[todo[min(np.searchsorted(suffixes, SORT_SUFFIXES), len(todo) - 1)]]
+        now, todo = np.split(todo, [np.searchsorted(groups[todo], last, "right")])
+        size = lens[now] - 1
+        gone = earlier_windows(gather(data, begin[now] + 1, size), size, data[begin[now]].astype(np.int64),
+                               least[now], groups[now])
+        count = size - LENGTH + 1
+        owner = np.repeat(np.arange(len(now)), count)
+        opens = np.append(True, owner[1:] != owner[:-1])
+        before, after = np.append(False, gone[:-1]) & ~opens, np.append(gone[1:], False) & ~np.append(opens[1:], True)
+        a, b = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after)
+        first = np.cumsum(count) - count
+        found.append((now[owner[a]], a - first[owner[a]], b + 1 - first[owner[b]]))
+    if not found:
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def resolve(rows: pa.Table, last: bool) -> tuple[list[np.ndarray], pa.Table]:
+    """([doc, copy, begin, end], rest) of rows sorted by (key, doc). The last
+    key may go on unless ``last``, so its rows are the rest; if it is the only one,
+    those rows are done whose surroundings a smaller document has."""
+    key, doc, copy, start = (rows[c].to_numpy() for c in ("key", "doc", "copy", "start"))
+    cut = len(key) if last else int(np.searchsorted(key, key[-1]))
+    rest = rows.slice(cut)
+    alone = cut == 0
+    if not alone:
+        key, doc, copy, start = key[:cut], doc[:cut], copy[:cut], start[:cut]
+        rows = rows.slice(0, cut)
+    coded = rows["context"].combine_chunks().dictionary_encode()
+    # codes are numbered as they appear, so a code's first row has its least document
+    code, (data, begin, lens) = coded.indices.to_numpy(), binary_parts(coded.dictionary)
+    top = np.maximum.accumulate(code)
+    first = np.flatnonzero(np.append(True, top[1:] > top[:-1]))
+    least = doc[first]
+    whole = doc > least[code]
+    parts = [[doc[whole], copy[whole], start[whole], start[whole] + lens[code[whole]] - 1]]
+    if alone:
+        return parts[0], rest.filter(pa.array(~whole))
+    context, a, b = partly_gone(data, begin, lens, least, key[first])
+    count = np.bincount(context, minlength=len(first))
+    own = np.flatnonzero(~whole & (count[code] > 0))
+    many = count[code[own]]
+    row = np.repeat(own, many)
+    span = gather(np.arange(len(context)), (np.cumsum(count) - count)[code[own]], many)
+    parts.append([doc[row], copy[row], start[row] + a[span], start[row] + b[span] + LENGTH - 1])
+    return [np.concatenate(c) for c in zip(*parts, strict=True)], rest
 
 
 def duplicated(docs: DataFrame, id_col: str = "doc_id",
@@ -246,80 +273,141 @@ def duplicated(docs: DataFrame, id_col: str = "doc_id",
         F.hash(text_of(F.col(text_col))).alias("copy"),
         text_of(F.col(text_col)).cast("binary").alias("raw"))
 
-    # texts that a smaller document has as a whole: all their strings go
-    of_text = Window.partitionBy("text")
-    wholes = stored(own.select("doc", "copy", F.sha2("raw", 256).alias("text"))
-                    .withColumn("least", F.min("doc").over(of_text)).filter("least < doc")
+    # texts that a smaller document has as a whole: all their strings go. Least documents are
+    # aggregated before the shuffle and joined back, so a text of very many documents can be split
+    signed = own.select("doc", "copy", F.unhex(F.sha2("raw", 256)).alias("of_text"))
+    least = (signed.groupBy("of_text").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+             .filter("least < most").select("of_text", "least"))
+    wholes = stored(signed.join(least, "of_text").filter("least < doc")
                     .groupBy("doc").agg(F.collect_set("copy").alias("whole")), "whole-copies")
 
-    def find(cols: dict[str, list]) -> dict[str, list]:
-        return {"doc": cols["doc"], "anchors": [np.unique(anchors(r)[0]) for r in cols["raw"]]}
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.unique(anchors(r)[0]) for r in b.column("raw").to_pylist()]
+            if found:
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
+                    names=["doc", "anchors"])
+        free_memory()
 
     # one shuffle by anchor; the frame of a hot anchor spills, and its rows are pairs of numbers
     of_anchor = Window.partitionBy("anchor")
-    shared = (map_rows(own.select("doc", "raw"), find, "doc long, anchors array<long>")
+    shared = (own.select("doc", "raw").mapInArrow(find, "doc long, anchors array<long>")
               .select("doc", F.explode("anchors").alias("anchor"))
               .withColumns({"n": F.count("*").over(of_anchor), "a": F.min("doc").over(of_anchor),
                             "b": F.max("doc").over(of_anchor)})
               .filter("a != b").withColumn("hot", F.col("n") > HOT))
     # stored, so that the anchors' shuffle files can go before the texts move
-    per_doc = (stored(shared.select("doc", "anchor", "hot"), "shared-anchors").groupBy("doc")
+    per_doc = (stored(shared.select("doc", "anchor", "hot"), "shared-anchors", "zstd").groupBy("doc")
                .agg(F.collect_list(F.when(~F.col("hot"), F.col("anchor"))).alias("some"),
                     F.collect_list(F.when(F.col("hot"), F.col("anchor"))).alias("many")))
     release(spark)
     # both uses of the texts read all its columns, so that one shuffle serves them
     texts = own.repartition("doc")
 
-    def surroundings(cols: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {k: [] for k in ("key", "doc", "copy", "start", "context")}
-        for doc, copy, raw, some, many, whole in zip(
-                *(cols[k] for k in ("doc", "copy", "raw", "some", "many", "whole")), strict=True):
-            if copy in (whole or ()):
-                continue
-            value, place, first, end = anchors(raw)
-            found: dict[tuple[int, bytes], list[int]] = {}
-            rows = np.flatnonzero(np.isin(value, np.array(some, np.int64)))
-            for key, lead, a, b in zip(value[rows].tolist(), (place - first)[rows].tolist(),
-                                       first[rows].tolist(), end[rows].tolist(), strict=True):
-                found.setdefault((key, bytes((lead,)) + raw[a:b + LENGTH - 1]), []).append(a)
-            for k in np.flatnonzero(np.isin(value, np.array(many, np.int64))):
-                for a in range(int(first[k]), int(end[k])):
-                    string = raw[a:a + LENGTH]
-                    key = int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little", signed=True)
-                    found.setdefault((key, b"\0" + string), []).append(a)
-            for (key, context), starts in found.items():
-                for start in starts:
-                    for name, v in zip(out, (key, doc, copy, start, context), strict=True):
-                        out[name].append(v)
-        return out
-
-    contexts = map_rows(texts.join(per_doc.join(wholes, "doc", "left"), "doc")
-                        .select("doc_id", "doc", "copy", "raw", "some", "many", "whole"),
-                        surroundings, CONTEXTS)
+    context_schema = _arrow_schema(spark, CONTEXTS)
+
+    def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            some, many = (list_parts(b.column(c)) for c in ("some", "many"))
+            for k, (doc, copy, raw, whole) in enumerate(zip(
+                    *(b.column(c).to_pylist() for c in ("doc", "copy", "raw", "whole")), strict=True)):
+                if copy in (whole or ()):
+                    continue
+                for out in shared_contexts(raw, some(k), many(k)):
+                    n = len(out[0])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(out[0]), pa.array(np.full(n, doc)), pa.array(np.full(n, copy, np.int32)),
+                         pa.array(out[1]), out[2]], schema=context_schema)
+        free_memory()
+
+    def in_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One document gives few rows; they leave in larger batches."""
+        held: list[pa.RecordBatch] = []
+        rows = 0
+        for b in surroundings(batches):
+            held.append(b)
+            rows += b.num_rows
+            if rows >= BATCH_ROWS:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, rows = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    contexts = (texts.join(per_doc.join(wholes, "doc", "left"), "doc")
+                .select("doc_id", "doc", "copy", "raw", "some", "many", "whole").mapInArrow(in_batches, CONTEXTS))
     schema_text = "doc long, copy int, begin long, end long"
     schema = _arrow_schema(spark, schema_text)
 
-    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = Groups()
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows, limit = 0, GROUP_ROWS
 
-        def table_of(rows: list[tuple]) -> pa.RecordBatch:
+        def done(last: bool) -> pa.RecordBatch:
+            nonlocal held, rows, limit
+            found, rest = resolve(pa.Table.from_batches(held), last)
+            held, rows = rest.to_batches(), rest.num_rows
+            limit = max(GROUP_ROWS, 2 * rows)  # what one key holds back is not looked at for every batch
             return pa.RecordBatch.from_arrays(
-                [pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                [pa.array(v, f.type) for v, f in zip(found, schema, strict=True)], schema=schema)
 
         for b in batches:
-            found: list[tuple] = []
-            for row in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-                found += groups.add(*row)
-            if found:
-                yield table_of(found)
-        if found := groups.resolve():
-            yield table_of(found)
+            if b.num_rows:
+                held.append(b)
+                rows += b.num_rows
+                if rows >= limit:
+                    yield done(False)
+        if rows:
+            yield done(True)
+        held.clear()
+        free_memory()
 
     removed = (contexts.repartition("key").sortWithinPartitions("key", "doc")
-               .mapInArrow(resolve, schema_text))
+               .mapInArrow(ranges, schema_text))
     return texts, wholes, removed
 
 
+def list_parts(col: pa.ListArray) -> Callable[[int], np.ndarray]:
+    """The values of a row of a list column, by its number; a null is empty."""
+    ends, values = col.offsets.to_numpy(), col.values.to_numpy(zero_copy_only=False)
+    return lambda k: values[ends[k]:ends[k + 1]]
+
+
+def shared_contexts(raw: bytes, some: np.ndarray, many: np.ndarray) -> Iterator[tuple]:
+    """(key, start, context) columns: the surroundings of the anchors in
+    ``some``, and every string of those in ``many`` by itself, keyed by its own
+    hash. A context's first byte is the distance from its start to the anchor."""
+    value, place, first, end = anchors(raw)
+    data = np.frombuffer(raw, np.uint8)
+    rows = np.flatnonzero(np.isin(value, some))
+    key, start, size, lead = value[rows], first[rows], (end - first)[rows] + LENGTH - 1, (place - first)[rows]
+    hot = np.flatnonzero(np.isin(value, many))
+    if len(hot):
+        at = gather(np.arange(end[-1]), first[hot], (end - first)[hot])
+        h, down = prefix_hashes(data), POWERS.get(len(data) + 1)[1]
+        own = (h[at + LENGTH] - h[at]) * down[at]
+        key, start = np.append(key, own.view(np.int64)), np.append(start, at)
+        size, lead = np.append(size, np.full(len(at), LENGTH)), np.append(lead, np.zeros(len(at), np.int64))
+    shifted = np.append(np.uint8(0), data)  # a context begins one byte before its text
+    for k in range(0, len(key), BATCH_ROWS):
+        part = slice(k, k + BATCH_ROWS)
+        lens = size[part] + 1
+        ends = np.append(0, np.cumsum(lens))
+        joined = gather(shifted, start[part], lens)
+        joined[ends[:-1]] = lead[part]
+        yield key[part], start[part], pa.BinaryArray.from_buffers(
+            pa.binary(), len(lens), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(joined)])
+
+
+def covered(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The union of ranges; touching ranges are one."""
+    order = np.argsort(begin, kind="stable")
+    begin, reach = begin[order], np.maximum.accumulate(end[order])
+    first = np.flatnonzero(np.append(True, begin[1:] > reach[:-1]))
+    return begin[first], reach[np.append(first[1:], len(reach)) - 1]
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    keep_bytes: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per row of
@@ -331,34 +419,36 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     texts, wholes, removed = duplicated(docs, id_col, text_col)
     ranges = (removed.groupBy("doc").agg(F.collect_list(F.struct("copy", "begin", "end")).alias("ranges"))
+              .select("doc", *[F.col(f"ranges.{c}").alias(c + "s") for c in ("copy", "begin", "end")])
               .join(wholes, "doc", "full"))
-
-    def cut(cols: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-        for doc_id, copy, raw, rows, whole in zip(
-                *(cols[k] for k in ("doc_id", "copy", "raw", "ranges", "whole")), strict=True):
-            own = sorted((r["begin"], r["end"]) for r in rows or () if r["copy"] == copy)
-            if copy in (whole or ()) and len(raw) >= LENGTH:
-                own = [(0, len(raw))]
-            kept, spans, at, gone = [], 0, 0, 0
-            begin = end = -1
-            for a, b in [*own, (len(raw) + 1, 0)]:
-                if a > end:  # touching ranges are one span
-                    if end > 0:
-                        kept.append(raw[at:begin])
-                        at, spans, gone = end, spans + 1, gone + end - begin
-                    begin, end = a, b
-                else:
-                    end = max(end, b)
-            kept.append(raw[at:])
-            data = b"".join(kept)
-            for name, v in zip(out, (doc_id, len(raw), gone, spans, hashlib.sha256(data).hexdigest(),
-                                     data if keep_bytes else None), strict=True):
-                out[name].append(v)
-        return out
-
-    made = map_rows(texts.join(ranges, "doc", "left").select("doc_id", "copy", "raw", "ranges", "whole"), cut,
-                    "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    schema_text = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    schema = _arrow_schema(docs.sparkSession, schema_text)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            copies, begins, ends = (list_parts(batch.column(c)) for c in ("copys", "begins", "ends"))
+            out: dict[str, list] = {n: [] for n in names}
+            for k, (doc_id, copy, raw, whole) in enumerate(zip(
+                    *(batch.column(c).to_pylist() for c in ("doc_id", "copy", "raw", "whole")), strict=True)):
+                mine = copies(k) == copy
+                begin, end = begins(k)[mine], ends(k)[mine]
+                if copy in (whole or ()) and len(raw) >= LENGTH:
+                    begin, end = np.array([0]), np.array([len(raw)])
+                data = raw
+                if len(begin):
+                    begin, end = covered(begin, end)
+                    data = b"".join(raw[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(raw)],
+                                                             strict=True))
+                for name, v in zip(names, (doc_id, len(raw), len(raw) - len(data), len(begin),
+                                           hashlib.sha256(data).hexdigest(), data if keep_bytes else None),
+                                   strict=True):
+                    out[name].append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
+        free_memory()
+
+    made = (texts.join(ranges, "doc", "left")
+            .select("doc_id", "copy", "raw", "copys", "begins", "ends", "whole").mapInArrow(cut, schema_text))
     return made if keep_bytes else made.drop("kept")
 
 

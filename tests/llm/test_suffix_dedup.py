@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shortbook.llm import suffix_dedup as S
@@ -96,3 +97,39 @@ def test_suffixes_are_sorted():
     raw = data.tobytes()
     keys = [(group[o], raw[at[o]:at[o] + 50]) for o in order]
     assert keys == sorted(keys) and sorted(order) == list(range(len(at)))
+
+
+def test_groups_in_pieces_are_resolved_as_in_one():
+    """Sorted rows arrive in pieces; a group may take many of them."""
+    rnd = random.Random(4)
+    shared = ["".join(rnd.choice("abc ") for _ in range(n)) for n in (60, 90, 200)]
+    texts = ["".join(rnd.choice([rnd.choice(shared), "z" * rnd.randrange(40, 90)]) for _ in range(3)).encode()
+             for _ in range(40)]
+    common = np.unique(np.concatenate([S.anchors(t)[0] for t in texts]))
+    some, many = common[::2], common[1::2]
+    rows = [(key, doc // 2, doc % 2, start, context) for doc, t in enumerate(texts)
+            for out in S.shared_contexts(t, some, many)
+            for key, start, context in zip(out[0].tolist(), out[1].tolist(), out[2].to_pylist(), strict=True)]
+    rows.sort(key=lambda r: r[:2])
+    names = ["key", "doc", "copy", "start", "context"]
+    table = pa.table({n: list(c) for n, c in zip(names, zip(*rows, strict=True), strict=True)})
+
+    def covered(found):
+        bytes_gone = set()
+        for doc, copy, begin, end in zip(*(f.tolist() for f in found), strict=True):
+            bytes_gone |= {(doc, copy, k) for k in range(begin, end)}
+        return bytes_gone
+
+    want = covered(S.resolve(table, True)[0])
+    least = {}
+    for doc, t in enumerate(texts):
+        for k in range(len(t) - 49):
+            least.setdefault(t[k:k + 50], doc // 2)
+    assert want == {(doc // 2, doc % 2, j) for doc, t in enumerate(texts) for k in range(len(t) - 49)
+                    if least[t[k:k + 50]] < doc // 2 for j in range(k, k + 50)}
+    for step in (1, 7, 200):
+        held, got_ = table.slice(0, 0), set()
+        for k in range(0, len(table), step):
+            found, held = S.resolve(pa.concat_tables([held, table.slice(k, step)]), False)
+            got_ |= covered(found)
+        assert got_ | covered(S.resolve(held, True)[0]) == want
