@@ -30,8 +30,10 @@ LENGTH, GRAM = 50, 20
 SPAN = LENGTH - GRAM + 1
 # an anchor of more documents is split by string
 HOT = 2_000
-# suffixes sorted at once, if a group is not larger
-SORT_SUFFIXES = 400_000
+# suffixes sorted at once, if a group is not larger; their hashes fit into a core's cache
+SORT_SUFFIXES = 30_000
+# places of a text looked at together for anchors
+PIECE = 1 << 16
 # rows that are looked at together, if a group is not larger, and rows of a batch
 GROUP_ROWS, BATCH_ROWS = 60_000, 20_000
 BASE = 0x9E3779B97F4A7C15
@@ -77,13 +79,19 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     value = (h[GRAM:] - h[:n]) * POWERS.get(n)[1]
     value = (value ^ (value >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     value ^= value >> np.uint64(32)
-    least, at, width = value, np.arange(n), 1
-    while width < SPAN:  # least over [i, i + width), doubled and then overlapped
-        step = min(width, SPAN - width)
-        right = least[step:] < least[:-step]
-        at = np.where(right, at[step:], at[:-step])
-        least = np.where(right, least[step:], least[:-step])
-        width += step
+    # the high bits of a hash and its place in one number, whose minimum is the leftmost least
+    place_bits = np.uint64(2 * PIECE - 1)
+    picked = []
+    for k in range(0, n - SPAN + 1, PIECE):
+        least = value[k:k + PIECE + SPAN - 1] & ~place_bits
+        least |= np.arange(len(least), dtype=np.uint64)
+        width = 1
+        while width < SPAN:  # least over [i, i + width), doubled and then overlapped
+            step = min(width, SPAN - width)
+            least = np.minimum(least[step:], least[:-step])
+            width += step
+        picked.append((least & place_bits).astype(np.int64) + k)
+    at = np.concatenate(picked)
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
     return value[at[first]].view(np.int64), at[first], first, np.append(first[1:], len(at))
 
@@ -91,14 +99,12 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 def common_extension(h: np.ndarray, down: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Bytes, up to LENGTH, in which the suffixes at a and b agree."""
     low, high = np.zeros(len(a), np.int64), np.full(len(a), LENGTH, np.int64)
-    while True:
-        open_ = low < high
-        if not open_.any():
-            return low
+    h_a, h_b, down_a, down_b = h[a], h[b], down[a], down[b]
+    for _ in range(LENGTH.bit_length()):  # enough halvings for LENGTH + 1 lengths
         middle = (low + high + 1) >> 1
-        same = (h[a + middle] - h[a]) * down[a] == (h[b + middle] - h[b]) * down[b]
-        low = np.where(open_ & same, middle, low)
-        high = np.where(open_ & ~same, middle - 1, high)
+        same = (h[a + middle] - h_a) * down_a == (h[b + middle] - h_b) * down_b
+        low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
+    return low
 
 
 def sort_suffixes(data: np.ndarray, at: np.ndarray, group: np.ndarray) -> np.ndarray:
