@@ -6,9 +6,12 @@ documents long, so the Jaccard similarity of a match is tiny and banded
 signatures would lose it; the sketch is therefore sized by the item alone.
 Items are partitioned by size class, and each keeps its lowest MinHash values:
 one more than a match may miss, plus ``SPARE`` by class. A containing document
-must have at least 1 + spare of them, so no match is lost. Documents are looked
-up with those of their shingles whose hash is below the sketches' highest, and
-the few candidates are verified on the exact shingles.
+must have at least 1 + spare of them, so no match is lost. Every size class has
+its own bound, the highest value of its sketches: a document is looked up with
+those of its shingles that lie below the bound of a class whose items are not
+too large for it. The values of a class with few of them are matched one by one
+instead, so that a handful of very short items does not raise any bound. The few
+candidates are verified on the exact shingles.
 
 Everything is built from DataFrame and SQL functions.
 """
@@ -27,6 +30,10 @@ PERCENT = 80
 # items below each bound of shingles; more of them leave fewer false candidates
 SPARE = [(8, 0), (32, 1), (128, 2)]
 SPARE_LARGE = 3
+# items beyond the last bound fall into classes that grow by this factor
+CLASS_GROWTH = 4
+# a class with no more sketch values than these is matched by its values
+LISTED_VALUES = 1_000
 
 
 def words_of(text: Column) -> Column:
@@ -69,6 +76,35 @@ def item_sketches(items: DataFrame, percent: int = PERCENT) -> DataFrame:
                     (F.col("size_sketch") - F.col("missable")).alias("need")))
 
 
+def size_class(n: Column) -> Column:
+    """Number of the size class: one each below the bounds of ``SPARE``, then
+    by powers of ``CLASS_GROWTH``."""
+    last = SPARE[-1][0]
+    out = F.floor(F.log(float(CLASS_GROWTH), n / F.lit(last)) + 1e-9).cast("int") + len(SPARE)
+    for k, (bound, _) in reversed(list(enumerate(SPARE))):
+        out = F.when(n < bound, k).otherwise(out)
+    return out
+
+
+def probe_filter(sketches: DataFrame, percent: int, listed_values: int) -> tuple[Column, list[int]] | None:
+    """What a document of ``held`` shingles is looked up with: hashes up to a
+    bound, and a list of hashes. One row a size class reaches the driver, and
+    the values of the classes that have at most ``listed_values``. None without
+    an item."""
+    classes = (sketches.groupBy(size_class(F.col("n")).alias("class"))
+               .agg(F.min("n").alias("least"), F.max(F.expr("array_max(sketch)")).alias("top"),
+                    F.sum(F.size("sketch")).alias("values")).collect())
+    if not classes:
+        return None
+    few = [c["class"] for c in classes if c["values"] <= listed_values]
+    listed = (sketches.filter(size_class(F.col("n")).isin(few)).select(F.explode("sketch").alias("hash"))
+              .distinct().collect()) if few else []
+    lowest = F.lit(-(1 << 63))
+    bounds = [F.when(100 * F.col("held") >= percent * c.least, F.lit(c.top)).otherwise(lowest)
+              for c in classes if c["class"] not in few]
+    return F.greatest(lowest, lowest, *bounds), [r.hash for r in listed]
+
+
 def contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_common, containment) of every item held
     by a document to ``percent`` or more.
@@ -87,16 +123,18 @@ def held_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> Dat
     """(doc_id, copy, item_id, n_shingles, n_common); ``copy`` is a hash of the text."""
     sketches = stored(item_sketches(items.select(F.col("item_id").cast("long"), "text"), percent),
                       "item-sketches")
-    top = sketches.agg(F.max(F.expr("array_max(sketch)"))).first()[0]
-    if top is None:
+    probes = probe_filter(sketches, percent, LISTED_VALUES)
+    if probes is None:
         return _result(docs.sparkSession)
+    bound, listed = probes
     probe = sketches.select("item_id", "n", "need", F.explode("sketch").alias("hash"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                       F.xxhash64(text_of(F.col("text"))).alias("copy"), text_of(F.col("text")).alias("text"))
     hits = (own.select("doc_id", "copy", words_of(F.col("text")).alias("w"))
             .select("doc_id", "copy", shingle_hashes("w").alias("hashes"))
-            .select("doc_id", "copy", F.size("hashes").alias("held"),
-                    F.explode(F.filter("hashes", lambda h: h <= F.lit(top))).alias("hash"))
+            .withColumn("held", F.size("hashes")).withColumn("bound", bound)
+            .select("doc_id", "copy", "held",
+                    F.explode(F.filter("hashes", lambda h: (h <= F.col("bound")) | h.isin(listed))).alias("hash"))
             .join(probe, "hash")
             .filter(100 * F.col("held") >= percent * F.col("n"))
             .groupBy("doc_id", "copy", "item_id")

@@ -60,6 +60,29 @@ def test_partial_and_scattered_items(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [k for k, _ in docs if k not in hit]
 
 
+def test_size_classes_have_their_own_bounds(spark, monkeypatch):
+    rnd = random.Random(9)
+    text = lambda n: " ".join(f"w{rnd.randrange(900)}" for _ in range(n))
+    items = [(k, text(rnd.choice([12, 60, 300, 1200]))) for k in range(60)] + [(99, "only four words here")]
+    docs = [(k, text(rnd.randrange(80)) + " " + rnd.choice(items)[1] + " " + text(rnd.randrange(80)))
+            for k in range(120)] + [(500, "only four words here"), (501, text(900))]
+    want = brute(docs, items)
+    assert len(want) >= 120
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame(items, "item_id long, text string")
+    for listed in (0, 30, 10**6):
+        monkeypatch.setattr(D, "LISTED_VALUES", listed)
+        assert got(D.contamination(d, i)) == want
+    # the very short item is one listed value, and long items are no bound for short documents
+    sketches = D.item_sketches(i).cache()
+    bound, listed = D.probe_filter(sketches, 80, 1)
+    assert len(listed) == 1
+    held = spark.createDataFrame([(5,), (20,), (100,), (2000,)], "held int")
+    bounds = [r.bound for r in held.select(bound.alias("bound")).collect()]
+    assert bounds == sorted(bounds) and bounds[0] == -(1 << 63) and bounds[1] > bounds[0]
+    sketches.unpersist()
+
+
 def test_edges(spark):
     five = "one two three four five"
     docs = [(1, None), (1, ""), (2, five), (2, five), (None, "x " * 100_000 + five), (4, "a b"), (5, "!!")]
