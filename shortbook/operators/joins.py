@@ -120,18 +120,19 @@ def asof_join(
 
 
 def _with_carry(u: DataFrame, by: list[str], order) -> DataFrame:
-    from shortbook.operators.segmented import ranged_rows
+    from shortbook.operators.segmented import _num_partitions, ranged_rows
 
     key = F.struct(*[F.col(b) for b in by])
-    ranged = ranged_rows(u, [F.col(b).asc_nulls_last() for b in by] + order[1:])
-    # one row per non-empty partition: first key, last key, last right row of the last key
+    # counting reads no column; the ranges grow with the rows
+    ranged = ranged_rows(u, [F.col(b).asc_nulls_last() for b in by] + order[1:], _num_partitions(u, u.count()))
+    # one row per non-empty partition, from one pass: first key, last key, last right row
+    # (rows are sorted by key, so it is the last key's if that has one)
     summ = ranged.groupBy("_pid").agg(
-        F.min_by(key, "_local").alias("_first"), F.max_by(key, "_local").alias("_last"))
-    # one row per partition: computed once, kept local (bounded by the partition count)
-    summ = ranged.sparkSession.createDataFrame(summ.collect(), summ.schema)
-    last_r = ranged.join(F.broadcast(summ.select("_pid", "_last")), "_pid").where(
-        (key == F.col("_last")) & (F.col("_side") == 0)).groupBy("_pid").agg(F.max_by("_r", "_local").alias("_lr"))
-    summ = summ.join(last_r, "_pid", "left")
+        F.min_by(key, "_local").alias("_first"), F.max_by(key, "_local").alias("_last"),
+        F.max_by(F.struct(key.alias("k"), F.col("_r").alias("r")),
+                 F.when(F.col("_side") == 0, F.col("_local"))).alias("_right"))
+    summ = summ.withColumn("_lr", F.when(F.col("_right.k").eqNullSafe(F.col("_last")), F.col("_right.r"))).drop("_right")
+    summ = summ.checkpoint(eager=True)  # read twice below
     w = Window.orderBy("_pid")  # over one row per partition
     run = Window.partitionBy("_last").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
     summ = summ.withColumn("_cum", F.last("_lr", ignorenulls=True).over(run))

@@ -1,9 +1,10 @@
 """Run / file / ticker ledger on Parquet.
 
 Append-only: a run is a 'start' event and a 'finish' event; the current
-state of a run is folded with ``max_by`` (no UPDATE). The ticker index is
-rewritten into a new version folder on every upsert, never over the folder
-being read.
+state of a run is folded with ``max_by`` (no UPDATE). The ticker index lies
+in buckets of each source; an upsert writes the buckets it touches into a new
+folder, never over one being read, and a manifest then names every bucket's
+folder.
 """
 
 from __future__ import annotations
@@ -44,6 +45,11 @@ FILE_SCHEMA = T.StructType([
     T.StructField("uploaded_at", T.TimestampType()),
 ])
 
+INDEX_SCHEMA = "ticker string, source string, last_run_id string, last_seen timestamp"
+MANIFEST_SCHEMA = "source string, buckets int, bucket int, path string"
+# buckets of a source's tickers, fixed by the source's first run
+INDEX_BUCKETS = 64
+
 
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -98,32 +104,72 @@ class Ledger:
         return self.spark.read.schema(FILE_SCHEMA).parquet(self.files_path)
 
     # L4
-    def index_tickers(self, run_id: str, source: str, tickers: DataFrame) -> str:
-        """Upsert (ticker, source) rows from a one-column DataFrame of tickers."""
+    def index_tickers(self, run_id: str, source: str, tickers: DataFrame) -> str | None:
+        """Upsert (ticker, source) rows from a one-column DataFrame of tickers.
+
+        Only the buckets of ``source`` in which the tickers fall are read, merged
+        and written. The manifest is written last: readers see the index before
+        the run or after it. Returns the manifest's folder; without a ticker
+        nothing is written."""
+        stamp = _now().strftime("%Y%m%d%H%M%S%f")
+        held = self._manifest()
+        buckets = next((r.buckets for r in held if r.source == source), INDEX_BUCKETS)
+        bucket = F.pmod(F.xxhash64("ticker"), F.lit(buckets)).cast("int")
         new = tickers.select(
-            F.col(tickers.columns[0]).alias("ticker"), F.lit(source).alias("source"),
-            F.lit(run_id).alias("last_run_id"), F.lit(_now()).alias("last_seen"),
-        )
-        old = self.ticker_index()
-        merged = upsert_index(old, new) if old is not None else upsert_index(new.limit(0), new)
-        version = f"{self.index_root}/v={_now().strftime('%Y%m%d%H%M%S%f')}"
-        merged.write.mode("errorifexists").parquet(version)
-        self._drop_old_versions()
-        return version
+            F.col(tickers.columns[0]).cast("string").alias("ticker"), F.lit(source).alias("source"),
+            F.lit(run_id).alias("last_run_id"), F.lit(_now()).alias("last_seen"))
+        # the tickers are computed once; the folders written tell which buckets they touch
+        staged = f"{self.index_root}/staged/{stamp}"
+        new.withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(staged)
+        touched = {int(name.partition("=")[2]) for name in self._folders(staged) if name.startswith("bucket=")}
+        if touched:
+            old = [r.path for r in held if r.source == source and r.bucket in touched]
+            merged = upsert_index(self._index_rows(old), self._index_rows([f"{staged}/bucket={b}" for b in touched]))
+            data = f"{self.index_root}/data/{stamp}"
+            merged.withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(data)
+            rows = [tuple(r) for r in held if r.source != source or r.bucket not in touched]
+            rows += [(source, buckets, b, f"{data}/bucket={b}") for b in sorted(touched)]
+            self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.parquet(f"{self.index_root}/v={stamp}")
+            self._drop_old_versions()
+        fs, path = hadoop_fs(self.spark, staged)
+        fs.delete(path, True)
+        return self._newest_manifest()
 
     def ticker_index(self) -> DataFrame | None:
-        """The newest complete version; one still being written is not read."""
+        """The index of the newest complete manifest; one still being written is not read."""
+        held = self._manifest()
+        return self._index_rows([r.path for r in held]) if held else None
+
+    def _newest_manifest(self) -> str | None:
         from shortbook.sources.sinks import latest_version
-        version = latest_version(self.spark, self.index_root)
-        return self.spark.read.parquet(version) if version else None
+        return latest_version(self.spark, self.index_root)
+
+    def _manifest(self, path: str | None = None) -> list:
+        """One row per bucket of a source: their number does not grow with the tickers."""
+        path = path or self._newest_manifest()
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(path).collect() if path else []
+
+    def _index_rows(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], INDEX_SCHEMA)
+        return self.spark.read.schema(INDEX_SCHEMA).parquet(*sorted(paths))
+
+    def _folders(self, path: str) -> list[str]:
+        fs, base = hadoop_fs(self.spark, path)
+        return [s.getPath().getName() for s in fs.listStatus(base)] if fs.exists(base) else []
 
     def _drop_old_versions(self, keep: int = 2) -> None:
-        """Only the newest versions stay: the current one and the one that
-        readers may still hold."""
-        fs, base = hadoop_fs(self.spark, self.index_root)
-        names = sorted(s.getPath().getName() for s in fs.listStatus(base) if s.getPath().getName().startswith("v="))
-        for name in names[:-keep]:
-            fs.delete(base.suffix(f"/{name}"), True)
+        """Only the newest manifests stay, the current one and the one that
+        readers may still hold, and the buckets that they name."""
+        names = sorted(n for n in self._folders(self.index_root) if n.startswith("v="))
+        paths = [f"{self.index_root}/{n}" for n in names]
+        fs, _ = hadoop_fs(self.spark, self.index_root)
+        done = [p for p in paths if "_SUCCESS" in self._folders(p)]
+        used = {r.path for p in done[-keep:] for r in self._manifest(p)}
+        for old in done[:-keep]:
+            for gone in {r.path for r in self._manifest(old)} - used:
+                fs.delete(hadoop_fs(self.spark, gone)[1], True)
+            fs.delete(hadoop_fs(self.spark, old)[1], True)
 
 
 def runs_state(events: DataFrame) -> DataFrame:

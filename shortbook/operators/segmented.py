@@ -58,40 +58,38 @@ def ranged_rows(df: DataFrame, order: Sequence[Column], num_partitions: int | No
     return r.checkpoint(eager=True)
 
 
-def partition_table(ranged: DataFrame) -> DataFrame:
-    """One row per non-empty partition: count, global start, rank.
-
-    Computed once (one pass over the checkpoint) and kept as a small local
-    table -- it has one row per partition, so it is bounded by the partition
-    count -- so every join that uses it reads the same rows without another
-    scan."""
+def partition_sizes(ranged: DataFrame) -> list[tuple[int, int]]:
+    """(partition, rows) of the non-empty partitions in order: one pass over
+    the checkpoint, one row a partition on the driver."""
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect()
-    rows, start = [], 0
-    for rank, r in enumerate(sorted(counts, key=lambda r: r["_pid"]), start=1):
-        rows.append((int(r["_pid"]), int(r["_cnt"]), start, rank))
-        start += int(r["_cnt"])
-    schema = "_pid int, _cnt long, _start long, _rank int"
-    return ranged.sparkSession.createDataFrame(rows, schema)
-
-
-def _halo(ranged: DataFrame, parts: DataFrame, cols: Sequence[str], span: int, before: bool) -> DataFrame:
-    p = F.broadcast(parts)  # one row per partition: bounded by the partition count
-    if before:  # last ``span`` rows of a partition serve the following ones
-        edge = ranged.join(p, "_pid").where(F.col("_local") >= F.col("_cnt") - span)
-        steps = F.sequence(F.lit(1), F.lit(span))
-    else:  # first ``span`` rows serve the preceding ones
-        edge = ranged.where(F.col("_local") < span).join(p, "_pid")
-        steps = F.sequence(F.lit(-span), F.lit(-1))
-    edge = edge.withColumn("_g", F.col("_start") + F.col("_local")).withColumn("_step", F.explode(steps))
-    target = p.select(F.col("_pid").alias("_tpid"), F.col("_rank").alias("_trank"),
-                      F.col("_start").alias("_tstart"), F.col("_cnt").alias("_tcnt"))
-    j = edge.join(target, F.col("_rank") + F.col("_step") == F.col("_trank"))
-    if before:
-        keep = (F.col("_g") >= F.col("_tstart") - span) & (F.col("_g") < F.col("_tstart"))
-    else:
-        end = F.col("_tstart") + F.col("_tcnt")
-        keep = (F.col("_g") >= end) & (F.col("_g") < end + span)
-    return j.where(keep).select(*qcols(cols), F.col("_tpid").alias("_pid"), F.lit(True).alias("_halo"))
+    return sorted((int(r["_pid"]), int(r["_cnt"])) for r in counts)
+
+
+def halo_spans(sizes: Sequence[tuple[int, int]], span: int, before: bool) -> list[tuple[int, int, int, int]]:
+    """(source, target, low, high): the places ``low <= place < high`` of a
+    source partition that a target partition needs, the last ``span`` rows in
+    front of it or the first ``span`` after it. Every entry stands for at least
+    one row, so there are at most partitions x span of them, and one a partition
+    where partitions are longer than the span."""
+    out = []
+    step = -1 if before else 1
+    for i, (target, _) in enumerate(sizes):
+        left, k = span, i + step
+        while left > 0 and 0 <= k < len(sizes):
+            source, n = sizes[k]
+            take = min(left, n)
+            out.append((source, target, n - take, n) if before else (source, target, 0, take))
+            left, k = left - take, k + step
+    return out
+
+
+def _halo(ranged: DataFrame, sizes: Sequence[tuple[int, int]], cols: Sequence[str], span: int, before: bool) -> DataFrame:
+    """The rows other partitions need: an interval of places per pair of
+    partitions, so exactly the halo's rows leave the join."""
+    spans = F.broadcast(ranged.sparkSession.createDataFrame(  # bounded by the partition count and the span
+        halo_spans(sizes, span, before), "_spid int, _tpid int, _low long, _high long"))
+    at = (F.col("_pid") == F.col("_spid")) & (F.col("_local") >= F.col("_low")) & (F.col("_local") < F.col("_high"))
+    return ranged.join(spans, at).select(*qcols(cols), F.col("_tpid").alias("_pid"), F.lit(True).alias("_halo"))
 
 
 def segmented_window(
@@ -111,12 +109,12 @@ def segmented_window(
     if num_partitions is None:
         num_partitions = _num_partitions(df, group_stats(df, group_cols)[1])
     ranged = ranged_rows(df, range_order, num_partitions)
-    parts = partition_table(ranged)
+    sizes = partition_sizes(ranged)
     rows = ranged.select(*qcols(cols), "_pid", F.lit(False).alias("_halo"))
     if lookback > 0:
-        rows = rows.unionByName(_halo(ranged, parts, cols, lookback, True))
+        rows = rows.unionByName(_halo(ranged, sizes, cols, lookback, True))
     if lookahead > 0:
-        rows = rows.unionByName(_halo(ranged, parts, cols, lookahead, False))
+        rows = rows.unionByName(_halo(ranged, sizes, cols, lookahead, False))
     w = Window.partitionBy("_pid", *qcols(group_cols)).orderBy(*order)
     exprs = build(w)
     out = rows.select("*", *[e.alias(name) for name, e in exprs.items()])

@@ -7,6 +7,8 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from conftest import rows
 from shortbook.operators import features, ranking
@@ -239,3 +241,32 @@ def test_pct_rank_paths_agree_on_columns(spark):
     one, two = (ranking.add_pct_rank(df, "v", skew_safe=s) for s in (False, True))
     assert one.columns == two.columns == ["TIMESTAMP", "id", "v", "v_pctrank"]
     assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+
+
+def test_halo_rows_are_only_those_needed(spark):
+    from shortbook.operators import segmented as S
+    sizes = [(0, 4), (2, 1), (3, 5), (7, 2)]
+    first = {0: 0, 2: 4, 3: 5, 7: 10}
+    for span in (1, 3, 10_000):
+        for before in (True, False):
+            got = {(t, first[s] + k) for s, t, low, high in S.halo_spans(sizes, span, before) for k in range(low, high)}
+            want = set()
+            for t, n in sizes:
+                start, end = first[t], first[t] + n
+                near = range(max(0, start - span), start) if before else range(end, min(12, end + span))
+                want |= {(t, g) for g in near}
+            assert got == want
+    df = spark.range(5_000).select((F.col("id") % 2).alias("g"), "id", (F.col("id") * 7 % 1000).alias("v"))
+    ranged = S.ranged_rows(df, [F.col("g").asc(), F.col("id").asc()], 8)
+    sizes = S.partition_sizes(ranged)
+    halo = S._halo(ranged, sizes, df.columns, 10_000, True)
+    starts = [sum(n for _, n in sizes[:k]) for k in range(len(sizes))]
+    assert halo.count() == sum(starts)  # each partition gets all rows in front of it, once
+
+    def build(w):
+        return {"back": F.lag("v", 600).over(w), "sum": F.sum("v").over(w.rowsBetween(-900, 0))}
+
+    got = S.segmented_window(df, ["g"], [F.col("id")], build, lookback=900, num_partitions=8)
+    w = Window.partitionBy("g").orderBy("id")
+    want = df.select("*", *[c.alias(k) for k, c in build(w).items()])
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -172,3 +172,35 @@ def test_unfinished_index_version_is_not_read(spark, tmp_path):
     import os
     os.makedirs(f"{led.index_root}/v=99999999999999999999")
     assert {(r.ticker, r.last_run_id) for r in led.ticker_index().collect()} == {("A", "r3"), ("B", "r3")}
+
+
+def test_index_writes_only_touched_buckets(spark, tmp_path, monkeypatch):
+    import os
+
+    from shortbook.operators import ledger as L
+    monkeypatch.setattr(L, "INDEX_BUCKETS", 8)
+    led = L.Ledger(spark, str(tmp_path / "led"))
+    many = spark.createDataFrame([(f"T{k}",) for k in range(200)], "ticker string")
+    led.index_tickers("r1", "a", many)
+    led.index_tickers("r2", "b", many)
+    before = {(r.source, r.bucket): r.path for r in led._manifest()}
+    assert len(before) == 16
+    led.index_tickers("r3", "a", many.where("ticker = 'T7'"))
+    after = {(r.source, r.bucket): r.path for r in led._manifest()}
+    changed = [k for k in after if after[k] != before[k]]
+    assert len(changed) == 1 and changed[0][0] == "a" and after.keys() == before.keys()
+    got = {(r.ticker, r.source): r.last_run_id for r in led.ticker_index().collect()}
+    assert len(got) == 400 and got["T7", "a"] == "r3" and got["T7", "b"] == "r2" and got["T8", "a"] == "r1"
+    # nothing to write, and what no manifest names any more is gone
+    assert led.index_tickers("r4", "a", many.limit(0)).endswith(os.path.basename(led._newest_manifest()))
+    assert {(r.source, r.bucket): r.path for r in led._manifest()} == after
+    led.index_tickers("r5", "a", many)
+    led.index_tickers("r6", "a", many)
+    assert not os.path.exists(before["a", 0]) and os.path.exists(before["b", 0])
+    assert led.ticker_index().count() == 400
+    # another number of buckets holds for new sources only
+    monkeypatch.setattr(L, "INDEX_BUCKETS", 3)
+    led.index_tickers("r7", "a", many)
+    led.index_tickers("r7", "c", many)
+    assert {(r.source, r.buckets) for r in led._manifest()} == {("a", 8), ("b", 8), ("c", 3)}
+    assert led.ticker_index().count() == 600
