@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shortbook.functions import calendar, meetings
-from shortbook.functions.text import filing_link
+from shortbook.functions.text import filing_link, zfill
 from shortbook.operators import changes, joins, ledger as ledger_ops, relational
 from shortbook.schemas import ATS_TYPES, EARNINGS_TYPES, FOMC_SCHEMA, STOCK_LOAN_RENAMES, STOCK_LOAN_TYPES
 from shortbook.session import hadoop_fs
 from shortbook.sources import csv as csv_src
-from shortbook.sources import sinks, snapshots
+from shortbook.sources import jsonsrc, sinks, snapshots
 
 log = logging.getLogger(__name__)
 
@@ -60,6 +60,36 @@ def enrich_filings(filings: DataFrame, ticker_map: DataFrame, cik_col: str = "ci
     return relational.move_after(f, "ticker", "company")
 
 
+def read_ticker_map(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """The landed map of companies (objects keyed by position) as (cik_str
+    with ten digits, ticker, pos)."""
+    m = jsonsrc.read_keyed_objects(spark, path, "cik_str string, ticker string", "pos", lines)
+    return m.select(zfill(F.col("cik_str"), 10).alias("cik_str"), "ticker", F.col("pos").try_cast("long").alias("pos"))
+
+
+def with_link_and_ticker(filings: DataFrame, ticker_map: DataFrame | None) -> DataFrame:
+    """G6 for landed filings: what they already carry stays, a missing link is
+    made, a missing ticker is looked up where there is a map."""
+    if not {"cik", "accession_number"} <= set(filings.columns):
+        return filings
+    if "filing_link" not in filings.columns:
+        filings = filings.withColumn("filing_link", filing_link(F.col("cik"), F.col("accession_number")))
+    if "ticker" in filings.columns or ticker_map is None:
+        return filings
+    return relational.move_after(joins.add_cik_tickers(filings, ticker_map), "ticker", "company")
+
+
+def filings_job(spark: SparkSession, filings_root: str, map_path: str | None, out_base: str,
+                stamp: str | None = None, map_lines: bool = False) -> dict:
+    """G6 as a job: landed filings of every form and quarter -> link and ticker
+    -> one published version, a folder per form."""
+    stamp = stamp or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    ticker_map = read_ticker_map(spark, map_path, map_lines) if map_path else None
+    table = with_link_and_ticker(csv_src.read_filings(spark, filings_root), ticker_map)
+    path, rows = _publish(table, out_base, stamp, ["filing_type"])
+    return {"source": "edgar_filings", "path": path, "rows": rows}
+
+
 # ------------------------------------------------------------------ G7
 
 def meeting_rows(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -147,6 +177,8 @@ def convert_all(spark: SparkSession, raw_root: str, out_root: str, sources: Sequ
     out = out_root.rstrip("/")
     stamp = stamp or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
 
+    tickers = f"{raw}/company_tickers.json"
+
     def _write(df, base, partition_by=()):
         return _publish(df, base, stamp, partition_by)
 
@@ -163,8 +195,9 @@ def convert_all(spark: SparkSession, raw_root: str, out_root: str, sources: Sequ
         "ats_otc": (f"{raw}/ats_upload", lambda p: _write(
             csv_src.read_csv_union(spark, p, ATS_TYPES), f"{out}/parquet/ats_otc",
             ["initialPublishedDate"])),
-        "edgar_filings": (f"{raw}/financial_filings", lambda p: _write(
-            csv_src.read_filings(spark, p), f"{out}/parquet/edgar_filings", ["filing_type"])),
+        "edgar_filings": (f"{raw}/financial_filings", lambda p: (lambda r: (r["path"], r["rows"]))(
+            filings_job(spark, p, tickers if _path_exists(spark, tickers) else None,
+                        f"{out}/parquet/edgar_filings", stamp))),
     }
     results = []
     for name, (src, fn) in plan.items():

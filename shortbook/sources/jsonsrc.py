@@ -2,7 +2,7 @@
 
 * pages of records, each page a top-level array (filter on one field);
 * documents with records nested under ``data.rows`` (missing -> none);
-* one object keyed by index (``{"0": {...}, "1": {...}}``).
+* objects keyed by index (``{"0": {...}, "1": {...}}``), one a file or one a line.
 """
 
 from __future__ import annotations
@@ -42,9 +42,11 @@ def read_nested_records(
     return out.select(*[F.col(n) for n, _ in doc_fields], "r.*")
 
 
-def read_keyed_objects(spark: SparkSession, path: str, record_schema: T.StructType,
-                       key_col: str = "_key") -> DataFrame:
-    """One JSON object per file keyed by index -> one row per value."""
-    raw = spark.read.option("wholetext", True).text(path)
-    m = F.from_json("value", T.MapType(T.StringType(), record_schema))
+def read_keyed_objects(spark: SparkSession, path: str, record_schema: T.StructType | str,
+                       key_col: str = "_key", lines: bool = False) -> DataFrame:
+    """One JSON object per file, or per line (``lines``, which Spark splits),
+    keyed by index -> one row per value."""
+    raw = spark.read.option("wholetext", not lines).text(path)
+    record = T._parse_datatype_string(record_schema) if isinstance(record_schema, str) else record_schema
+    m = F.from_json("value", T.MapType(T.StringType(), record))
     return raw.select(F.explode(m).alias(key_col, "_v")).select(key_col, "_v.*")

@@ -204,3 +204,22 @@ def test_index_writes_only_touched_buckets(spark, tmp_path, monkeypatch):
     led.index_tickers("r7", "c", many)
     assert {(r.source, r.buckets) for r in led._manifest()} == {("a", 8), ("b", 8), ("c", 3)}
     assert led.ticker_index().count() == 600
+
+
+def test_filings_job_keeps_what_is_there(spark, tmp_path):
+    raw = tmp_path / "raw" / "financial_filings"
+    raw.mkdir(parents=True)
+    (raw / "10-K_filings_2024_Q1.csv").write_text("cik,company,accession_number\n320193,Acme,0000-1\n5,Other,0000-2\n")
+    run = lambda n: jobs.convert_all(spark, str(tmp_path / "raw"), str(tmp_path / f"out{n}"), ["edgar_filings"])[0]
+    first = spark.read.parquet(run(1)["path"])
+    assert "ticker" not in first.columns  # no map has landed
+    assert {r.filing_link for r in first.collect()} == {
+        f"https://www.sec.gov/Archives/edgar/data/{c}/{a}.txt" for c, a in (("320193", "0000-1"), ("5", "0000-2"))}
+    (tmp_path / "raw" / "company_tickers.json").write_text(
+        '{"0": {"cik_str": 320193, "ticker": "OLD"}, "10": {"cik_str": 320193, "ticker": "ACME"}, "9": {"cik_str": 320193, "ticker": "MID"}}')
+    second = spark.read.parquet(run(2)["path"])
+    assert second.columns[:3] == ["cik", "company", "ticker"]
+    assert {(r.cik, r.ticker) for r in second.collect()} == {("320193", "ACME"), ("5", None)}
+    (raw / "10-K_filings_2024_Q1.csv").write_text("cik,company,ticker,accession_number,filing_link\n320193,Acme,OWN,0000-1,own\n")
+    third = spark.read.parquet(run(3)["path"]).first()
+    assert (third.ticker, third.filing_link, third.filing_type) == ("OWN", "own", "10-K")
