@@ -202,6 +202,13 @@ class Encoder:
         return b"".join(map(self.memo.__getitem__, chunks))
 
 
+@functools.cache
+def encoder_of(path: str, special: bool = True) -> Encoder:
+    """One encoder a worker process: the chunks that a task has met need not be
+    encoded again by the next one. Its memo is bounded."""
+    return Encoder(path, special)
+
+
 def token_blocks(docs: DataFrame, order: list[Column], vocabulary: str | None = None,
                  end_id: int = 0, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Blocks in ascending ``order``: shards are ranges of it, one per task
@@ -211,7 +218,7 @@ def token_blocks(docs: DataFrame, order: list[Column], vocabulary: str | None =
     schema = _arrow_schema(docs.sparkSession, BLOCKS)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = Encoder(path), TaskContext.get().partitionId()
+        encoder, shard = encoder_of(path), TaskContext.get().partitionId()
         end = struct.pack("<I", end_id)
         start = number = held = 0
         ids, sizes, parts = [], [], []
