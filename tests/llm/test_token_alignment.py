@@ -129,3 +129,21 @@ def test_perfect_hash(keys, buckets):
     assert (h.keys[h.slots(keys)] == keys).all()
     others = np.array([k for k in range(50) if k not in set(keys.tolist())], np.uint64)
     assert (h.slots(others) == -1).all()
+
+
+def test_a_block_aligns_each_distinct_chunk_once(monkeypatch):
+    words, tokens = T.Vocabularies(A_PATH, B_PATH), []
+    align_texts = T.Vocabularies.align
+    monkeypatch.setattr(T.Vocabularies, "align", lambda self, a, b, kind: tokens.append(
+        sum(map(len, a)) // np.dtype(kind).itemsize) or align_texts(self, a, b, kind))
+    rows = [(k, "the cat " * 50 + "naïve, x=1;\n" * k) for k in range(30)] + [(None, None), (40, ""), (41, "the ﬁ cat")]
+    ids, numbers, hashes, links, pairs, seen = T.block(words, *map(list, zip(*rows, strict=True)))
+    want = [align(t) for _, t in rows]
+    assert tokens == [tokens[0]] and tokens[0] < 40 < 5_000 < sum(len(a) for a, *_ in want)
+    assert ids == [k for k, _ in rows]
+    assert np.frombuffer(numbers, "<u4").reshape(4, -1).T.tolist() == [
+        [len(a), len(b), g.count(";") + bool(g), len(found)] for a, b, found, g in want]
+    pairs = [(v >> 32, v & (2**32 - 1)) for v in np.frombuffer(pairs, "<u8").tolist()]
+    assert [pairs[k] for k in np.frombuffer(links, T.link_kind(len(pairs))).tolist()] == [x for *_, f, _ in want for x in f]
+    assert np.frombuffer(seen, "<u4").tolist() == [sum(p in f for *_, f, _ in want) for p in pairs]
+    assert hashes == b"".join(hashlib.sha256(g.encode()).digest() for *_, g in want)
