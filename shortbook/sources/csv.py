@@ -58,12 +58,13 @@ def read_csv_table(
     infer: bool = False,
     na_compat: bool = False,
 ) -> DataFrame:
-    """R2: one CSV with header. Text columns by default (no inference, so
-    leading zeros survive); ``types`` coerces per value with try_cast."""
+    """R2: one CSV with header, or a folder of its parts. Text columns by
+    default (no inference, so leading zeros survive); ``types`` coerces per
+    value with try_cast."""
     found = file_heads(spark, path, None)
-    if any(odd for _, _, odd in found) and not infer and len(found) == 1:
+    if any(odd for _, _, odd in found) and not infer and len({header for _, header, _ in found}) == 1:
         names = next(pycsv.reader(io.StringIO(found[0][1])))
-        df = read_quoted(spark, [found[0][0]], _strings(names)).drop("_file")
+        df = read_quoted(spark, [path for path, _, _ in found], _strings(names)).drop("_file")
     else:
         # types are inferred from whole records, so such a file is read by one task
         many = any(odd for _, _, odd in found)

@@ -9,6 +9,7 @@ from shortbook.operators import changes
 from shortbook.plans import jobs, registry, views
 from shortbook.plans.dataset import TradingDataset
 from shortbook.sources import csv as csv_src, sinks
+from conftest import rows
 from test_sources import FOMC
 
 
@@ -163,6 +164,44 @@ def test_full_run_goes_on_without_a_ledger(spark, tmp_path):
     assert off.first().status == "converted" and not (tmp_path / "none").exists()
 
 
+def test_earnings_and_meetings_land_in_parts(spark, tmp_path, monkeypatch):
+    """No task holds all of a table: it lands in as many files as it is read by
+    tasks, and is converted whole."""
+    orders = spark.range(1, 401, 1, 4).select(
+        F.col("id").alias("o_orderkey"), F.when(F.col("id") % 7 > 0, F.col("id") % 40).alias("o_custkey"),
+        (F.col("id") * 100.5).alias("o_totalprice"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") % 90).cast("int")).cast("timestamp_ntz").alias("o_orderdate"))
+    table = views.table
+    monkeypatch.setattr(views, "table", lambda s, sf, name: orders if name == "orders" else table(s, sf, name))
+    landed = registry.land_raw_sources(spark, "/root/testdata/sf0.001")
+    found = {r["source"]: r for r in jobs.convert_all(spark, landed, str(tmp_path / "out"), ["earnings", "fomc"])}
+    for source, name, want in (("earnings", "earnings_calendar.csv", views.earnings(spark, "").drop("SEQ")),
+                               ("fomc", "fomc_meeting_times.csv", registry.q_meeting_flags(spark, "").drop("o_orderkey"))):
+        parts = csv_src.file_heads(spark, f"{landed}/{name}", None)
+        sizes = [spark.read.text(path).count() - 1 for path, _, _ in parts]
+        assert len(parts) == 4 and sum(sizes) == want.count() and max(sizes) <= 100
+        got = spark.read.parquet(found[source]["path"])
+        assert found[source]["rows"] == want.count()
+        assert rows(got.select(*[F.col(c).cast("string") for c in want.columns])) == rows(
+            want.select(*[F.col(c).cast("string") for c in want.columns]))
+
+
+def test_an_empty_table_lands_nothing(spark, tmp_path):
+    registry._land_table(spark.range(0).selectExpr("cast(id as string) a"), str(tmp_path / "none.csv"))
+    assert not (tmp_path / "none.csv").exists()
+
+
+def test_a_folder_of_parts_with_newlines_is_one_table(spark, tmp_path, monkeypatch):
+    want = [("1", "a\nb"), ("2", "c"), ("3", 'd "x"\n\ne'), ("4", "f")]
+    df = spark.createDataFrame(want, "id string, note string").repartition(3, "id")
+    sinks.write_csv(df, str(tmp_path / "parts.csv"))
+    quoted = []
+    read = csv_src.read_quoted
+    monkeypatch.setattr(csv_src, "read_quoted", lambda *a, **k: quoted.append(a[1]) or read(*a, **k))
+    assert rows(csv_src.read_csv_table(spark, str(tmp_path / "parts.csv"))) == want
+    assert len(quoted) == 1 and len(quoted[0]) > 1  # not each file whole by one task
+
+
 def test_unfinished_index_version_is_not_read(spark, tmp_path):
     from shortbook.operators.ledger import Ledger
     led = Ledger(spark, str(tmp_path / "led"))
