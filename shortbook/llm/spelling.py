@@ -12,6 +12,10 @@ A chunk that too many words share is not joined on. What is left of both words
 without it again differs by one edit, so the rest is cut in two in its turn,
 and the words meet in the chunk and the part of the rest. A rest of one code
 point ends this: then all that meet are as many as there are letters.
+
+Spark sizes a table by its compressed files, and what is exploded from it as if
+it had no more rows, so a few MB of words would be broadcast as a row for every
+gram. Tables that grow with the words are therefore joined by sorting.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ MIN_LENGTH, MIN_COUNT = 5, 3
 DROP_EVERY = 97
 # a chunk with more pairs than this is cut further
 MOST_PAIRS = 1_024
+# keys to cut further are broadcast up to this number (some 100 bytes each)
+MOST_KEYS = 100_000
 # words counted in a task before their partial counts go out, and words looked up at once
 MEMO_WORDS, RUNS_AT_ONCE = 400_000, 200_000
 
@@ -220,6 +226,11 @@ def _cut_grams(rows: DataFrame) -> DataFrame:
         .select("c.key", "word", "n", "c.rest")
 
 
+def _never_broadcast(right: DataFrame) -> DataFrame:
+    """``right`` for a join that sorts both its sides, whatever their estimated sizes."""
+    return right.hint("merge")
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """(u, n_u, v, n_v): every two words of ``words`` (word, n; distinct words
     of two code points or more) at distance one, once."""
@@ -234,13 +245,15 @@ def near_pairs(words: DataFrame) -> DataFrame:
         u = chunks.select("key", F.col("word").alias("u"), F.col("n").alias("n_u"))
         v = grams.select("key", F.col("word").alias("v"), F.col("n").alias("n_v"))
         later = (F.length("u") > F.length("v")) | ((F.length("u") == F.length("v")) & (F.col("u") > F.col("v")))
-        met = (u.join(few, "key").join(v, "key").filter(later)
+        met = (u.join(_never_broadcast(few), "key").join(_never_broadcast(v), "key").filter(later)
                .filter(F.levenshtein("u", "v", 1) == 1).select("u", "n_u", "v", "n_v"))
         met = stored(met.distinct(), "near-words")
         found = met if found is None else found.union(met)
         many = keys.filter(hot).select("key")
-        if many.isEmpty():
+        hot_keys = many.count()
+        if not hot_keys:
             return found.distinct()
+        many = F.broadcast(many) if hot_keys <= MOST_KEYS else _never_broadcast(many)
         chunks = stored(_cut_chunks(chunks.join(many, "key")), "cut-chunks")
         grams = stored(_cut_grams(grams.filter("rest is not null").join(many, "key")), "cut-grams")
 
@@ -261,12 +274,12 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = (pairs.select(F.col("u").alias("word"), F.col("v").alias("near"), F.col("n_v").alias("m"))
             .union(pairs.select("v", "u", "n_u"))
             .groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct(-F.col("m"), F.col("near"))).alias("b")))
-    own = words.join(best, "word", "left").select(
+    own = words.join(_never_broadcast(best), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(-F.col("b.col1") >= 2 * F.col("n"), F.col("b.near")).alias("form"),
         F.when(-F.col("b.col1") >= 2 * F.col("n"), -F.col("b.col1")).alias("form_n"))
     own = stored(own, "forms")
-    return own.join(_roots(own), "word", "left").select(
+    return own.join(_never_broadcast(_roots(own)), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
@@ -276,8 +289,8 @@ def _roots(own: DataFrame) -> DataFrame:
     now = own.filter("form is not null").select("word", F.col("form").alias("root"))
     while True:
         on = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = stored(now.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"),
-                                                           F.col("next").isNotNull().alias("moved")), "roots")
+        moved = stored(now.join(_never_broadcast(on), "root", "left").select(
+            "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         now = moved.select("word", "root")
         if moved.filter("moved").isEmpty():
             return now

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from conftest import plan_text
 
 from shortbook.llm import spelling as S
 from shortbook.llm.queries import QUERIES
@@ -88,6 +89,30 @@ def test_chunks_that_many_words_share(spark, monkeypatch, most):
     assert {frozenset(p) for p in pairs} == want and len(pairs) == len(want)
 
 
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_only_counted_keys_are_broadcast(spark, monkeypatch, most):
+    monkeypatch.setattr(S, "MOST_PAIRS", 4)
+    monkeypatch.setattr(S, "MOST_KEYS", most)
+    plans, stored = [], S.stored
+
+    def seen(df, name, *a):
+        plans.append((name, plan_text(df)))
+        return stored(df, name, *a)
+
+    monkeypatch.setattr(S, "stored", seen)
+    rnd = random.Random(7)
+    rows = [(k, " ".join("".join(rnd.choice("ab") for _ in range(rnd.randrange(5, 9))) for _ in range(400)))
+            for k in range(10)]
+    df = S.variants(spark.createDataFrame(rows, "doc_id long, text string"))
+    plans.append(("result", plan_text(df)))
+    cut = {name for name, plan in plans if "BroadcastExchange" in plan}
+    assert cut == ({"cut-chunks", "cut-grams"} if most else set())
+    assert "cut-grams" in {name for name, _ in plans}
+    want = brute(rows)
+    assert any(r[1] for r in want)
+    assert got(df) == want
+
+
 def test_edges(spark):
     rnd = random.Random(4)
     rows = [(k, " ".join(rnd.choice(["Received", "recieved", "RECEIVED", "receivd", "réceived", "ÉTUDE",
